@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, minhash, suffix_dedup
+from corpusmill.llm import bpe, minhash, quality_bands, suffix_dedup
 from corpusmill.llm.storage import documents
 
 QUERIES: dict = {}
@@ -35,3 +35,8 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(documents(spark, sf_dir))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return out.select("doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bands.quality(documents(spark, sf_dir))
