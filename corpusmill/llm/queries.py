@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, minhash, quality_bands, suffix_dedup
+from corpusmill.llm import bpe, kd_shards, minhash, quality_bands, suffix_dedup
 from corpusmill.llm.storage import documents
 
 QUERIES: dict = {}
@@ -40,3 +40,8 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.quality(documents(spark, sf_dir))
+
+
+@query
+def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(documents(spark, sf_dir), shards=40)
