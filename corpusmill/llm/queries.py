@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, kd_shards, minhash, quality_bands, suffix_dedup
+from corpusmill.llm import bpe, decontaminate, kd_shards, line_dedup, minhash, quality_bands, suffix_dedup
 from corpusmill.llm.storage import documents
 
 QUERIES: dict = {}
@@ -45,3 +45,19 @@ def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.shard(documents(spark, sf_dir), shards=40)
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+ORACLES["op5_line_dedup"] = line_dedup.ORACLE
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+ORACLES["op9_decontamination"] = decontaminate.ORACLE
