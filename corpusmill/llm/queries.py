@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, decontaminate, kd_shards, line_dedup, minhash, pii, quality_bands, suffix_dedup
+from corpusmill.llm import bpe, decontaminate, kd_shards, line_dedup, minhash, pii, quality_bands, secret_scan, suffix_dedup
 from corpusmill.llm.storage import documents
 
 QUERIES: dict = {}
@@ -66,3 +66,9 @@ ORACLES["op9_decontamination"] = decontaminate.ORACLE
 @query
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(documents(spark, sf_dir)).select("doc_id", F.size("pii_kinds").cast("long").alias("n_values"), "pii_kinds", "pii_values", "text")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secret_scan.fit(secret_scan.labelled_findings(spark))
+    return secret_scan.scan(documents(spark, sf_dir), model)
