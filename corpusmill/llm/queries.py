@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, decontaminate, kd_shards, line_dedup, minhash, pii, quality_bands, secret_scan, suffix_dedup
+from corpusmill.llm import bpe, decontaminate, kd_shards, line_dedup, minhash, pii, quality_bands, secret_scan, suffix_dedup, toxicity
 from corpusmill.llm.storage import documents
 
 QUERIES: dict = {}
@@ -72,3 +72,12 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = secret_scan.fit(secret_scan.labelled_findings(spark))
     return secret_scan.scan(documents(spark, sf_dir), model)
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(~held_out)
+    out = toxicity.score(docs, toxicity.fit(docs, labels))
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
