@@ -246,38 +246,55 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     return model
 
 
+def scores(model: Model, texts) -> np.ndarray:
+    """The score of each text; words are worked out once for each block of texts."""
+
+    def block() -> np.ndarray:
+        pad = len(words)
+        projected = model.projected(model.inputs(list(words))[0])
+        parts = [windows(c, pad) for c in codes]
+        counts = np.array([len(w) for w in parts])
+        logits = np.empty(int(counts.sum()), np.float32)
+        ready, at, have = [], 0, 0
+        for i, part in enumerate(parts):
+            for low in range(0, len(part), _WINDOWS):
+                ready.append(part[low : low + _WINDOWS])
+                have += len(ready[-1])
+                if have >= _WINDOWS:
+                    logits[at : at + have] = model.forward(projected, np.concatenate(ready))
+                    at, have, ready = at + have, 0, []
+            parts[i] = None
+        if have:
+            logits[at:] = model.forward(projected, np.concatenate(ready))
+        out = np.full(len(counts), model.p["bo"][0], np.float64)
+        has = np.flatnonzero(counts)
+        if len(has):
+            out[has] = np.maximum.reduceat(logits, (np.cumsum(counts) - counts)[has])
+        return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+
+    found: list[np.ndarray] = []
+    words: defaultdict[bytes, int] = defaultdict(int)
+    words.default_factory = words.__len__
+    codes: list[np.ndarray] = []
+    size = 0
+    for text in texts:
+        own = words_of(text)
+        codes.append(np.fromiter(map(words.__getitem__, own), np.int32, len(own)))
+        size += len(own)
+        if size >= _BLOCK_WORDS or len(words) >= _KNOWN_WORDS:
+            found.append(block())
+            words.clear()
+            codes, size = [], 0
+    if codes:
+        found.append(block())
+    return np.concatenate(found) if found else np.empty(0)
+
+
 def _scorer(model: Model):
     def run(batches):
-        def flush(ids, codes, words):
-            pad = len(words)
-            projected = model.projected(model.inputs(list(words))[0])
-            parts = [windows(c, pad) for c in codes]
-            counts = np.array([len(w) for w in parts])
-            every = np.concatenate(parts) if counts.sum() else np.empty((0, WINDOW), np.int32)
-            logits = np.concatenate([model.forward(projected, every[i : i + _WINDOWS]) for i in range(0, len(every), _WINDOWS)] or [np.empty(0, np.float32)])
-            out = np.full(len(parts), model.p["bo"][0], np.float64)
-            has = np.flatnonzero(counts)
-            if len(has):
-                out[has] = np.maximum.reduceat(logits, (np.cumsum(counts) - counts)[has])
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))), pa.float64())], ["doc_id", "score"])
-
-        def fresh():
-            words = defaultdict(int)
-            words.default_factory = words.__len__
-            return words
-
-        words, ids, codes, size = fresh(), [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                found = words_of(text.as_py())
-                ids.append(doc)
-                codes.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)))
-                size += len(found)
-                if size >= _BLOCK_WORDS or len(words) >= _KNOWN_WORDS:
-                    yield flush(ids, codes, words)
-                    words, ids, codes, size = fresh(), [], [], 0
-        if ids:
-            yield flush(ids, codes, words)
+            found = scores(model, (t.as_py() for t in batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     return run
 
@@ -305,3 +322,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scorer(model), "doc_id long, score double")
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs whose text scores under THRESHOLD, with all their columns; edge cases as in score()."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(scores(model, (t.as_py() for t in batch.column("text"))) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
