@@ -2,25 +2,56 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.minhash import near_duplicates
+from corpusmill.llm import bpe, decontaminate, line_dedup, minhash
+from corpusmill.llm import toxicity as tox
 from corpusmill.llm.storage import documents, materialize
 
+#: A trained network, merges and full-set similarity are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a network trained on labelled ones scores as toxic go; rows without doc_id are scored, too."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = tox.fit(docs, labels)
+    return tox.keep_clean(docs, model)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of a host go, and n_chars follows; a text of nothing else becomes empty."""
+    cut = line_dedup.drop_boilerplate(docs)
+    size = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", size).select(docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: words by five, similarity 0.8."""
-    gone = near_duplicates(docs, width=5).where(~F.col("kept")).select("doc_id")
+    """One document of each group of near-duplicates stays: shingles of five words, similarity 0.8 or more."""
+    gone = minhash.near_duplicates(docs, width=5, percent=80).where(~F.col("kept")).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with an item of the benchmark go."""
+    found = decontaminate.overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the check that they decode to its bytes: doc_id, n_tokens, ids, decoded_sha256."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    out = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return out.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup_stage), ("near_dedup", near_dedup), ("decontamination", decontamination), ("byte_bpe", byte_bpe)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is written to the shared folder and read by the next stage."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
