@@ -21,7 +21,9 @@ HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 VOCABULARY, LEAST_DOCS, NGRAM_BITS = 4096, 8, 14
 #: Labelled texts of each class that a model is fitted on at most.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
-EPOCHS, RATE, DROP = 10, 0.01, 0.3
+#: Epochs, but so many more for few texts that the least number of steps is done; rows of a step; learning rate; and the
+#: share of words that a step sees by their characters only.
+EPOCHS, STEPS, BATCH, RATE, DROP = 10, 500, 128, 0.01, 0.3
 THRESHOLD = 0.7
 _BLOCK_WORDS, _KNOWN_WORDS, _WINDOWS = 400_000, 150_000, 4096
 _TABLE = bytes(c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -166,7 +168,7 @@ def _log_odds(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int, keys:
     return ((np.log(a / (n_toxic + 1)) - np.log(b / (n_clean + 1))) * (a + b) / (a + b + 20)).astype(np.float32)  # rare ones prove little
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 5) -> Model:
+def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     """Fit a model to labelled texts (1: toxic). The same input gives the same model."""
     docs = [words_of(t) for t in texts]
     y = np.array(labels, np.float32)
@@ -199,6 +201,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     goal = y[usable]
     first, second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
     rng, step = np.random.default_rng(seed), 0
+    epochs = max(EPOCHS, -(-STEPS * BATCH // (len(goal) + int((goal == 0).sum()))))
     inputs, _ = model.inputs(words)
     evidence = np.sort(inputs[every][..., [0, WORD_DIM]].sum(axis=-1), axis=1)[:, -6:].sum(axis=1)
     score = evidence
@@ -215,8 +218,8 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         aims.append(np.zeros(len(other), np.float32))
         picked, aims = np.concatenate(picked), np.concatenate(aims)
         shuffle = rng.permutation(len(picked))
-        for at in range(0, len(shuffle), 256):
-            some = shuffle[at : at + 256]
+        for at in range(0, len(shuffle), BATCH):
+            some = shuffle[at : at + BATCH]
             local, where = np.unique(every[picked[some]], return_inverse=True)
             if local[-1] != pad:
                 local = np.append(local, pad)
