@@ -13,12 +13,15 @@ from corpusmill.llm.graph import components
 from corpusmill.llm.hashing import U, distinct, mix, shingle_hashes, word_hashes
 from corpusmill.llm.storage import materialize
 
-#: Hash functions, bands of them, and low bits kept of each minimum. A pair at the threshold 0.8 shares no band with
-#: probability (1 - 0.8 ** 4) ** 32, about 5e-8.
-HASHES, BANDS, BITS = 128, 32, 2
-#: The estimate from the packed bits may be this far below the threshold (4.7 standard deviations at 0.8).
-MARGIN = 0.2
-_SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<long>, s0 long, s1 long, s2 long, s3 long"
+#: Hash functions, low bits kept of each minimum, and bands of ROWS minima from the first of them. A pair at the
+#: threshold 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32, about 5e-8.
+HASHES, BITS, BANDS, ROWS = 512, 2, 32, 4
+#: The estimate from the packed bits may be this far below the threshold (4.7 standard deviations at 0.8). Members of
+#: one bucket in different components are compared in falling tiers of the estimate, as most links show in the first.
+MARGIN, TIERS = 0.1, (0.05, -0.02)
+_LONGS = HASHES // 64
+_SIGNS = [f"s{j}" for j in range(BITS * _LONGS)]
+_SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<long>, " + ", ".join(f"{c} long" for c in _SIGNS)
 _rng = np.random.Generator(np.random.PCG64(77))
 _FACTOR = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
 _MASK = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
@@ -28,15 +31,15 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     """The minimum of each of the hash functions over a set of 64-bit shingle hashes."""
     out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
     short = (shingles >> U(32)).astype(np.uint32)
-    for at in range(0, len(short), 1024):
-        values = (short[None, at : at + 1024] ^ _MASK) * _FACTOR
+    for at in range(0, len(short), 256):
+        values = (short[None, at : at + 256] ^ _MASK) * _FACTOR
         values ^= values >> np.uint32(15)
         np.minimum(out, values.min(axis=1), out=out)
     return out
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
-    rows = signature.reshape(BANDS, HASHES // BANDS).astype(U)
+    rows = signature[: BANDS * ROWS].reshape(BANDS, ROWS).astype(U)
     out = np.arange(1, BANDS + 1, dtype=U)
     for j in range(rows.shape[1]):
         out = mix(out * U(0x9E3779B97F4A7C15) + rows[:, j])
@@ -44,7 +47,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def packed(signature: np.ndarray) -> np.ndarray:
-    """Bit planes of the low bits: two 64-bit words for each of the two planes."""
+    """Bit planes of the low bits, in 64-bit words."""
     planes = [np.packbits(((signature >> np.uint32(p)) & 1).astype(np.uint8)) for p in range(BITS)]
     return np.concatenate(planes).view(np.int64)
 
@@ -56,18 +59,18 @@ def _sets(texts: list[bytes | None], width: int):
 
 def _sketcher(width: int):
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), *((f"s{j}", pa.int64()) for j in range(4))])
+        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), *((c, pa.int64()) for c in _SIGNS)])
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             n = len(texts)
-            sizes, keys, bands, signs = [0] * n, [None] * n, [None] * n, np.zeros((n, 4), np.int64)
+            sizes, keys, bands, signs = [0] * n, [None] * n, [None] * n, np.zeros((n, len(_SIGNS)), np.int64)
             for i, found in _sets(texts, width):
                 sizes[i] = len(found)
                 if len(found):
                     keys[i] = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                     signature = minima(found)
                     bands[i], signs[i] = band_keys(signature), packed(signature)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), *(pa.array(signs[:, j]) for j in range(4))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), *(pa.array(signs[:, j]) for j in range(len(_SIGNS)))], schema=schema)
 
     return run
 
@@ -96,8 +99,11 @@ def _verifier(width: int, percent: int):
 
 
 def _matches(x: str, y: str) -> Column:
-    differ = [F.col(f"{x}{j}").bitwiseXOR(F.col(f"{y}{j}")) for j in range(4)]
-    return F.lit(HASHES) - F.bit_count(differ[0].bitwiseOR(differ[2])) - F.bit_count(differ[1].bitwiseOR(differ[3]))
+    out = F.lit(HASHES)
+    for j in range(_LONGS):
+        differ = [F.col(f"{x}{j + p * _LONGS}").bitwiseXOR(F.col(f"{y}{j + p * _LONGS}")) for p in range(BITS)]
+        out = out - F.bit_count(differ[0].bitwiseOR(differ[1]))
+    return out
 
 
 def estimate(x: str, y: str) -> Column:
@@ -107,13 +113,11 @@ def estimate(x: str, y: str) -> Column:
 
 
 def _signed(signs: DataFrame, node: str, prefix: str) -> DataFrame:
-    return signs.select(F.col("node").alias(node), *(F.col(f"s{j}").alias(f"{prefix}{j}") for j in range(4)))
+    return signs.select(F.col("node").alias(node), *(F.col(c).alias(f"{prefix}{j}") for j, c in enumerate(_SIGNS)))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that are similar by their full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi"), "candidates")
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
     with_both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
     return materialize(with_both.select("a", "b", "ta", "tb").mapInArrow(_verifier(width, percent), "a long, b long"), "links")
@@ -127,9 +131,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     that links lead to, kept marks that document.
 
     Equal sets are one node from the start, so copies never meet in pairs. A band bucket first links each member to
-    its smallest one; members of a bucket that are still in different components afterwards are then compared with
-    each other, so no link that a band shows is lost. Estimates from the packed signatures select the pairs whose
-    full sets are read.
+    its smallest one. Members of a bucket that are still in different components are then compared with each other,
+    the likeliest first, with components in between, so no link that a band shows is lost and few pairs become rows.
+    Estimates from the packed signatures select the pairs whose full sets are read.
 
     Null or blank texts: 0 shingles, linked with nothing. Null doc_id: linked with nothing, component_id null, kept
     true. Repeated rows get the same result each; rows that repeat a doc_id with another text are placed by their
@@ -138,36 +142,47 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     sketches = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketcher(width), _SKETCH), "sketches")
     usable = sketches.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     nodes = usable.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    classes = materialize(usable.join(nodes, "set_key").where(F.col("doc_id") == F.col("node")).select("node", "bands", "s0", "s1", "s2", "s3").dropDuplicates(["node", "s0", "s1", "s2", "s3"]), "classes")
+    classes = materialize(usable.join(nodes, "set_key").where(F.col("doc_id") == F.col("node")).select("node", "bands", *_SIGNS).dropDuplicates(["node", *_SIGNS]), "classes")
     signs = classes.drop("bands")
     buckets = classes.select("node", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where(F.col("members") > 1)
     members = materialize(buckets.join(shared, "band"), "buckets")
-    similar = estimate("x", "y") >= percent / 100 - MARGIN
+    # the texts are shuffled once, for all rounds; without the hint small inputs would be broadcast and large ones not
+    wanted = members.select(F.col("node").alias("doc_id")).distinct()
+    texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id", "left_semi"), "candidates")
+    least = percent / 100 - MARGIN
     stars = members.where(F.col("node") != F.col("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    stars = stars.join(_signed(signs, "a", "x"), "a").join(_signed(signs, "b", "y"), "b").where(similar).select("a", "b").distinct()
-    links = _confirmed(stars, docs, width, percent)
+    stars = stars.join(_signed(signs, "a", "x"), "a").join(_signed(signs, "b", "y"), "b").where(estimate("x", "y") >= least)
+    links = _confirmed(stars.select("a", "b"), texts, width, percent)
     labels = components(links)
-    rest = _across(members, labels, signs, similar)
-    if not rest.isEmpty():
-        labels = components(links.union(_confirmed(rest, docs, width, percent)))
+    above = 2.0
+    for tier in (*(percent / 100 + t for t in TIERS), least):
+        rest = _across(members, labels, classes, tier, above)
+        above = tier
+        if not rest.isEmpty():
+            links = links.union(_confirmed(rest, texts, width, percent))
+            labels = components(links)
     out = sketches.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left").join(labels, "node", "left")
     label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return out.select("doc_id", "n_shingles", label.alias("component_id"), F.coalesce(F.col("doc_id") == label, F.lit(True)).alias("kept"))
 
 
-def _across(members: DataFrame, labels: DataFrame, signs: DataFrame, similar: Column) -> DataFrame:
-    """Pairs of a bucket's members in different components, but for those with the pivot, which are compared already.
+def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, least: float, above: float) -> DataFrame:
+    """Pairs of a bucket's members in different components with an estimate in [least, above).
 
-    Members outside the bucket's main component, usually few, meet the others; the estimate is part of the join, so
-    only likely pairs become rows.
+    Pairs with the pivot are compared already. Members outside the bucket's main component, usually few, meet the
+    others; the estimate is part of the join, and so is that no earlier band has the pair, so only likely pairs become
+    rows, and each but once.
     """
     several = members.where(F.col("members") > 2).join(labels, "node", "left")
     several = several.select("band", "node", "pivot", F.coalesce("component", "node").alias("component"))
     sizes = several.groupBy("band", "component").count()
     main = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
-    mixed = materialize(several.join(main, "band").where(F.col("node") != F.col("pivot")).join(signs, "node"), "mixed")
-    x = mixed.where(F.col("component") != F.col("main")).select("band", F.col("node").alias("a"), F.col("component").alias("ca"), *(F.col(f"s{j}").alias(f"x{j}") for j in range(4)))
-    y = mixed.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), *(F.col(f"s{j}").alias(f"y{j}") for j in range(4)))
-    found = x.join(y, (x["band"] == y["band"]) & (F.col("ca") != F.col("cb")) & similar)
+    mixed = materialize(several.join(main, "band").where(F.col("node") != F.col("pivot")).join(classes, "node"), "mixed")
+    x = mixed.where(F.col("component") != F.col("main")).select("band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("main"), F.col("bands").alias("xs"), *(F.col(c).alias(f"x{j}") for j, c in enumerate(_SIGNS)))
+    y = mixed.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("bands").alias("ys"), *(F.col(c).alias(f"y{j}") for j, c in enumerate(_SIGNS)))
+    score = estimate("x", "y")
+    once = (F.col("cb") == F.col("main")) | (F.col("a") > F.col("b"))
+    first = F.element_at(F.filter(F.zip_with("xs", "ys", lambda p, q: F.when(p == q, p)), lambda p: p.isNotNull()), 1) == x["band"]
+    found = x.join(y, (x["band"] == y["band"]) & (F.col("ca") != F.col("cb")) & once & (score >= least) & (score < above) & first)
     return materialize(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "across")
