@@ -3,8 +3,9 @@
 Suffixes are compared through the threshold only, most significant digit first, and whatever is alone after a digit
 is done. The first digit of a suffix is the smallest of the 37-byte strings in its first 100 bytes: equal windows have
 equal digits, and as neighbouring suffixes mostly share the digit, one record stands for a run of about 30 of them. The
-second digit is the rest of the run's bytes. Runs that agree through both are repeated windows; of runs that agree in
-the first digit only, one of each kind goes on to the last pass, which tells their suffixes apart one by one.
+second digit is the rest of the run's bytes. Runs that agree through both are repeated windows. Of runs that agree in
+the first digit only, one of each kind goes on: another digit, 32 bytes more to one side, parts them again, so that a
+phrase of thousands of documents is spread by what surrounds it, and the last pass compares the suffixes one by one.
 """
 
 from __future__ import annotations
@@ -14,11 +15,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from corpusmill.llm.hashing import BLOCK, U, mix, prefix, slice_hash, window_hash
 from corpusmill.llm.storage import materialize
 
-LENGTH, DIGIT = 100, 37
+LENGTH, DIGIT, SIDE = 100, 37, 32
+#: Suffixes that a task of the last pass holds at once.
+SUFFIXES = 400_000
 _STEPS = (1, 2, 4, 8, 16, 32)
 assert sum(_STEPS) + 1 + DIGIT == LENGTH + 1
 _RUNS, _COVERED, _OPEN = 0, 1, 2
@@ -27,7 +31,7 @@ _PACKED = "bucket int, kind byte, body binary"
 
 
 def runs_of(buffer: np.ndarray, valid: np.ndarray):
-    """Runs of windows with one first digit: (digit, first start, last start, hash of the bytes that the run spans)."""
+    """Runs of windows with one first digit: (digit, its place in the first window, first start, last start, hash of the bytes spanned)."""
     sums = prefix(buffer)
     low = mix(window_hash(sums, DIGIT))
     at = np.arange(len(low), dtype=np.int32)
@@ -41,7 +45,7 @@ def runs_of(buffer: np.ndarray, valid: np.ndarray):
     keep = valid[start]
     start, end = start[keep], end[keep]
     rest = mix(slice_hash(sums, start, end + LENGTH) + (end - start).astype(U))
-    return low[start], start, end, rest
+    return low[start], at[start] - start, start, end, rest
 
 
 def _pieces(texts: list[bytes]):
@@ -62,7 +66,7 @@ def _pieces(texts: list[bytes]):
 
 
 def _records(texts: list[bytes]):
-    """Columns (row, start, run length less 1, first digit, rest) of all runs, in the order of the texts."""
+    """Columns (row, start, shape, first digit, rest) of all runs, in the order of the texts; shape: windows less 1, and 256 times the digit's place."""
     out = []
     for group in _pieces(texts):
         buffer = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
@@ -72,11 +76,11 @@ def _records(texts: list[bytes]):
         valid = np.ones(windows, bool)
         for a, e in zip(begins.tolist(), ends.tolist(), strict=True):
             valid[max(a, e - LENGTH + 1) : e] = False
-        digit, start, end, rest = runs_of(buffer, valid)
+        digit, place, start, end, rest = runs_of(buffer, valid)
         piece = np.searchsorted(ends, start, side="right")
         rows = np.array([i for i, _, _ in group])[piece]
         offsets = np.array([o for _, o, _ in group])[piece]
-        out.append((rows, start - begins[piece] + offsets, end - start, digit, rest))
+        out.append((rows, start - begins[piece] + offsets, end - start + 256 * place, digit, rest))
     if not out:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, U, U))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -145,7 +149,7 @@ def _scan(buckets: int):
             same = (k[row] == k[row[first]]) & (part[row] == part[row[first]]) & (lo == lo[first])
             late = ~own & ~same
             where, kinds, bodies = [], [], []
-            found = _merged(k[row[late]], part[row[late]], lo[late], lo[late] + n[late] + LENGTH)
+            found = _merged(k[row[late]], part[row[late]], lo[late], lo[late] + n[late] % 256 + LENGTH)
             if len(found[0]):
                 where.append(int(mix(np.array([len(found[0])], U) ^ digit[:1])[0] % U(buckets)))
                 kinds.append(_COVERED)
@@ -159,7 +163,7 @@ def _scan(buckets: int):
                 if len(pick):
                     where.append(b)
                     kinds.append(_RUNS)
-                    bodies.append(_pack(k[row[pick]], part[row[pick]], lo[pick], n[pick].astype(np.uint8), _six(digit[pick]), _six(rest[pick])))
+                    bodies.append(_pack(k[row[pick]], part[row[pick]], lo[pick], n[pick].astype(np.uint16), _six(digit[pick]), _six(rest[pick])))
             yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(kinds, pa.int8()), pa.array(bodies, pa.binary())], ["bucket", "kind", "body"])
 
     return run
@@ -177,7 +181,7 @@ def _first_digits(table: pa.Table) -> pa.Table:
             k, part, lo, end = _unpack(body.as_py(), np.int64, np.int64, np.int64, np.int64)
             out.append(_flat(_COVERED, k, part, lo, end, np.zeros(len(k))))
         else:
-            parts.append(_unpack(body.as_py(), np.int64, np.int64, np.int64, np.uint8, "V6", "V6"))
+            parts.append(_unpack(body.as_py(), np.int64, np.int64, np.int64, np.uint16, "V6", "V6"))
     if parts:
         k, part, lo, n, key, rest = (np.concatenate(x) for x in zip(*parts, strict=True))
         key, rest, n = _wide(key), _wide(rest), n.astype(np.int64)
@@ -190,39 +194,50 @@ def _first_digits(table: pa.Table) -> pa.Table:
         group = np.cumsum(digit) - 1
         several = np.bincount(group, weights=kind) > 1
         still = kind & several[group]
-        out.append(_flat(_COVERED, k[late], part[late], lo[late], lo[late] + n[late] + LENGTH, np.zeros(int(late.sum()))))
+        out.append(_flat(_COVERED, k[late], part[late], lo[late], lo[late] + n[late] % 256 + LENGTH, np.zeros(int(late.sum()))))
         out.append(_flat(_OPEN, k[still], part[still], lo[still], n[still], key[still]))
     return pa.concat_tables(out)
 
 
+def _halves(text: bytes, lo: int, shape: int, key: int):
+    """The open run's windows in two parts with the next digit of each: (first window, windows less 1, digit)."""
+    n, place = shape % 256, shape // 256
+    at = lo + place
+    if place >= SIDE:
+        yield lo, min(n, place - SIDE), xxh64_intdigest(text[at - SIDE : at + DIGIT], key & 0xFFFFFFFF)
+    skip = max(0, place - SIDE + 1)
+    if n >= skip:
+        yield lo + skip, n - skip, xxh64_intdigest(text[at : at + DIGIT + SIDE], (key & 0xFFFFFFFF) + (1 << 40))
+
+
 def _fetch(buckets: int):
-    """Bytes of the open runs, dealt out by the first digit."""
+    """Bytes of the open runs, dealt out by the next digit."""
 
     def run(batches):
         for batch in batches:
             ks, parts = batch.column("k").to_numpy(), batch.column("part").to_numpy()
             texts = batch.column("text").cast(pa.binary())
-            k, part, lo, n, key, spans = [], [], [], [], [], []
+            row, lo, n, key, spans = [], [], [], [], []
             for i, runs in enumerate(batch.column("runs")):
                 text, values = texts[i].as_py(), runs.values
-                begin, length = values.field("lo").to_numpy(), values.field("n").to_numpy()
-                spans += [text[a : a + m + LENGTH] for a, m in zip(begin.tolist(), length.tolist(), strict=True)]
-                k.append(np.full(len(begin), ks[i]))
-                part.append(np.full(len(begin), parts[i]))
-                lo.append(begin)
-                n.append(length)
-                key.append(values.field("key").to_numpy())
-            if not k:
+                for begin, shape, digit in zip(values.field("lo").to_pylist(), values.field("n").to_pylist(), values.field("key").to_pylist(), strict=True):
+                    for first, length, found in _halves(text, begin, shape, digit):
+                        row.append(i)
+                        lo.append(first)
+                        n.append(length)
+                        key.append(found)
+                        spans.append(text[first : first + length + LENGTH])
+            if not row:
                 continue
-            k, part, lo, n, key = (np.concatenate(x) for x in (k, part, lo, n, key))
-            bucket = (key.view(U) >> U(16)) * U(buckets) >> U(32)
+            row, lo, n, key = np.array(row), np.array(lo, np.int64), np.array(n, np.uint8), np.array(key, U)
+            bucket = (key >> U(32)) * U(buckets) >> U(32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=U))
             where, bodies = [], []
             for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
                 pick = order[cuts[b] : cuts[b + 1]]
                 where.append(b)
-                head = _pack(k[pick], part[pick], lo[pick], n[pick].astype(np.uint8), key[pick])
+                head = _pack(ks[row[pick]], parts[row[pick]], lo[pick], n[pick], key[pick])
                 bodies.append(len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=1).compress(b"".join([spans[i] for i in pick.tolist()])))
             yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(bodies, pa.binary())], ["bucket", "body"])
 
@@ -230,32 +245,53 @@ def _fetch(buckets: int):
 
 
 def _last_digits(table: pa.Table) -> pa.Table:
-    """One bucket of open runs: each of their suffixes is compared through all its bytes."""
+    """One bucket of open runs: each of their suffixes is compared through all its bytes, SUFFIXES at a time."""
     parts, texts = [], []
     for body in table.column("body"):
         body = body.as_py()
         size = int.from_bytes(body[:8], "little")
-        parts.append(_unpack(body[8 : 8 + size], np.int64, np.int64, np.int64, np.uint8, np.int64))
+        parts.append(_unpack(body[8 : 8 + size], np.int64, np.int64, np.int64, np.uint8, U))
         texts.append(zstandard.ZstdDecompressor().decompress(body[8 + size :]))
     k, part, lo, n, key = (np.concatenate(x) for x in zip(*parts, strict=True))
     n = n.astype(np.int64)
     begin = np.concatenate(([0], np.cumsum(n + LENGTH)[:-1]))
     sums = prefix(np.frombuffer(b"".join(texts), np.uint8))
+    del parts, texts
+    # a run whose digits nothing shares is alone
+    _, kinds, sizes = np.unique(key, return_inverse=True, return_counts=True)
     order = np.lexsort((lo, part, k))
+    order = order[sizes[kinds[order]] > 1]
     k, part, lo, n, key, begin = (x[order] for x in (k, part, lo, n, key, begin))
-    run = np.repeat(np.arange(len(n)), n + 1)
-    step = np.arange(len(run)) - np.repeat(np.concatenate(([0], np.cumsum(n + 1)[:-1])), n + 1)
-    at = begin[run] + step
-    suffix = mix(slice_hash(sums, at, at + LENGTH) ^ mix(key.view(U))[run])
-    _, first = _first_of_group(suffix)
-    own = (k[run] == k[run[first]]) & (part[run] == part[run[first]]) & (lo[run] + step == lo[run[first]] + step[first])
-    late = np.flatnonzero(~own)
+    if not len(k):
+        return _flat(_COVERED, *(np.empty(0),) * 5)
+    starts = np.concatenate(([0], np.cumsum(n + 1)))
+    repeated = np.zeros(starts[-1], bool)
+    passes = int(-(-starts[-1] // SUFFIXES))
+    chunks = np.searchsorted(starts, np.arange(0, starts[-1], SUFFIXES), side="left").tolist() + [len(n)]
+    for number in range(passes):
+        found = []
+        for a, b in zip(chunks, chunks[1:], strict=False):
+            run = np.repeat(np.arange(a, b), n[a:b] + 1)
+            step = np.arange(starts[a], starts[b]) - starts[run]
+            at = begin[run] + step
+            suffix = mix(slice_hash(sums, at, at + LENGTH) ^ key[run])
+            own = np.flatnonzero(suffix % U(passes) == number) if passes > 1 else slice(None)
+            found.append((suffix[own], run[own], step[own]))
+        suffix, run, step = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(run):
+            continue
+        _, first = _first_of_group(suffix)
+        same = (k[run] == k[run[first]]) & (part[run] == part[run[first]]) & (lo[run] + step == lo[run[first]] + step[first])
+        repeated[(starts[run] + step)[~same]] = True
+    late = np.flatnonzero(repeated)
     if not len(late):
         return _flat(_COVERED, *(np.empty(0),) * 5)
-    new = np.concatenate(([True], (run[late][1:] != run[late][:-1]) | (late[1:] != late[:-1] + 1)))
-    a = late[np.flatnonzero(new)]
-    b = late[np.concatenate((np.flatnonzero(new)[1:], [len(late)])) - 1]
-    return _flat(_COVERED, k[run[a]], part[run[a]], lo[run[a]] + step[a], lo[run[a]] + step[b] + LENGTH, np.zeros(len(a)))
+    run = np.searchsorted(starts, late, side="right") - 1
+    new = np.concatenate(([True], (run[1:] != run[:-1]) | (late[1:] != late[:-1] + 1)))
+    a = np.flatnonzero(new)
+    b = np.concatenate((a[1:], [len(late)])) - 1
+    first, r = late[a] - starts[run[a]], run[a]
+    return _flat(_COVERED, k[r], part[r], lo[r] + first, lo[r] + first + late[b] - late[a] + LENGTH, np.zeros(len(a)))
 
 
 def _cut(batches):
