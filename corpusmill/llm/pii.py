@@ -18,7 +18,7 @@ KINDS = {
 }
 #: One pattern that finds candidates of all kinds; each starts outside of a word and ends at one's end.
 PATTERN = "(?<![\\w+@-])(?<!\\d\\.)(?:" + "|".join(KINDS[k] for k in ("email", "date", "phone", "ip", "ssn", "iban", "card")) + ")(?![\\w@-])(?!\\.\\d)"
-_FIRST_DAY, _DAYS = "1900-01-01", 73049  # through 2099-12-31
+_FIRST_DAY, _DAYS = "1900-01-01", 73049  # through 2099-12-31; 17 * 4297, so a network over both factors permutes the days
 
 
 def _number(key: str, round_: Column, *parts: Column) -> Column:
@@ -90,7 +90,7 @@ def luhn_sum(digits: Column) -> Column:
 def _iban_rest(value: Column) -> Column:
     compact = F.replace(value, F.lit(" "), F.lit(""))
     turned = F.concat(F.substring(compact, F.lit(5), F.length(compact)), F.substring(compact, 1, 4))
-    codes = F.transform(F.split(turned, "(?!^)"), lambda c: F.when(F.ascii(c) >= 65, F.ascii(c) - 55).otherwise(F.ascii(c) - 48))
+    codes = F.transform(F.array_remove(F.split(turned, "(?!^)"), ""), lambda c: F.when(F.ascii(c) >= 65, F.ascii(c) - 55).otherwise(F.ascii(c) - 48))
     return F.aggregate(codes, F.lit(0), lambda a, x: F.pmod(a * F.when(x > 9, 100).otherwise(10) + x, F.lit(97)))
 
 
@@ -132,9 +132,8 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     digits = F.regexp_replace(value, "\\D", "")
     body = permuted_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, kind)
     check = F.pmod(-luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
-    day = permuted_number(F.datediff(_date(value), F.lit(_FIRST_DAY).cast("date")).cast("long"), F.lit(1301).cast("long"), F.lit(_DAYS // 1301 + 1).cast("long"), key, kind)
-    day = F.when(day < _DAYS, day).otherwise(permuted_number(day, F.lit(1301).cast("long"), F.lit(_DAYS // 1301 + 1).cast("long"), key, kind))
-    date = F.date_add(F.lit(_FIRST_DAY).cast("date"), F.pmod(day, F.lit(_DAYS)).cast("int"))
+    day = permuted_number(F.datediff(_date(value), F.lit(_FIRST_DAY).cast("date")).cast("long"), F.lit(17).cast("long"), F.lit(_DAYS // 17).cast("long"), key, kind)
+    date = F.date_add(F.lit(_FIRST_DAY).cast("date"), day.cast("int"))
     shaped = F.when(value.contains("-"), F.date_format(date, "yyyy-MM-dd")).when(value.contains("/"), F.date_format(date, "MM/dd/yyyy")).otherwise(F.date_format(date, "dd.MM.yyyy"))
     parts = F.transform(F.split(value, "\\."), lambda x: x.cast("long"))
     address = permuted_number(F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a * 256 + x), F.lit(65536).cast("long"), F.lit(65536).cast("long"), key, kind)
