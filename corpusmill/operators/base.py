@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The column that says why a row was rejected; null: it was not.
 DETAILS = "_rejection_details"
@@ -102,13 +103,18 @@ class Deduplicator(Operator):
         return df.withColumn("_key", self.key(df))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Only survivors: a grouped minimum, combined before the shuffle, so a key of many rows meets as one row a task."""
+        """Only survivors: a grouped minimum, combined before the shuffle, so a key of many rows meets as one row a task.
+
+        Each column has an aggregate of its own, so columns that the query does not use are neither read nor shuffled;
+        all of them follow the same row.
+        """
         self.check(df)
-        columns = [F.col(f"`{c}`") for c in df.columns]
         order = self._order(df)
-        keyed = self.keyed(df).select("_key", order.alias("_order"), F.struct(*columns).alias("_row"))
-        first = keyed.groupBy("_key").agg(F.min_by("_row", F.struct(F.col("_order").isNull(), F.col("_order"), F.xxhash64("_row"))).alias("_row"))
-        return first.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
+        plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType))]
+        rank = F.struct(order.isNull(), order, F.xxhash64(*plain) if plain else F.lit(0))
+        keyed = self.keyed(df).select("_key", rank.alias("_rank"), *(F.col(f"`{c}`") for c in df.columns))
+        first = keyed.groupBy("_key").agg(*(F.min_by(F.col(f"`{c}`"), "_rank").alias(c) for c in df.columns))
+        return first.select(*(F.col(f"`{c}`") for c in df.columns))
 
     def annotate(self, df: DataFrame) -> DataFrame:
         """One shuffle and sort: number and first id come from the same window. Rows rejected before take no part."""
