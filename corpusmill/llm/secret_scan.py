@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 #: What may be a secret: a run of 16 or more key characters with a digit, or a key with a known prefix.
 CANDIDATE = "(?<![A-Za-z0-9_+/.@-])(?=[A-Za-z_+/-]{0,4000}\\d)[A-Za-z0-9_+/-]{16,4096}={0,2}(?![A-Za-z0-9_+/@-])"
+#: How keys of well-known services begin; these need no neighbour that says so.
+PREFIXES = "^(?:AKIA|ASIA|AIza|gh[pousr]_|[sr]k_(?:live|test)_|xox[abpr]-)"
 #: Words that neighbour secrets, and words that neighbour or contain examples, hashes and other harmless values.
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "auth", "bearer", "credential", "private", "access_key", "client_secret", "login", "pass")
 HARMLESS_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "digest", "uuid", "guid", "id", "version", "build", "revision", "example", "sample", "placeholder", "dummy", "test", "call", "phone", "card", "account", "page", "file", "isbn", "order")
 PATH_WORDS = ("test", "example", "sample", "fixture", "mock", "docs", "doc", "spec", "demo")
 #: Frequent parts of words, for the share of a candidate that reads like language.
 DICTIONARY = ("tion", "ing", "and", "the", "ent", "ion", "for", "ate", "ver", "ter", "con", "pro", "com", "ment", "able", "ness", "ist", "est", "our", "ell", "que", "ich", "sch", "ung", "keit", "heit", "ció", "mente", "eau", "elle", "data", "file", "name", "user", "test", "main", "index", "page", "home", "http", "www", "html", "example", "value", "string", "config", "default", "get", "set", "new", "old", "er", "in", "on", "an", "re", "en", "at", "st", "es", "or", "is", "le", "de", "la", "un")
-FEATURES = ("length", "transitions", "coverage", "digits", "letters", "mixed", "secret_near", "harmless_near", "quoted", "assigned", "harmless_path")
+FEATURES = ("length", "transitions", "coverage", "digits", "letters", "mixed", "secret_near", "harmless_near", "quoted", "assigned", "harmless_path", "prefixed")
 #: Rows of labelled findings that a model is fitted on at most.
 LABELLED_ROWS = 20_000
 THRESHOLD = 0.5
@@ -61,6 +63,7 @@ def features(found: DataFrame) -> DataFrame:
         "quoted": F.col("before").rlike("[\"'`]$").cast("double"),
         "assigned": F.col("before").rlike("[=:]\\s*[\"'`]?$").cast("double"),
         "harmless_path": _near("path", PATH_WORDS),
+        "prefixed": value.rlike(PREFIXES).cast("double"),
     })
 
 
@@ -81,6 +84,7 @@ def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
     secret_lead = F.concat(choose(["", "the ", "then let ", "export ", "in that. "], F.col("y")), choose(list(SECRET_WORDS), F.col("x") + F.col("y")), choose([" = \"", "=\"", ": \"", "=", " = '", ": "], F.col("x") * 7 + F.col("y")))
     plain = F.concat(choose(list(DICTIONARY), F.col("y")), F.lit(" "), choose(list(DICTIONARY), F.col("x")), F.lit(" "))
     harmless_lead = F.when(F.pmod("y", F.lit(2)) == 0, plain).otherwise(F.concat(choose(["", "the ", "see "], F.col("y")), choose(list(HARMLESS_WORDS), F.col("x") + F.col("y")), choose([" ", ": ", " = \"", "="], F.col("x") * 5 + F.col("y"))))
+    secret_lead = F.when(F.pmod("x", F.lit(7)).isin(3, 4, 5) & (F.pmod("y", F.lit(3)) > 0), plain).otherwise(secret_lead)
     label = F.pmod("id", F.lit(2)).cast("double")
     harmless_kind = F.when(F.pmod("x", F.lit(8)).isin(1, 6), F.concat(choose(list(HARMLESS_WORDS), F.col("y")), choose([" ", ": "], F.col("x")))).otherwise(harmless_lead)
     path = F.when((label == 0) & (F.pmod("y", F.lit(5)) == 0), choose(["tests/a", "docs/b", "example/c"], F.col("x"))).otherwise(choose(["src0", "src1", "app/main", "src17"], F.col("y")))
