@@ -77,7 +77,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(~held_out)
     out = toxicity.score(docs, toxicity.fit(docs, labels))
     return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
