@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of text after which a block ends, and from which a text is split without a list of all its pre-tokens.
-BLOCK, LONG = 8 << 20, 1 << 20
+BLOCK, LONG = 4 << 20, 1 << 20
 _WORDS, _POSITIONS = 0, 1
 
 
