@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Masks over a window of tokens; a 0 is a position whose token may differ.
-MASKS = ("1101100111", "1110010111")
-SPAN = len(MASKS[0])
+#: Masks over a window of tokens, each of three pairs of neighbours; a 0 is a position whose token may differ.
+SPAN, PAIRS = 10, ((0, 3, 7), (0, 4, 8))
+MASKS = tuple("".join("1" if i in p or i - 1 in p else "0" for i in range(SPAN)) for p in PAIRS)
 #: Around a hit, this part of WINDOW aligned tokens (of the whole item if it is shorter) must agree.
 WINDOW, AGREE = 16, 0.8
 #: Windows of the test set that are broadcast (24 bytes each); a larger set is joined by a shuffle.
@@ -16,19 +16,21 @@ _SPLIT = "[\\x20\\x09-\\x0D]+"
 
 
 def _tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), _SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), _SPLIT), "")
 
 
 def _windows(docs: DataFrame) -> DataFrame:
-    """(k, part, at, seed): for each mask and position the hash of the tokens that the mask keeps."""
-    hashed = docs.select("k", "part", F.transform(_tokens(F.col("text")), lambda w: F.xxhash64(w)).alias("h")).where(F.size("h") >= SPAN)
-    starts = F.sequence(F.lit(0), F.size("h") - SPAN)
+    """(k, part, at, seed): for each mask and position the hash of the tokens that the mask keeps.
 
-    def seeds(number: int, mask: str) -> Column:
-        places = [j for j, bit in enumerate(mask) if bit == "1"]
-        return F.transform(starts, lambda i: F.xxhash64(F.lit(number), *(F.col("h").getItem(i + j) for j in places)))
-
-    found = hashed.select("k", "part", (F.size("h") - SPAN + 1).alias("n"), F.posexplode(F.concat(*(seeds(i, m) for i, m in enumerate(MASKS)))).alias("at", "seed"))
+    Hashes of neighbours are made once and combined with themselves, shifted, so a window costs two steps a mask.
+    """
+    joined = lambda x, y: F.zip_with(x, y, lambda a, b: F.xxhash64(a, b))
+    later = lambda x, n: F.slice(x, n + 1, F.greatest(F.size(x), F.lit(1)))
+    hashed = docs.select("k", "part", F.transform(_tokens(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
+    pairs = hashed.select("k", "part", F.greatest(F.size("h") - SPAN + 1, F.lit(0)).alias("n"), joined("h", later("h", 1)).alias("p"))
+    heads = pairs.select("k", "part", "n", "p", *(joined("p", later("p", b)).alias(f"m{i}") for i, (_, b, _) in enumerate(PAIRS)))
+    seeds = [F.slice(joined(f"m{i}", later("p", c)), F.lit(1), F.col("n")) for i, (_, _, c) in enumerate(PAIRS)]
+    found = heads.select("k", "part", "n", F.posexplode(F.concat(*seeds)).alias("at", "seed"))
     return found.select("k", "part", F.pmod("at", "n").alias("at"), "seed")
 
 
@@ -51,11 +53,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = _windows(docs).join(seeds, "seed").select("k", "part", "ik", "ip", (F.col("at") - F.col("q")).alias("shift")).distinct()
     tested = items.select("item_id", F.col("k").alias("ik"), F.col("part").alias("ip"), _tokens(F.col("text")).alias("item")).dropDuplicates(["ik", "ip"])
     aligned = hits.join(tested, ["ik", "ip"]).groupBy("k", "part").agg(F.collect_list(F.struct("item_id", "shift", "item")).alias("hits"))
-    both = docs.join(aligned, ["k", "part"]).select("doc_id", "part", _tokens(F.col("text")).alias("words"), F.explode("hits").alias("hit"))
-    first = F.greatest(F.lit(0), -F.col("hit.shift"))
-    last = F.least(F.size("hit.item"), F.size("words") - F.col("hit.shift")) - 1
-    equal = F.transform(F.sequence(first, last), lambda i: (F.col("hit.item").getItem(i) == F.col("words").getItem(i + F.col("hit.shift"))).cast("int"))
-    scored = both.where(last >= first).select("doc_id", "part", "hit.item_id", equal.alias("equal"), F.least(F.lit(WINDOW), F.size("hit.item")).alias("width"))
+    both = docs.join(aligned, ["k", "part"])
+
+    def agree(words: Column, hit: Column) -> Column:
+        item, shift = hit.getField("item"), hit.getField("shift")
+        first = F.greatest(F.lit(0), -shift)
+        count = F.greatest(F.least(F.size(item), F.size(words) - shift) - first, F.lit(0))
+        equal = F.zip_with(F.slice(item, first + 1, count), F.slice(words, first + shift + 1, count), lambda a, b: (a == b).cast("int"))
+        return F.struct(hit.getField("item_id").alias("item_id"), equal.alias("equal"), F.least(F.lit(WINDOW), F.size(item)).alias("width"))
+
+    # the array of one element binds the words, so that a text is split once for all its hits
+    tested = F.flatten(F.transform(F.array(_tokens(F.col("text"))), lambda words: F.transform("hits", lambda hit: agree(words, hit))))
+    scored = both.select("doc_id", "part", F.explode(tested).alias("t")).select("doc_id", "part", "t.item_id", "t.equal", "t.width")
     spans = F.transform(F.sequence(F.lit(1), F.size("equal") - F.col("width") + 1), lambda i: F.aggregate(F.slice("equal", i, F.col("width")), F.lit(0), lambda a, x: a + x))
     good = scored.where(F.size("equal") >= F.col("width")).where(F.array_max(spans) >= AGREE * F.col("width"))
     total = F.aggregate("equal", F.lit(0), lambda a, x: a + x)
