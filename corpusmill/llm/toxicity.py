@@ -20,7 +20,7 @@ WINDOW, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 VOCABULARY, LEAST_DOCS, NGRAM_BITS = 4096, 8, 14
 #: Labelled texts of each class that a model is fitted on at most.
-TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
+TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
 #: Epochs, but so many more for few texts that the least number of steps is done; rows of a step; learning rate; and the
 #: share of words that a step sees by their characters only.
 EPOCHS, STEPS, BATCH, RATE, DROP = 10, 500, 128, 0.01, 0.3
@@ -66,6 +66,12 @@ def windows(codes: np.ndarray, pad: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(out, WINDOW)[::STRIDE]
 
 
+def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The slices values[start : start + size], joined."""
+    ends = np.cumsum(size)
+    return values[np.arange(int(size.sum())) + np.repeat(start - (ends - size), size)]
+
+
 def _sigmoid(x):
     return np.float32(1) / (np.float32(1) + np.exp(-np.clip(x, -30, 30)))
 
@@ -86,17 +92,30 @@ class Model:
             "wa": draw(2 * HIDDEN, ATTENTION, scale=0.25), "ba": np.zeros(ATTENTION, np.float32), "va": draw(ATTENTION, scale=0.35), "wo": draw(2 * HIDDEN, scale=0.25), "bo": np.full(1, -2, np.float32),
         })
 
-    def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
+    def features(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in the vocabulary (its size: none) of each word, its character n-grams, and how many."""
+        index = np.array([self.vocabulary.get(w, len(self.vocabulary)) for w in words], np.int32)
+        found = [ngrams(words[low : low + 20_000]) for low in range(0, len(words), 20_000)]
+        codes, sizes = zip(*found, strict=True) if found else ((np.empty(0, np.int64),), (np.empty(0, np.int64),))
+        return index, np.concatenate([c.astype(np.int32) for c in codes]), np.concatenate(sizes)
+
+    def inputs(self, words: list[bytes]) -> np.ndarray:
+        return self.embedded(self.features(words))
+
+    def embedded(self, features: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
         """A row for each distinct word, and one of zeros for padding."""
-        index = np.array([self.vocabulary.get(w, len(self.vocabulary)) for w in words], np.int64)
-        codes, sizes = ngrams(words)
-        chars = np.zeros((len(words), CHAR_DIM), np.float32)
-        if len(codes):
-            chars = np.add.reduceat(self.p["char"][codes], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None].astype(np.float32)
-        word = np.where((index < len(self.vocabulary))[:, None], self.p["word"][index], np.float32(0))
-        out = np.zeros((len(words) + 1, WORD_DIM + CHAR_DIM), np.float32)
-        out[:-1, :WORD_DIM], out[:-1, WORD_DIM:] = word, chars
-        return out, (index, codes, sizes)
+        index, codes, sizes = features
+        chars = np.zeros((len(index), CHAR_DIM), np.float32)
+        ends = np.cumsum(sizes)
+        for low in range(0, len(index), 20_000):
+            some = sizes[low : low + 20_000]
+            begin = ends[low] - sizes[low]
+            part = self.p["char"][codes[begin : begin + int(some.sum())]]
+            chars[low : low + len(some)] = np.add.reduceat(part, np.cumsum(some) - some, axis=0) / some[:, None].astype(np.float32)
+        out = np.zeros((len(index) + 1, WORD_DIM + CHAR_DIM), np.float32)
+        out[:-1, :WORD_DIM] = np.where((index < len(self.vocabulary))[:, None], self.p["word"][index], np.float32(0))
+        out[:-1, WORD_DIM:] = chars
+        return out
 
     def projected(self, inputs: np.ndarray) -> np.ndarray:
         return np.stack([inputs @ self.p["wx"][d] + self.p["b"][d] for d in range(2)])
@@ -162,35 +181,38 @@ class Model:
         return out, sum(d_projected[w] @ p["wx"][w].T for w in range(2))
 
 
-def _log_odds(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int, keys: list) -> np.ndarray:
-    a = np.array([toxic[k] for k in keys], np.float32) + 0.5
-    b = np.array([clean[k] for k in keys], np.float32) + 0.5
+def _log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Evidence of a feature that so many toxic and clean texts have."""
+    a, b = toxic + np.float32(0.5), clean + np.float32(0.5)
     return ((np.log(a / (n_toxic + 1)) - np.log(b / (n_clean + 1))) * (a + b) / (a + b + 20)).astype(np.float32)  # rare ones prove little
 
 
 def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     """Fit a model to labelled texts (1: toxic). The same input gives the same model."""
-    docs = [words_of(t) for t in texts]
     y = np.array(labels, np.float32)
     sides = (Counter(), Counter())
-    for doc, label in zip(docs, labels, strict=True):
-        sides[int(label)].update(set(doc))
-    count = sides[0] + sides[1]
-    frequent = sorted((w for w in count if count[w] >= LEAST_DOCS), key=lambda w: (-count[w], w))[:VOCABULARY]
-    model = Model.fresh({w: i for i, w in enumerate(frequent)}, seed)
     distinct: dict[bytes, int] = {}
-    codes = [np.array([distinct.setdefault(w, len(distinct)) for w in doc], np.int32) for doc in docs]
+    codes = []
+    for text, label in zip(texts, labels, strict=True):
+        codes.append(np.array([distinct.setdefault(w, len(distinct)) for w in words_of(text)], np.int32))
+        sides[int(label)].update(np.unique(codes[-1]).tolist())
     words, pad = list(distinct), len(distinct)
+    del distinct
+    count = sides[0] + sides[1]
+    frequent = sorted((w for w in count if count[w] >= LEAST_DOCS), key=lambda w: (-count[w], words[w]))[:VOCABULARY]
+    model = Model.fresh({words[w]: i for i, w in enumerate(frequent)}, seed)
     n = (int(y.sum()), int(len(y) - y.sum()))
-    grams, sizes = ngrams(words)
-    char_sides = (Counter(), Counter())
-    cuts = np.cumsum(sizes)
+    whole = index, grams, sizes = model.features(words)
+    starts = np.cumsum(sizes) - sizes
+    char_sides = np.zeros((2, 1 << NGRAM_BITS), np.float32)
     for c, label in zip(codes, labels, strict=True):
-        char_sides[int(label)].update({int(x) for w in set(c.tolist()) for x in grams[cuts[w] - sizes[w] : cuts[w]].tolist()})
+        own = np.unique(c)
+        char_sides[int(label)][np.unique(gather(grams, starts[own], sizes[own]))] += 1
+    del words, index, grams, sizes
     # first coordinates start as evidence, so that the first worst windows are sensible ones
     if len(frequent):
-        model.p["word"][: len(frequent), 0] = _log_odds(sides[1], sides[0], *n, frequent) / 2
-    model.p["char"][:, 0] = _log_odds(char_sides[1], char_sides[0], *n, list(range(1 << NGRAM_BITS))) / 2
+        model.p["word"][: len(frequent), 0] = _log_odds(*(np.array([sides[k][w] for w in frequent], np.float32) for k in (1, 0)), *n) / 2
+    model.p["char"][:, 0] = _log_odds(char_sides[1], char_sides[0], *n) / 2
     parts = [windows(c, pad) for c in codes]
     usable = [i for i, w in enumerate(parts) if len(w)]
     if not usable or not n[0] or not n[1]:
@@ -202,12 +224,12 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     first, second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
     rng, step = np.random.default_rng(seed), 0
     epochs = max(EPOCHS, -(-STEPS * BATCH // (len(goal) + int((goal == 0).sum()))))
-    inputs, _ = model.inputs(words)
-    evidence = np.sort(inputs[every][..., [0, WORD_DIM]].sum(axis=-1), axis=1)[:, -6:].sum(axis=1)
+    inputs = model.embedded(whole)
+    evidence = np.sort((inputs[:, 0] + inputs[:, WORD_DIM])[every], axis=1)[:, -6:].sum(axis=1)
     score = evidence
     for epoch in range(epochs):
         if epoch:
-            projected = model.projected(model.inputs(words)[0])
+            projected = model.projected(model.embedded(whole))
             score = np.concatenate([model.forward(projected, every[i : i + _WINDOWS]) for i in range(0, len(every), _WINDOWS)])
         order = np.lexsort((-score, owner))
         worst = order[begins]
@@ -223,10 +245,12 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
             local, where = np.unique(every[picked[some]], return_inverse=True)
             if local[-1] != pad:
                 local = np.append(local, pad)
-            chosen = local[:-1].tolist()
+            own = local[:-1]
             view = where.reshape(len(some), WINDOW).astype(np.int32)
-            inputs, (index, gram_codes, gram_sizes) = model.inputs([words[i] for i in chosen])
-            left = (rng.random((len(chosen), 1)) >= DROP).astype(np.float32)  # without some words, characters are learned too
+            index, gram_sizes = whole[0][own], whole[2][own]
+            gram_codes = gather(whole[1], starts[own], gram_sizes)
+            inputs = model.embedded((index, gram_codes, gram_sizes))
+            left = (rng.random((len(own), 1)) >= DROP).astype(np.float32)  # without some words, characters are learned too
             inputs[:-1, :WORD_DIM] *= left
             projected = model.projected(inputs)
             logit, kept = model.forward(projected, view, keep=True)
@@ -254,7 +278,7 @@ def scores(model: Model, texts) -> np.ndarray:
 
     def block() -> np.ndarray:
         pad = len(words)
-        projected = model.projected(model.inputs(list(words))[0])
+        projected = model.projected(model.inputs(list(words)))
         parts = [windows(c, pad) for c in codes]
         counts = np.array([len(w) for w in parts])
         logits = np.empty(int(counts.sum()), np.float32)
