@@ -15,10 +15,10 @@ from corpusmill.llm.storage import materialize
 
 #: Hash functions, low bits kept of each minimum, and bands of ROWS minima from the first of them. A pair at the
 #: threshold 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32, about 5e-8.
-HASHES, BITS, BANDS, ROWS = 512, 2, 32, 4
-#: The estimate from the packed bits may be this far below the threshold (4.7 standard deviations at 0.8). Members of
+HASHES, BITS, BANDS, ROWS = 768, 2, 32, 4
+#: The estimate from the packed bits may be this far below the threshold (4.3 standard deviations at 0.8). Members of
 #: one bucket in different components are compared in falling tiers of the estimate, as most links show in the first.
-MARGIN, TIERS = 0.1, (0.05, -0.02)
+MARGIN, TIERS = 0.075, (0.05, -0.02)
 _LONGS = HASHES // 64
 _SIGNS = [f"s{j}" for j in range(BITS * _LONGS)]
 _SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<long>, " + ", ".join(f"{c} long" for c in _SIGNS)
