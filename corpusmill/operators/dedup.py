@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import vector
 from corpusmill.functions.text import content_key
-from corpusmill.operators.base import Deduplicator
+from corpusmill.operators.base import _ORDERS, DETAILS, Deduplicator, details, with_details
 
 
 def _fallback(df: DataFrame, name: str, default: str) -> Column:
@@ -53,31 +53,64 @@ class ImagePhashDeduplicator(Deduplicator):
 
 
 class SemanticDeduplicator(Deduplicator):
-    """Nearly the same embedding within one cluster: a row goes if an earlier one of its cell has a cosine of threshold or more.
+    """Nearly the same embedding within one cluster: a row goes if an earlier one of its cluster has a cosine of threshold or more.
 
-    Cells are the rows that share a cluster and the signs of `bits` fixed directions, so a cluster is never compared as
-    a whole; the first row of a cell stands for the rest of it.
+    All pairs of a cluster are compared, in blocks of about `block` by `block` rows that are dealt over the tasks, so no
+    pair is missed and no cluster is one task's work; the work grows as the square of a cluster's rows. Rows without
+    cluster are a cluster of their own. Rows without embedding, or with one of norm 0, are like no other and stay.
+    `bits` is accepted and has no effect.
     """
 
-    def __init__(self, embedding_field: str = "embedding", cluster_field: str = "cluster", threshold: float = 0.95, bits: int = 8, order_by: str | None = None, representative_id_field: str = "id"):
+    def __init__(self, embedding_field: str = "embedding", cluster_field: str = "cluster", threshold: float = 0.95, bits: int = 8, order_by: str | None = None, representative_id_field: str = "id", block: int = 1000):
         super().__init__(order_by, representative_id_field)
-        self.embedding_field, self.cluster_field, self.threshold, self.bits = embedding_field, cluster_field, threshold, bits
+        self.embedding_field, self.cluster_field, self.threshold, self.bits, self.block = embedding_field, cluster_field, threshold, bits, block
         self.required_columns = (embedding_field, cluster_field)
 
     def key(self, df: DataFrame) -> Column:
-        signs = [F.when(self._side(b) >= 0, "1").otherwise("0") for b in range(self.bits)]
-        return F.concat(F.coalesce(F.col(self.cluster_field).cast("string"), F.lit("")), F.lit(":"), *signs)
-
-    def _side(self, number: int) -> Column:
-        """Scalar product with a fixed pseudo-random direction."""
-        parts = F.transform(F.col(self.embedding_field), lambda v, i: v.cast("double") * (F.pmod(F.xxhash64(F.lit(number), i), F.lit(2001)) - 1000).cast("double"))
-        return F.aggregate(parts, F.lit(0.0), lambda s, v: s + v)
+        """The cluster: rows that are compared, not rows that are alike."""
+        return F.coalesce(F.concat(F.lit("="), F.col(self.cluster_field).cast("string")), F.lit(""))
+
+    def _links(self, rows: DataFrame) -> DataFrame:
+        """(late, early, cosine) for the pairs over the threshold of rows (cluster, rank, e); ranks are distinct and order a cluster."""
+        rows = rows.withColumn("square", vector.dot(F.col("e"), F.col("e"))).where((F.col("square") > 0) & ~F.isnan("square"))
+        sizes = rows.groupBy("cluster").agg(F.ceil(F.count("*") / self.block).cast("int").alias("n"))
+        dealt = rows.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("rank"), F.col("n")).cast("int"))
+        every = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+        late = dealt.select("cluster", F.col("own").alias("i"), every.alias("j"), F.col("rank").alias("late"), F.col("e").alias("e1"), F.col("square").alias("s1"))
+        early = dealt.select("cluster", every.alias("i"), F.col("own").alias("j"), F.col("rank").alias("early"), F.col("e").alias("e2"), F.col("square").alias("s2"))
+        met = late.join(early, ["cluster", "i", "j"]).where(F.col("early") < F.col("late"))
+        cosine = vector.dot(F.col("e1"), F.col("e2")) / F.sqrt(F.col("s1") * F.col("s2"))
+        return met.select("late", "early", cosine.alias("cosine")).where(F.col("cosine") >= self.threshold)
 
     def pairs(self, df: DataFrame, id_field: str = "vec_id") -> DataFrame:
-        """Each row of a cell with the cell's first, and their cosine."""
-        e = F.col(self.embedding_field)
-        cells = df.select(F.col(id_field).alias("id"), self.key(df).alias("cell"), e.alias("e"))
-        first = cells.groupBy("cell").agg(F.min_by(F.struct("id", "e"), "id").alias("first"))
-        joined = cells.join(first, "cell").where(F.col("id") != F.col("first.id"))
-        cosine = vector.dot(F.col("e"), F.col("first.e")) / (vector.norm(F.col("e")) * vector.norm(F.col("first.e")))
-        return joined.select("id", F.col("first.id").alias("representative_id"), cosine.alias("cosine")).where(F.col("cosine") >= self.threshold)
+        """All pairs of a cluster whose cosine is threshold or more, each once: id, the smaller id as representative_id, cosine."""
+        rows = df.select(self.key(df).alias("cluster"), F.col(id_field).alias("rank"), F.col(self.embedding_field).alias("e"))
+        return self._links(rows).select(F.col("late").alias("id"), F.col("early").alias("representative_id"), "cosine")
+
+    def _judged(self, df: DataFrame, live: Column) -> DataFrame:
+        """df with _rank and, for live rows that go, _early: the rank of the first row that stands for it."""
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        order = self._order(df)
+        # equal rows are told apart by a number, so ranks are distinct and the same in every run
+        content = df.select(F.struct(*columns).alias("_row"), self.key(df).alias("_key"), live.alias("_live"), order.isNull().alias("_none"), order.alias("_order"))
+        content = content.withColumns({"_h1": F.xxhash64("_row"), "_h2": F.xxhash64(F.lit(1), "_row")})
+        copy = F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy("_order"))
+        rep = self.representative_id_field if self.representative_id_field in df.columns else next((c for c in _ORDERS if c in df.columns), None)
+        who = F.coalesce(F.col(f"_row.`{rep}`").cast("string"), F.lit("")) if rep and self.track_representative else F.lit(None).cast("string")
+        ranked = content.withColumn("_rank", F.struct("_none", "_order", "_h1", "_h2", copy.alias("copy"), who.alias("who")))
+        rows = ranked.where("_live").select(F.col("_key").alias("cluster"), F.col("_rank").alias("rank"), F.col(f"_row.`{self.embedding_field}`").alias("e"))
+        gone = self._links(rows).groupBy(F.col("late._h1").alias("_h1"), F.col("late._h2").alias("_h2"), F.col("late.copy").alias("copy")).agg(F.min("early").alias("_early"))
+        return ranked.withColumn("copy", F.col("_rank.copy")).join(gone, ["_h1", "_h2", "copy"], "left")
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        self.check(df)
+        kept = self._judged(df, F.lit(True)).where(F.col("_early").isNull())
+        return kept.select(*(F.col(f"_row.`{c}`").alias(c) for c in df.columns))
+
+    def annotate(self, df: DataFrame) -> DataFrame:
+        """Rows rejected before take no part; the representative is the first of the earlier rows that are alike."""
+        self.check(df)
+        df = with_details(df)
+        judged = self._judged(df, F.col(DETAILS).isNull())
+        mark = F.when(F.col("_early").isNotNull(), details("duplicate", self.name, F.col("_key"), F.col("_early.who"))).otherwise(F.col(f"_row.{DETAILS}"))
+        return judged.select(*((mark if c == DETAILS else F.col(f"_row.`{c}`")).alias(c) for c in df.columns))
