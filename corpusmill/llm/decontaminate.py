@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Masks over a window of tokens, each of three pairs of neighbours; a 0 is a position whose token may differ.
+#: Masks over a window of tokens by the least length of the items they are for; a 0 is a position whose token may differ.
+#: Wherever the differing tokens stand that WINDOW and AGREE accept, some mask of an item's length fits between them: all
+#: placements of 3 in 15 tokens (so in any 16, too), of 2 in 12, of 2 in 10, of 1 in 8 and of 1 in 5; shorter items are
+#: found whole. Tests go through all of them.
+POOLS = {
+    15: ("1101111", "11100010011", "11000101011"), 12: ("11001011", "1101001001"), 10: ("110111", "11001011", "110100011"),
+    8: ("110111", "1101101"), 5: ("1111", "10111", "11011", "11101"), 4: ("1111",), 3: ("111",), 2: ("11",), 1: ("1",),
+}
+#: The two masks of the SQL twin.
 SPAN, PAIRS = 10, ((0, 3, 7), (0, 4, 8))
 MASKS = tuple("".join("1" if i in p or i - 1 in p else "0" for i in range(SPAN)) for p in PAIRS)
 #: Around a hit, this part of WINDOW aligned tokens (of the whole item if it is shorter) must agree.
@@ -19,38 +29,59 @@ def _tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _SPLIT), "")
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """(k, part, at, seed): for each mask and position the hash of the tokens that the mask keeps.
+def _windows(docs: DataFrame, masks: list[str]) -> DataFrame:
+    """(k, part, at, mask, seed): for each mask and position the hash of the tokens that the mask keeps.
 
-    Hashes of neighbours are made once and combined with themselves, shifted, so a window costs two steps a mask.
+    Hashes of neighbours are made once and combined with themselves, shifted.
     """
     joined = lambda x, y: F.zip_with(x, y, lambda a, b: F.xxhash64(a, b))
-    later = lambda x, n: F.slice(x, n + 1, F.greatest(F.size(x), F.lit(1)))
+    later = lambda x, n: F.slice(x, n + 1, F.greatest(F.size(x), F.lit(1))) if n else x
     hashed = docs.select("k", "part", F.transform(_tokens(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
-    pairs = hashed.select("k", "part", F.greatest(F.size("h") - SPAN + 1, F.lit(0)).alias("n"), joined("h", later("h", 1)).alias("p"))
-    heads = pairs.select("k", "part", "n", "p", *(joined("p", later("p", b)).alias(f"m{i}") for i, (_, b, _) in enumerate(PAIRS)))
-    seeds = [F.slice(joined(f"m{i}", later("p", c)), F.lit(1), F.col("n")) for i, (_, _, c) in enumerate(PAIRS)]
-    found = heads.select("k", "part", "n", F.posexplode(F.concat(*seeds)).alias("at", "seed"))
-    return found.select("k", "part", F.pmod("at", "n").alias("at"), "seed")
+    pairs = hashed.select("k", "part", F.size("h").alias("n"), "h", joined("h", later("h", 1)).alias("p")).where("n > 0")
+
+    def seeds(mask: str) -> Column:
+        parts, i = [], 0
+        while i < len(mask):
+            two = mask[i : i + 2] == "11"
+            if mask[i] == "1":
+                parts.append(later(F.col("p" if two else "h"), i))
+            i += 1 + two
+        return reduce(joined, parts)
+
+    # every array is as long as the text, so the place in their concatenation tells mask and position
+    found = pairs.select("k", "part", "n", F.posexplode(F.concat(*(seeds(m) for m in masks))).alias("at", "seed"))
+    found = found.select("k", "part", "n", F.pmod("at", "n").alias("at"), F.floor(F.col("at") / F.col("n")).cast("int").alias("mask"), "seed")
+    fits = F.get(F.array(*(F.lit(len(m)) for m in masks)), F.col("mask"))
+    return found.where(F.col("at") + fits <= F.col("n")).drop("n")
+
+
+def _pool(text: Column) -> Column:
+    """The key of POOLS for an item; null: it has no tokens."""
+    n = F.size(_tokens(text))
+    return F.coalesce(*(F.when(n >= k, k) for k in sorted(POOLS, reverse=True)))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_tokens, n_agree) for each document and benchmark item that overlap.
 
-    Tokens are lower-cased and split at ASCII white space. Every window of SPAN tokens is hashed under each mask, on
-    both sides; equal hashes align document and item, and the pair counts if in some WINDOW consecutive aligned tokens
-    at least AGREE of them agree. n_tokens: aligned tokens, n_agree: those that agree, of the best alignment.
+    Tokens are lower-cased and split at ASCII white space. A pair counts if in some WINDOW consecutive aligned tokens (of
+    an item with fewer tokens: in all of it) at least AGREE of them agree. Windows are hashed under the masks that POOLS
+    has for the items' lengths, on both sides; equal hashes align document and item, and no pair that counts is without
+    one. n_tokens: aligned tokens, n_agree: those that agree, of the best alignment that counts.
 
-    Null texts and texts under SPAN tokens overlap with nothing. Null doc_ids are kept; rows with equal doc_id and text
+    Null texts and texts without tokens overlap with nothing. Null doc_ids are kept; rows with equal doc_id and text
     give one result. Repeated items: each is reported, equal (item_id, text) once. Other columns are not read. An empty
     side gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k"), F.xxhash64("text").alias("part"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text", F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("k"), F.xxhash64("text").alias("part"))
-    seeds = _windows(items).select(F.col("k").alias("ik"), F.col("part").alias("ip"), F.col("at").alias("q"), "seed").distinct()
+    pools = sorted(r["pool"] for r in items.select(_pool(F.col("text")).alias("pool")).distinct().collect() if r["pool"]) or [15]
+    masks = sorted({m for p in pools for m in POOLS[p]})
+    own = reduce(DataFrame.union, (_windows(items.where(_pool(F.col("text")) == p), list(POOLS[p])).withColumn("mask", F.get(F.array(*(F.lit(masks.index(m)) for m in POOLS[p])), F.col("mask"))) for p in pools))
+    seeds = own.select(F.col("k").alias("ik"), F.col("part").alias("ip"), F.col("at").alias("q"), "mask", "seed").distinct()
     if seeds.count() <= BROADCAST_ROWS:
         seeds = F.broadcast(seeds)
-    hits = _windows(docs).join(seeds, "seed").select("k", "part", "ik", "ip", (F.col("at") - F.col("q")).alias("shift")).distinct()
+    hits = _windows(docs, masks).join(seeds, ["mask", "seed"]).select("k", "part", "ik", "ip", (F.col("at") - F.col("q")).alias("shift")).distinct()
     tested = items.select("item_id", F.col("k").alias("ik"), F.col("part").alias("ip"), _tokens(F.col("text")).alias("item")).dropDuplicates(["ik", "ip"])
     aligned = hits.join(tested, ["ik", "ip"]).groupBy("k", "part").agg(F.collect_list(F.struct("item_id", "shift", "item")).alias("hits"))
     both = docs.join(aligned, ["k", "part"])
