@@ -1,8 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs, in numpy.
 
 A word's input is the embedding of the word, if frequent, and the mean embedding of its character 3-grams and 5-grams, so it is
-worked out once for each distinct word. The network reads overlapping windows of words; a text's score is that of its
-worst window, and training, too, follows the worst window of each labelled text.
+worked out once for each distinct word. The network reads the windows of words that begin at every word; a text's score is
+that of its worst window, and training, too, follows the worst of some windows of each labelled text.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words in a window, and from one window's start to the next.
-WINDOW, STRIDE = 32, 24
+#: Words in a window, and from one window's start to the next: in scoring, and in training.
+WINDOW, STRIDE, TRAIN_STRIDE = 32, 1, 24
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 VOCABULARY, LEAST_DOCS, NGRAM_BITS = 4096, 8, 14
 #: Labelled texts of each class that a model is fitted on at most.
@@ -56,14 +56,14 @@ def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(codes)[order].astype(np.int64), np.bincount(owner, minlength=len(words))
 
 
-def windows(codes: np.ndarray, pad: int) -> np.ndarray:
-    """All overlapping windows of a text's words; a text of no words has none."""
+def windows(codes: np.ndarray, pad: int, stride: int = STRIDE) -> np.ndarray:
+    """Windows of a text's words, one from every stride-th word on, up to its end; a text of no words has none."""
     if not len(codes):
         return np.empty((0, WINDOW), np.int32)
-    count = 1 + max(0, -(-(len(codes) - WINDOW) // STRIDE))
-    out = np.full((count - 1) * STRIDE + WINDOW, pad, np.int32)
+    count = 1 + max(0, -(-(len(codes) - WINDOW) // stride))
+    out = np.full((count - 1) * stride + WINDOW, pad, np.int32)
     out[: len(codes)] = codes
-    return np.lib.stride_tricks.sliding_window_view(out, WINDOW)[::STRIDE]
+    return np.lib.stride_tricks.sliding_window_view(out, WINDOW)[::stride]
 
 
 def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -213,7 +213,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     if len(frequent):
         model.p["word"][: len(frequent), 0] = _log_odds(*(np.array([sides[k][w] for w in frequent], np.float32) for k in (1, 0)), *n) / 2
     model.p["char"][:, 0] = _log_odds(char_sides[1], char_sides[0], *n) / 2
-    parts = [windows(c, pad) for c in codes]
+    parts = [windows(c, pad, TRAIN_STRIDE) for c in codes]
     usable = [i for i, w in enumerate(parts) if len(w)]
     if not usable or not n[0] or not n[1]:
         return model
