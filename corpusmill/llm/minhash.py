@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.graph import components
 from corpusmill.llm.hashing import U, distinct, mix, shingle_hashes, word_hashes
-from corpusmill.llm.storage import materialize
+from corpusmill.llm.storage import arrow_batches, materialize
 
 #: Hash functions, low bits kept of each minimum, and bands of ROWS minima from the first of them. A pair at the
 #: threshold 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32, about 5e-8.
@@ -21,7 +21,10 @@ HASHES, BITS, BANDS, ROWS = 768, 2, 32, 4
 MARGIN, TIERS = 0.075, (0.05, -0.02)
 _LONGS = HASHES // 64
 _SIGNS = [f"s{j}" for j in range(BITS * _LONGS)]
-_SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<long>, " + ", ".join(f"{c} long" for c in _SIGNS)
+_BANDS = [f"b{j}" for j in range(BANDS)]
+_SKETCH = "doc_id long, part long, n_shingles long, set_key binary, " + ", ".join(f"{c} long" for c in [*_SIGNS, *_BANDS])
+#: Pairs of texts that an Arrow batch carries to be verified.
+PAIRS_AT_ONCE = 256
 _rng = np.random.Generator(np.random.PCG64(77))
 _FACTOR = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
 _MASK = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
@@ -59,18 +62,19 @@ def _sets(texts: list[bytes | None], width: int):
 
 def _sketcher(width: int):
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), *((c, pa.int64()) for c in _SIGNS)])
+        names = [*_SIGNS, *_BANDS]
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             n = len(texts)
-            sizes, keys, bands, signs = [0] * n, [None] * n, [None] * n, np.zeros((n, len(_SIGNS)), np.int64)
+            sizes, keys, numbers = [0] * n, [None] * n, np.zeros((len(names), n), np.int64)
             for i, found in _sets(texts, width):
                 sizes[i] = len(found)
                 if len(found):
                     keys[i] = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                     signature = minima(found)
-                    bands[i], signs[i] = band_keys(signature), packed(signature)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), *(pa.array(signs[:, j]) for j in range(len(_SIGNS)))], schema=schema)
+                    numbers[: len(_SIGNS), i], numbers[len(_SIGNS) :, i] = packed(signature), band_keys(signature)
+            head = [batch.column("doc_id"), batch.column("part"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*head, *(pa.array(row) for row in numbers)], ["doc_id", "part", "n_shingles", "set_key", *names])
 
     return run
 
@@ -84,16 +88,14 @@ def _set_of_each(column: pa.Array, width: int) -> list[np.ndarray]:
 
 def _verifier(width: int, percent: int):
     def run(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                keep = []
-                for x, y in zip(_set_of_each(batch.column("ta"), width), _set_of_each(batch.column("tb"), width), strict=True):
-                    both = np.concatenate((x, y))
-                    both.sort()
-                    shared = int((both[1:] == both[:-1]).sum())
-                    keep.append(shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared))
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for batch in batches:
+            keep = []
+            for x, y in zip(_set_of_each(batch.column("ta"), width), _set_of_each(batch.column("tb"), width), strict=True):
+                both = np.concatenate((x, y))
+                both.sort()
+                shared = int((both[1:] == both[:-1]).sum())
+                keep.append(shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -118,38 +120,42 @@ def _signed(signs: DataFrame, node: str, prefix: str) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that are similar by their full sets."""
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    with_both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return materialize(with_both.select("a", "b", "ta", "tb").mapInArrow(_verifier(width, percent), "a long, b long"), "links")
+    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    with_both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    with arrow_batches(pairs.sparkSession, PAIRS_AT_ONCE):
+        return materialize(with_both.select("a", "b", "ta", "tb").mapInArrow(_verifier(width, percent), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept, group_id, part.
 
     Documents are linked if 100 * |intersection| >= percent * |union| of their distinct shingles of width words
     (lower-cased A-Z, split at ASCII white space; fewer words are one shingle). component_id is the smallest doc_id
-    that links lead to, kept marks that document.
-
-    Equal sets are one node from the start, so copies never meet in pairs. A band bucket first links each member to
-    its smallest one. Members of a bucket that are still in different components are then compared with each other,
-    the likeliest first, with components in between, so no link that a band shows is lost and few pairs become rows.
-    Estimates from the packed signatures select the pairs whose full sets are read.
-
-    Null or blank texts: 0 shingles, linked with nothing. Null doc_id: linked with nothing, component_id null, kept
-    true. Repeated rows get the same result each; rows that repeat a doc_id with another text are placed by their
-    own text. Other columns are not read. An empty table gives an empty result.
+    that links lead to, kept marks that document. group_id is the same in the rows of one group only, also where
+    two groups have a smallest doc_id in common (rows of one doc_id with several texts); part is xxhash64 of the text.
+
+    Equal sets are one node from the start, by one aggregate that is combined before the shuffle, so copies never meet
+    in pairs and never in one task. A band bucket first links each member to its smallest one. Members of a bucket that
+    are still in different components are then compared with each other, the likeliest first, with components in
+    between, so no link that a band shows is lost and few pairs become rows. Estimates from the packed signatures select
+    the pairs whose full sets are read.
+
+    Null or blank texts: 0 shingles, linked with nothing, group_id null. Null doc_id: linked with nothing, component_id
+    and group_id null, kept true. Repeated rows get the same result each; rows that repeat a doc_id with another text are placed each
+    by its own text. Other columns are not read. An empty table gives an empty result.
     """
-    sketches = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketcher(width), _SKETCH), "sketches")
-    usable = sketches.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    nodes = usable.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    classes = materialize(usable.join(nodes, "set_key").where(F.col("doc_id") == F.col("node")).select("node", "bands", *_SIGNS).dropDuplicates(["node", *_SIGNS]), "classes")
-    signs = classes.drop("bands")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("part"))
+    sketches = materialize(docs.mapInArrow(_sketcher(width), _SKETCH), "sketches")
+    own = sketches.select("doc_id", "part", "n_shingles", "set_key")
+    usable = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    classes = _classes(sketches.where(usable))
+    signs = classes.select("node", *_SIGNS)
     buckets = classes.select("node", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where(F.col("members") > 1)
     members = materialize(buckets.join(shared, "band"), "buckets")
-    # the texts are shuffled once, for all rounds; without the hint small inputs would be broadcast and large ones not
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id", "left_semi"), "candidates")
+    # one text of each set that shares a band is shuffled, once for all rounds; without the hints small inputs would be broadcast
+    wanted = classes.select("node", "set_key", F.col("first").alias("doc_id")).join(members.select("node").distinct().hint("merge"), "node", "left_semi")
+    texts = materialize(_texts_of(docs, own.where(usable), wanted), "candidates")
     least = percent / 100 - MARGIN
     stars = members.where(F.col("node") != F.col("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     stars = stars.join(_signed(signs, "a", "x"), "a").join(_signed(signs, "b", "y"), "b").where(estimate("x", "y") >= least)
@@ -162,9 +168,39 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
         if not rest.isEmpty():
             links = links.union(_confirmed(rest, texts, width, percent))
             labels = components(links)
-    out = sketches.select("doc_id", "n_shingles", "set_key").join(nodes, "set_key", "left").join(labels, "node", "left")
-    label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
-    return out.select("doc_id", "n_shingles", label.alias("component_id"), F.coalesce(F.col("doc_id") == label, F.lit(True)).alias("kept"))
+    # the smallest doc_id of a component, at each of its sets; a set without links is its own component
+    rooted = labels.join(classes.select("node", "first"), "node")
+    roots = rooted.groupBy("component").agg(F.min("first").alias("label"))
+    linked = rooted.join(roots, "component").select("node", "component", "label")
+    label = classes.select("node", "set_key", "first").join(linked, "node", "left").select("set_key", F.coalesce("label", "first").alias("component_id"), F.coalesce("component", "node").alias("group_id"))
+    label = materialize(label, "labels")
+    placed = own.where(usable).join(label, "set_key").select("doc_id", "n_shingles", "component_id", "group_id", "part")
+    alone = own.where(~usable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group_id"), "part")
+    return placed.union(alone).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "group_id", "part")
+
+
+def _classes(usable: DataFrame) -> DataFrame:
+    """A row for each set: node, set_key, first (its smallest doc_id), signs and bands.
+
+    Rows of a set have one sketch, so the least of each number is that of all, and the aggregate needs no sort. node is
+    first; of sets that share it (rows of one doc_id with several texts), a hash of the set below all of them.
+    """
+    found = usable.groupBy("set_key").agg(F.min("doc_id").alias("first"), *(F.min(c).alias(c) for c in [*_SIGNS, *_BANDS]))
+    found = materialize(found.select("set_key", "first", *_SIGNS, F.array(*_BANDS).alias("bands")), "classes")
+    clash = materialize(found.groupBy("first").count().where("count > 1").select("first", F.lit(True).alias("clash")), "clashes")
+    if clash.isEmpty():
+        return found.withColumn("node", F.col("first"))
+    node = F.when(F.col("clash"), F.least(F.xxhash64("set_key"), -F.xxhash64("set_key"))).otherwise(F.col("first"))
+    return materialize(found.join(clash, "first", "left").withColumn("node", node).drop("clash"), "classes")
+
+
+def _texts_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) for each of wanted (node, set_key, doc_id): a text of that document that has the set."""
+    counts = rows.join(wanted.hint("merge"), ["doc_id", "set_key"]).groupBy("doc_id", "node", "part").count()
+    picked = counts.groupBy("doc_id", "node").agg(F.min("part").alias("part"), F.min_by("count", "part").alias("n"))
+    found = docs.join(picked.hint("merge"), ["doc_id", "part"])
+    copies = found.where("n > 1").groupBy("node").agg(F.min("text").alias("text"))
+    return found.where("n = 1").select("node", "text").union(copies)
 
 
 def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, least: float, above: float) -> DataFrame:

@@ -20,13 +20,13 @@ def query(f):
 
 @query
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(documents(spark, sf_dir), width=4, percent=80)
+    return minhash.near_duplicates(documents(spark, sf_dir), width=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    out = bpe.decode(bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
+    out = bpe.decode(bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), bpe.token_table(spark, ranks))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -57,7 +57,7 @@ ORACLES["op5_line_dedup"] = line_dedup.ORACLE
 
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("part")
 
 
 ORACLES["op9_decontamination"] = decontaminate.ORACLE

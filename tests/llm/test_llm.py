@@ -9,6 +9,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 import tiktoken
 from compare import rows, twin
@@ -87,7 +89,7 @@ def test_near_duplicates(spark, docs):
 
 
 def test_near_duplicate_edges(edges, empty):
-    got = [tuple(r) for r in minhash.near_duplicates(edges).collect()]
+    got = [tuple(r)[:4] for r in minhash.near_duplicates(edges).collect()]
     by = collections.defaultdict(list)
     for i, *rest in got:
         by[i].append(tuple(rest))
@@ -101,6 +103,16 @@ def test_near_duplicate_edges(edges, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_rows_of_one_id_are_placed_by_their_texts(spark):
+    a, b = ("".join(f"{w}{i} " for i in range(60)) for w in "ab")
+    rows_ = [(5, a), (5, b), (6, a.replace("a59", "z")), (7, b), (7, b), (8, a), (9, "other text"), (9, "other text"), (5, a)]
+    got = sorted((r["doc_id"], r["component_id"], r["n_shingles"], r["part"]) for r in minhash.near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string")).collect())
+    assert [g[:2] for g in got] == [(5, 5)] * 3 + [(6, 5), (7, 5), (7, 5), (8, 5), (9, 9), (9, 9)]
+    # two classes of document 5 are two sets, not one: without 5 they have other labels
+    apart = minhash.near_duplicates(spark.createDataFrame(rows_ + [(1, b)], "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in apart} == {(1, 1), (5, 5), (5, 1), (6, 5), (7, 1), (8, 5), (9, 9)}
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(200)] + [(5, 5)]
@@ -136,7 +148,7 @@ def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
 
 
 # ---- byte-level BPE ------------------------------------------------------------------------------------------------
-def test_bpe_is_that_of_the_library(docs, edges, empty, monkeypatch):
+def test_bpe_is_that_of_the_library(spark, docs, edges, empty):
     exact = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks_of(RANKS), special_tokens={})
     table = docs.select("doc_id", "text").union(edges.select("doc_id", "text"))
     want = collections.Counter()
@@ -144,19 +156,56 @@ def test_bpe_is_that_of_the_library(docs, edges, empty, monkeypatch):
         ids = exact.encode_ordinary(r["text"] or "")
         want[r["doc_id"], len(ids), np.array(ids, "<u4").tobytes(), (r["text"] or "").encode()] += 1
     for n in (1, 5):
-        out = bpe.decode(bpe.encode(table.repartition(n), RANKS, public_tokenizers.PATTERN), RANKS)
+        out = bpe.decode(bpe.encode(table.repartition(n), RANKS, public_tokenizers.PATTERN), bpe.token_table(spark, RANKS))
         assert collections.Counter((r["doc_id"], r["n_tokens"], bytes(r["ids"]), bytes(r["decoded"])) for r in out.collect()) == want
     assert bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
-def test_pretokens_of_every_character():
-    import regex
+def _codes(texts, pattern=public_tokenizers.PATTERN):
+    block = bpe._Block(pattern)
+    for i, text in enumerate(texts):
+        block.add(i, text)
+    words, stream, counts = block.words()
+    out, at = [], 0
+    for n in counts.tolist():
+        out.append([words[c] for c in stream[at : at + n].tolist()])
+        at += n
+    return out
+
 
+def test_pretokens_of_every_character(monkeypatch):
+    """Every character beside others, blanks of all kinds in runs, and pieces that are cut or not."""
     exact = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks_of(RANKS), special_tokens={})
-    find, encode = regex.compile(public_tokenizers.PATTERN).findall, bpe._encoder(RANKS, public_tokenizers.PATTERN)
-    for low in range(0, 0x20000, 64):
-        text = " ".join(f"a{chr(c)} {chr(c)}1" for c in range(low, low + 64) if not 0xD800 <= c < 0xE000)
-        assert [t for w in find(text) for t in encode(w.encode())] == exact.encode_ordinary(text)
+    assert bpe.PIECEWISE == public_tokenizers.PATTERN
+    encode = bpe._encoder(RANKS)
+    texts = [" ".join(f"a{chr(c)} {chr(c)}1" for c in range(low, low + 64) if not 0xD800 <= c < 0xE000) for low in range(0, 0x20000, 64)]
+    rng = random.Random(12)
+    texts += ["".join(rng.choice([" ", " ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u2003", "a", "b'll", "'s", "7", "#", "é", "日"]) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    for size in (1 << 20, 3):
+        monkeypatch.setattr(bpe, "LONG", size)
+        for text, words in zip(texts, _codes(texts), strict=True):
+            assert "".join(words) == text
+            assert [t for w in words for t in encode(w)] == exact.encode_ordinary(text)
+    assert _codes(["x y", ""], "[a-z]") == [["x", "y"], []]
+
+
+def test_words_are_encoded_alike_with_a_small_memory(spark, docs, monkeypatch):
+    run = bpe._word_ids(RANKS)
+    monkeypatch.setattr(bpe, "BLOCK", 20_000)
+    table = docs.select("doc_id", "text").toArrow()
+    rows = [b for b in bpe._pretokens(public_tokenizers.PATTERN, 8)(table.to_batches())]
+    words = [b.filter(pa.compute.equal(b.column("kind"), 0)) for b in rows]
+    whole = [b.to_pydict() for b in run(words)]
+    monkeypatch.setattr(bpe, "KNOWN", 5)
+    assert [b.to_pydict() for b in run(words)] == whole and len(whole) > 50
+
+
+def test_texts_are_split_once(spark, docs):
+    """Words and positions come from one exchange: the second one is reused."""
+    out = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    assert len(out.collect()) == docs.count()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 1
 
 
 # ---- secrets -------------------------------------------------------------------------------------------------------
@@ -320,7 +369,7 @@ def test_windows_cover_all_words():
         found = toxicity.windows(np.arange(n, dtype=np.int32), n)
         assert set(found.ravel().tolist()) - {n} == set(range(n))
         if n > toxicity.WINDOW:
-            assert found[0][toxicity.STRIDE] == found[1][0]
+            assert found[0][toxicity.TRAIN_STRIDE] == found[1][0]
 
 
 def test_toxicity_on_held_out_documents(spark, edges, empty):
@@ -428,7 +477,7 @@ def test_pipeline_stages(spark, edges, docs, tmp_path):
         if name == "near_dedup":
             want = _components({r["doc_id"]: r["text"] for r in had if r["doc_id"] is not None}, 5)
             assert sum(r["doc_id"] is None for r in got) == sum(r["doc_id"] is None for r in had)
-            assert {r["doc_id"] for r in got if r["doc_id"] is not None} == {i for i, (*_, kept) in want.items() if kept}
+            assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == sorted(i for i, (*_, kept) in want.items() if kept)
         table = out
     final = corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path)).collect()
     assert collections.Counter(r["decoded_sha256"] for r in final) == collections.Counter(hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in table.collect())
