@@ -1,26 +1,36 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
-Texts are split into pre-tokens block by block. A block sends its distinct words to the buckets of their hashes, where
+Texts are split into pre-tokens block by block. A block sends its distinct words to the partitions of their hashes, where
 each distinct word of the corpus is encoded once, and its positions (the code of the word at each position) to the place
-where the ids come back. So a frequent word is one entry of each block, never one row of each occurrence.
+where the ids come back. So a frequent word is one entry of each block, never one row of each occurrence. Words and
+positions leave a block in one exchange, which both further steps read, so every text is split once.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from collections import defaultdict
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of text after which a block ends, and from which a text is split without a list of all its pre-tokens.
 BLOCK, LONG = 4 << 20, 1 << 20
+#: Distinct words whose ids a task remembers; a word that is met again later is encoded again.
+KNOWN = 300_000
+#: Tokens of a vocabulary at most: the token-byte table is broadcast.
+VOCABULARY = 1 << 22
+#: A pattern whose matches have a blank at their start only, unless they are white space as a whole. A text can be cut in
+#: front of each single blank between other characters, and each distinct piece be split once. Fixed value.
+PIECEWISE = "'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+"
 _WORDS, _POSITIONS = 0, 1
+_PACKED = "key long, kind byte, block long, n_words long, bodies array<binary>, ids array<long>, counts array<long>"
 
 
 @cache
@@ -31,18 +41,17 @@ def ranks_of(path: str) -> dict[bytes, int]:
 
 
 @cache
-def _encoder(path: str, pattern: str):
+def _encoder(path: str):
+    """Merges one word by the ranks: the library's, with a pattern that takes the word as a whole."""
     import tiktoken
 
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks_of(path), special_tokens={})._core_bpe.encode_single_piece
+    return tiktoken.Encoding("words", pat_str="(?s:.+)", mergeable_ranks=ranks_of(path), special_tokens={}).encode_ordinary
 
 
-@cache
-def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The token-byte table: all tokens' bytes joined, and where each begins; a vocabulary has a fixed, small size."""
-    by_id = {v: k for k, v in ranks_of(path).items()}
-    parts = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
-    return np.frombuffer(b"".join(parts), np.uint8), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+def token_table(spark: SparkSession, ranks: str) -> DataFrame:
+    """The token-byte table of a rank file: id, bytes."""
+    found = ranks_of(ranks)
+    return spark.createDataFrame(pa.table({"id": pa.array(found.values(), pa.int64()), "bytes": pa.array(found.keys(), pa.binary())}))
 
 
 def _press(array: np.ndarray) -> bytes:
@@ -62,98 +71,146 @@ def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     return values[index]
 
 
+class _Block:
+    """Texts of one block, first as ids of distinct pieces, at the end as codes of distinct words."""
+
+    def __init__(self, pattern: str):
+        import regex
+
+        compiled = regex.compile(pattern)
+        self.find, self.scan, self.piecewise = compiled.findall, compiled.finditer, pattern == PIECEWISE
+        self.rows: list[int | None] = []
+        self.pieces: list[np.ndarray] = []
+        self.size = 0
+        self.known: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+
+    def add(self, doc: int | None, text: str) -> None:
+        self.rows.append(doc)
+        parts = text.split(" ") if self.piecewise else [text]
+        self.pieces.append(np.fromiter(map(self.known.__getitem__, parts), np.int32, len(parts)))
+        self.size += len(text) + 1
+
+    def _whole_pieces(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Strings of the distinct pieces, the pieces in order, and how many each text has."""
+        parts, stream = list(self.known), np.concatenate(self.pieces)
+        counts = np.array([len(p) for p in self.pieces])
+        first = np.zeros(len(stream), bool)
+        first[np.cumsum(counts) - counts] = True
+        # a cut is safe between characters that are no white space
+        opens = np.fromiter((bool(p) and not p[0].isspace() for p in parts), bool, len(parts))
+        closes = np.fromiter((bool(p) and not p[-1].isspace() for p in parts), bool, len(parts))
+        begin = first.copy()
+        begin[1:] |= closes[stream[:-1]] & opens[stream[1:]]
+        at = np.flatnonzero(begin)
+        sizes = np.diff(np.append(at, len(stream)))
+        out = stream[at]
+        strings = [" " + p for p in parts]
+        other: dict[str, int] = {}
+        for i in np.flatnonzero(first[at] | (sizes > 1)).tolist():
+            a, n = int(at[i]), int(sizes[i])
+            piece = ("" if first[a] else " ") + " ".join([parts[j] for j in stream[a : a + n].tolist()])
+            out[i] = other.setdefault(piece, len(parts) + len(other))
+        strings += other
+        return strings, out, np.add.reduceat(begin.astype(np.int64), np.cumsum(counts) - counts)
+
+    def words(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct words, the frequent ones first, their codes in order, and how many each text has."""
+        pieces, stream, counts = self._whole_pieces()
+        words: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        used = np.zeros(len(pieces), bool)
+        used[stream] = True
+        codes, sizes = [], np.zeros(len(pieces), np.int64)
+        for i in np.flatnonzero(used).tolist():
+            piece = pieces[i]
+            if len(piece) < LONG:
+                own = [words[w] for w in self.find(piece)]
+            else:
+                own = np.fromiter((words[m.group()] for m in self.scan(piece)), np.int32)
+            sizes[i] = len(own)
+            codes.append(np.asarray(own, np.int32))
+        flat = np.concatenate(codes)
+        starts = np.cumsum(sizes) - sizes
+        ends = np.concatenate(([0], np.cumsum(sizes[stream])))
+        edges = np.concatenate(([0], np.cumsum(counts)))
+        stream = gather(flat, starts[stream], sizes[stream])
+        order = np.argsort(-np.bincount(stream, minlength=len(words)), kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        names = list(words)
+        return [names[i] for i in order.tolist()], rank[stream], np.diff(ends[edges])
+
+
+def _planes(values: np.ndarray, n: int) -> list[bytes]:
+    return [_press((values >> np.uint32(8 * p)).astype(np.uint8)) for p in range(n)]
+
+
 def _pretokens(pattern: str, buckets: int):
     """Blocks of documents become rows of distinct words by bucket and one row of positions."""
 
-    def block_rows(rows: list[tuple], counts: list[int], codes: list[np.ndarray], words: dict[str, int]):
+    def packed(block: _Block) -> pa.RecordBatch:
         from xxhash import xxh64_intdigest
 
+        words, stream, counts = block.words()
         raw = [w.encode() for w in words]
-        content = hashlib.blake2b(repr((rows, counts)).encode(), digest_size=8)
+        content = hashlib.blake2b(repr(block.rows).encode(), digest_size=8)
+        content.update(counts.astype(np.int64).tobytes())
+        content.update(stream.tobytes())
         for w in raw:
             content.update(len(w).to_bytes(4, "little") + w)
         key = int.from_bytes(content.digest(), "little") >> 1
-        bucket = np.fromiter((xxh64_intdigest(w) % buckets for w in raw), np.int32, len(raw))
+        bucket = np.fromiter((xxh64_intdigest(w) % buckets for w in raw), np.int64, len(raw))
         order = np.argsort(bucket, kind="stable")
-        new = np.empty(len(raw), np.uint32)
-        new[order] = np.arange(len(raw), dtype=np.uint32)
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        out = []
-        for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-            chosen = [raw[i] for i in order[cuts[b] : cuts[b + 1]].tolist()]
-            sizes = np.array([len(w) for w in chosen], np.uint32)
-            body = _press(sizes)
-            out.append((b, key, _WORDS, int(cuts[b]), len(body).to_bytes(8, "little") + body + zstandard.ZstdCompressor(level=1).compress(b"".join(chosen)), None, None))
-        stream = new[np.concatenate(codes)] if codes else np.empty(0, np.uint32)
-        planes = [_press((stream >> np.uint32(8 * p)).astype(np.uint8)) for p in range(3 if len(raw) < 1 << 24 else 4)]
-        out.append((key % buckets, key, _POSITIONS, len(raw), pa.scalar(planes, pa.list_(pa.binary())), [r for r in rows], counts))
-        return out
-
-    def emit(rows):
+        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        keys, bodies = [], []
+        for own in np.split(order, edges[1:]) if len(order) else ():
+            chosen = [raw[i] for i in own.tolist()]
+            keys.append(int(bucket[own[0]]))
+            bodies.append([_press(own.astype(np.uint32)), _press(np.array([len(w) for w in chosen], np.uint32)), zstandard.ZstdCompressor(level=1).compress(b"".join(chosen))])
+        n = len(keys)
+        planes = _planes(stream, 3 if len(raw) < 1 << 24 else 4)
         docs = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int8()), pa.array([r[3] for r in rows], pa.int64()),
-            pa.array([[r[4]] if r[2] == _WORDS else r[4].as_py() for r in rows], pa.list_(pa.binary())), pa.array([r[5] for r in rows], docs), pa.array([r[6] for r in rows], docs)],
-            ["bucket", "block", "kind", "at", "bodies", "ids", "counts"])
+            pa.array([*keys, key], pa.int64()), pa.array([_WORDS] * n + [_POSITIONS], pa.int8()), pa.array([key] * (n + 1), pa.int64()), pa.array([len(raw)] * (n + 1), pa.int64()),
+            pa.array([*bodies, planes], pa.list_(pa.binary())), pa.array([None] * n + [block.rows], docs), pa.array([None] * n + [counts.tolist()], docs)],
+            [f.split()[0] for f in _PACKED.split(", ")])
 
     def run(batches):
-        import regex
-
-        find, scan = regex.compile(pattern).findall, regex.compile(pattern).finditer
-        fresh = lambda: defaultdict(int)
-        words = fresh()
-        words.default_factory = words.__len__
-        rows, counts, codes, size = [], [], [], 0
+        block = _Block(pattern)
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                text = text.as_py() or ""
-                if len(text) < LONG:
-                    found = find(text)
-                    code = np.fromiter(map(words.__getitem__, found), np.uint32, len(found))
-                else:
-                    code = np.fromiter((words[m.group()] for m in scan(text)), np.uint32)
-                rows.append(doc)
-                counts.append(len(code))
-                codes.append(code)
-                size += len(text)
-                if size >= BLOCK:
-                    yield emit(block_rows(rows, counts, codes, words))
-                    words = fresh()
-                    words.default_factory = words.__len__
-                    rows, counts, codes, size = [], [], [], 0
-        if rows:
-            yield emit(block_rows(rows, counts, codes, words))
+                block.add(doc, text.as_py() or "")
+                if block.size >= BLOCK:
+                    yield packed(block)
+                    block = _Block(pattern)
+        if block.rows:
+            yield packed(block)
 
     return run
 
 
-def _word_ids(path: str, pattern: str):
-    """One bucket: each distinct word is encoded once; every block gets the ids of its words back, in its order."""
-
-    def run(table: pa.Table) -> pa.Table:
-        encode = _encoder(path, pattern)
-        known: dict[bytes, np.ndarray] = {}
-        bodies = []
-        for body in table.column("bodies"):
-            body = body.as_py()[0]
-            head = int.from_bytes(body[:8], "little")
-            sizes = _loose(body[8 : 8 + head], np.uint32)
-            raw = zstandard.ZstdDecompressor().decompress(body[8 + head :]) if len(sizes) else b""
-            ends = np.cumsum(sizes).tolist()
-            ids, lengths = [], []
-            start = 0
-            for end in ends:
-                word = raw[start:end]
-                start = end
-                found = known.get(word)
-                if found is None:
-                    known[word] = found = np.array(encode(word), np.uint32).tobytes()
-                ids.append(found)
-                lengths.append(len(found) >> 2)
-            flat = np.frombuffer(b"".join(ids), np.uint32)
-            planes = [_press((flat >> np.uint32(8 * p)).astype(np.uint8)) for p in range(4)]
-            bodies.append([_press(np.array(lengths, np.uint32)), *planes])
-        return pa.table({"block": table.column("block"), "at": table.column("at"), "ids": pa.array(bodies, pa.list_(pa.binary()))})
+def _word_ids(path: str):
+    """Rows of words: each distinct word is encoded once; every block gets the ids of its words back, with their codes."""
+
+    def run(batches):
+        encode = _encoder(path)
+        known: dict[bytes, bytes] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes, sizes, raw = batch.column("bodies")[i].as_py()
+                raw = zstandard.ZstdDecompressor().decompress(raw)
+                ids, lengths, start = [], [], 0
+                for end in np.cumsum(_loose(sizes, np.uint32)).tolist():
+                    word = raw[start:end]
+                    start = end
+                    found = known.get(word)
+                    if found is None:
+                        if len(known) >= KNOWN:
+                            known.clear()
+                        known[word] = found = np.array(encode(word.decode()), np.uint32).tobytes()
+                    ids.append(found)
+                    lengths.append(len(found) >> 2)
+                body = [codes, _press(np.array(lengths, np.uint32)), *_planes(np.frombuffer(b"".join(ids), np.uint32), 4)]
+                yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), pa.array([body], pa.list_(pa.binary()))], ["block", "ids"])
 
     return run
 
@@ -168,57 +225,77 @@ def _join_planes(planes: list[bytes]) -> np.ndarray:
 
 def _reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
     """One block: positions meet the ids of its words, and the ids of each document come out in order."""
-    parts = sorted(dict(zip(right.column("at").to_pylist(), right.column("ids").to_pylist(), strict=True)).items())  # equal blocks send equal words
-    lengths = [_loose(p[1][0], np.uint32) for p in parts]
-    flat = np.concatenate([_join_planes(p[1][1:]) for p in parts]) if parts else np.empty(0, np.uint32)
-    size = np.concatenate(lengths).astype(np.int64) if parts else np.empty(0, np.int64)
     if left.num_rows == 0:
         raise RuntimeError("words without the positions of their block: its texts changed between two runs of a task")
+    words = left.column("n_words")[0].as_py()
+    start, size = np.zeros(words, np.int64), np.full(words, -1, np.int64)
+    flat, done = [np.empty(0, np.uint32)], 0
+    for body in right.column("ids"):
+        codes, lengths, *planes = body.as_py()
+        codes, lengths, own = _loose(codes, np.uint32), _loose(lengths, np.uint32).astype(np.int64), _join_planes(planes)
+        start[codes], size[codes] = done + np.cumsum(lengths) - lengths, lengths  # equal blocks send equal words
+        flat.append(own)
+        done += len(own)
+    if words and size.min() < 0:
+        raise RuntimeError("a block's words are not whole: its texts changed between two runs of a task")
+    flat = np.concatenate(flat)
     docs, out, tokens = [], [], []
     for i in range(left.num_rows):
-        if left.column("at")[i].as_py() != len(size):
-            raise RuntimeError("a block's words are not whole: its texts changed between two runs of a task")
-        codes = _join_planes(left.column("bodies")[i].as_py()).astype(np.int64)
-        starts = np.cumsum(size) - size
-        ids = left.column("ids")[i].as_py()
+        codes = _join_planes(left.column("bodies")[i].as_py())
         at = 0
-        for doc, count in zip(ids, left.column("counts")[i].as_py(), strict=True):
+        for doc, count in zip(left.column("ids")[i].as_py(), left.column("counts")[i].as_py(), strict=True):
             own = codes[at : at + count]
             at += count
             docs.append(doc)
-            found = gather(flat, starts[own], size[own])
+            found = gather(flat, start[own], size[own])
             out.append(found.astype("<u4").tobytes())
             tokens.append(len(found))
     return pa.table({"doc_id": pa.array(docs, pa.int64()), "n_tokens": pa.array(tokens, pa.int64()), "ids": pa.array(out, pa.binary())})
 
 
+def _of(kind: int) -> Column:
+    """True for rows of that kind; not deterministic to the optimizer, so that it filters behind the exchange, not before
+    it: else there would be two exchanges, and two scans of the texts."""
+    return F.col("kind") == F.lit(kind) + F.least(F.spark_partition_id(), F.lit(0))
+
+
 def encode(docs: DataFrame, ranks: str, pattern: str, buckets: int | None = None) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_tokens, ids (binary: little-endian unsigned 32-bit integers).
 
     Each match of pattern is encoded by itself with the ranks of the file, without special tokens. Null and empty texts
     have no ids. Null and repeated doc_ids are kept, a result for each row. Other columns are not read. An empty table
     gives an empty result.
+
+    A block has one row of words for each of `buckets` hash values at most (by default 4 times
+    spark.sql.shuffle.partitions, which grows with the cluster and the input); a task streams them, so no bucket has to
+    fit into memory. What is held at once is a block, or one longer text.
     """
     spark = docs.sparkSession
-    buckets = buckets or min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = "bucket int, block long, kind byte, at long, bodies array<binary>, ids array<long>, counts array<long>"
-    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pretokens(pattern, buckets), packed)
-    words = blocks.where(F.col("kind") == _WORDS).select("bucket", "block", "at", "bodies")
-    back = words.groupBy("bucket").applyInArrow(_word_ids(ranks, pattern), "block long, at long, ids array<binary>")
-    positions = blocks.where(F.col("kind") == _POSITIONS).select("block", "at", "bodies", "ids", "counts")
-    return positions.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_reassemble, "doc_id long, n_tokens long, ids binary")
+    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pretokens(pattern, buckets), _PACKED).repartition("key")
+    back = blocks.where(_of(_WORDS)).mapInArrow(_word_ids(ranks), "block long, ids array<binary>")
+    return blocks.where(_of(_POSITIONS)).groupBy("key").cogroup(back.groupBy("block")).applyInArrow(_reassemble, "doc_id long, n_tokens long, ids binary")
 
 
-def decode(encoded: DataFrame, ranks: str) -> DataFrame:
+def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
     """encoded (with a column ids as encode() gives it) and the column decoded: the bytes of its ids.
 
-    A map-side join with the token-byte table, which has as many rows as the vocabulary. Null ids give null; an id
-    that the table lacks is an error.
+    A map-side join with tokens (id, bytes), the token-byte table: it is counted and broadcast, and may have VOCABULARY
+    rows. Null ids give null; an id that the table lacks is an error.
     """
+    rows = tokens.limit(VOCABULARY + 1).collect()
+    if len(rows) > VOCABULARY:
+        raise ValueError(f"the table has over {VOCABULARY} tokens")
+    by_id = {r["id"]: bytes(r["bytes"]) for r in rows}
+    top = max(by_id, default=-1) + 1
+    sizes = np.array([len(by_id[i]) if i in by_id else -1 for i in range(top)], np.int64)
+    start = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
+    shared = encoded.sparkSession.sparkContext.broadcast((b"".join(by_id.get(i, b"") for i in range(top)), start, sizes))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
 
     def run(batches):
-        table, starts = _token_bytes(ranks)
+        body, start, sizes = shared.value
+        table = np.frombuffer(body, np.uint8)
         for batch in batches:
             out = []
             for ids in batch.column("ids"):
@@ -227,9 +304,9 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
                     out.append(None)
                     continue
                 row = np.frombuffer(ids, "<u4").astype(np.int64)
-                if len(row) and row.max() + 1 >= len(starts):
-                    raise ValueError(f"no token has the id {row.max()}")
-                out.append(gather(table, starts[row], starts[row + 1] - starts[row]).tobytes())
+                if len(row) and (row.max() >= len(sizes) or sizes[row].min() < 0):
+                    raise ValueError(f"tokens lack one of the ids up to {row.max()}")
+                out.append(gather(table, start[row], sizes[row]).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, f"{kinds}, `decoded` binary")
