@@ -1,8 +1,9 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs, in numpy.
 
 A word's input is the embedding of the word, if frequent, and the mean embedding of its character 3-grams and 5-grams, so it is
-worked out once for each distinct word. The network reads the windows of words that begin at every word; a text's score is
-that of its worst window, and training, too, follows the worst of some windows of each labelled text.
+worked out once for each distinct word. Both directions read a text once, in segments with LEAD words of run-up; as pooling
+is a weighted mean, running sums of weights and weighted outputs give the windows of words that begin at every word. A text's
+score is that of its worst window, and training, too, follows the worst of some windows of each labelled text.
 """
 
 from __future__ import annotations
@@ -14,18 +15,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Words in a window, and from one window's start to the next: in scoring, and in training.
-WINDOW, STRIDE, TRAIN_STRIDE = 32, 1, 24
+#: Words in a window (scoring has one from every word on), and from one window's start to the next in training.
+WINDOW, TRAIN_STRIDE = 32, 24
+#: Words of a segment that is read at once in scoring, and words before (behind) it that each direction starts with.
+SEGMENT, LEAD = 96, 16
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 VOCABULARY, LEAST_DOCS, NGRAM_BITS = 4096, 8, 14
 #: Labelled texts of each class that a model is fitted on at most.
 TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
+#: Labelled texts of more bytes are not fitted on, so that the driver holds a bounded amount; all texts are scored.
+FIT_BYTES = 1 << 16
 #: Epochs, but so many more for few texts that the least number of steps is done; rows of a step; learning rate; and the
 #: share of words that a step sees by their characters only.
 EPOCHS, STEPS, BATCH, RATE, DROP = 10, 500, 128, 0.01, 0.3
 THRESHOLD = 0.7
-_BLOCK_WORDS, _KNOWN_WORDS, _WINDOWS = 400_000, 150_000, 4096
+_SCORE = "__toxicity_score"
+_BLOCK_WORDS, _KNOWN_WORDS, _WINDOWS, _SEGMENTS = 400_000, 150_000, 4096, 1024
 _TABLE = bytes(c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
@@ -56,7 +63,7 @@ def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(codes)[order].astype(np.int64), np.bincount(owner, minlength=len(words))
 
 
-def windows(codes: np.ndarray, pad: int, stride: int = STRIDE) -> np.ndarray:
+def windows(codes: np.ndarray, pad: int, stride: int = TRAIN_STRIDE) -> np.ndarray:
     """Windows of a text's words, one from every stride-th word on, up to its end; a text of no words has none."""
     if not len(codes):
         return np.empty((0, WINDOW), np.int32)
@@ -73,7 +80,7 @@ def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
 
 
 def _sigmoid(x):
-    return np.float32(1) / (np.float32(1) + np.exp(-np.clip(x, -30, 30)))
+    return np.float32(0.5) + np.float32(0.5) * np.tanh(np.float32(0.5) * x)
 
 
 @dataclass
@@ -149,6 +156,53 @@ class Model:
         logit = pooled @ p["wo"] + p["bo"][0]
         return (logit, (both, saved, hidden, act, weight, pooled)) if keep else logit
 
+    def outputs(self, projected: np.ndarray, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Attention weight (not normalised) and output logit of every word; codes: the texts' words by indices of distinct
+        ones, joined, begins and ends: each text's own."""
+        p, pad, steps = self.p, projected.shape[1] - 1, LEAD + SEGMENT
+        parts = -(-(ends - begins) // SEGMENT)
+        owner = np.repeat(np.arange(len(begins)), parts)
+        start = begins[owner] + SEGMENT * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
+        order = np.argsort(ends[owner] - start, kind="stable")[::-1]  # segments of like length are read together
+        weight, logit = np.empty(len(codes), np.float32), np.empty(len(codes), np.float32)
+        for low in range(0, len(order), _SEGMENTS):
+            own = order[low : low + _SEGMENTS]
+            first, least, most = start[own, None], begins[owner[own], None], ends[owner[own], None]
+            size = int(min(SEGMENT, (most - first).max()))
+            ahead = first + np.arange(-LEAD, size)
+            back = first + np.arange(size + LEAD - 1, -1, -1)
+            places = np.stack((ahead, back))
+            real = (places >= least) & (places < most)
+            both = np.where(real, codes[np.where(real, places, 0)], pad)
+            n, steps = len(own), LEAD + size
+            h = np.zeros((2, n, HIDDEN), np.float32)
+            states = np.empty((2, size, n, HIDDEN), np.float32)
+            skip = 0 if (first > least).any() else LEAD  # no run-up where all texts begin; behind a text's end is padding
+            for t in range(steps):
+                at = both[:, :, t]
+                if t < skip and not real[:, :, t].any():
+                    continue
+                x = np.stack((projected[0][at[0]], projected[1][at[1]]))
+                g = h @ p["u"]
+                x[..., : 2 * HIDDEN] += g[..., : 2 * HIDDEN]
+                zr = _sigmoid(x[..., : 2 * HIDDEN])
+                new = zr[..., HIDDEN:] * g[..., 2 * HIDDEN :]
+                new += x[..., 2 * HIDDEN :]
+                np.tanh(new, out=new)
+                after = h - new
+                after *= zr[..., :HIDDEN]
+                after += new
+                h = after if real[:, :, t].all() else np.where(real[:, :, t, None], after, h)
+                if t >= LEAD:
+                    states[:, t - LEAD] = h
+            hidden = np.concatenate((states[0], states[1, ::-1]), axis=-1)
+            inside = real[0, :, LEAD:].T
+            where = ahead[:, LEAD:].T[inside]
+            hidden = hidden[inside]
+            weight[where] = np.tanh(hidden @ p["wa"] + p["ba"]) @ p["va"]
+            logit[where] = hidden @ p["wo"]
+        return np.exp(weight), logit
+
     def gradient(self, projected: np.ndarray, inputs: np.ndarray, windows_: np.ndarray, error: np.ndarray, kept: tuple):
         """Gradients of the parameters but the embeddings, and of the input rows, for errors of the logits."""
         p, (both, saved, hidden, act, weight, pooled) = self.p, kept
@@ -273,30 +327,32 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     return model
 
 
+def worst_windows(weight: np.ndarray, logit: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The largest weighted mean of logit in a window of each text (one of the whole text if it is shorter), from every word on."""
+    sums = np.zeros((2, len(weight) + 1))
+    np.cumsum(weight, out=sums[0, 1:])
+    np.cumsum(weight * logit, out=sums[1, 1:])
+    width = np.minimum(ends - begins, WINDOW)
+    counts = ends - begins - width + 1
+    first = np.arange(int(counts.sum())) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
+    last = first + np.repeat(width, counts)
+    means = (sums[1, last] - sums[1, first]) / (sums[0, last] - sums[0, first])
+    return np.maximum.reduceat(means, np.cumsum(counts) - counts)
+
+
 def scores(model: Model, texts) -> np.ndarray:
     """The score of each text; words are worked out once for each block of texts."""
 
     def block() -> np.ndarray:
-        pad = len(words)
         projected = model.projected(model.inputs(list(words)))
-        parts = [windows(c, pad) for c in codes]
-        counts = np.array([len(w) for w in parts])
-        logits = np.empty(int(counts.sum()), np.float32)
-        ready, at, have = [], 0, 0
-        for i, part in enumerate(parts):
-            for low in range(0, len(part), _WINDOWS):
-                ready.append(part[low : low + _WINDOWS])
-                have += len(ready[-1])
-                if have >= _WINDOWS:
-                    logits[at : at + have] = model.forward(projected, np.concatenate(ready))
-                    at, have, ready = at + have, 0, []
-            parts[i] = None
-        if have:
-            logits[at:] = model.forward(projected, np.concatenate(ready))
-        out = np.full(len(counts), model.p["bo"][0], np.float64)
-        has = np.flatnonzero(counts)
+        sizes = np.array([len(c) for c in codes])
+        ends = np.cumsum(sizes)
+        has = np.flatnonzero(sizes)
+        out = np.full(len(sizes), model.p["bo"][0], np.float64)
         if len(has):
-            out[has] = np.maximum.reduceat(logits, (np.cumsum(counts) - counts)[has])
+            begins, ends = (ends - sizes)[has], ends[has]
+            weight, logit = model.outputs(projected, np.concatenate(codes), begins, ends)
+            out[has] += worst_windows(weight, logit, begins, ends)
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
     found: list[np.ndarray] = []
@@ -321,22 +377,30 @@ def _scorer(model: Model):
     def run(batches):
         for batch in batches:
             found = scores(model, (t.as_py() for t in batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(found, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, _SCORE])
 
     return run
 
 
+def _scored(docs: DataFrame, model: Model) -> DataFrame:
+    """docs and the column _SCORE."""
+    kinds = T.StructType([*docs.schema.fields, T.StructField(_SCORE, T.DoubleType())])
+    return docs.mapInArrow(_scorer(model), kinds)
+
+
 def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
     """A model from labelled documents: labels (doc_id, toxic), at most so many of each class, chosen by hashed doc_id.
 
-    Labels of one doc_id count once, as the highest. The chosen ids, a bounded number, are broadcast, so the documents
-    are not shuffled. Null ids, labels and unlabelled documents are left out. Without both classes the model is that of
-    its first random weights.
+    Labels of one doc_id count once, as the highest; of several texts of a doc_id the one of least hash is used. The
+    chosen ids, a bounded number, are broadcast, so the documents are not shuffled, and texts over FIT_BYTES are left
+    out, so the driver holds at most (toxic_rows + clean_rows) * FIT_BYTES. Null ids, labels and unlabelled documents
+    are left out. Without both classes the model is that of its first random weights.
     """
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     key = (F.xxhash64("doc_id"), F.col("doc_id"))
     chosen = marked.where("toxic = 1").orderBy(*key).limit(toxic_rows).union(marked.where("toxic = 0").orderBy(*key).limit(clean_rows))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
+    short = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES)
+    rows = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     return train([r["text"] for r in rows], [r["toxic"] for r in rows])
 
@@ -345,17 +409,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, score (0 to 1, of the worst window), predicted (1 from THRESHOLD).
 
     One map over the texts, each read whole. Null texts and texts without words get the score of no evidence. Null and
-    repeated doc_ids: a result for each row. Other columns are not read. An empty table gives an empty result.
+    repeated doc_ids: a result for each row; equal texts get equal scores. Other columns are not read. An empty table
+    gives an empty result.
     """
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scorer(model), "doc_id long, score double")
-    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    out = _scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    return out.select("doc_id", F.col(_SCORE).alias("score"), (F.col(_SCORE) >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs whose text scores under THRESHOLD, with all their columns; edge cases as in score()."""
-
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(scores(model, (t.as_py() for t in batch.column("text"))) < THRESHOLD))
-
-    return docs.mapInArrow(run, docs.schema)
+    """The rows of docs that score() predicts 0 for, with all their columns; edge cases as there."""
+    return _scored(docs, model).where(F.col(_SCORE) < THRESHOLD).drop(_SCORE)

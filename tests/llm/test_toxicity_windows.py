@@ -1,20 +1,74 @@
-"""The toxicity score does not depend on where a passage stands in the text."""
+"""Scores against a plain network, word by word and window by window."""
+
+import math
 
 import numpy as np
+import pytest
 
 from corpusmill.llm import toxicity
 
 
-def test_every_window_is_read():
-    for n in (1, 31, 32, 33, 100):
-        found = {tuple(w) for w in toxicity.windows(np.arange(n, dtype=np.int32), n).tolist()}
-        assert all(tuple(range(i, i + toxicity.WINDOW)) in found for i in range(n - toxicity.WINDOW + 1))
+def _states(model, xs, way):
+    """Hidden states of one direction after each of the inputs, with plain loops."""
+    h = [0.0] * toxicity.HIDDEN
+    out, n = [], toxicity.HIDDEN
+    for x in xs:
+        a = [float(v) for v in x @ model.p["wx"][way] + model.p["b"][way][0]]
+        g = [sum(h[i] * float(model.p["u"][way][i][j]) for i in range(n)) for j in range(3 * n)]
+        z = [1 / (1 + math.exp(-(a[j] + g[j]))) for j in range(n)]
+        r = [1 / (1 + math.exp(-(a[n + j] + g[n + j]))) for j in range(n)]
+        new = [math.tanh(a[2 * n + j] + r[j] * g[2 * n + j]) for j in range(n)]
+        h = [new[j] + z[j] * (h[j] - new[j]) for j in range(n)]
+        out.append(h)
+    return out
+
 
+def _plain(model, text):
+    words = toxicity.words_of(text)
+    bias = float(model.p["bo"][0])
+    if not words:
+        return 1 / (1 + math.exp(-bias))
+    xs = model.inputs(words)[:-1]
+    ahead, back = [], []
+    for a in range(0, len(words), toxicity.SEGMENT):
+        b = min(a + toxicity.SEGMENT, len(words))
+        low, high = max(0, a - toxicity.LEAD), min(len(words), a + min(toxicity.SEGMENT, b - a) + toxicity.LEAD)
+        ahead += _states(model, xs[low:b], 0)[a - low :]
+        back += _states(model, xs[a:high][::-1], 1)[::-1][: b - a]
+    hidden = np.array([f + g for f, g in zip(ahead, back, strict=True)])
+    weight = np.exp(np.tanh(hidden @ model.p["wa"] + model.p["ba"]) @ model.p["va"])
+    best = -math.inf
+    for at in range(max(1, len(words) - toxicity.WINDOW + 1)):
+        w, own = weight[at : at + toxicity.WINDOW], hidden[at : at + toxicity.WINDOW]
+        best = max(best, float((w / w.sum()) @ own @ model.p["wo"]) + bias)
+    return 1 / (1 + math.exp(-best))
 
-def test_passages_score_alike_at_all_offsets():
-    model = toxicity.Model.fresh({b"bad": 0, b"ok": 1}, 3)
+
+@pytest.fixture(scope="module")
+def model():
     rng = np.random.default_rng(1)
-    passage = " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(toxicity.WINDOW))
-    alone = toxicity.scores(model, [passage])[0]
-    texts = [" ".join(["ok"] * i + [passage] + ["ok"] * (60 - i)) for i in range(48)]
-    assert (toxicity.scores(model, texts) >= alone - 1e-6).all()
+    mild = [" ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(n)) for n in rng.integers(3, 150, 60)]
+    return toxicity.train(mild + [m[: len(m) // 2] + " vile rude idiot " + m[len(m) // 2 :] for m in mild], [0] * 60 + [1] * 60)
+
+
+@pytest.mark.parametrize("segment", [96, 7])
+def test_scores_are_those_of_a_plain_network(model, monkeypatch, segment):
+    monkeypatch.setattr(toxicity, "SEGMENT", segment)
+    rng = np.random.default_rng(2)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(n)) + (" idiot" if n % 2 else "") for n in (1, 2, 5, 31, 32, 33, 95, 96, 97, 130, 300)]
+    texts += [None, "", " 12 \n", "vile", "vile", "x " * 500]
+    got = toxicity.scores(model, texts)
+    if segment == 96:
+        assert got == pytest.approx([_plain(model, t) for t in texts], abs=1e-4)
+    assert got[texts.index("vile")] == got[texts.index("vile") + 1]
+    monkeypatch.setattr(toxicity, "_BLOCK_WORDS", 50)  # blocks and batches change nothing
+    monkeypatch.setattr(toxicity, "_SEGMENTS", 3)
+    assert toxicity.scores(model, texts) == pytest.approx(got, abs=1e-5)
+
+
+def test_passages_score_alike_at_all_offsets(model):
+    rng = np.random.default_rng(3)
+    filler = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(260)]
+    texts = [" ".join(filler[:i] + ["vile", "rude", "idiot"] + filler[i:]) for i in range(0, 261, 3)]
+    found = toxicity.scores(model, texts)
+    assert found.min() > 0.7 and toxicity.scores(model, [" ".join(filler)])[0] < 0.3
