@@ -23,8 +23,9 @@ KINDS = {
     "phone": "\\+\\d{8,15}|\\d{3}-\\d{3}-\\d{4}|\\+\\d{1,3} ?\\(\\d{2,4}\\) ?\\d{3}[ -]\\d{4}|\\(\\d{3}\\) ?\\d{3}-\\d{4}|\\+\\d{1,3}(?:[ -]\\d{2,4}){3,5}",
     "card": "\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}|\\d{4}[ -]\\d{6}[ -]\\d{5}",
 }
-#: One pattern that finds candidates of all kinds; each starts outside of a word and ends at one's end.
-PATTERN = "(?<![\\w+@-])(?<!\\d\\.)(?:" + "|".join(KINDS[k] for k in ("email", "date", "phone", "ip", "ssn", "iban", "card")) + ")(?![\\w@-])(?!\\.\\d)"
+#: One pattern that finds candidates of all kinds; each starts outside of a word and ends at one's end, or before a time.
+_ENDS = "(?![\\w@-])(?!\\.\\d)"
+PATTERN = "(?<![\\w+@-])(?<!\\d\\.)(?:\\d{4}-\\d{2}-\\d{2}(?=T\\d{2}:\\d{2})|(?:" + "|".join(KINDS[k] for k in ("email", "date", "phone", "ip", "ssn", "iban", "card")) + ")" + _ENDS + ")"
 _FIRST_DAY, _DAYS = "1900-01-01", 73049  # through 2099-12-31; 17 * 4297, so a network over both factors permutes the days
 
 
@@ -36,7 +37,7 @@ def _number(key: str, round_: Column, *parts: Column) -> Column:
 
 def permuted_number(value: Column, first: Column, second: Column, key: str, tag: Column) -> Column:
     """A permutation of [0, first * second): an alternating Feistel network over value div second and value mod second."""
-    start = F.struct(F.floor(value / second).cast("long").alias("l"), F.pmod(value, second).cast("long").alias("r"))
+    start = F.struct(F.call_function("div", value, second).alias("l"), F.pmod(value, second).cast("long").alias("r"))
 
     def step(state: Column, i: Column) -> Column:
         l, r = state.getField("l"), state.getField("r")
@@ -113,8 +114,47 @@ def _fill(shape: Column, digits: Column) -> Column:
 
 
 def _date(value: Column) -> Column:
-    """The day of a date string, null if there is none such: ISO, month/day/year and day.month.year."""
-    return F.coalesce(F.try_to_timestamp(value, F.lit("yyyy-MM-dd")), F.try_to_timestamp(value, F.lit("MM/dd/yyyy")), F.try_to_timestamp(value, F.lit("dd.MM.yyyy"))).cast("date")
+    """The day of a date string, null if there is none such: ISO, day.month.year, and month/day/year or else day/month/year."""
+    return F.coalesce(*(F.try_to_timestamp(value, F.lit(f)) for f in ("yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy"))).cast("date")
+
+
+_LONG_MONTHS = (1, 3, 5, 7, 8, 10, 12)
+
+
+def _day_first(value: Column, key: str, tag: Column) -> Column:
+    """dd/MM/yyyy with a day over 12, permuted among those, so that it can't be read as month/day.
+
+    Days to 28 are permuted with month and year; later ones keep the day and are permuted over the months (and, for the
+    29th of February, the leap years) that have it.
+    """
+    day, month, year = (F.substring(value, a, n).cast("long") for a, n in ((1, 2), (4, 2), (7, 4)))
+    months = F.array(*(F.lit(m) for m in _LONG_MONTHS))
+    cases = (  # condition, number, its two factors, and day, month, year of a number
+        (day <= 28, ((year - 1900) * 12 + month - 1) * 16 + day - 13, 2400, 16, lambda n: (F.pmod(n, F.lit(16)) + 13, F.pmod(F.call_function("div", n, F.lit(16)), F.lit(12)) + 1, F.call_function("div", n, F.lit(192)) + 1900)),
+        (month == 2, F.call_function("div", year - 1904, F.lit(4)), 7, 7, lambda n: (day, month, n * 4 + 1904)),
+        (day == 31, (year - 1900) * 7 + F.array_position(months, month.cast("int")) - 1, 200, 7, lambda n: (day, F.get(months, F.pmod(n, F.lit(7)).cast("int")), F.call_function("div", n, F.lit(7)) + 1900)),
+        (F.lit(True), (year - 1900) * 11 + F.when(month > 1, month - 2).otherwise(0), 200, 11, lambda n: (day, F.when(F.pmod(n, F.lit(11)) > 0, F.pmod(n, F.lit(11)) + 2).otherwise(1), F.call_function("div", n, F.lit(11)) + 1900)),
+    )
+    pick = lambda at: F.coalesce(*(F.when(c[0], c[at] if isinstance(c[at], Column) else F.lit(c[at])).cast("long") for c in cases))
+    moved = permuted_number(pick(1), pick(2), pick(3), key, F.concat_ws(":", tag, F.when(day > 28, day.cast("string")).otherwise("")))
+    text = lambda parts: F.concat_ws("/", *(F.lpad(x.cast("string"), n, "0") for x, n in zip(parts, (2, 2, 4), strict=True)))
+    # the array of one element binds the number, so that it is worked out once
+    return F.transform(F.array(moved), lambda n: F.coalesce(*(F.when(c[0], text(c[4](n))) for c in cases)))[0]
+
+
+def _ssn(digits: Column, key: str, tag: Column) -> Column:
+    """A social security number permuted among the valid ones: areas 1 to 899 but 666, groups from 1, serials from 1."""
+    area, group, serial = (F.substring(digits, a, n).cast("long") for a, n in ((1, 3), (4, 2), (6, 4)))
+    number = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1) * 9999 + serial - 1
+    moved = permuted_number(number, F.lit(898 * 99).cast("long"), F.lit(9999).cast("long"), key, tag)
+
+    def text(n: Column) -> Column:
+        rest = F.call_function("div", n, F.lit(9999))
+        area = F.call_function("div", rest, F.lit(99)) + 1
+        parts = (area + (area >= 666).cast("int"), 3), (F.pmod(rest, F.lit(99)) + 1, 2), (F.pmod(n, F.lit(9999)) + 1, 4)
+        return F.concat(*(F.lpad(x.cast("string"), size, "0") for x, size in parts))
+
+    return F.transform(F.array(moved), text)[0]
 
 
 def kind_of(value: Column) -> Column:
@@ -141,7 +181,8 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     check = F.pmod(-luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
     day = permuted_number(F.datediff(_date(value), F.lit(_FIRST_DAY).cast("date")).cast("long"), F.lit(17).cast("long"), F.lit(_DAYS // 17).cast("long"), key, kind)
     date = F.date_add(F.lit(_FIRST_DAY).cast("date"), day.cast("int"))
-    shaped = F.when(value.contains("-"), F.date_format(date, "yyyy-MM-dd")).when(value.contains("/"), F.date_format(date, "MM/dd/yyyy")).otherwise(F.date_format(date, "dd.MM.yyyy"))
+    shaped = F.when(value.contains("-"), F.date_format(date, "yyyy-MM-dd")).when(value.contains("."), F.date_format(date, "dd.MM.yyyy"))
+    shaped = shaped.when(F.substring(value, 1, 2) > "12", _day_first(value, key, kind)).otherwise(F.date_format(date, "MM/dd/yyyy"))
     parts = F.transform(F.split(value, "\\."), lambda x: x.cast("long"))
     address = permuted_number(F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a * 256 + x), F.lit(65536).cast("long"), F.lit(65536).cast("long"), key, kind)
     quad = F.concat_ws(".", *(F.pmod(F.floor(address / (1 << s)), F.lit(256)).cast("string") for s in (24, 16, 8, 0)))
@@ -155,7 +196,7 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
         .when(kind == "date", shaped)
         .when(kind == "ip", quad)
         .when(kind == "card", _fill(value, F.concat(body, check)))
-        .when(kind == "ssn", _fill(value, permuted_digits(digits, key, kind)))
+        .when(kind == "ssn", _fill(value, _ssn(digits, key, kind)))
         .when(kind == "phone", phone)
         .when(kind == "iban", _iban(value, iban))
         .otherwise(value)
@@ -171,7 +212,7 @@ def _iban(value: Column, account: Column) -> Column:
     return F.when(value.contains(" "), grouped).otherwise(compact)
 
 
-def pseudonymize(docs: DataFrame, key: str = "corpus") -> DataFrame:
+def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """docs (doc_id, text and any more columns) with its text changed, and pii_kinds, pii_values: the finds in order.
 
     Candidates of PATTERN that are valid of their kind (Luhn for cards, mod 97 for IBANs, calendar dates from 1900 to
@@ -180,11 +221,13 @@ def pseudonymize(docs: DataFrame, key: str = "corpus") -> DataFrame:
     digits, dates stay dates. So equal values stay equal in all documents, and different ones different.
     pii_values holds the pseudonyms, never the originals. One map over the table, without a shuffle.
 
-    Not found, and left in clear text: telephone numbers of bare digits (5551234567), days and months of one digit
-    (1/2/2024), and dates that a time follows without a blank (2024-01-02T10:00:00).
+    key is secret: with it all pseudonyms can be turned back. Dates are ISO (a time may follow), dd.MM.yyyy, MM/dd/yyyy,
+    and dd/MM/yyyy where the day is over 12. Not found, and left in clear text: telephone numbers of bare digits
+    (5551234567), and days and months of one digit (1/2/2024).
 
-    Null text: null, no finds. Repeated rows and null doc_ids: changed alike. Other columns pass through, but for
-    pii_kinds and pii_values, which are replaced. An empty table gives an empty result.
+    Null and empty texts: as they are, no finds. Texts are read whole, whatever their length. Repeated rows and null
+    doc_ids: changed alike; the longest kind in the order of KINDS takes a place that several match. Other columns pass
+    through, but for pii_kinds and pii_values, which are replaced. An empty table gives an empty result.
     """
     docs = docs.drop("pii_kinds", "pii_values")
     text = F.col("text")

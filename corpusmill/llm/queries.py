@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from corpusmill.llm import bpe, decontaminate, kd_shards, line_dedup, minhash, pii, quality_bands, secret_scan, suffix_dedup, toxicity
 from corpusmill.llm.storage import documents
 
+#: The key of the registered query only; whoever keeps a corpus passes a secret of their own.
+PII_KEY = "registered-query"
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -65,7 +67,7 @@ ORACLES["op9_decontamination"] = decontaminate.ORACLE
 
 @query
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymize(documents(spark, sf_dir)).select("doc_id", F.size("pii_kinds").cast("long").alias("n_values"), "pii_kinds", "pii_values", "text")
+    return pii.pseudonymize(documents(spark, sf_dir), PII_KEY).select("doc_id", F.size("pii_kinds").cast("long").alias("n_values"), "pii_kinds", "pii_values", "text")
 
 
 @query
