@@ -10,34 +10,44 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: What may be a secret: a run of 16 or more key characters with a digit, or a key with a known prefix.
-CANDIDATE = "(?<![A-Za-z0-9_+/.@-])(?=[A-Za-z_+/-]{0,4000}\\d)[A-Za-z0-9_+/-]{16,4096}={0,2}(?![A-Za-z0-9_+/@-])"
-#: How keys of well-known services begin; these need no neighbour that says so.
-PREFIXES = "^(?:AKIA|ASIA|AIza|gh[pousr]_|[sr]k_(?:live|test)_|xox[abpr]-)"
+#: How keys of well-known services begin; these need no digit, and no neighbour that says so.
+PREFIXES = "AKIA|ASIA|AIza|gh[pousr]_|[sr]k_(?:live|test)_|xox[abpr]-"
+_ASSIGNED = "(?<=[=:'\"\\x20])(?<=(?i:password|passwd|pwd|pass|secret|token|api_?key|auth)\\x20{0,2}[=:]\\x20{0,2}['\"]?)"
+#: What may be a secret, of any length: what is assigned to a name that says so; a web token of three parts; a key with a
+#: known prefix; and a run of 16 or more key characters with a digit. Runs are taken whole (possessively), so that the
+#: search is linear.
+CANDIDATE = (
+    _ASSIGNED + "[^\\s'\"`<>(){}\\[\\],;]{6,}+|(?<![A-Za-z0-9_+/.@-])(?:eyJ[A-Za-z0-9_-]++\\.[A-Za-z0-9_-]++\\.[A-Za-z0-9_-]++"
+    "|(?:" + PREFIXES + ")[A-Za-z0-9_+/-]{12,}+|(?=[A-Za-z_+/-]*+\\d)[A-Za-z0-9_+/-]{16,}+={0,2})(?![A-Za-z0-9_+/@-])"
+)
 #: Words that neighbour secrets, and words that neighbour or contain examples, hashes and other harmless values.
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "auth", "bearer", "credential", "private", "access_key", "client_secret", "login", "pass")
 HARMLESS_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "digest", "uuid", "guid", "id", "version", "build", "revision", "example", "sample", "placeholder", "dummy", "test", "call", "phone", "card", "account", "page", "file", "isbn", "order")
 PATH_WORDS = ("test", "example", "sample", "fixture", "mock", "docs", "doc", "spec", "demo")
 #: Frequent parts of words, for the share of a candidate that reads like language.
 DICTIONARY = ("tion", "ing", "and", "the", "ent", "ion", "for", "ate", "ver", "ter", "con", "pro", "com", "ment", "able", "ness", "ist", "est", "our", "ell", "que", "ich", "sch", "ung", "keit", "heit", "ció", "mente", "eau", "elle", "data", "file", "name", "user", "test", "main", "index", "page", "home", "http", "www", "html", "example", "value", "string", "config", "default", "get", "set", "new", "old", "er", "in", "on", "an", "re", "en", "at", "st", "es", "or", "is", "le", "de", "la", "un")
-FEATURES = ("length", "transitions", "coverage", "digits", "letters", "mixed", "secret_near", "harmless_near", "quoted", "assigned", "harmless_path", "prefixed")
+FEATURES = ("length", "transitions", "coverage", "digits", "letters", "mixed", "secret_near", "harmless_near", "secret_after", "harmless_after", "quoted", "assigned", "harmless_path", "prefixed")
+#: Words that make harmless values in generated findings; none is a part in DICTIONARY.
+PLAIN_WORDS = ("river", "bottle", "lamp", "quick", "brown", "jump", "yellow", "cloud", "harbour", "silk", "umbrella", "kayak", "window", "grape", "dwarf", "jigsaw", "bamboo", "puzzle", "lemon", "falcon")
+PLACEHOLDERS = ("changeme", "xxxxxxxx", "********", "undefined", "password", "your_key_here", "ENV_VALUE", "required", "optional")
 #: Rows of labelled findings that a model is fitted on at most.
 LABELLED_ROWS = 20_000
 THRESHOLD = 0.5
 
 
 def findings(docs: DataFrame, path: str | None = "source") -> DataFrame:
-    """A row per candidate of docs (doc_id, text): doc_id, path, place, before, candidate.
+    """A row per candidate of docs (doc_id, text): doc_id, path, place, before, candidate, after.
 
-    place counts the candidates of a text from 0; before: up to three words in front of it, with what stands between.
+    place counts the candidates of a text from 0; before and after: up to three words on each side, with what stands
+    between, to the candidate beside it.
     """
     where = F.col(path).cast("string") if path else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(where, F.lit("")).alias("path"), "text").where(F.col("text").rlike(CANDIDATE))
     # what lies between two finds is at hand by splitting at them, so each context is cut from its own piece
     rows = rows.select("doc_id", "path", F.split("text", CANDIDATE, -1).alias("gaps"), F.posexplode(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).alias("place", "candidate"))
-    gap = F.element_at("gaps", F.col("place") + 1)
-    before = F.regexp_extract(F.substring(gap, -80, 80), "((?:\\S+\\s+){0,2}\\S*\\s*)$", 1)
-    return rows.select("doc_id", "path", F.col("place").cast("long").alias("place"), before.alias("before"), "candidate")
+    before = F.regexp_extract(F.substring(F.element_at("gaps", F.col("place") + 1), -80, 80), "((?:\\S+\\s+){0,2}\\S*\\s*)$", 1)
+    after = F.regexp_extract(F.substring(F.element_at("gaps", F.col("place") + 2), 1, 80), "^(\\S*(?:\\s+\\S+){0,3})", 1)
+    return rows.select("doc_id", "path", F.col("place").cast("long").alias("place"), before.alias("before"), "candidate", after.alias("after"))
 
 
 def _near(text: Column, words: tuple[str, ...]) -> Column:
@@ -45,7 +55,7 @@ def _near(text: Column, words: tuple[str, ...]) -> Column:
 
 
 def features(found: DataFrame) -> DataFrame:
-    """found with one column for each of FEATURES, from candidate, before and path."""
+    """found with one column for each of FEATURES, from candidate, before, after and path."""
     value = F.col("candidate")
     classes = F.translate(value, "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0" * 10 + "a" * 26 + "A" * 26)
     runs = F.length(F.regexp_replace(classes, "(.)\\1+", "$1"))
@@ -60,10 +70,12 @@ def features(found: DataFrame) -> DataFrame:
         "mixed": (value.rlike("[a-z]") & value.rlike("[A-Z]")).cast("double"),
         "secret_near": _near("before", SECRET_WORDS),
         "harmless_near": _near("before", HARMLESS_WORDS),
+        "secret_after": _near("after", SECRET_WORDS),
+        "harmless_after": _near("after", HARMLESS_WORDS),
         "quoted": F.col("before").rlike("[\"'`]$").cast("double"),
         "assigned": F.col("before").rlike("[=:]\\s*[\"'`]?$").cast("double"),
         "harmless_path": _near("path", PATH_WORDS),
-        "prefixed": value.rlike(PREFIXES).cast("double"),
+        "prefixed": value.rlike(f"^(?:{PREFIXES}|eyJ)").cast("double"),
     })
 
 
@@ -74,25 +86,27 @@ def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
     choose = lambda options, by: F.element_at(F.array(*(F.lit(o) if isinstance(o, str) else o for o in options)), (F.pmod(by, F.lit(len(options))) + 1).cast("int"))
     size = (F.pmod(F.col("y"), F.lit(3)) * 8 + 24).cast("int")
     text = F.regexp_replace("b64", "[+/=]", "")
-    secret = choose([F.substring("hex", 1, 40), F.substring("hex", F.lit(1), size), F.substring(text, F.lit(1), size), F.concat(F.lit("sk_live_"), F.substring(text, 1, 24)), F.concat(F.lit("ghp_"), F.substring(text, 1, 36)), F.concat(F.lit("AKIA"), F.upper(F.substring("hex", 1, 16))), F.col("b64")], F.col("x"))
+    secret = choose([F.substring("hex", 1, 40), F.substring("hex", F.lit(1), size), F.substring(text, F.lit(1), size), F.concat(F.lit("sk_live_"), F.substring(text, 1, 24)), F.concat(F.lit("ghp_"), F.substring(text, 1, 36)), F.concat(F.lit("AKIA"), F.upper(F.substring("hex", 1, 16))), F.col("b64"), F.concat(F.substring(text, 3, 6), choose(["!", "#", "9", "x4"], F.col("y")), F.substring("hex", 5, 2)), F.concat(F.lit("ghp_"), F.substring(F.regexp_replace(text, "\\d", ""), 1, 30)), F.concat(F.lit("AKIA"), F.substring(F.upper(F.regexp_replace(text, "\\d", "")), 1, 16)), F.concat(F.lit("eyJ"), F.substring(text, 1, 20), F.lit("."), F.substring(text, 5, 24), F.lit("."), text)], F.col("x"))
     numbers = F.regexp_replace("hex", "[a-f]", "")
     join = choose(["-", "_", "/", ""], F.col("y"))
-    some = [choose(list(DICTIONARY[a:b]), by) for a, b, by in ((0, 24, F.col("x")), (10, 45, F.col("y")), (0, 40, F.col("x") + F.col("y")), (5, 45, F.col("x") * 3 + 1))]
+    some = [choose(list(PLAIN_WORDS[a:b]), by) for a, b, by in ((0, 12, F.col("x")), (6, 20, F.col("y")), (0, 20, F.col("x") + F.col("y")), (3, 17, F.col("x") * 3 + 1))]
     words = F.concat(some[0], join, some[1], join, some[2], join, some[3], join, some[0], F.pmod("y", F.lit(100)).cast("string"))
     uuid = F.regexp_replace(F.substring("hex", 1, 32), "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5")
-    harmless = choose([F.rpad(F.substring(numbers, 1, 16), 16, "7"), F.substring("hex", 1, 40), words, uuid, words, F.rpad(F.substring(numbers, 1, 20), 18, "3"), F.substring("hex", 1, 32), F.concat(F.lit("1234567890"), choose(["abcdef", "1234567", "xxxxxxxx"], F.col("y")))], F.col("x"))
+    harmless = choose([F.rpad(F.substring(numbers, 1, 16), 16, "7"), F.substring("hex", 1, 40), words, uuid, words, F.rpad(F.substring(numbers, 1, 20), 18, "3"), F.substring("hex", 1, 32), F.concat(F.lit("1234567890"), choose(["abcdef", "1234567", "xxxxxxxx"], F.col("y"))), choose(list(PLACEHOLDERS), F.col("y"))], F.col("x"))
     secret_lead = F.concat(choose(["", "the ", "then let ", "export ", "in that. "], F.col("y")), choose(list(SECRET_WORDS), F.col("x") + F.col("y")), choose([" = \"", "=\"", ": \"", "=", " = '", ": "], F.col("x") * 7 + F.col("y")))
-    plain = F.concat(choose(list(DICTIONARY), F.col("y")), F.lit(" "), choose(list(DICTIONARY), F.col("x")), F.lit(" "))
+    plain = F.concat(choose(list(PLAIN_WORDS), F.col("y")), F.lit(" "), choose(list(PLAIN_WORDS), F.col("x")), F.lit(" "))
     harmless_lead = F.when(F.pmod("y", F.lit(2)) == 0, plain).otherwise(F.concat(choose(["", "the ", "see "], F.col("y")), choose(list(HARMLESS_WORDS), F.col("x") + F.col("y")), choose([" ", ": ", " = \"", "="], F.col("x") * 5 + F.col("y"))))
-    secret_lead = F.when(F.pmod("x", F.lit(7)).isin(3, 4, 5) & (F.pmod("y", F.lit(3)) > 0), plain).otherwise(secret_lead)
+    secret_lead = F.when(F.pmod("x", F.lit(11)).isin(3, 4, 5, 8, 9, 10) & (F.pmod("y", F.lit(3)) > 0), plain).otherwise(secret_lead)
     label = F.pmod("id", F.lit(2)).cast("double")
-    harmless_kind = F.when(F.pmod("x", F.lit(8)).isin(1, 6), F.concat(choose(list(HARMLESS_WORDS), F.col("y")), choose([" ", ": "], F.col("x")))).otherwise(harmless_lead)
+    harmless_kind = F.when(F.pmod("x", F.lit(9)) == 8, secret_lead).when(F.pmod("x", F.lit(9)).isin(1, 6), F.concat(choose(list(HARMLESS_WORDS), F.col("y")), choose([" ", ": "], F.col("x")))).otherwise(harmless_lead)
     path = F.when((label == 0) & (F.pmod("y", F.lit(5)) == 0), choose(["tests/a", "docs/b", "example/c"], F.col("x"))).otherwise(choose(["src0", "src1", "app/main", "src17"], F.col("y")))
-    return base.select(F.when(label == 1, secret).otherwise(harmless).alias("candidate"), F.when(label == 1, secret_lead).otherwise(harmless_kind).alias("before"), path.alias("path"), label.alias("label"))
+    tail = F.concat(choose(["\" ", "\"; ", "' ", " ", ", "], F.col("x") + 2), choose(list(PLAIN_WORDS), F.col("y") + 3), F.lit(" "))
+    tail = F.when((label == 0) & (F.pmod("y", F.lit(6)) == 0), F.concat(tail, choose(list(HARMLESS_WORDS), F.col("x") + 1))).otherwise(F.concat(tail, choose(list(PLAIN_WORDS), F.col("x"))))
+    return base.select(F.when(label == 1, secret).otherwise(harmless).alias("candidate"), F.when(label == 1, secret_lead).otherwise(harmless_kind).alias("before"), tail.alias("after"), path.alias("path"), label.alias("label"))
 
 
 def fit(labelled: DataFrame, trees: int = 20, depth: int = 8) -> RandomForestClassificationModel:
-    """A random forest over FEATURES from at most LABELLED_ROWS findings (candidate, before, path, label)."""
+    """A random forest over FEATURES from at most LABELLED_ROWS findings (candidate, before, after, path, label)."""
     rows = features(labelled.limit(LABELLED_ROWS)).select("label", *FEATURES)
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="sqrt").fit(data)
@@ -104,8 +118,9 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, path: str | No
     fingerprint is the SHA-256 of the candidate, so results hold no secrets. score is the forest's share of trees for
     a secret; is_secret if it is THRESHOLD or more. One map over the table, without a shuffle.
 
-    Null and empty texts have no candidates. Null doc_id and path: kept, as empty path. Repeated rows: a result for
-    each. Other columns are not read. An empty table gives an empty result.
+    Null and empty texts have no candidates; texts and candidates of any length are read whole. Null doc_id and path:
+    kept, as empty path. Repeated rows: a result for each; equal findings get equal scores, and of alternatives at one
+    place the first in CANDIDATE counts. Other columns are not read. An empty table gives an empty result.
     """
     found = features(findings(docs, path))
     scored = model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(found))
