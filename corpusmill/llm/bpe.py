@@ -119,16 +119,12 @@ class _Block:
         words: defaultdict[str, int] = defaultdict(itertools.count().__next__)
         used = np.zeros(len(pieces), bool)
         used[stream] = True
-        codes, sizes = [], np.zeros(len(pieces), np.int64)
+        flat, sizes, code = [], [0] * len(pieces), words.__getitem__
         for i in np.flatnonzero(used).tolist():
-            piece = pieces[i]
-            if len(piece) < LONG:
-                own = [words[w] for w in self.find(piece)]
-            else:
-                own = np.fromiter((words[m.group()] for m in self.scan(piece)), np.int32)
-            sizes[i] = len(own)
-            codes.append(np.asarray(own, np.int32))
-        flat = np.concatenate(codes)
+            before, piece = len(flat), pieces[i]
+            flat.extend(map(code, self.find(piece)) if len(piece) < LONG else (code(m.group()) for m in self.scan(piece)))
+            sizes[i] = len(flat) - before
+        flat, sizes = np.array(flat, np.int32), np.array(sizes, np.int64)
         starts = np.cumsum(sizes) - sizes
         ends = np.concatenate(([0], np.cumsum(sizes[stream])))
         edges = np.concatenate(([0], np.cumsum(counts)))
@@ -155,8 +151,8 @@ def _pretokens(pattern: str, buckets: int):
         content = hashlib.blake2b(repr(block.rows).encode(), digest_size=8)
         content.update(counts.astype(np.int64).tobytes())
         content.update(stream.tobytes())
-        for w in raw:
-            content.update(len(w).to_bytes(4, "little") + w)
+        content.update(np.array([len(w) for w in raw], np.int64).tobytes())
+        content.update(b"".join(raw))
         key = int.from_bytes(content.digest(), "little") >> 1
         bucket = np.fromiter((xxh64_intdigest(w) % buckets for w in raw), np.int64, len(raw))
         order = np.argsort(bucket, kind="stable")

@@ -41,7 +41,8 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_bands.quality(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    return quality_bands.quality(docs, quality_bands.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")))
 
 
 @query

@@ -3,37 +3,50 @@
 Suffixes are compared through the threshold only, most significant digit first, and whatever is alone after a digit
 is done. The first digit of a suffix is the smallest of the 37-byte strings in its first 100 bytes: equal windows have
 equal digits, and as neighbouring suffixes mostly share the digit, one record stands for a run of about 30 of them. The
-second digit is the rest of the run's bytes. Runs that agree through both are repeated windows. Of runs that agree in
-the first digit only, one of each kind goes on: another digit, 32 bytes more to one side, parts them again, so that a
-phrase of thousands of documents is spread by what surrounds it, and the last pass compares the suffixes one by one.
+second digit is all bytes of the run: runs that agree in it are repeated windows. Of runs that agree in the first digit
+only, one of each kind goes on to the last digit, all 100 bytes of each of its suffixes; equal groups are exactly the
+repeated windows.
+
+Bytes are compared by 96-bit BLAKE2b digests, the first digits by 48 bits of a weak hash: where these agree by chance,
+runs go on to the next digit, and nothing else. Each digit but the first is dealt out by its digest, so that a passage or
+phrase of a third of all documents is spread by what surrounds it; equal digits of one batch meet before the shuffle.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from corpusmill.llm.hashing import BLOCK, U, mix, prefix, slice_hash, window_hash
+from corpusmill.llm.hashing import BLOCK, U, mix, prefix, window_hash
 from corpusmill.llm.storage import materialize
 
-LENGTH, DIGIT, SIDE = 100, 37, 32
-#: Suffixes that a task of the last pass holds at once.
-SUFFIXES = 400_000
+LENGTH, DIGIT = 100, 37
+#: Kinds of runs with one first digit in a batch up to which they are dealt out by it. More are known to share the digit
+#: and go on at once, and a mark says so to those of other batches.
+KINDS = 8
 _STEPS = (1, 2, 4, 8, 16, 32)
 assert sum(_STEPS) + 1 + DIGIT == LENGTH + 1
 _RUNS, _COVERED, _OPEN = 0, 1, 2
-_FLAT = pa.schema([("kind", pa.int8()), ("k", pa.int64()), ("part", pa.int64()), ("lo", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
+_MARK = 256
+_DIGEST = np.dtype([("a", "<u8"), ("b", "<u4")])
 _PACKED = "bucket int, kind byte, body binary"
+_SPANS = "kind byte, k long, part long, los array<long>, ends array<long>"
+_SPAN_SCHEMA = pa.schema([("kind", pa.int8()), ("k", pa.int64()), ("part", pa.int64()), ("los", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
+
+
+def digests(buffer: memoryview, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The digest of each slice."""
+    return np.frombuffer(b"".join([blake2b(buffer[a:b], digest_size=12).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)]), _DIGEST)
 
 
 def runs_of(buffer: np.ndarray, valid: np.ndarray):
-    """Runs of windows with one first digit: (digit, its place in the first window, first start, last start, hash of the bytes spanned)."""
-    sums = prefix(buffer)
-    low = mix(window_hash(sums, DIGIT))
+    """Runs of windows with one first digit: (digit, first start, last start)."""
+    low = mix(window_hash(prefix(buffer), DIGIT))
     at = np.arange(len(low), dtype=np.int32)
     for d in _STEPS:
         left = low[:-d] <= low[d:]
@@ -44,8 +57,7 @@ def runs_of(buffer: np.ndarray, valid: np.ndarray):
     end = np.concatenate((change, [len(at)])) - 1
     keep = valid[start]
     start, end = start[keep], end[keep]
-    rest = mix(slice_hash(sums, start, end + LENGTH) + (end - start).astype(U))
-    return low[start], at[start] - start, start, end, rest
+    return low[start], start, end
 
 
 def _pieces(texts: list[bytes]):
@@ -66,23 +78,23 @@ def _pieces(texts: list[bytes]):
 
 
 def _records(texts: list[bytes]):
-    """Columns (row, start, shape, first digit, rest) of all runs, in the order of the texts; shape: windows less 1, and 256 times the digit's place."""
+    """Columns (row, start, windows less 1, first digit, digest of the bytes) of all runs, in the order of the texts."""
     out = []
     for group in _pieces(texts):
-        buffer = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
+        whole = b"".join(p for _, _, p in group)
         ends = np.cumsum([len(p) for _, _, p in group])
         begins = np.concatenate(([0], ends[:-1]))
-        windows = len(buffer) - LENGTH + 1
+        windows = len(whole) - LENGTH + 1
         valid = np.ones(windows, bool)
         for a, e in zip(begins.tolist(), ends.tolist(), strict=True):
             valid[max(a, e - LENGTH + 1) : e] = False
-        digit, place, start, end, rest = runs_of(buffer, valid)
+        digit, start, end = runs_of(np.frombuffer(whole, np.uint8), valid)
         piece = np.searchsorted(ends, start, side="right")
         rows = np.array([i for i, _, _ in group])[piece]
         offsets = np.array([o for _, o, _ in group])[piece]
-        out.append((rows, start - begins[piece] + offsets, end - start + 256 * place, digit, rest))
+        out.append((rows, start - begins[piece] + offsets, end - start, digit, digests(memoryview(whole), start, end + LENGTH)))
     if not out:
-        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, U, U))
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, U, _DIGEST))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -113,24 +125,52 @@ def _wide(values: np.ndarray) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
-def _first_of_group(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Stable order by key, and for each element the index of the first with its key."""
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate(([True], key[order][1:] != key[order][:-1]))
+def _first_of_group(key: np.ndarray) -> np.ndarray:
+    """For each digest the index of the first that is equal."""
+    a, b = key["a"], key["b"]
+    order = np.argsort(a, kind="stable")
+    same = a[order][1:] == a[order][:-1]
+    if (same & (b[order][1:] != b[order][:-1])).any():
+        order = np.lexsort((b, a))
+        same = a[order][1:] == a[order][:-1]
+    new = np.concatenate(([True], ~same | (b[order][1:] != b[order][:-1])))
     first = np.empty(len(key), np.int64)
     first[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-    return order, first
+    return first
 
 
 def _merged(k, part, lo, end):
-    """Union of intervals, which come in order, per document."""
+    """Union of intervals, which come in order of their starts, per document."""
     if not len(lo):
         return k, part, lo, end
-    new = np.concatenate(([True], (k[1:] != k[:-1]) | (part[1:] != part[:-1]) | (lo[1:] > end[:-1])))
+    other = np.concatenate(([False], (k[1:] != k[:-1]) | (part[1:] != part[:-1])))
+    base = np.cumsum(other) << 40  # ends of later documents are above all of those before
+    end = np.maximum.accumulate(end + base) - base
+    new = np.concatenate(([True], other[1:] | (lo[1:] > end[:-1])))
     begin = np.flatnonzero(new)
     return k[begin], part[begin], lo[begin], end[np.concatenate((begin[1:], [len(lo)])) - 1]
 
 
+def _dealt(bucket: np.ndarray, kind: int, columns: list[np.ndarray], out: tuple[list, list, list]) -> None:
+    """Pack columns by bucket into the lists of out: buckets, kinds, bodies."""
+    if not len(bucket):
+        return
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order])) + 1
+    for pick in np.split(order, edges):
+        out[0].append(int(bucket[pick[0]]))
+        out[1].append(kind)
+        out[2].append(_pack(*(c[pick] for c in columns)))
+
+
+def _packed_batch(out: tuple[list, list, list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int8()), pa.array(out[2], pa.binary())], ["bucket", "kind", "body"])
+
+
+def _share(values: np.ndarray, buckets: int) -> np.ndarray:
+    return ((values >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
+
+
 def _scan(buckets: int):
     """First pass over the texts: runs that recur within a batch are settled at once, one of each kind is dealt out."""
 
@@ -144,154 +184,113 @@ def _scan(buckets: int):
             row, lo, n, digit, rest = _records(texts)
             if not len(row):
                 continue
-            _, first = _first_of_group(mix(digit ^ (rest * U(0x9E3779B97F4A7C15))))
+            first = _first_of_group(rest)
             own = first == np.arange(len(first))
             same = (k[row] == k[row[first]]) & (part[row] == part[row[first]]) & (lo == lo[first])
             late = ~own & ~same
-            where, kinds, bodies = [], [], []
-            found = _merged(k[row[late]], part[row[late]], lo[late], lo[late] + n[late] % 256 + LENGTH)
-            if len(found[0]):
-                where.append(int(mix(np.array([len(found[0])], U) ^ digit[:1])[0] % U(buckets)))
-                kinds.append(_COVERED)
-                bodies.append(_pack(*found))
+            out = ([], [], [])
+            found = _merged(k[row[late]], part[row[late]], lo[late], lo[late] + n[late] + LENGTH)
+            _dealt(_share(mix(found[0].astype(np.int64).view(U)), buckets), _COVERED, list(found), out)
             row, lo, n, digit, rest = row[own], lo[own], n[own], digit[own], rest[own]
-            bucket = ((digit >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in range(buckets):
-                pick = order[cuts[b] : cuts[b + 1]]
-                if len(pick):
-                    where.append(b)
-                    kinds.append(_RUNS)
-                    bodies.append(_pack(k[row[pick]], part[row[pick]], lo[pick], n[pick].astype(np.uint16), _six(digit[pick]), _six(rest[pick])))
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(kinds, pa.int8()), pa.array(bodies, pa.binary())], ["bucket", "kind", "body"])
+            _, group, sizes = np.unique(digit, return_inverse=True, return_counts=True)
+            many = sizes[group] > KINDS
+            _dealt(_share(rest["a"][many], buckets), _OPEN, [k[row[many]], part[row[many]], lo[many], lo[many] + n[many]], out)
+            marks = np.flatnonzero(many)[np.unique(group[many], return_index=True)[1]] if many.any() else np.empty(0, np.int64)
+            some = np.concatenate((np.flatnonzero(~many), marks))
+            n = n.astype(np.uint16)
+            n[marks] |= _MARK
+            _dealt(_share(digit[some], buckets), _RUNS, [k[row[some]], part[row[some]], lo[some], n[some], _six(digit[some]), rest[some]], out)
+            yield _packed_batch(out)
 
     return run
 
 
-def _flat(kind: int, k, part, lo, n, key) -> pa.Table:
-    return pa.Table.from_arrays([pa.array(np.full(len(k), kind, np.int8)), *(pa.array(np.asarray(x, np.int64)) for x in (k, part, lo, n, key))], schema=_FLAT)
+def _spans(kind: int, k: np.ndarray, part: np.ndarray, lo: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    """A row for each document, with its spans in order."""
+    order = np.lexsort((lo, part, k))
+    k, part, lo, end = (np.asarray(x, np.int64)[order] for x in (k, part, lo, end))
+    if kind == _COVERED:
+        k, part, lo, end = _merged(k, part, lo, end)
+    at = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (part[1:] != part[:-1])))) if len(k) else np.empty(0, np.int64)
+    offsets = pa.array(np.append(at, len(k)), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int8)), pa.array(k[at]), pa.array(part[at]), pa.ListArray.from_arrays(offsets, pa.array(lo)), pa.ListArray.from_arrays(offsets, pa.array(end))], schema=_SPAN_SCHEMA)
 
 
 def _first_digits(table: pa.Table) -> pa.Table:
     """One bucket of first digits: runs with an equal one before them are covered; kinds that share the digit stay open."""
-    out, parts = [], []
+    done: dict[int, list] = {_COVERED: [], _OPEN: []}
+    parts = []
     for kind, body in zip(table.column("kind").to_pylist(), table.column("body"), strict=True):
-        if kind == _COVERED:
-            k, part, lo, end = _unpack(body.as_py(), np.int64, np.int64, np.int64, np.int64)
-            out.append(_flat(_COVERED, k, part, lo, end, np.zeros(len(k))))
+        if kind == _RUNS:
+            parts.append(_unpack(body.as_py(), np.int64, np.int64, np.int64, np.uint16, "V6", _DIGEST))
         else:
-            parts.append(_unpack(body.as_py(), np.int64, np.int64, np.int64, np.uint16, "V6", "V6"))
+            done[kind].append(_unpack(body.as_py(), np.int64, np.int64, np.int64, np.int64))
     if parts:
         k, part, lo, n, key, rest = (np.concatenate(x) for x in zip(*parts, strict=True))
-        key, rest, n = _wide(key), _wide(rest), n.astype(np.int64)
-        order = np.lexsort((lo, part, k, rest, key))
+        key, n = _wide(key), n.astype(np.int64)
+        order = np.lexsort((lo, part, k, rest["b"], rest["a"], key))
         k, part, lo, n, key, rest = (x[order] for x in (k, part, lo, n, key, rest))
         digit = np.concatenate(([True], key[1:] != key[:-1]))
         kind = digit | np.concatenate(([True], rest[1:] != rest[:-1]))
         head = np.flatnonzero(kind)[np.cumsum(kind) - 1]
-        late = ~kind & ~((k == k[head]) & (part == part[head]) & (lo == lo[head]))
         group = np.cumsum(digit) - 1
-        several = np.bincount(group, weights=kind) > 1
-        still = kind & several[group]
-        out.append(_flat(_COVERED, k[late], part[late], lo[late], lo[late] + n[late] % 256 + LENGTH, np.zeros(int(late.sum()))))
-        out.append(_flat(_OPEN, k[still], part[still], lo[still], n[still], key[still]))
-    return pa.concat_tables(out)
-
-
-def _halves(text: bytes, lo: int, shape: int, key: int):
-    """The open run's windows in two parts with the next digit of each: (first window, windows less 1, digit)."""
-    n, place = shape % 256, shape // 256
-    at = lo + place
-    if place >= SIDE:
-        yield lo, min(n, place - SIDE), xxh64_intdigest(text[at - SIDE : at + DIGIT], key & 0xFFFFFFFF)
-    skip = max(0, place - SIDE + 1)
-    if n >= skip:
-        yield lo + skip, n - skip, xxh64_intdigest(text[at : at + DIGIT + SIDE], (key & 0xFFFFFFFF) + (1 << 40))
+        marked = np.bincount(group, weights=n >= _MARK)[group] > 0
+        late = ~kind & ~marked & ~((k == k[head]) & (part == part[head]) & (lo == lo[head]))
+        still = np.where(marked, n < _MARK, kind & (np.bincount(group, weights=kind) > 1)[group])
+        done[_COVERED].append((k[late], part[late], lo[late], lo[late] + n[late] + LENGTH))
+        done[_OPEN].append((k[still], part[still], lo[still], lo[still] + n[still]))
+    out = [_spans(kind, *(np.concatenate(x) for x in zip(*found, strict=True))) for kind, found in done.items() if found]
+    return pa.Table.from_batches(out, _SPAN_SCHEMA)
 
 
-def _fetch(buckets: int):
-    """Bytes of the open runs, dealt out by the next digit."""
+def _last_digit(buckets: int):
+    """Suffixes of the open runs: those that recur within a batch are settled at once, one of each kind is dealt out."""
 
     def run(batches):
         for batch in batches:
             ks, parts = batch.column("k").to_numpy(), batch.column("part").to_numpy()
             texts = batch.column("text").cast(pa.binary())
-            row, lo, n, key, spans = [], [], [], [], []
-            for i, runs in enumerate(batch.column("runs")):
-                text, values = texts[i].as_py(), runs.values
-                for begin, shape, digit in zip(values.field("lo").to_pylist(), values.field("n").to_pylist(), values.field("key").to_pylist(), strict=True):
-                    for first, length, found in _halves(text, begin, shape, digit):
-                        row.append(i)
-                        lo.append(first)
-                        n.append(length)
-                        key.append(found)
-                        spans.append(text[first : first + length + LENGTH])
+            row, at, keys = [], [], []
+            for i in np.lexsort((parts, ks)).tolist():
+                text = texts[i].as_py() or b""
+                lows, highs = (np.array(batch.column(c)[i].as_py(), np.int64) for c in ("los", "ends"))
+                sizes = highs - lows + 1
+                own = np.sort(np.arange(int(sizes.sum())) + np.repeat(lows - (np.cumsum(sizes) - sizes), sizes))
+                row.append(np.full(len(own), i))
+                at.append(own)
+                keys.append(digests(memoryview(text), own, own + LENGTH))
             if not row:
                 continue
-            row, lo, n, key = np.array(row), np.array(lo, np.int64), np.array(n, np.uint8), np.array(key, U)
-            bucket = (key >> U(32)) * U(buckets) >> U(32)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=U))
-            where, bodies = [], []
-            for b in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-                pick = order[cuts[b] : cuts[b + 1]]
-                where.append(b)
-                head = _pack(ks[row[pick]], parts[row[pick]], lo[pick], n[pick], key[pick])
-                bodies.append(len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=1).compress(b"".join([spans[i] for i in pick.tolist()])))
-            yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(bodies, pa.binary())], ["bucket", "body"])
+            row, at, key = np.concatenate(row), np.concatenate(at), np.concatenate(keys)
+            k, part = ks[row], parts[row]
+            first = _first_of_group(key)
+            own = first == np.arange(len(first))
+            late = ~own & ~((k == k[first]) & (part == part[first]) & (at == at[first]))
+            out = ([], [], [])
+            found = _merged(k[late], part[late], at[late], at[late] + LENGTH)
+            _dealt(_share(mix(found[0].astype(np.int64).view(U)), buckets), _COVERED, list(found), out)
+            _dealt(_share(key["a"][own], buckets), _RUNS, [k[own], part[own], at[own], key[own]], out)
+            yield _packed_batch(out)
 
     return run
 
 
 def _last_digits(table: pa.Table) -> pa.Table:
-    """One bucket of open runs: each of their suffixes is compared through all its bytes, SUFFIXES at a time."""
-    parts, texts = [], []
-    for body in table.column("body"):
-        body = body.as_py()
-        size = int.from_bytes(body[:8], "little")
-        parts.append(_unpack(body[8 : 8 + size], np.int64, np.int64, np.int64, np.uint8, U))
-        texts.append(zstandard.ZstdDecompressor().decompress(body[8 + size :]))
-    k, part, lo, n, key = (np.concatenate(x) for x in zip(*parts, strict=True))
-    n = n.astype(np.int64)
-    begin = np.concatenate(([0], np.cumsum(n + LENGTH)[:-1]))
-    sums = prefix(np.frombuffer(b"".join(texts), np.uint8))
-    del parts, texts
-    # a run whose digits nothing shares is alone
-    _, kinds, sizes = np.unique(key, return_inverse=True, return_counts=True)
-    order = np.lexsort((lo, part, k))
-    order = order[sizes[kinds[order]] > 1]
-    k, part, lo, n, key, begin = (x[order] for x in (k, part, lo, n, key, begin))
-    if not len(k):
-        return _flat(_COVERED, *(np.empty(0),) * 5)
-    starts = np.concatenate(([0], np.cumsum(n + 1)))
-    repeated = np.zeros(starts[-1], bool)
-    passes = int(-(-starts[-1] // SUFFIXES))
-    chunks = np.searchsorted(starts, np.arange(0, starts[-1], SUFFIXES), side="left").tolist() + [len(n)]
-    for number in range(passes):
-        found = []
-        for a, b in zip(chunks, chunks[1:], strict=False):
-            run = np.repeat(np.arange(a, b), n[a:b] + 1)
-            step = np.arange(starts[a], starts[b]) - starts[run]
-            at = begin[run] + step
-            suffix = mix(slice_hash(sums, at, at + LENGTH) ^ key[run])
-            own = np.flatnonzero(suffix % U(passes) == number) if passes > 1 else slice(None)
-            found.append((suffix[own], run[own], step[own]))
-        suffix, run, step = (np.concatenate(x) for x in zip(*found, strict=True))
-        if not len(run):
-            continue
-        _, first = _first_of_group(suffix)
-        same = (k[run] == k[run[first]]) & (part[run] == part[run[first]]) & (lo[run] + step == lo[run[first]] + step[first])
-        repeated[(starts[run] + step)[~same]] = True
-    late = np.flatnonzero(repeated)
-    if not len(late):
-        return _flat(_COVERED, *(np.empty(0),) * 5)
-    run = np.searchsorted(starts, late, side="right") - 1
-    new = np.concatenate(([True], (run[1:] != run[:-1]) | (late[1:] != late[:-1] + 1)))
-    a = np.flatnonzero(new)
-    b = np.concatenate((a[1:], [len(late)])) - 1
-    first, r = late[a] - starts[run[a]], run[a]
-    return _flat(_COVERED, k[r], part[r], lo[r] + first, lo[r] + first + late[b] - late[a] + LENGTH, np.zeros(len(a)))
+    """One bucket of suffixes by all their bytes: those with an equal one before them are covered."""
+    done, parts = [], []
+    for kind, body in zip(table.column("kind").to_pylist(), table.column("body"), strict=True):
+        if kind == _RUNS:
+            parts.append(_unpack(body.as_py(), np.int64, np.int64, np.int64, _DIGEST))
+        else:
+            done.append(_unpack(body.as_py(), np.int64, np.int64, np.int64, np.int64))
+    if parts:
+        k, part, at, key = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((at, part, k))
+        k, part, at, key = (x[order] for x in (k, part, at, key))
+        first = _first_of_group(key)
+        late = (first != np.arange(len(first))) & ~((k == k[first]) & (part == part[first]) & (at == at[first]))
+        done.append((k[late], part[late], at[late], at[late] + LENGTH))
+    return pa.Table.from_batches([_spans(_COVERED, *(np.concatenate(x) for x in zip(*done, strict=True)))], _SPAN_SCHEMA)
 
 
 def _cut(batches):
@@ -299,10 +298,10 @@ def _cut(batches):
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
         kept, offsets, starts, ends = [], [0], [], []
-        for i, found in enumerate(batch.column("found")):
+        for i, (lows, highs) in enumerate(zip(batch.column("los"), batch.column("ends"), strict=True)):
             text = texts[i].as_py() or b""
-            if found.as_py() if found.values is None else len(found.values):
-                a, b = found.values.field("lo").to_numpy(), found.values.field("n").to_numpy()
+            if lows.is_valid and len(lows.values):
+                a, b = lows.values.to_numpy(), highs.values.to_numpy()
                 order = np.argsort(a, kind="stable")
                 a, b = a[order], np.maximum.accumulate(b[order])
                 new = np.concatenate(([True], a[1:] > b[:-1]))
@@ -329,17 +328,19 @@ def remove_repeats(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     Null text: empty. Null doc_id: after all others. Rows with equal doc_id and text are one document, and each gets
     its result; equal doc_id and other texts are in a fixed order of their hashes. Texts under 100 bytes stay. Other
     columns are not read. An empty table gives an empty result. Kept bytes may break a character, so they are binary.
+
+    A task holds one of `buckets` at once: by default 4 times spark.sql.shuffle.partitions, which grows with the input.
     """
     spark = docs.sparkSession
-    buckets = buckets or min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("k"), F.xxhash64("text").alias("part"))
-    flat = "kind byte, k long, part long, lo long, n long, key long"
+    joined = lambda c: F.flatten(F.collect_list(c)).alias(c)
     dealt = docs.select("k", "part", "text").mapInArrow(_scan(buckets), _PACKED)
-    settled = materialize(dealt.groupBy("bucket").applyInArrow(_first_digits, flat), "runs")
-    still = settled.where(F.col("kind") == _OPEN).groupBy("k", "part").agg(F.collect_list(F.struct("lo", "n", "key")).alias("runs"))
-    bodies = docs.join(still, ["k", "part"], "left").where(F.col("runs").isNotNull()).mapInArrow(_fetch(buckets), "bucket int, body binary")
-    last = bodies.groupBy("bucket").applyInArrow(_last_digits, flat)
-    covered = settled.where(F.col("kind") == _COVERED).union(last).groupBy("k", "part").agg(F.collect_list(F.struct("lo", "n")).alias("found"))
-    out = docs.join(covered, ["k", "part"], "left").select("doc_id", "text", "found")
+    settled = materialize(dealt.groupBy("bucket").applyInArrow(_first_digits, _SPANS), "runs")
+    still = settled.where(F.col("kind") == _OPEN).groupBy("k", "part").agg(joined("los"), joined("ends"))
+    open_ = docs.select("k", "part", "text").join(still, ["k", "part"])
+    last = open_.mapInArrow(_last_digit(buckets), _PACKED).groupBy("bucket").applyInArrow(_last_digits, _SPANS)
+    covered = settled.where(F.col("kind") == _COVERED).union(last).groupBy("k", "part").agg(joined("los"), joined("ends"))
+    out = docs.join(covered, ["k", "part"], "left").select("doc_id", "text", "los", "ends")
     return out.mapInArrow(_cut, "doc_id long, text string, kept binary, spans array<struct<start:long,end:long>>")

@@ -3,6 +3,8 @@
 import collections
 import datetime
 import hashlib
+import math
+import pathlib
 import random
 import re
 import zlib
@@ -13,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute
 import pytest
 import tiktoken
+import zstandard
 from compare import rows, twin
 from pyspark.sql import functions as F
 
@@ -213,7 +216,7 @@ def test_secret_forest_on_held_out_findings(spark, docs, edges, empty):
     labelled = secret_scan.labelled_findings(spark, 3000)
     model = secret_scan.fit(labelled.where(F.crc32(F.col("candidate").cast("binary")) % 3 != 1))
     held = labelled.where(F.crc32(F.col("candidate").cast("binary")) % 3 == 1)
-    text = F.concat(F.lit("some words "), "before", "candidate", F.lit("\" and more"))
+    text = F.concat(F.lit("some words "), "before", "candidate", "after")
     found = secret_scan.scan(held.select(F.monotonically_increasing_id().alias("doc_id"), text.alias("text"), F.col("path").alias("source"), "label"), model)
     truth = {r[0]: r[1] for r in held.select(F.sha2("candidate", 256), "label").collect()}
     marks = [(truth[r["fingerprint"]], r["is_secret"]) for r in found.collect() if r["fingerprint"] in truth]
@@ -246,17 +249,63 @@ def _removed(table):
     return out
 
 
-@pytest.mark.parametrize("suffixes", [400_000, 300])
-def test_repeats_are_removed(spark, docs, monkeypatch, suffixes):
-    monkeypatch.setattr(suffix_dedup, "SUFFIXES", suffixes)
+def _with_passages(table):
     rng = random.Random(3)
     passage = "".join(rng.choice("abcde fghij") for _ in range(260))
     made = [(2000 + i, "".join(rng.choice("klmno pq") for _ in range(rng.randrange(0, 150))) + passage[rng.randrange(60) : 200 + rng.randrange(60)] + str(i)) for i in range(60)]
-    made += [(3000, "ab" * 300), (3001, "ab" * 299), (3002, "z" * 99), (3003, "z" * 100), (3004, "z" * 101), (3005, None), (3006, ""), (None, passage), (None, "é" * 120)]
-    table = docs.select("doc_id", "text").union(spark.createDataFrame(made, "doc_id long, text string"))
-    want = _removed([(r["doc_id"], r["text"]) for r in table.collect()])
+    made += [(2100 + i, "".join(rng.choice("klmno pq") for _ in range(80)) + passage[:70] + "".join(rng.choice("rstu v") for _ in range(80))) for i in range(60)]
+    made += [(3000, "ab" * 300), (3001, "ab" * 299), (3002, "z" * 99), (3003, "z" * 100), (3004, "z" * 101), (3005, None), (3006, ""), (None, passage), (None, "é" * 120), (3007, passage), (3007, passage), (3007, passage[5:])]
+    return [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()] + made
+
+
+@pytest.mark.parametrize(("kinds", "bits", "rows"), [(8, 64, 50), (0, 64, 400), (2, 64, 30), (2, 8, 30), (0, 8, 400), (1000, 8, 30)])
+def test_digits_in_one_process(docs, monkeypatch, kinds, bits, rows):
+    """All passes without Spark, also if every first digit goes on at once, or most of them are equal by chance."""
+    monkeypatch.setattr(suffix_dedup, "KINDS", kinds)
+    whole = suffix_dedup.mix
+    if bits == 8:
+        monkeypatch.setattr(suffix_dedup, "mix", lambda x: whole(x) & np.uint64(255))
+    table = _with_passages(docs.where("doc_id < 120"))
+    keyed = [((1 << 63) - 1 if i is None else i, zlib.crc32((t or "").encode()), t) for i, t in table]
+    random.Random(4).shuffle(keyed)
+
+    def grouped(batches, run):
+        packed = pa.Table.from_batches(batches)
+        return [pa.Table.from_pylist([r for r in packed.to_pylist() if r["bucket"] == b], packed.schema) for b in sorted(set(packed.column("bucket").to_pylist()))]
+
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("k", "part", "text"), r, strict=True)) for r in keyed[at : at + rows]], pa.schema([("k", pa.int64()), ("part", pa.int64()), ("text", pa.string())])) for at in range(0, len(keyed), rows)]
+    settled = pa.concat_tables([suffix_dedup._first_digits(g) for g in grouped(suffix_dedup._scan(5)(batches), None)]).to_pylist()
+    joined = collections.defaultdict(lambda: ([], []))
+    for r in settled:
+        joined[r["kind"], r["k"], r["part"]][0].extend(r["los"])
+        joined[r["kind"], r["k"], r["part"]][1].extend(r["ends"])
+    open_ = [(k, p, t, *joined[2, k, p]) for k, p, t in dict.fromkeys(keyed) if (2, k, p) in joined]
+    names = ("k", "part", "text", "los", "ends")
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in open_[at : at + rows]]) for at in range(0, len(open_), rows)]
+    for g in grouped(suffix_dedup._last_digit(5)(batches), None):
+        for r in suffix_dedup._last_digits(g).to_pylist():
+            joined[1, r["k"], r["part"]][0].extend(r["los"])
+            joined[1, r["k"], r["part"]][1].extend(r["ends"])
+    seen, want = set(), {}
+    for k, p, t in sorted(set(keyed), key=lambda x: x[:2]):
+        text = (t or "").encode()
+        covered = set()
+        for at in range(len(text) - 99):
+            if text[at : at + 100] in seen:
+                covered |= set(range(at, at + 100))
+            seen.add(text[at : at + 100])
+        want[k, p] = covered
+    got = {(k, p): {i for a, b in zip(*joined[1, k, p], strict=True) for i in range(a, b)} for k, p, _ in keyed}
+    assert {x: (sorted(got[x] - want[x]), sorted(want[x] - got[x])) for x in want if got[x] != want[x]} == {}
+    assert sum(map(len, want.values())) > 5000
+
+
+def test_repeats_are_removed(spark, docs):
+    table = spark.createDataFrame(_with_passages(docs), "doc_id long, text string")
+    plain = [(r["doc_id"], r["text"]) for r in table.collect() if r["doc_id"] != 3007]
+    want = _removed(plain)
     for parts in (1, 6):
-        for r in suffix_dedup.remove_repeats(table.repartition(parts), buckets=16).collect():
+        for r in suffix_dedup.remove_repeats(table.where("doc_id IS NULL OR doc_id <> 3007").repartition(parts), buckets=16).collect():
             assert (bytes(r["kept"]), [tuple(s) for s in r["spans"]]) == want[r["doc_id"], r["text"]], r["doc_id"]
 
 
@@ -309,16 +358,62 @@ def test_quality(docs, edges, empty):
     assert quality_bands.quality(empty).count() == 0
 
 
-def test_compression_bands(spark, docs):
+def _verdict(text, bands):
+    """kept, without the operator's vectors."""
+    raw, own = (text or "").encode(), _base(text)
+    if own[0] < 10 or 100 * own[4] > 20 * own[0]:
+        return False
+    ratio = lambda x: len(zstandard.ZstdCompressor(level=3).compress(x)) / len(x)
+
+    def line(points):
+        xs = sorted(points)
+        for x, y in zip(xs, xs[1:], strict=False):
+            if x <= len(raw) <= y:
+                part = (math.log2(len(raw)) - math.log2(x)) / (math.log2(y) - math.log2(x))
+                return points[x] + part * (points[y] - points[x])
+        return points[xs[0] if len(raw) < xs[0] else xs[-1]]
+
+    if ratio(raw) < line(bands.lowest) - 1e-12 or len(raw) >= 128 and ratio(raw) > line(bands.highest) + 1e-12:
+        return False
+    if len(raw) <= 3072:
+        return True
+    starts = list(range(0, len(raw), 2048))
+    if len(raw) - starts[-1] < 1024:
+        starts.pop()
+    chunks = [ratio(raw[a:b]) for a, b in zip(starts, [*starts[1:], len(raw)], strict=True)]
+    return all(sum(f(c) for c in chunks) <= 0.2 * len(chunks) for f in (lambda c: c < bands.chunks[0], lambda c: c > bands.chunks[1]))
+
+
+def test_compression_bands(spark):
     rng = random.Random(5)
     noise = "".join(chr(rng.randrange(33, 126)) + (" " if i % 9 == 0 else "") for i in range(6000))
     pattern = " ".join(f"row{i % 7}x{i % 11}" for i in range(900))
-    table = docs.where("doc_id = 2").select("doc_id", "text").union(spark.createDataFrame([(-1, noise), (-2, pattern)], "doc_id long, text string"))
-    kept = {r["doc_id"]: r["kept"] for r in quality_bands.quality(table).collect()}
-    assert kept == {2: True, -1: False, -2: False}
-    marked = docs.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
-    good = quality_bands.quality(marked.where("quality = 1")).where("NOT base_failed")
-    assert good.where("NOT kept").count() == 0
+    base = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    table = base.union(spark.createDataFrame([(-1, noise), (-2, pattern), (-3, None), (-4, "")], "doc_id long, text string"))
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    fitted = quality_bands.fit(table, labels)
+    assert len(fitted.lowest) > 3 and fitted == quality_bands.fit(table.repartition(5), labels)
+    for bands in (fitted, quality_bands.PROSE):
+        kept = {r["doc_id"]: r["kept"] for r in quality_bands.quality(table, bands).collect()}
+        want = {r["doc_id"]: _verdict(r["text"], bands) for r in table.collect()}
+        assert {i: k for i, k in kept.items() if k != want[i]} == {}
+        assert not any(kept[i] for i in (-1, -2, -3, -4))
+    good = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    own = [r["kept"] for r in quality_bands.quality(table, fitted).where("NOT base_failed").collect() if r["doc_id"] in good]
+    assert sum(own) >= 0.97 * len(own)
+    assert quality_bands.fit(table.limit(0), labels) == quality_bands.PROSE
+
+
+def test_prose_bands_keep_prose():
+    """Zstandard ratios of public licence texts, at any cut, and their chunks."""
+    paths = [p for p in map(pathlib.Path, ("/usr/share/common-licenses/GPL-3", "/usr/share/common-licenses/Apache-2.0", "/usr/share/common-licenses/LGPL-2.1")) if p.exists()]
+    press = zstandard.ZstdCompressor(level=3).compress
+    for raw in (p.read_bytes() for p in paths):
+        for n in range(500, len(raw), 500):
+            low, high = quality_bands.PROSE.limits(n)
+            assert low < len(press(raw[:n])) / n < high
+        low, high = quality_bands.PROSE.chunks
+        assert sum(not low < r < high for r in quality_bands.chunk_ratios(raw, press)) == 0
 
 
 # ---- shards --------------------------------------------------------------------------------------------------------
@@ -426,7 +521,7 @@ def test_permutations(spark):
 
 def test_pseudonyms(spark, edges, empty):
     text = "a.b1@x.com 4111111111111111, 4111111111111112 and 4111-1111-1111-1111 on 1999-12-31, 2001-02-30; 12/25/2020 31.01.1999 GB82 WEST 1234 5698 7654 32 10.0.0.256 1.2.3.4. +1 (980) 555-6268 123-45-6789, 000-45-6789 end"
-    out = pii.pseudonymize(spark.createDataFrame([(1, text, "z"), (2, "again 4111111111111111", "z"), (3, None, "z"), (None, "", "z")], "doc_id long, text string, found string"))
+    out = pii.pseudonymize(spark.createDataFrame([(1, text, "z"), (2, "again 4111111111111111", "z"), (3, None, "z"), (None, "", "z")], "doc_id long, text string, found string"), "k")
     by = {r["doc_id"]: r for r in out.collect()}
     r = by[1]
     assert r["pii_kinds"] == ["email", "card", "card", "date", "date", "date", "iban", "ip", "phone", "ssn"]
@@ -439,8 +534,8 @@ def test_pseudonyms(spark, edges, empty):
     iban = r["pii_values"][6].replace(" ", "")
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
     assert by[3]["text"] is None and by[None]["text"] == "" and by[3]["pii_kinds"] == []
-    assert pii.pseudonymize(edges).count() == len(_edges()) and pii.pseudonymize(empty).count() == 0
-    plan = pii.pseudonymize(edges)._jdf.queryExecution().executedPlan().toString()
+    assert pii.pseudonymize(edges, "k").count() == len(_edges()) and pii.pseudonymize(empty, "k").count() == 0
+    plan = pii.pseudonymize(edges, "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan.replace("ExistingRDD", "") and "ArrowEval" not in plan
 
 
