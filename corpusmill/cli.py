@@ -15,10 +15,10 @@ def _session():
 
 
 def _run(args) -> None:
-    from corpusmill.plans.config import PipelineConfig
+    from corpusmill.plans.config import from_yaml
     from corpusmill.plans.runner import Pipeline
 
-    config = PipelineConfig.from_yaml(args.config)
+    config = from_yaml(args.config)
     if args.max_samples is not None:
         config.executor.max_samples = args.max_samples
     if args.batch_size is not None:

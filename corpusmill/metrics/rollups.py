@@ -35,10 +35,14 @@ def run_rollup(stages: DataFrame) -> DataFrame:
 
 
 def nearest_rank_percentiles(rows: DataFrame, by: str, value: str, ranks=(0.5, 0.95, 0.99)) -> DataFrame:
-    """p50, p95, p99 as the value at place int(n * q) of each group: ranks by a window, so no group is collected."""
+    """p50, p95, p99 as the value at place int(n * q) of each group.
+
+    Equal values are counted before the shuffle, and running sums go over distinct values only.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("c"))
     w = Window.partitionBy(by)
-    placed = rows.where(F.col(value).isNotNull()).select(by, value, F.row_number().over(w.orderBy(value)).alias("r"), F.count("*").over(w).alias("n"))
-    pick = lambda q: F.max(F.when(F.col("r") == F.floor(F.col("n") * q) + 1, F.col(value)))
+    placed = counts.select(by, value, F.sum("c").over(w.orderBy(value)).alias("upto"), F.sum("c").over(w).alias("n"))
+    pick = lambda q: F.min(F.when(F.col("upto") > F.floor(F.col("n") * q), F.col(value)))
     return placed.groupBy(by).agg(F.max("n").alias("n"), *(pick(q).alias(f"p{round(q * 100)}") for q in ranks))
 
 

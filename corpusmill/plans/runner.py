@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -15,10 +16,13 @@ from corpusmill.metrics.model import RUNS as RUN_SCHEMA
 from corpusmill.metrics.model import STAGES as STAGE_SCHEMA
 from corpusmill.metrics.store import MetricsStore
 from corpusmill.operators.base import DETAILS, Operator, passed, rejected, with_details
-from corpusmill.plans.config import PipelineConfig
+from corpusmill.plans.config import Section
 from corpusmill.plans.registry import LOADERS, OPERATORS, WRITERS
 from corpusmill.sources.loaders import limited
 
+#: Says after which stage a row was rejected; only on the way, never in an output.
+_STAGE = "_rejected_at_stage"
+
 
 @dataclass
 class PipelineResult:
@@ -33,43 +37,63 @@ class PipelineResult:
 
 
 class Pipeline:
-    def __init__(self, config: PipelineConfig):
+    def __init__(self, config: Section):
         self.config = config
         self.stages: list[tuple[str, list[Operator]]] = [(s.name, [OPERATORS.create(op.name, op.params) for op in s.operators if op.enabled]) for s in config.stages]
 
-    def annotated(self, df: DataFrame, watch: bool = False) -> tuple[DataFrame, list[tuple[str, str, Observation]]]:
-        """The plan over df, each row with the first rejection; with watch, counts of the live rows after each operator."""
+    def annotated(self, df: DataFrame, watch: bool = False, mark: bool = False) -> tuple[DataFrame, list[tuple[str, str, Observation]]]:
+        """The plan over df, each row with the first rejection; with watch, counts of the live rows after each operator, and
+        with mark the number of the stage that rejected a row."""
         df, seen = with_details(df), []
+        if mark:
+            df = df.withColumn(_STAGE, F.lit(None).cast("int"))
         if watch:
             start = Observation("start")
             df = df.observe(start, F.count(F.lit(1)).alias("n"))
             seen.append(("", "", start))
-        for stage, operators in self.stages:
+        for number, (stage, operators) in enumerate(self.stages):
             for i, op in enumerate(operators):
                 df = op.annotate(df)
                 if watch:
-                    here = Observation(f"{stage}-{i}")
+                    here = Observation(f"{number}-{stage}-{i}")
                     df = df.observe(here, F.count_if(F.col(DETAILS).isNull()).alias("n"))
                     seen.append((stage, op.name, here))
+            if mark:
+                df = df.withColumn(_STAGE, F.coalesce(F.col(_STAGE), F.when(F.col(DETAILS).isNotNull(), F.lit(number))))
         return df, seen
 
+    def _stored(self, spark: SparkSession, df: DataFrame) -> DataFrame:
+        """df written once, for all that read it, to the folder the cluster shares; without one it is kept in memory or on disk."""
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            return df.persist()
+        path = f"{shared.rstrip('/')}/annotated-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     def run(self, spark: SparkSession, write: bool = True) -> PipelineResult:
-        """Load, annotate, and write passed and rejected rows; the annotated rows are kept while both are written."""
+        """Load, annotate once, and write the rows that passed each stage with an output_path, the end result, and rejected rows.
+
+        Rejected rows go to <output_path>_rejected/<table_name>_rejected, in a folder for each operator.
+        """
         config, settings = self.config, self.config.executor
         run_id, began = new_run_id(), datetime.now(UTC)
         loader = LOADERS.create(config.data_loader.type, config.data_loader.params)
         source = limited(loader.load(spark), settings.max_samples)
-        df, seen = self.annotated(source, watch=settings.metrics.enabled)
+        times = self.profile(source) if settings.metrics.enabled and settings.metrics.profile else []
         start = time.monotonic()
-        df = df.persist()
-        out, bad = passed(df), rejected(df) if settings.rejected_samples.enabled else None
-        if write and config.data_writer:
+        df, seen = self.annotated(source, settings.metrics.enabled, any(s.output_path for s in config.stages))
+        df = self._stored(spark, df)
+        plain = df.drop(_STAGE)
+        out, bad = passed(plain), rejected(plain) if settings.rejected_samples.enabled else None
+        if write:
+            for i, stage in enumerate(config.stages):
+                if stage.output_path:
+                    WRITERS.create("ParquetDataWriter", {"output_path": stage.output_path, "table_name": stage.name}).write(df.where(F.coalesce(F.col(_STAGE), F.lit(len(config.stages))) > i).drop(_STAGE, DETAILS))
+        if write and config.data_writer.type:
             WRITERS.create(config.data_writer.type, config.data_writer.params).write(out)
             if bad is not None:
-                base = config.data_writer.params.get("output_path") or config.data_writer.params.get("table_path", "./output")
-                path = settings.rejected_samples.output_path or f"{base.rstrip('/')}_rejected"
-                writer = WRITERS.create("ParquetDataWriter", {"output_path": path, "table_name": "rejected", "partition_by": "operator", "partition_key_path": f"{DETAILS}.operator"})
-                writer.write(bad)
+                self._write_rejected(bad)
         else:
             df.count()
         took = time.monotonic() - start
@@ -78,41 +102,57 @@ class Pipeline:
             counts = [o.get["n"] for *_, o in seen]
             result.counts = [{"stage_name": s, "operator_name": n, "input_records": counts[i], "output_records": counts[i + 1]} for i, (s, n, _) in enumerate(seen[1:])]
             if settings.metrics.write_on_completion and write:
-                self._metrics(spark, result, began, took)
+                self._metrics(spark, result, began, took, times)
         return result
 
+    def _write_rejected(self, bad: DataFrame) -> None:
+        params, settings = self.config.data_writer.params, self.config.executor.rejected_samples
+        base = params.get("output_path") or params.get("table_path", "./output")
+        path = settings.output_path or f"{base.rstrip('/')}_rejected"
+        table = f"{params.get('table_name', 'default')}_rejected"
+        kind = settings.writer_type or "ParquetDataWriter"
+        more = {"partition_by": "operator", "partition_key_path": f"{DETAILS}.operator"} if WRITERS.get(kind) is WRITERS.get("ParquetDataWriter") else {}
+        WRITERS.create(kind, {"output_path": path, "table_name": table, **more}).write(bad)
+
     def profile(self, df: DataFrame) -> list[dict]:
-        """Seconds and counts of each operator, run one after the other on what the one before kept."""
+        """Measured seconds and counts of each operator, run one after the other on what the one before kept.
+
+        It runs every operator by itself, so it costs more than the fused plan; metrics have its figures if the setting
+        metrics.profile is on, and no times of single operators otherwise.
+        """
         out = []
+        df = df.persist()
+        before = df.count()
         for stage, operators in self.stages:
             for op in operators:
-                df = df.persist()
-                before = df.count()
                 start = time.monotonic()
                 after = op.transform(df).persist()
                 n = after.count()
                 took = time.monotonic() - start
                 df.unpersist()
-                df = after
                 out.append({"stage_name": stage, "operator_name": op.name, "input_records": before, "output_records": n, "total_time": took, "throughput": before / took if took else 0.0})
+                df, before = after, n
+        df.unpersist()
         return out
 
-    def _metrics(self, spark: SparkSession, result: PipelineResult, began: datetime, took: float) -> None:
+    def _metrics(self, spark: SparkSession, result: PipelineResult, began: datetime, took: float, times: list[dict]) -> None:
+        """Rows of the three tables. Times and throughputs of single operators are those of profile(), else null: a fused
+        plan has none. Latencies of single records are always null, as nothing measures them."""
         store = MetricsStore(spark, self.config.executor.metrics.output_path)
         share = lambda a, b: 100.0 * b / a if a else 0.0
-        speed = lambda n: n / took if took else 0.0
         rows, stamp = [], began.replace(tzinfo=None)
-        for c in result.counts:
+        measured = [t["total_time"] for t in times] or [None] * len(result.counts)
+        for c, t in zip(result.counts, measured, strict=True):
             n = c["input_records"]
-            latency = took / n if n else 0.0
-            rows.append((result.run_id, c["stage_name"], c["operator_name"], "spark", stamp, n, c["output_records"], share(n, c["output_records"]), took, *[latency] * 6, speed(n), 0, "{}"))
+            rows.append((result.run_id, c["stage_name"], c["operator_name"], "spark", stamp, n, c["output_records"], share(n, c["output_records"]), t, t / n if t and n else None, *[None] * 5, n / t if t else None, 0, "{}"))
         stages = []
         for name in dict.fromkeys(c["stage_name"] for c in result.counts):
-            own = [c for c in result.counts if c["stage_name"] == name]
-            a, b = own[0]["input_records"], own[-1]["output_records"]
-            stages.append((result.run_id, name, stamp, 1, a, b, share(a, b), took, *[speed(a)] * 3, 0))
+            own = [(c, t) for c, t in zip(result.counts, measured, strict=True) if c["stage_name"] == name]
+            a, b = own[0][0]["input_records"], own[-1][0]["output_records"]
+            seconds = sum(t for _, t in own) if times else took if len(self.stages) == 1 else None
+            stages.append((result.run_id, name, stamp, 1, a, b, share(a, b), seconds, *[a / seconds if seconds else None] * 3, 0))
         a, b = result.totals
-        run = (result.run_id, stamp, datetime.now(UTC).replace(tzinfo=None), took, len(stages), a, b, share(a, b), speed(a), 0, "{}")
+        run = (result.run_id, stamp, datetime.now(UTC).replace(tzinfo=None), took, len(stages), a, b, share(a, b), a / took if took else 0.0, 0, "{}")
         store.write("operators", spark.createDataFrame(rows, OPERATOR_SCHEMA), result.run_id)
         store.write("stages", spark.createDataFrame(stages, STAGE_SCHEMA), result.run_id)
         store.write("runs", spark.createDataFrame([run], RUN_SCHEMA), result.run_id)

@@ -1,6 +1,7 @@
 """Configuration, runner, metrics, images, archives, k-means, streams and the command line."""
 
 import gzip
+import json
 from datetime import datetime
 
 import numpy as np
@@ -13,11 +14,12 @@ from corpusmill.image import codec, quality
 from corpusmill.metrics import rollups
 from corpusmill.metrics.collector import MetricsCollector, nearest_rank, stage_of
 from corpusmill.metrics.model import OPERATORS
+from corpusmill.metrics.report import duplicate_groups, samples
 from corpusmill.metrics.store import MetricsStore
 from corpusmill.ml.kmeans import KMeansModel, KMeansTrainer, assign
 from corpusmill.ml.linear import collapse, fold_batch_norm
 from corpusmill.operators.html import extract
-from corpusmill.plans.config import PipelineConfig, StageWorkerConfig
+from corpusmill.plans.config import configuration, replicas
 from corpusmill.plans.registry import LOADERS
 from corpusmill.plans.registry import OPERATORS as OPS
 from corpusmill.plans.runner import Pipeline
@@ -36,21 +38,32 @@ def _config(out):
 
 
 def test_pipeline_end_to_end(spark, tmp_path):
-    result = Pipeline(PipelineConfig.from_dict(_config(tmp_path))).run(spark)
+    result = Pipeline(configuration(_config(tmp_path))).run(spark)
     kept = spark.read.parquet(f"{tmp_path}/docs/default")
-    gone = spark.read.parquet(f"{tmp_path}/docs_rejected/rejected")
+    gone = spark.read.parquet(f"{tmp_path}/docs_rejected/default_rejected")
     assert kept.count() + gone.count() == spark.read.parquet(DOCS).count()
     assert {r["operator"] for r in gone.select("operator").distinct().collect()} == {"TextLengthFilter", "TextExactDeduplicator"}
     assert result.totals == (200, kept.count())
     store = MetricsStore(spark, f"{tmp_path}/metrics")
     assert store.list_runs() == [result.run_id] and store.latest() == result.run_id
-    assert store.read("operators", result.run_id).count() == 2
+    rows = store.read("operators", result.run_id).collect()
+    assert len(rows) == 2 and all(r["total_time"] is None and r["p95_latency"] is None for r in rows)  # nothing measured them
     page = (tmp_path / "metrics" / f"report_{result.run_id}.html").read_text()
-    assert "TextExactDeduplicator" in page and "Rejected samples" in page
-    profile = Pipeline(PipelineConfig.from_dict(_config(tmp_path))).profile(spark.read.parquet(DOCS))
+    assert "TextExactDeduplicator" in page and "Rejected samples" in page and "Duplicate groups" in page and "<svg" in page and "class='cards'" in page
+    profile = Pipeline(configuration(_config(tmp_path))).profile(spark.read.parquet(DOCS))
     assert profile[-1]["output_records"] == kept.count()
 
 
+def test_previews_and_duplicate_groups(spark):
+    rows = [(i, "x" * (499 + i), bytearray(b"abc"), "hidden", ("duplicate", "Op", f"k{i % 2}", None if i % 2 else "7")) for i in range(5)] + [(9, None, None, "h", ("filtered", "Other", None, None))]
+    df = spark.createDataFrame(rows, "id long, text string, body binary, _own string, _rejection_details struct<reason:string,operator:string,dedup_key:string,representative_id:string>")
+    shown = {json.loads(r["record"])["id"]: json.loads(r["record"]) for r in samples(df).collect()}
+    assert shown[1] == {"id": 1, "text": "x" * 500, "body": "<binary: 3 bytes>"} and shown[2]["text"] == "x" * 500 + "..." and shown[9] == {"id": 9}
+    got = {r["dedup_key"]: r for r in duplicate_groups(df, groups=2, members=2).collect()}
+    assert {k: (r["duplicates"], r["representative_id"], len(r["samples"]), r["total_duplicates"], r["total_groups"]) for k, r in got.items()} == {"k0": (3, "7", 2, 5, 2), "k1": (2, "(not tracked)", 2, 5, 2)}
+    assert list({r["dedup_key"] for r in duplicate_groups(df, groups=1).collect()}) == ["k0"]
+
+
 def test_command_line(spark, tmp_path, capsys):
     path = tmp_path / "p.yaml"
     path.write_text(yaml.safe_dump(_config(tmp_path)))
@@ -63,15 +76,39 @@ def test_command_line(spark, tmp_path, capsys):
 
 def test_older_configuration_form():
     body = {"data_loader": {"type": "x"}, "data_writer": {"type": "y"}, "operators": [{"name": "a"}, {"name": "b", "params": {"k": 1}}], "workers": [{"name": "w", "operator_names": ["b", "c"], "num_replicas": 3}]}
-    stage = PipelineConfig.from_dict(body).stages[0]
+    stage = configuration(body).stages[0]
     assert [o.name for o in stage.operators] == ["b"] and stage.worker.max_replicas == 3
 
 
 def test_replicas():
-    assert StageWorkerConfig().max_replicas == 1
+    assert replicas({}) == (1, 1) and replicas({"num_replicas": 3}) == (3, 3) and replicas({"min_replicas": 2}) == (2, 2)
+    assert replicas({"num_replicas": 4, "min_replicas": 2}) == (2, 4) and replicas({"num_replicas": 4, "max_replicas": 6}) == (4, 6)
     for bad in ({"min_replicas": 0}, {"min_replicas": 3, "max_replicas": 2}):
         with pytest.raises(ValueError):
-            StageWorkerConfig(**bad)
+            replicas(bad)
+
+
+def test_configurations_are_checked():
+    body = {"data_loader": {"type": "x", "num_workers": 4}, "stages": [{"name": "s", "operators": [{"name": "o"}]}], "executor": {"use_ray": False, "metrics": {"huggingface_repo": "r"}}}
+    config = configuration(body)
+    assert config.data_loader.unused == {"num_workers": 4} and config.executor.unused == {"use_ray": False} and config.executor.batch_size == 100
+    assert config.stages[0].operators[0].params == {} and config.data_writer.type is None
+    for bad in ({**body, "other": 1}, {**body, "data_loader": {}}, {**body, "executor": {"max_sample": 1}}):
+        with pytest.raises(ValueError):
+            configuration(bad)
+
+
+def test_stage_outputs_and_measured_times(spark, tmp_path):
+    body = _config(tmp_path)
+    ops = body["stages"][0]["operators"]
+    body["stages"] = [{"name": "short", "operators": ops[:1], "output_path": f"{tmp_path}/stages"}, {"name": "same", "operators": ops[2:]}]
+    body["executor"]["metrics"] = {"output_path": f"{tmp_path}/metrics", "profile": True}
+    result = Pipeline(configuration(body)).run(spark)
+    first = spark.read.parquet(f"{tmp_path}/stages/short")
+    docs = spark.read.parquet(DOCS)
+    assert first.columns == docs.columns and first.count() == docs.where("length(text) >= 100").count() == result.counts[0]["output_records"]
+    rows = MetricsStore(spark, f"{tmp_path}/metrics").read("operators", result.run_id).collect()
+    assert all(r["total_time"] > 0 and r["p50_latency"] is None for r in rows) and len({r["total_time"] for r in rows}) == 2
 
 
 def test_registry():
