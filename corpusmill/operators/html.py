@@ -14,37 +14,51 @@ from corpusmill.operators.base import Refiner
 
 MIN_BYTES = 50
 EXTRACTED = T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType()), T.StructField("text_length", T.LongType())])
-_SILENT = {"script", "style", "noscript", "template", "head", "nav", "aside", "footer", "form", "button", "svg", "iframe", "select"}
+#: Elements whose text is no text of the page: never, and unless their end is missing.
+_CODE = {"script", "style", "noscript", "template", "svg", "iframe", "select"}
+_FRAME = {"head", "nav", "aside", "footer", "form", "button"}
 _BREAK = {"p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table", "section", "article", "main", "blockquote", "pre", "header", "hr", "dd", "dt"}
-_VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 
 
 class _Reader(HTMLParser):
+    """Text outside of silent elements. What stands in one is taken back at its end, so an element that is never closed
+    takes nothing from the page."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.title, self.parts, self.silent, self.in_title = [], [], [], False
+        self.title, self.parts, self.in_title = [], [], False
+        self.open: list[tuple[str, int]] = []
+
+    def _close(self, at: int) -> None:
+        del self.parts[self.open[at][1] :]
+        del self.open[at:]
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body":  # ends a head without an end
+            for at in [i for i, (t, _) in enumerate(self.open) if t == "head"][:1]:
+                self._close(at)
         if tag == "title":
             self.in_title = True
-        elif tag in _SILENT and tag not in _VOID:
-            self.silent.append(tag)
+        elif tag in _CODE or tag in _FRAME:
+            self.open.append((tag, len(self.parts)))
         if tag in _BREAK:
             self.parts.append("\n")
 
     def handle_endtag(self, tag):
         if tag == "title":
             self.in_title = False
-        elif tag in self.silent:
-            del self.silent[len(self.silent) - 1 - self.silent[::-1].index(tag) :]
+        elif own := [i for i, (t, _) in enumerate(self.open) if t == tag]:
+            self._close(own[-1])
         if tag in _BREAK:
             self.parts.append("\n")
 
     def handle_data(self, data):
-        if self.in_title:
-            self.title.append(data)
-        elif not self.silent:
-            self.parts.append(data)
+        (self.title if self.in_title else self.parts).append(data)
+
+    def close(self):
+        super().close()
+        for at in [i for i, (t, _) in enumerate(self.open) if t in _CODE][:1]:
+            self._close(at)
 
 
 def extract(html: str | None) -> tuple[str, str, int] | None:

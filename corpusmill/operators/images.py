@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import vector
 from corpusmill.image import udfs
-from corpusmill.ml.linear import collapse, forward
+from corpusmill.ml.linear import collapse
 from corpusmill.operators.base import Refiner
 
 #: Heads of the visual degradation model.
@@ -166,16 +166,14 @@ class ImageAIGCDetectorRefiner(Refiner):
         self.layers = [(np.asarray(w, np.float64), np.asarray(b, np.float64)) for w, b in layers]
 
     def refine(self, df: DataFrame) -> DataFrame:
-        layers = self.layers
-
-        @F.pandas_udf(T.FloatType())
-        def run(data: pd.Series) -> pd.Series:
-            dim = layers[0][0].shape[1]
-            out = np.zeros(len(data), np.float32)
-            real = [i for i, v in enumerate(data) if v is not None and len(v) == dim]
-            if real:
-                out[real] = forward(np.stack([data.iloc[i] for i in real]), layers)
-            return pd.Series(out)
-
-        scored = df.withColumn("image_aigc_score", run(F.col(self.embedding_field)))
-        return scored.withColumn("image_is_aigc", F.col("image_aigc_score") > F.lit(self.threshold).cast("float"))
+        """Layer by layer as columns, so each unit is worked out once; no Python on the way."""
+        e = F.col(self.embedding_field)
+        fits = F.coalesce(F.size(e) == self.layers[0][0].shape[1], F.lit(False))
+        out = df.withColumn("_layer0", F.when(fits, F.transform(e, lambda v: v.cast("double"))))
+        for i, (weight, bias) in enumerate(self.layers[:-1]):
+            units = [F.greatest(vector.dot(F.col(f"_layer{i}"), vector.literal(w)) + F.lit(float(b)), F.lit(0.0)) for w, b in zip(weight, bias, strict=True)]
+            out = out.withColumn(f"_layer{i + 1}", F.when(F.col(f"_layer{i}").isNotNull(), F.array(*units)))
+        last = F.col(f"_layer{len(self.layers) - 1}")
+        score = vector.sigmoid(vector.dot(last, vector.literal(self.layers[-1][0][0])) + F.lit(float(self.layers[-1][1][0])))
+        out = out.withColumn("image_aigc_score", F.coalesce(F.when(last.isNotNull(), score), F.lit(0.0)).cast("float"))
+        return out.withColumn("image_is_aigc", F.col("image_aigc_score") > F.lit(self.threshold).cast("float")).drop(*(f"_layer{i}" for i in range(len(self.layers))))

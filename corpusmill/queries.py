@@ -479,16 +479,40 @@ def aesthetic_score(spark, sf_dir):
     return scored.select("vec_id", F.round(F.col("image_aesthetic_score").cast("double"), 4).alias("score"))
 
 
-@query()
+_AIGC = _layers(64, 16, 8, 1)
+
+
+def _layer_sql(x: str, layer, last: bool = False) -> str:
+    """A layer over the list x as a SQL list, with ReLU unless it is the last."""
+    cast = lambda v: f"CAST({float(v)!r} AS DOUBLE)"
+    units = [f"list_sum(list_transform(list_zip({x}, [{', '.join(map(cast, w))}]), lambda p: p[1] * p[2])) + {cast(b)}" for w, b in zip(*layer, strict=True)]
+    return units[0] if last else "[" + ", ".join(f"greatest({u}, CAST(0 AS DOUBLE))" for u in units) + "]"
+
+
+@query(f"WITH e AS (SELECT vec_id, {_E} AS v FROM embeddings), a AS (SELECT vec_id, {_layer_sql('v', _AIGC[0])} AS h FROM e), b AS (SELECT vec_id, {_layer_sql('h', _AIGC[1])} AS g FROM a), c AS (SELECT vec_id, 1 / (1 + exp(-({_layer_sql('g', _AIGC[2], True)}))) AS p FROM b) SELECT vec_id, round(p, 4) AS score, p > 0.5 AS image_is_aigc FROM c")
 def aigc_detector(spark, sf_dir):
-    scored = ImageAIGCDetectorRefiner("embedding", _layers(64, 16, 8, 1)).transform(_table(spark, sf_dir, "embeddings"))
-    return scored.select("vec_id", "image_aigc_score", "image_is_aigc")
+    scored = ImageAIGCDetectorRefiner("embedding", _AIGC).transform(_table(spark, sf_dir, "embeddings"))
+    return scored.select("vec_id", F.round(F.col("image_aigc_score").cast("double"), 4).alias("score"), "image_is_aigc")
 
 
-@query()
+#: Below what is usual, as the table's vectors are hardly alike.
+_ALIKE = 0.3
+_COSINES = f"""{_NEAREST}, p AS (SELECT a.vec_id AS early, b.vec_id AS late, list_sum(list_transform(list_zip(a.v, b.v), lambda x: x[1] * x[2])) / sqrt(list_sum(list_transform(a.v, lambda x: x * x)) * list_sum(list_transform(b.v, lambda x: x * x))) AS cosine
+FROM n a JOIN n b ON a.cid = b.cid AND a.vec_id < b.vec_id)"""
+
+
+def _clustered(spark, sf_dir) -> DataFrame:
+    return kmeans.assign(_table(spark, sf_dir, "embeddings"), _starts(spark, sf_dir), "embedding")
+
+
+@query(f"WITH {_COSINES} SELECT late AS id, early AS representative_id, round(cosine, 6) AS cosine FROM p WHERE cosine >= {_ALIKE}")
 def semantic_dedup_pairs(spark, sf_dir):
-    found = kmeans.assign(_table(spark, sf_dir, "embeddings"), _starts(spark, sf_dir), "embedding")
-    return SemanticDeduplicator(threshold=0.9, bits=6).pairs(found).select("id", "representative_id", F.round("cosine", 6).alias("cosine"))
+    return SemanticDeduplicator(threshold=_ALIKE).pairs(_clustered(spark, sf_dir)).select("id", "representative_id", F.round("cosine", 6).alias("cosine"))
+
+
+@query(f"WITH {_COSINES} SELECT vec_id FROM n WHERE vec_id NOT IN (SELECT late FROM p WHERE cosine >= {_ALIKE})")
+def semantic_dedup_survivors(spark, sf_dir):
+    return SemanticDeduplicator(threshold=_ALIKE, order_by="vec_id").transform(_clustered(spark, sf_dir)).select("vec_id")
 
 
 def _classified(spark, sf_dir) -> DataFrame:
