@@ -46,14 +46,17 @@ def _points(docs: DataFrame, shards: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text.cast("binary"))).alias("copy"), *(F.col(c).cast("string").alias(c) for c in ("source", "lang")))
     rows = materialize(rows, "metadata")
     total = rows.agg(F.sum("size")).first()[0] or 0
-    groups = rows.groupBy("copy").agg(F.sum("size").alias("weight"), F.min("source").alias("s"), F.min("lang").alias("l"))
+    # written, so that the join below has both sides from the disk and Spark can split a text of very many copies
+    groups = materialize(rows.groupBy("copy").agg(F.sum("size").alias("weight"), F.min("source").alias("s"), F.min("lang").alias("l")), "copies")
     # sources and languages have no measure: their hashes keep equal ones together
     coordinates = [F.col("size"), F.shiftrightunsigned(F.xxhash64("s"), 64 - LOW), F.shiftrightunsigned(F.xxhash64("l"), 64 - LOW)]
     pieces = F.ceil(F.col("weight") / F.lit(max(1.0, PIECE * total / shards)))
-    piece = F.pmod(F.xxhash64("doc_id"), pieces)
+    # rows without doc_id are told apart by their place, which is fixed once the points are written
+    own = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text_crc32")).otherwise(F.xxhash64(F.monotonically_increasing_id()))
+    piece = F.pmod(own, pieces)
     low = F.shiftrightunsigned(F.xxhash64("copy", piece), 64 - LOW)
     keys = [(F.shiftleft(F.least(c, F.lit((1 << LOW) - 1)).cast("long"), LOW).bitwiseOR(low)).alias(f"key{d}") for d, c in enumerate(coordinates)]
-    return materialize(rows.join(groups, "copy").select("doc_id", "size", "text_crc32", *keys), "points")
+    return materialize(rows.join(groups, "copy").select("doc_id", "size", "text_crc32", own.alias("own"), *keys), "points")
 
 
 def _spread(dim: int, low: int, high: int, whole: list[tuple[int, int]]) -> float:
@@ -112,8 +115,9 @@ def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
     node along its widest dimension (range, as a part of the level's), at the weighted median, or the quantile for an
     odd number of leaves. So the shards' sizes are near equal (law `bytes`), and similar documents lie together. Copies
     of a text share their coordinates and stay in one shard, but for a cut through them and for groups over PIECE of a
-    shard, which are spread where balance needs it. slot numbers the rows of a shard from 0 without gaps, in order of
-    hashed doc_ids. grown_shard is null: another number of shards means another tree.
+    shard, which are spread where balance needs it. slot numbers the rows of a shard from 0 without gaps, by hashes of doc_id
+    and text, so that many rows of one doc_id, or of none, are no single task. grown_shard is null: another number of
+    shards means another tree.
 
     Null text: empty. Null doc_id, source, lang: values like any other. Repeated rows: each has a slot. Ties in a
     dimension are ordered by the text's hash. Other columns are not read. An empty table gives an empty result.
@@ -127,7 +131,7 @@ def shard(docs: DataFrame, shards: int = 40) -> DataFrame:
             break
     placed = points.withColumn("shard", _route(root, lambda n: n.first).cast("int"))
     lots = max(1, -(-count // (_SLOT_ROWS * shards // 8)))
-    placed = placed.withColumn("lot", F.pmod(F.xxhash64("doc_id"), F.lit(lots)).cast("int"))
+    placed = placed.withColumn("lot", F.pmod("own", F.lit(lots)).cast("int"))
     sizes = placed.groupBy("shard", "lot").count()
     before = F.coalesce(F.sum("count").over(Window.partitionBy("shard").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("shard", "lot", before.alias("start"))
