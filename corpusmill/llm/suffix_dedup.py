@@ -4,12 +4,12 @@ Suffixes are compared through the threshold only, most significant digit first,
 is done. The first digit of a suffix is the smallest of the 37-byte strings in its first 100 bytes: equal windows have
 equal digits, and as neighbouring suffixes mostly share the digit, one record stands for a run of about 30 of them. The
 second digit is all bytes of the run: runs that agree in it are repeated windows. Of runs that agree in the first digit
-only, one of each kind goes on to the last digit, all 100 bytes of each of its suffixes; equal groups are exactly the
-repeated windows.
+only, one of each kind goes on: 32 bytes more to one side of the first digit part them again, so that a phrase of very
+many documents is spread by what surrounds it, and the last digit is all 100 bytes of each of their suffixes; equal groups
+are exactly the repeated windows.
 
-Bytes are compared by 96-bit BLAKE2b digests, the first digits by 48 bits of a weak hash: where these agree by chance,
-runs go on to the next digit, and nothing else. Each digit but the first is dealt out by its digest, so that a passage or
-phrase of a third of all documents is spread by what surrounds it; equal digits of one batch meet before the shuffle.
+Bytes are compared by 96-bit BLAKE2b digests, the first digits and the parts of open runs by weak hashes: where these
+agree by chance, runs go on to the next digit, and nothing else. Equal runs of one batch meet before the shuffle.
 """
 
 from __future__ import annotations
@@ -21,18 +21,22 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from corpusmill.llm.hashing import BLOCK, U, mix, prefix, window_hash
+from corpusmill.llm.hashing import BLOCK, U, mix, prefix, slice_hash, window_hash
 from corpusmill.llm.storage import materialize
 
-LENGTH, DIGIT = 100, 37
+LENGTH, DIGIT, SIDE = 100, 37, 32
+#: Suffixes that a task of the last pass holds at once.
+SUFFIXES = 400_000
 #: Kinds of runs with one first digit in a batch up to which they are dealt out by it. More are known to share the digit
 #: and go on at once, and a mark says so to those of other batches.
 KINDS = 8
 _STEPS = (1, 2, 4, 8, 16, 32)
 assert sum(_STEPS) + 1 + DIGIT == LENGTH + 1
 _RUNS, _COVERED, _OPEN = 0, 1, 2
-_MARK = 256
+#: The shape of a run: its windows less 1, and 256 times the place of the first digit in its first window; and a mark.
+_MARK = 1 << 15
 _DIGEST = np.dtype([("a", "<u8"), ("b", "<u4")])
 _PACKED = "bucket int, kind byte, body binary"
 _SPANS = "kind byte, k long, part long, los array<long>, ends array<long>"
@@ -45,7 +49,7 @@ def digests(buffer: memoryview, start: np.ndarray, end: np.ndarray) -> np.ndarra
 
 
 def runs_of(buffer: np.ndarray, valid: np.ndarray):
-    """Runs of windows with one first digit: (digit, first start, last start)."""
+    """Runs of windows with one first digit: (digit, its place in the first window, first start, last start)."""
     low = mix(window_hash(prefix(buffer), DIGIT))
     at = np.arange(len(low), dtype=np.int32)
     for d in _STEPS:
@@ -57,7 +61,7 @@ def runs_of(buffer: np.ndarray, valid: np.ndarray):
     end = np.concatenate((change, [len(at)])) - 1
     keep = valid[start]
     start, end = start[keep], end[keep]
-    return low[start], start, end
+    return low[start], at[start] - start, start, end
 
 
 def _pieces(texts: list[bytes]):
@@ -78,7 +82,7 @@ def _pieces(texts: list[bytes]):
 
 
 def _records(texts: list[bytes]):
-    """Columns (row, start, windows less 1, first digit, digest of the bytes) of all runs, in the order of the texts."""
+    """Columns (row, start, shape, first digit, digest of the bytes) of all runs, in the order of the texts."""
     out = []
     for group in _pieces(texts):
         whole = b"".join(p for _, _, p in group)
@@ -88,11 +92,11 @@ def _records(texts: list[bytes]):
         valid = np.ones(windows, bool)
         for a, e in zip(begins.tolist(), ends.tolist(), strict=True):
             valid[max(a, e - LENGTH + 1) : e] = False
-        digit, start, end = runs_of(np.frombuffer(whole, np.uint8), valid)
+        digit, place, start, end = runs_of(np.frombuffer(whole, np.uint8), valid)
         piece = np.searchsorted(ends, start, side="right")
         rows = np.array([i for i, _, _ in group])[piece]
         offsets = np.array([o for _, o, _ in group])[piece]
-        out.append((rows, start - begins[piece] + offsets, end - start, digit, digests(memoryview(whole), start, end + LENGTH)))
+        out.append((rows, start - begins[piece] + offsets, end - start + 256 * place, digit, digests(memoryview(whole), start, end + LENGTH)))
     if not out:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, U, _DIGEST))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -189,12 +193,12 @@ def _scan(buckets: int):
             same = (k[row] == k[row[first]]) & (part[row] == part[row[first]]) & (lo == lo[first])
             late = ~own & ~same
             out = ([], [], [])
-            found = _merged(k[row[late]], part[row[late]], lo[late], lo[late] + n[late] + LENGTH)
+            found = _merged(k[row[late]], part[row[late]], lo[late], lo[late] + n[late] % 256 + LENGTH)
             _dealt(_share(mix(found[0].astype(np.int64).view(U)), buckets), _COVERED, list(found), out)
             row, lo, n, digit, rest = row[own], lo[own], n[own], digit[own], rest[own]
             _, group, sizes = np.unique(digit, return_inverse=True, return_counts=True)
             many = sizes[group] > KINDS
-            _dealt(_share(rest["a"][many], buckets), _OPEN, [k[row[many]], part[row[many]], lo[many], lo[many] + n[many]], out)
+            _dealt(_share(rest["a"][many], buckets), _OPEN, [k[row[many]], part[row[many]], lo[many], n[many]], out)
             marks = np.flatnonzero(many)[np.unique(group[many], return_index=True)[1]] if many.any() else np.empty(0, np.int64)
             some = np.concatenate((np.flatnonzero(~many), marks))
             n = n.astype(np.uint16)
@@ -206,7 +210,7 @@ def _scan(buckets: int):
 
 
 def _spans(kind: int, k: np.ndarray, part: np.ndarray, lo: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    """A row for each document, with its spans in order."""
+    """A row for each document, with its spans in order; of open runs, ends has the shapes."""
     order = np.lexsort((lo, part, k))
     k, part, lo, end = (np.asarray(x, np.int64)[order] for x in (k, part, lo, end))
     if kind == _COVERED:
@@ -237,60 +241,110 @@ def _first_digits(table: pa.Table) -> pa.Table:
         marked = np.bincount(group, weights=n >= _MARK)[group] > 0
         late = ~kind & ~marked & ~((k == k[head]) & (part == part[head]) & (lo == lo[head]))
         still = np.where(marked, n < _MARK, kind & (np.bincount(group, weights=kind) > 1)[group])
-        done[_COVERED].append((k[late], part[late], lo[late], lo[late] + n[late] + LENGTH))
-        done[_OPEN].append((k[still], part[still], lo[still], lo[still] + n[still]))
+        done[_COVERED].append((k[late], part[late], lo[late], lo[late] + n[late] % 256 + LENGTH))
+        done[_OPEN].append((k[still], part[still], lo[still], n[still]))
     out = [_spans(kind, *(np.concatenate(x) for x in zip(*found, strict=True))) for kind, found in done.items() if found]
     return pa.Table.from_batches(out, _SPAN_SCHEMA)
 
 
-def _last_digit(buckets: int):
-    """Suffixes of the open runs: those that recur within a batch are settled at once, one of each kind is dealt out."""
+def _halves(text: bytes, lo: int, shape: int):
+    """The open run's windows in two parts with the next digit of each: (first window, windows less 1, digit)."""
+    n, place = shape % 256, shape // 256
+    at = lo + place
+    if place >= SIDE:
+        yield lo, min(n, place - SIDE), xxh64_intdigest(text[at - SIDE : at + DIGIT])
+    skip = max(0, place - SIDE + 1)
+    if n >= skip:
+        yield lo + skip, n - skip, xxh64_intdigest(text[at : at + DIGIT + SIDE], 1)
+
+
+def _fetch(buckets: int):
+    """Bytes of the open runs, dealt out by the next digit."""
 
     def run(batches):
         for batch in batches:
             ks, parts = batch.column("k").to_numpy(), batch.column("part").to_numpy()
             texts = batch.column("text").cast(pa.binary())
-            row, at, keys = [], [], []
-            for i in np.lexsort((parts, ks)).tolist():
-                text = texts[i].as_py() or b""
-                lows, highs = (np.array(batch.column(c)[i].as_py(), np.int64) for c in ("los", "ends"))
-                sizes = highs - lows + 1
-                own = np.sort(np.arange(int(sizes.sum())) + np.repeat(lows - (np.cumsum(sizes) - sizes), sizes))
-                row.append(np.full(len(own), i))
-                at.append(own)
-                keys.append(digests(memoryview(text), own, own + LENGTH))
+            row, lo, n, key, spans = [], [], [], [], []
+            for i, (lows, shapes) in enumerate(zip(batch.column("los").to_pylist(), batch.column("ends").to_pylist(), strict=True)):
+                text = texts[i].as_py()
+                for begin, shape in dict.fromkeys(zip(lows, shapes, strict=True)):
+                    for first, length, digit in _halves(text, begin, shape):
+                        row.append(i)
+                        lo.append(first)
+                        n.append(length)
+                        key.append(digit)
+                        spans.append(text[first : first + length + LENGTH])
             if not row:
                 continue
-            row, at, key = np.concatenate(row), np.concatenate(at), np.concatenate(keys)
-            k, part = ks[row], parts[row]
-            first = _first_of_group(key)
-            own = first == np.arange(len(first))
-            late = ~own & ~((k == k[first]) & (part == part[first]) & (at == at[first]))
+            row, lo, n, key = np.array(row), np.array(lo, np.int64), np.array(n, np.uint8), np.array(key, U)
+            bucket = _share(key, buckets)
+            order = np.argsort(bucket, kind="stable")
             out = ([], [], [])
-            found = _merged(k[late], part[late], at[late], at[late] + LENGTH)
-            _dealt(_share(mix(found[0].astype(np.int64).view(U)), buckets), _COVERED, list(found), out)
-            _dealt(_share(key["a"][own], buckets), _RUNS, [k[own], part[own], at[own], key[own]], out)
+            for pick in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                head = _pack(ks[row[pick]], parts[row[pick]], lo[pick], n[pick], key[pick])
+                out[0].append(int(bucket[pick[0]]))
+                out[1].append(_OPEN)
+                out[2].append(len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=1).compress(b"".join([spans[i] for i in pick.tolist()])))
             yield _packed_batch(out)
 
     return run
 
 
 def _last_digits(table: pa.Table) -> pa.Table:
-    """One bucket of suffixes by all their bytes: those with an equal one before them are covered."""
-    done, parts = [], []
-    for kind, body in zip(table.column("kind").to_pylist(), table.column("body"), strict=True):
-        if kind == _RUNS:
-            parts.append(_unpack(body.as_py(), np.int64, np.int64, np.int64, _DIGEST))
-        else:
-            done.append(_unpack(body.as_py(), np.int64, np.int64, np.int64, np.int64))
-    if parts:
-        k, part, at, key = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((at, part, k))
-        k, part, at, key = (x[order] for x in (k, part, at, key))
-        first = _first_of_group(key)
-        late = (first != np.arange(len(first))) & ~((k == k[first]) & (part == part[first]) & (at == at[first]))
-        done.append((k[late], part[late], at[late], at[late] + LENGTH))
-    return pa.Table.from_batches([_spans(_COVERED, *(np.concatenate(x) for x in zip(*done, strict=True)))], _SPAN_SCHEMA)
+    """One bucket of open runs: each of their suffixes is compared through all its bytes, SUFFIXES at a time.
+
+    A weak hash tells which suffixes may be repeated; these are compared by the digests of their bytes.
+    """
+    parts, texts = [], []
+    for body in table.column("body"):
+        body = body.as_py()
+        size = int.from_bytes(body[:8], "little")
+        parts.append(_unpack(body[8 : 8 + size], np.int64, np.int64, np.int64, np.uint8, U))
+        texts.append(zstandard.ZstdDecompressor().decompress(body[8 + size :]))
+    k, part, lo, n, key = (np.concatenate(x) for x in zip(*parts, strict=True))
+    n = n.astype(np.int64)
+    begin = np.concatenate(([0], np.cumsum(n + LENGTH)[:-1]))
+    whole = b"".join(texts)
+    del parts, texts
+    # a part whose digit no other has is alone
+    _, kinds, sizes = np.unique(key, return_inverse=True, return_counts=True)
+    order = np.lexsort((lo, part, k))
+    order = order[sizes[kinds[order]] > 1]
+    k, part, lo, n, begin = (x[order] for x in (k, part, lo, n, begin))
+    none = [np.empty(0, np.int64)] * 4
+    if not len(k):
+        return pa.Table.from_batches([_spans(_COVERED, *none)], _SPAN_SCHEMA)
+    sums, view = prefix(np.frombuffer(whole, np.uint8)), memoryview(whole)
+    starts = np.concatenate(([0], np.cumsum(n + 1)))
+    repeated = np.zeros(starts[-1], bool)
+    passes = int(-(-starts[-1] // SUFFIXES))
+    chunks = np.searchsorted(starts, np.arange(0, starts[-1], SUFFIXES), side="left").tolist() + [len(n)]
+    for number in range(passes):
+        found = []
+        for a, b in zip(chunks, chunks[1:], strict=False):
+            run = np.repeat(np.arange(a, b), n[a:b] + 1)
+            step = np.arange(starts[a], starts[b]) - starts[run]
+            at = begin[run] + step
+            weak = mix(slice_hash(sums, at, at + LENGTH))
+            own = np.flatnonzero(weak % U(passes) == number) if passes > 1 else slice(None)
+            found.append((weak[own], run[own], step[own]))
+        weak, run, step = (np.concatenate(x) for x in zip(*found, strict=True))
+        _, which, many = np.unique(weak, return_inverse=True, return_counts=True)
+        again = many[which] > 1
+        run, step = run[again], step[again]
+        if not len(run):
+            continue
+        at = begin[run] + step
+        first = _first_of_group(digests(view, at, at + LENGTH))
+        same = (k[run] == k[run[first]]) & (part[run] == part[run[first]]) & (lo[run] + step == lo[run[first]] + step[first])
+        repeated[(starts[run] + step)[~same]] = True
+    late = np.flatnonzero(repeated)
+    run = np.searchsorted(starts, late, side="right") - 1
+    at = lo[run] + late - starts[run]
+    order = np.lexsort((at, part[run], k[run]))
+    found = _merged(k[run][order], part[run][order], at[order], at[order] + LENGTH) if len(late) else none
+    return pa.Table.from_batches([_spans(_COVERED, *found)], _SPAN_SCHEMA)
 
 
 def _cut(batches):
@@ -340,7 +394,7 @@ def remove_repeats(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     settled = materialize(dealt.groupBy("bucket").applyInArrow(_first_digits, _SPANS), "runs")
     still = settled.where(F.col("kind") == _OPEN).groupBy("k", "part").agg(joined("los"), joined("ends"))
     open_ = docs.select("k", "part", "text").join(still, ["k", "part"])
-    last = open_.mapInArrow(_last_digit(buckets), _PACKED).groupBy("bucket").applyInArrow(_last_digits, _SPANS)
+    last = open_.mapInArrow(_fetch(buckets), _PACKED).groupBy("bucket").applyInArrow(_last_digits, _SPANS)
     covered = settled.where(F.col("kind") == _COVERED).union(last).groupBy("k", "part").agg(joined("los"), joined("ends"))
     out = docs.join(covered, ["k", "part"], "left").select("doc_id", "text", "los", "ends")
     return out.mapInArrow(_cut, "doc_id long, text string, kept binary, spans array<struct<start:long,end:long>>")

@@ -262,6 +262,7 @@ def _with_passages(table):
 def test_digits_in_one_process(docs, monkeypatch, kinds, bits, rows):
     """All passes without Spark, also if every first digit goes on at once, or most of them are equal by chance."""
     monkeypatch.setattr(suffix_dedup, "KINDS", kinds)
+    monkeypatch.setattr(suffix_dedup, "SUFFIXES", 300 * rows)
     whole = suffix_dedup.mix
     if bits == 8:
         monkeypatch.setattr(suffix_dedup, "mix", lambda x: whole(x) & np.uint64(255))
@@ -282,7 +283,7 @@ def test_digits_in_one_process(docs, monkeypatch, kinds, bits, rows):
     open_ = [(k, p, t, *joined[2, k, p]) for k, p, t in dict.fromkeys(keyed) if (2, k, p) in joined]
     names = ("k", "part", "text", "los", "ends")
     batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in open_[at : at + rows]]) for at in range(0, len(open_), rows)]
-    for g in grouped(suffix_dedup._last_digit(5)(batches), None):
+    for g in grouped(suffix_dedup._fetch(5)(batches), None):
         for r in suffix_dedup._last_digits(g).to_pylist():
             joined[1, r["k"], r["part"]][0].extend(r["los"])
             joined[1, r["k"], r["part"]][1].extend(r["ends"])
