@@ -641,7 +641,10 @@ def _scratch(spark: SparkSession) -> str:
     import tempfile
     import uuid
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+    shared = shared or "file://" + tempfile.gettempdir()
     return f"{shared.rstrip('/')}/corpusmill-{uuid.uuid4().hex}"
 
 
