@@ -12,9 +12,12 @@ KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one only where the cluster names none (tests, local runs)."""
+    """The shared folder of the session; a temporary one only if none is named and all runs on this machine (tests)."""
     path = spark.conf.get(KEY, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {KEY} to a folder that all machines of the cluster share")
         path = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
         spark.sparkContext.setCheckpointDir(path)
         path = spark.sparkContext.getCheckpointDir() or path
