@@ -29,9 +29,14 @@ from corpusmill.llm.storage import materialize
 LENGTH, DIGIT, SIDE = 100, 37, 32
 #: Suffixes that a task of the last pass holds at once.
 SUFFIXES = 400_000
-#: Kinds of runs with one first digit in a batch up to which they are dealt out by it. More are known to share the digit
-#: and go on at once, and a mark says so to those of other batches.
-KINDS = 8
+#: Bytes of text that a task works on at once: the arrays take some ten times as much.
+LOT = 8 << 20
+#: Parts of open runs after which a task sends them on.
+PARTS = 100_000
+#: Kinds of runs with one first digit in a lot up to which they are dealt out by it: a phrase of a tenth of the rows. More
+#: are known to share the digit and go on at once, and a mark says so to those of other batches. So a lot adds a bounded
+#: number to any bucket; a lower bound would send more runs on that the first digit's bucket settles.
+KINDS = 1000
 _STEPS = (1, 2, 4, 8, 16, 32)
 assert sum(_STEPS) + 1 + DIGIT == LENGTH + 1
 _RUNS, _COVERED, _OPEN = 0, 1, 2
@@ -175,16 +180,25 @@ def _share(values: np.ndarray, buckets: int) -> np.ndarray:
     return ((values >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
+def _lots(batch: pa.RecordBatch):
+    """(k, part, texts) of a batch's rows in order of k and part, LOT bytes at a time."""
+    k, part = batch.column("k").to_numpy(), batch.column("part").to_numpy()
+    raw, own, size = batch.column("text").cast(pa.binary()), [], 0
+    for i in np.lexsort((part, k)).tolist():
+        own.append(i)
+        size += len(raw[i].as_buffer() or b"") if raw[i].is_valid else 0
+        if size >= LOT:
+            yield k[own], part[own], [raw[j].as_py() or b"" for j in own]
+            own, size = [], 0
+    if own:
+        yield k[own], part[own], [raw[j].as_py() or b"" for j in own]
+
+
 def _scan(buckets: int):
-    """First pass over the texts: runs that recur within a batch are settled at once, one of each kind is dealt out."""
+    """First pass over the texts: runs that recur within a lot are settled at once, one of each kind is dealt out."""
 
     def run(batches):
-        for batch in batches:
-            k, part = batch.column("k").to_numpy(), batch.column("part").to_numpy()
-            order = np.lexsort((part, k))
-            raw = batch.column("text").cast(pa.binary())
-            texts = [raw[int(i)].as_py() or b"" for i in order]
-            k, part = k[order], part[order]
+        for k, part, texts in (lot for batch in batches for lot in _lots(batch)):
             row, lo, n, digit, rest = _records(texts)
             if not len(row):
                 continue
@@ -259,34 +273,36 @@ def _halves(text: bytes, lo: int, shape: int):
 
 
 def _fetch(buckets: int):
-    """Bytes of the open runs, dealt out by the next digit."""
+    """Bytes of the open runs, dealt out by the next digit, PARTS parts at a time."""
+
+    def packed(keys: list, lo: list, n: list, digits: list, spans: list) -> pa.RecordBatch:
+        (ks, parts), lo, n, digit = np.array(keys, np.int64).T, np.array(lo, np.int64), np.array(n, np.uint8), np.array(digits, U)
+        bucket = _share(digit, buckets)
+        order = np.argsort(bucket, kind="stable")
+        out = ([], [], [])
+        for pick in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            head = _pack(ks[pick], parts[pick], lo[pick], n[pick], digit[pick])
+            out[0].append(int(bucket[pick[0]]))
+            out[1].append(_OPEN)
+            out[2].append(len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=1).compress(b"".join([spans[i] for i in pick.tolist()])))
+        return _packed_batch(out)
 
     def run(batches):
         for batch in batches:
-            ks, parts = batch.column("k").to_numpy(), batch.column("part").to_numpy()
             texts = batch.column("text").cast(pa.binary())
-            row, lo, n, key, spans = [], [], [], [], []
-            for i, (lows, shapes) in enumerate(zip(batch.column("los").to_pylist(), batch.column("ends").to_pylist(), strict=True)):
+            found: tuple[list, ...] = ([], [], [], [], [])
+            for i, key in enumerate(zip(batch.column("k").to_pylist(), batch.column("part").to_pylist(), strict=True)):
                 text = texts[i].as_py()
-                for begin, shape in dict.fromkeys(zip(lows, shapes, strict=True)):
+                shapes = zip(batch.column("los")[i].as_py(), batch.column("ends")[i].as_py(), strict=True)
+                for begin, shape in dict.fromkeys(shapes):
                     for first, length, digit in _halves(text, begin, shape):
-                        row.append(i)
-                        lo.append(first)
-                        n.append(length)
-                        key.append(digit)
-                        spans.append(text[first : first + length + LENGTH])
-            if not row:
-                continue
-            row, lo, n, key = np.array(row), np.array(lo, np.int64), np.array(n, np.uint8), np.array(key, U)
-            bucket = _share(key, buckets)
-            order = np.argsort(bucket, kind="stable")
-            out = ([], [], [])
-            for pick in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                head = _pack(ks[row[pick]], parts[row[pick]], lo[pick], n[pick], key[pick])
-                out[0].append(int(bucket[pick[0]]))
-                out[1].append(_OPEN)
-                out[2].append(len(head).to_bytes(8, "little") + head + zstandard.ZstdCompressor(level=1).compress(b"".join([spans[i] for i in pick.tolist()])))
-            yield _packed_batch(out)
+                        for column, value in zip(found, (key, first, length, digit, text[first : first + length + LENGTH]), strict=True):
+                            column.append(value)
+                if len(found[0]) >= PARTS:
+                    yield packed(*found)
+                    found = ([], [], [], [], [])
+            if found[0]:
+                yield packed(*found)
 
     return run
 

@@ -263,6 +263,7 @@ def test_digits_in_one_process(docs, monkeypatch, kinds, bits, rows):
     """All passes without Spark, also if every first digit goes on at once, or most of them are equal by chance."""
     monkeypatch.setattr(suffix_dedup, "KINDS", kinds)
     monkeypatch.setattr(suffix_dedup, "SUFFIXES", 300 * rows)
+    monkeypatch.setattr(suffix_dedup, "PARTS", 20 * rows)
     whole = suffix_dedup.mix
     if bits == 8:
         monkeypatch.setattr(suffix_dedup, "mix", lambda x: whole(x) & np.uint64(255))
