@@ -217,7 +217,8 @@ def _scan(buckets: int):
             some = np.concatenate((np.flatnonzero(~many), marks))
             n = n.astype(np.uint16)
             n[marks] |= _MARK
-            _dealt(_share(digit[some], buckets), _RUNS, [k[row[some]], part[row[some]], lo[some], n[some], _six(digit[some]), rest[some]], out)
+            # first digits are minima, so nearly all are small numbers: mixed again, they fill all buckets alike
+            _dealt(_share(mix(digit[some]), buckets), _RUNS, [k[row[some]], part[row[some]], lo[some], n[some], _six(digit[some]), rest[some]], out)
             yield _packed_batch(out)
 
     return run
