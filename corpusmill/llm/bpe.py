@@ -20,10 +20,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.storage import frugal
+
 #: Characters of text after which a block ends, and from which a text is split without a list of all its pre-tokens.
 BLOCK, LONG = 4 << 20, 1 << 20
 #: Distinct words whose ids a task remembers; a word that is met again later is encoded again.
 KNOWN = 300_000
+#: Hash values of words at most: a block has a row of words for each, so with more of them for a larger input the rows
+#: would grow with its square. And word rows that an Arrow batch holds at most.
+BUCKETS, ROWS_AT_ONCE = 256, 64
 #: Tokens of a vocabulary at most: the token-byte table is broadcast.
 VOCABULARY = 1 << 22
 #: A pattern whose matches have a blank at their start only, unless they are white space as a whole. A text can be cut in
@@ -54,12 +59,18 @@ def token_table(spark: SparkSession, ranks: str) -> DataFrame:
     return spark.createDataFrame(pa.table({"id": pa.array(found.values(), pa.int64()), "bytes": pa.array(found.keys(), pa.binary())}))
 
 
+@cache
+def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Those of this process: for short rows a new one costs more than its work."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _press(array: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
+    return _codec()[0].compress(array.tobytes())
 
 
 def _loose(body: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(body), kind)
+    return np.frombuffer(_codec()[1].decompress(body), kind)
 
 
 def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -161,7 +172,7 @@ def _pretokens(pattern: str, buckets: int):
         for own in np.split(order, edges[1:]) if len(order) else ():
             chosen = [raw[i] for i in own.tolist()]
             keys.append(int(bucket[own[0]]))
-            bodies.append([_press(own.astype(np.uint32)), _press(np.array([len(w) for w in chosen], np.uint32)), zstandard.ZstdCompressor(level=1).compress(b"".join(chosen))])
+            bodies.append([_press(own.astype(np.uint32)), _press(np.array([len(w) for w in chosen], np.uint32)), _codec()[0].compress(b"".join(chosen))])
         n = len(keys)
         planes = _planes(stream, 3 if len(raw) < 1 << 24 else 4)
         docs = pa.list_(pa.int64())
@@ -191,9 +202,10 @@ def _word_ids(path: str):
         encode = _encoder(path)
         known: dict[bytes, bytes] = {}
         for batch in batches:
+            bodies = []
             for i in range(batch.num_rows):
                 codes, sizes, raw = batch.column("bodies")[i].as_py()
-                raw = zstandard.ZstdDecompressor().decompress(raw)
+                raw = _codec()[1].decompress(raw)
                 ids, lengths, start = [], [], 0
                 for end in np.cumsum(_loose(sizes, np.uint32)).tolist():
                     word = raw[start:end]
@@ -205,8 +217,10 @@ def _word_ids(path: str):
                         known[word] = found = np.array(encode(word.decode()), np.uint32).tobytes()
                     ids.append(found)
                     lengths.append(len(found) >> 2)
-                body = [codes, _press(np.array(lengths, np.uint32)), *_planes(np.frombuffer(b"".join(ids), np.uint32), 4)]
-                yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), pa.array([body], pa.list_(pa.binary()))], ["block", "ids"])
+                bodies.append([codes, _press(np.array(lengths, np.uint32)), *_planes(np.frombuffer(b"".join(ids), np.uint32), 4)])
+                if len(bodies) == ROWS_AT_ONCE or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([batch.column("block").slice(i + 1 - len(bodies), len(bodies)), pa.array(bodies, pa.list_(pa.binary()))], ["block", "ids"])
+                    bodies = []
 
     return run
 
@@ -255,6 +269,10 @@ def _of(kind: int) -> Column:
     return F.col("kind") == F.lit(kind) + F.least(F.spark_partition_id(), F.lit(0))
 
 
+def default_buckets(partitions: int) -> int:
+    return min(4 * partitions, BUCKETS)
+
+
 def encode(docs: DataFrame, ranks: str, pattern: str, buckets: int | None = None) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_tokens, ids (binary: little-endian unsigned 32-bit integers).
 
@@ -263,13 +281,13 @@ def encode(docs: DataFrame, ranks: str, pattern: str, buckets: int | None = None
     gives an empty result.
 
     A block has one row of words for each of `buckets` hash values at most (by default 4 times
-    spark.sql.shuffle.partitions, which grows with the cluster and the input); a task streams them, so no bucket has to
-    fit into memory. What is held at once is a block, or one longer text.
+    spark.sql.shuffle.partitions, and BUCKETS at most, so that rows grow as the input does); a task streams them, so no
+    bucket has to fit into memory. What is held at once is a block, or one longer text.
     """
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pretokens(pattern, buckets), _PACKED).repartition("key")
-    back = blocks.where(_of(_WORDS)).mapInArrow(_word_ids(ranks), "block long, ids array<binary>")
+    buckets = buckets or default_buckets(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(_pretokens(pattern, buckets)), _PACKED).repartition("key")
+    back = blocks.where(_of(_WORDS)).mapInArrow(frugal(_word_ids(ranks)), "block long, ids array<binary>")
     return blocks.where(_of(_POSITIONS)).groupBy("key").cogroup(back.groupBy("block")).applyInArrow(_reassemble, "doc_id long, n_tokens long, ids binary")
 
 
@@ -305,4 +323,4 @@ def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
                 out.append(gather(table, start[row], sizes[row]).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, f"{kinds}, `decoded` binary")
+    return encoded.mapInArrow(frugal(run), f"{kinds}, `decoded` binary")
