@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.graph import components
 from corpusmill.llm.hashing import U, distinct, mix, shingle_hashes, word_hashes
-from corpusmill.llm.storage import arrow_batches, materialize
+from corpusmill.llm.storage import arrow_batches, frugal, materialize
 
 #: Hash functions, low bits kept of each minimum, and bands of ROWS minima from the first of them. A pair at the
 #: threshold 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32, about 5e-8.
@@ -23,8 +23,8 @@ _LONGS = HASHES // 64
 _SIGNS = [f"s{j}" for j in range(BITS * _LONGS)]
 _BANDS = [f"b{j}" for j in range(BANDS)]
 _SKETCH = "doc_id long, part long, n_shingles long, set_key binary, " + ", ".join(f"{c} long" for c in [*_SIGNS, *_BANDS])
-#: Pairs of texts that an Arrow batch carries to be verified.
-PAIRS_AT_ONCE = 256
+#: Pairs of texts that an Arrow batch carries to be verified, and texts to be sketched.
+PAIRS_AT_ONCE, TEXTS_AT_ONCE = 256, 1000
 _rng = np.random.Generator(np.random.PCG64(77))
 _FACTOR = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
 _MASK = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
@@ -123,7 +123,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     with_both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
     with arrow_batches(pairs.sparkSession, PAIRS_AT_ONCE):
-        return materialize(with_both.select("a", "b", "ta", "tb").mapInArrow(_verifier(width, percent), "a long, b long"), "links")
+        return materialize(with_both.select("a", "b", "ta", "tb").mapInArrow(frugal(_verifier(width, percent)), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
@@ -145,7 +145,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     by its own text. Other columns are not read. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("part"))
-    sketches = materialize(docs.mapInArrow(_sketcher(width), _SKETCH), "sketches")
+    with arrow_batches(docs.sparkSession, TEXTS_AT_ONCE):
+        sketches = materialize(docs.mapInArrow(frugal(_sketcher(width)), _SKETCH), "sketches")
     own = sketches.select("doc_id", "part", "n_shingles", "set_key")
     usable = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     classes = _classes(sketches.where(usable))

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.llm.storage import frugal
+
 #: Words in a window (scoring has one from every word on), and from one window's start to the next in training.
 WINDOW, TRAIN_STRIDE = 32, 24
 #: Words of a segment that is read at once in scoring, and words before (behind) it that each direction starts with.
@@ -385,7 +387,7 @@ def _scorer(model: Model):
 def _scored(docs: DataFrame, model: Model) -> DataFrame:
     """docs and the column _SCORE."""
     kinds = T.StructType([*docs.schema.fields, T.StructField(_SCORE, T.DoubleType())])
-    return docs.mapInArrow(_scorer(model), kinds)
+    return docs.mapInArrow(frugal(_scorer(model)), kinds)
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
