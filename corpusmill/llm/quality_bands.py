@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.hashing import _SEPARATOR, shingle_hashes, word_hashes
+from corpusmill.llm.storage import discard, materialize
 
 LEVEL, CHUNK = 3, 2048
 #: The share of chunks outside of their band from which a text is rejected.
 CHUNK_SHARE = 0.2
-#: Texts that bands are fitted to at most, chosen by hashed doc_id, each of this many bytes at most; the parts of them that
-#: may lie below and above a band, what is added to it, and the texts of a bin of lengths (half an octave) at least.
-FIT_ROWS, FIT_BYTES, TAIL, SLACK, LEAST = 4000, 1 << 16, 0.002, 0.004, 20
+#: Parts of the labelled texts that may lie below and above a band, what is added to it, and the texts of a bin of lengths
+#: (half an octave) at least.
+TAIL, SLACK, LEAST = 0.002, 0.004, 20
+#: Bands are fitted to counts of texts by length (so many cells an octave, a multiple of 2) and ratio (so many cells a unit).
+LENGTHS, RATIOS = 32, 4096
 
 
 @dataclass(frozen=True)
@@ -103,36 +106,56 @@ def _measure(bands: Bands):
     return run
 
 
-def _ratios(batches):
+def _cells(batches):
+    """Of each text its cell of length and of ratio, and those of its chunks' ratios."""
     press = zstandard.ZstdCompressor(level=LEVEL).compress
     for batch in batches:
-        texts = [t.as_py() for t in batch.column("text").cast(pa.binary())]
-        chunks = [chunk_ratios(t, press) if len(t) > CHUNK * 3 // 2 else [] for t in texts]
-        yield pa.RecordBatch.from_arrays([pa.array([len(t) for t in texts], pa.int64()), pa.array([len(press(t)) / len(t) for t in texts], pa.float64()), pa.array(chunks, pa.list_(pa.float64()))], ["size", "ratio", "chunks"])
+        lengths, ratios, chunks = [], [], []
+        for text in batch.column("text").cast(pa.binary()):
+            text = text.as_py()
+            lengths.append(int(np.floor(LENGTHS * np.log2(len(text)))))
+            ratios.append(round(RATIOS * len(press(text)) / len(text)))
+            chunks.append([round(RATIOS * r) for r in chunk_ratios(text, press)] if len(text) > CHUNK * 3 // 2 else [])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lengths, pa.int32()), pa.array(ratios, pa.int32()), pa.array(chunks, pa.list_(pa.int32()))], ["doc_id", "length", "ratio", "chunks"])
 
 
-def bands_of(sizes, ratios, chunks, default: Bands = PROSE) -> Bands:
-    """Bands that hold all but a part TAIL of these ratios on either side, and SLACK more; default where there are too few.
+def _ends(values: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
+    """The quantiles TAIL and 1 - TAIL of values that occur so many times each, as numpy has them."""
+    order = np.argsort(values, kind="stable")
+    values, upto = values[order], np.cumsum(counts[order])
 
-    A parabola over log2 of the bytes takes out how ratios fall with length; the rest has its own quantiles in each bin of
-    lengths, or those of all where a bin has under LEAST texts. Beyond the lengths seen, limits go on like default's.
+    def quantile(q: float) -> float:
+        place = q * (int(upto[-1]) - 1)
+        low, high = (float(values[np.searchsorted(upto, i, side="right")]) for i in (np.floor(place), np.ceil(place)))
+        return low + (high - low) * (place - np.floor(place))
+
+    return quantile(TAIL), quantile(1 - TAIL)
+
+
+def bands_of(texts, chunks, default: Bands = PROSE) -> Bands:
+    """Bands that hold all but a part TAIL of the ratios on either side, and SLACK more; default where there are too few.
+
+    texts: (cell of length, cell of ratio, count); chunks: (cell of ratio, count). A parabola over log2 of the bytes takes
+    out how ratios fall with length; the rest has its own quantiles in each bin of lengths, or those of all where a bin has
+    under LEAST texts. Beyond the lengths seen, limits go on like default's.
     """
-    sizes, ratios, chunks = np.asarray(sizes, np.float64), np.asarray(ratios, np.float64), np.asarray(chunks, np.float64)
-    order = np.lexsort((ratios, sizes))  # sums don't depend on the order of the rows
-    sizes, ratios = sizes[order], ratios[order]
-    band = (float(np.quantile(chunks, TAIL)) - SLACK, float(np.quantile(chunks, 1 - TAIL)) + SLACK) if len(chunks) >= LEAST else default.chunks
-    use = sizes >= 128
-    if use.sum() < LEAST:
+    texts = np.array(sorted(texts), np.int64).reshape(-1, 3)  # sums don't depend on the order of the rows
+    chunks = np.array(sorted(chunks), np.int64).reshape(-1, 2)
+    band = default.chunks
+    if chunks[:, 1].sum() >= LEAST:
+        down, up = _ends(chunks[:, 0] / RATIOS, chunks[:, 1])
+        band = (down - SLACK, up + SLACK)
+    texts = texts[texts[:, 0] >= 7 * LENGTHS]
+    if texts[:, 2].sum() < LEAST:
         return Bands(default.lowest, default.highest, band)
-    at, ratios = np.log2(sizes[use]), ratios[use]
-    curve = np.polyfit(at, ratios, 2)
+    at, ratios, counts = (texts[:, 0] + 0.5) / LENGTHS, texts[:, 1] / RATIOS, texts[:, 2]
+    curve = np.polyfit(at, ratios, 2, w=np.sqrt(counts))
     rest = ratios - np.polyval(curve, at)
-    ends = lambda x: (float(np.quantile(x, TAIL)), float(np.quantile(x, 1 - TAIL)))
-    bins = np.floor(2 * at).astype(int)
+    bins = 2 * texts[:, 0] // LENGTHS
     low, high = {}, {}
     for b in range(bins.min(), bins.max() + 1):
-        own = rest[bins == b]
-        down, up = ends(own if len(own) >= LEAST else rest)
+        own = bins == b
+        down, up = _ends(rest[own], counts[own]) if counts[own].sum() >= LEAST else _ends(rest, counts)
         for edge in (b, b + 1):
             size, middle = round(2 ** (edge / 2)), float(np.polyval(curve, edge / 2))
             low[size] = min(low.get(size, 2.0), middle + down - SLACK)
@@ -147,17 +170,21 @@ def bands_of(sizes, ratios, chunks, default: Bands = PROSE) -> Bands:
     return Bands(dict(sorted(low.items())), dict(sorted(high.items())), band)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Bands:
-    """Bands of the texts whose quality is labelled 1: labels (doc_id, quality), at most so many rows, chosen by hashed doc_id.
+def fit(docs: DataFrame, labels: DataFrame) -> Bands:
+    """Bands of all texts whose quality is labelled 1: labels (doc_id, quality).
 
-    The chosen ids are broadcast, a few numbers of each text go to the driver. Null ids and texts, empty texts, texts over
-    FIT_BYTES and unlabelled ones are left out; of labels of one doc_id the least counts. Too few texts give PROSE.
+    Every text is compressed where it is, and only its cells of length and ratios are joined with the labels and counted;
+    the driver gets the counts, whose number is bounded by the cells. Null ids and texts, empty texts and unlabelled ones
+    are left out; of labels of one doc_id the least counts. Too few texts give PROSE.
     """
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    chosen = marked.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.octet_length("text").between(1, FIT_BYTES)).join(F.broadcast(chosen), "doc_id")
-    found = texts.select("text").mapInArrow(_ratios, "size long, ratio double, chunks array<double>").limit(2 * rows).collect()
-    return bands_of([r["size"] for r in found], [r["ratio"] for r in found], [c for r in found for c in r["chunks"]])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & (F.octet_length("text") > 0))
+    cells = texts.mapInArrow(_cells, "doc_id long, length int, ratio int, chunks array<int>")
+    cells = materialize(cells.join(marked.where("quality = 1").select("doc_id"), "doc_id").drop("doc_id"), "cells")
+    chunks = cells.select(F.explode("chunks").alias("ratio")).groupBy("ratio").count().collect()
+    bands = bands_of(map(tuple, cells.groupBy("length", "ratio").count().collect()), map(tuple, chunks))
+    discard(cells)
+    return bands
 
 
 def quality(docs: DataFrame, bands: Bands = PROSE) -> DataFrame:
