@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.storage import discard, materialize
+from corpusmill.llm.storage import discard, give_back_driver, materialize
 
 ROUNDS = 60
 
@@ -14,7 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (a, b): component is the smallest node that can be reached.
 
     Loops, repeated and null edges are ignored. Each step is a grouped minimum (combined before the shuffle) and an
-    equi-join, and the edges of each round are written to the shared folder, in place of those before; the driver sees only a count and a hash.
+    equi-join, and the edges of each round are written to the shared folder, in place of those before; the driver sees only a count and a hash,
+    and gives memory back after each.
     """
     a, b = F.col("a"), F.col("b")
     now = edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
@@ -30,6 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where(a != b).distinct()
         before, now = now, materialize(small, "edges")
         discard(before)
+        give_back_driver(now.sparkSession)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == seen:
             break

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.graph import components
 from corpusmill.llm.hashing import U, distinct, mix, shingle_hashes, word_hashes
-from corpusmill.llm.storage import arrow_batches, frugal, materialize
+from corpusmill.llm.storage import arrow_batches, frugal, give_back_driver, materialize
 
 #: Hash functions, low bits kept of each minimum, and bands of ROWS minima from the first of them. A pair at the
 #: threshold 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32, about 5e-8.
@@ -145,6 +145,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     by its own text. Other columns are not read. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("part"))
+    give_back_driver(docs.sparkSession)  # what comes takes many small jobs
     with arrow_batches(docs.sparkSession, TEXTS_AT_ONCE):
         sketches = materialize(docs.mapInArrow(frugal(_sketcher(width)), _SKETCH), "sketches")
     own = sketches.select("doc_id", "part", "n_shingles", "set_key")
@@ -166,6 +167,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     for tier in (*(percent / 100 + t for t in TIERS), least):
         rest = _across(members, labels, classes, tier, above)
         above = tier
+        give_back_driver(docs.sparkSession)
         if not rest.isEmpty():
             links = links.union(_confirmed(rest, texts, width, percent))
             labels = components(links)

@@ -9,6 +9,7 @@ import uuid
 from contextlib import contextmanager
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
@@ -68,6 +69,22 @@ def give_back() -> None:
         pass
 
 
+def give_back_driver(spark: SparkSession) -> str | None:
+    """give_back() in the driver, and the same in its JVM, whose many short jobs leave freed native memory in all its threads' pools.
+
+    Returns what the JVM says, or None if it has no such command (before 17.0.9, or without the GNU library).
+    """
+    give_back()
+    try:
+        lang = spark._jvm.java.lang
+        call = next(m for m in lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")  # its class is not open to callers
+        given = spark.sparkContext._gateway.new_array(lang.Object, 4)  # no arguments, no signature
+        given[0], given[1] = spark._jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        return call.invoke(lang.management.ManagementFactory.getPlatformMBeanServer(), given)
+    except Py4JError:
+        return None
+
+
 def frugal(run):
     """The function of batches run; at the end of a task its process, which waits for others next to busy ones, gives memory back."""
 

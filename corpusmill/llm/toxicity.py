@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.storage import frugal
+from corpusmill.llm.storage import frugal, give_back_driver
 
 #: Words in a window (scoring has one from every word on), and from one window's start to the next in training.
 WINDOW, TRAIN_STRIDE = 32, 24
@@ -404,7 +404,10 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     short = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES)
     rows = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows])
+    model = train([r["text"] for r in rows], [r["toxic"] for r in rows])
+    del rows
+    give_back_driver(docs.sparkSession)  # else it holds what training freed through all that follows
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
