@@ -1,4 +1,4 @@
-"""The queries of the ten operators, each over its whole table with production parameters."""
+"""The queries of the operators, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, decontaminate, kd_shards, line_dedup, minhash, pii, quality_bands, secret_scan, suffix_dedup, toxicity
+from corpusmill.llm import bpe, decontaminate, filter_audit, fim, kd_shards, line_dedup, minhash, pii, quality_bands, secret_scan, simhash, suffix_dedup, toxicity
 from corpusmill.llm.storage import documents
 
 #: The key of the registered query only; whoever keeps a corpus passes a secret of their own.
@@ -84,3 +84,28 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(~held_out)
     out = toxicity.score(docs, toxicity.fit(docs, labels))
     return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), width=4, distance=4)
+    return found.select("doc_id", simhash.hexadecimal("print").alias("fingerprint"), "component_id")
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.rearranged(documents(spark, sf_dir))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+ORACLES["op12_fill_in_middle"] = fim.ORACLE
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    return filter_audit.audited(documents(spark, sf_dir), labels)
+
+
+ORACLES["op13_filter_audit"] = filter_audit.ORACLE
