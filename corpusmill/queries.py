@@ -16,6 +16,7 @@ from corpusmill.ml import evaluation, kmeans
 from corpusmill.ml.linear import collapse
 from corpusmill.operators import Combined, ImagePhashDeduplicator, ImageQualityFilter, SemanticDeduplicator, TextExactDeduplicator, TextLengthFilter, UrlFilter
 from corpusmill.operators.base import DETAILS
+from corpusmill.operators import html
 from corpusmill.operators.html import HtmlTextRefiner, coarse_text
 from corpusmill.operators.images import ImageAestheticQualityRefiner, ImageAIGCDetectorRefiner, ImageClipEmbeddingRefiner, ImageMetadataRefiner, ImageSigLIPEmbeddingRefiner, ImageTechnicalQualityRefiner, ImageVisualDegradationsRefiner
 from corpusmill.streaming import dedup as stream_dedup
@@ -225,9 +226,10 @@ def url_filter_disabled_rules(spark, sf_dir):
 
 
 # ---- HTML ----------------------------------------------------------------------------------------------------------
-@query()
+@query(f"SELECT page_id, title, text, coalesce(text_length, 0) AS text_length FROM ({html.oracle()})")
 def html_extract(spark, sf_dir):
-    return HtmlTextRefiner().transform(_table(spark, sf_dir, "pages")).select("page_id", "title", "text", "text_length")
+    out = HtmlTextRefiner().transform(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "title", "text", F.coalesce("text_length", F.lit(0)).cast("long").alias("text_length"))
 
 
 _PLAIN = "regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<noscript\\b.*?</noscript>|<head\\b.*?</head>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
@@ -666,6 +668,17 @@ def partitioned_roundtrip(spark, sf_dir):
     return spark.read.parquet(writer.path).select("doc_id", "key")
 
 
+@query("SELECT url, 'response' AS record_type, 'text/html; charset=utf-8' AS mime, md5(html) AS html_md5, octet_length(encode(html)) AS n_bytes, count(*) AS pages FROM pages GROUP BY ALL")
+def warc_roundtrip(spark, sf_dir):
+    """Pages written as archives of gzip members and read in ranges, several to each file."""
+    from corpusmill.sources.warc import read_warc, write_warc
+
+    path = _scratch(spark)
+    write_warc(_table(spark, sf_dir, "pages"), path)
+    back = read_warc(spark, path, record_types="response", mime="text/html", range_bytes=1 << 16).where("error IS NULL")
+    return back.groupBy("url", "record_type", "mime", F.md5("body").alias("html_md5"), F.octet_length("body").cast("long").alias("n_bytes")).agg(F.count("*").alias("pages"))
+
+
 @query(f"SELECT DISTINCT md5({_NORMAL}) AS dedup_key FROM documents")
 def streaming_exact_dedup(spark, sf_dir):
     schema = _table(spark, sf_dir, "documents").schema

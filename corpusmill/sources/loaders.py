@@ -62,7 +62,7 @@ class CommonCrawlLoader(DataLoader):
     """Readable text of the HTML responses of web archive files below a path.
 
     Columns crawl_id, warc_path, url, warc_date, title, text, text_length (bytes). num_files keeps the first files by
-    name. Pages of under 100 bytes and pages without readable text are left out. Nothing is fetched from a network.
+    name. Pages of under 100 characters, records that can't be read and pages without readable text are left out. Nothing is fetched from a network.
     """
 
     def __init__(self, crawl_id: str = "", path: str | None = None, base_url: str | None = None, cache_dir: str | None = None, num_files: int | None = None):
@@ -71,9 +71,9 @@ class CommonCrawlLoader(DataLoader):
             raise ValueError("CommonCrawlLoader needs the path of downloaded archive files")
 
     def load(self, spark: SparkSession) -> DataFrame:
-        from corpusmill.operators.html import extract_text
+        from corpusmill.operators.html import with_readable
         from corpusmill.sources.warc import read_warc
 
-        pages = read_warc(spark, self.path, self.num_files).where("record_type = 'response' AND mime LIKE '%text/html%' AND length(body) >= 100")
-        found = pages.withColumn("_found", extract_text(F.col("html")))
-        return found.where(F.col("_found.text").isNotNull()).select(F.lit(self.crawl_id).alias("crawl_id"), "warc_path", "url", "warc_date", "_found.title", "_found.text", "_found.text_length")
+        pages = read_warc(spark, self.path, self.num_files, record_types="response", mime="text/html").where("error IS NULL AND length(html) >= 100")
+        found = with_readable(pages.select("warc_path", "url", "warc_date", "html"), F.col("html"))
+        return found.where("text IS NOT NULL").select(F.lit(self.crawl_id).alias("crawl_id"), "warc_path", "url", "warc_date", "title", "text", "text_length")

@@ -18,7 +18,6 @@ from corpusmill.metrics.report import duplicate_groups, samples
 from corpusmill.metrics.store import MetricsStore
 from corpusmill.ml.kmeans import KMeansModel, KMeansTrainer, assign
 from corpusmill.ml.linear import collapse, fold_batch_norm
-from corpusmill.operators.html import extract
 from corpusmill.plans.config import configuration, replicas
 from corpusmill.plans.registry import LOADERS
 from corpusmill.plans.registry import OPERATORS as OPS
@@ -181,19 +180,6 @@ def test_image_measures():
     assert quality.gradient_hash(noise)
 
 
-def test_html():
-    page = "<html><head><title> A  b </title><style>x</style></head><body><script>no</script><p>" + "word " * 12 + "</p><div>é &amp; end</div></body></html>"
-    title, text, size = extract(page)
-    assert title == "A b" and text.endswith("é & end") and "no" not in text.split() and size == len(text.encode())
-    body = "".join(f"<p>sentence number {i} of the page</p>" for i in range(20))
-    for tag in ("nav", "form", "aside", "head"):  # without an end
-        assert extract(f"<{tag}><a>menu</a>{body}")[1].count("sentence") == 20
-        assert extract(f"<{tag}><a>menu</a></{tag}>{body}")[1].startswith("sentence")
-    assert extract(f"<html><head><title>t</title>x<body>{body}")[:2] == ("t", "\n".join(f"sentence number {i} of the page" for i in range(20)))
-    assert extract(f"{body}<script>var a = 1") == extract(body)
-    assert extract("<p>short</p>") is None and extract(None) is None
-
-
 def test_warc(spark, tmp_path):
     def record(kind, url, body):
         return f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {url}\r\nWARC-Date: 2026-01-01\r\nContent-Type: application/http\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
