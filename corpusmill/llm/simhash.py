@@ -24,7 +24,7 @@ SEED, DISTANCE, BANDS = 42, 4, 3
 #: Rows of an anchor on each side that are compared in one task; more of them are dealt to several groups.
 ROWS = 1 << 16
 #: Pairs that are compared at once, and texts and fingerprints of an Arrow batch.
-PAIRS_AT_ONCE, TEXTS_AT_ONCE, PRINTS_AT_ONCE = 1 << 21, 1000, 4096
+PAIRS_AT_ONCE, TEXTS_AT_ONCE, PRINTS_AT_ONCE = 1 << 18, 1000, 4096
 #: Length of the code's blocks, and for each bit of a block's syndrome the places that it sums. Fixed values.
 _LENGTH = 15
 _CHECKS = [U(sum(1 << (place - 1) for place in range(1, 16) if place >> bit & 1)) for bit in range(4)]
