@@ -1,9 +1,9 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs, in numpy.
 
 A word's input is the embedding of the word, if frequent, and the mean embedding of its character 3-grams and 5-grams, so it is
-worked out once for each distinct word. Both directions read a text once, in segments with LEAD words of run-up; as pooling
-is a weighted mean, running sums of weights and weighted outputs give the windows of words that begin at every word. A text's
-score is that of its worst window, and training, too, follows the worst of some windows of each labelled text.
+worked out once for each distinct word. A text is read in overlapping windows, each from fresh states in both directions, in
+training and in scoring alike. A text's score is that of its worst window, and training, too, follows the worst of the
+windows of each labelled text.
 """
 
 from __future__ import annotations
@@ -19,10 +19,8 @@ from pyspark.sql import types as T
 
 from corpusmill.llm.storage import frugal, give_back_driver
 
-#: Words in a window (scoring has one from every word on), and from one window's start to the next in training.
-WINDOW, TRAIN_STRIDE = 32, 24
-#: Words of a segment that is read at once in scoring, and words before (behind) it that each direction starts with.
-SEGMENT, LEAD = 96, 16
+#: Words in a window, and from one window's start to the next in training and in scoring.
+WINDOW, TRAIN_STRIDE, STRIDE = 32, 24, 4
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 VOCABULARY, LEAST_DOCS, NGRAM_BITS = 4096, 8, 14
 #: Labelled texts of each class that a model is fitted on at most.
@@ -34,7 +32,7 @@ FIT_BYTES = 1 << 16
 EPOCHS, STEPS, BATCH, RATE, DROP = 10, 500, 128, 0.01, 0.3
 THRESHOLD = 0.7
 _SCORE = "__toxicity_score"
-_BLOCK_WORDS, _KNOWN_WORDS, _WINDOWS, _SEGMENTS = 400_000, 150_000, 4096, 1024
+_BLOCK_WORDS, _KNOWN_WORDS, _WINDOWS, _SCORED = 400_000, 150_000, 4096, 1024
 _TABLE = bytes(c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
@@ -158,52 +156,41 @@ class Model:
         logit = pooled @ p["wo"] + p["bo"][0]
         return (logit, (both, saved, hidden, act, weight, pooled)) if keep else logit
 
-    def outputs(self, projected: np.ndarray, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Attention weight (not normalised) and output logit of every word; codes: the texts' words by indices of distinct
-        ones, joined, begins and ends: each text's own."""
-        p, pad, steps = self.p, projected.shape[1] - 1, LEAD + SEGMENT
-        parts = -(-(ends - begins) // SEGMENT)
-        owner = np.repeat(np.arange(len(begins)), parts)
-        start = begins[owner] + SEGMENT * (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts))
-        order = np.argsort(ends[owner] - start, kind="stable")[::-1]  # segments of like length are read together
-        weight, logit = np.empty(len(codes), np.float32), np.empty(len(codes), np.float32)
-        for low in range(0, len(order), _SEGMENTS):
-            own = order[low : low + _SEGMENTS]
-            first, least, most = start[own, None], begins[owner[own], None], ends[owner[own], None]
-            size = int(min(SEGMENT, (most - first).max()))
-            ahead = first + np.arange(-LEAD, size)
-            back = first + np.arange(size + LEAD - 1, -1, -1)
-            places = np.stack((ahead, back))
-            real = (places >= least) & (places < most)
-            both = np.where(real, codes[np.where(real, places, 0)], pad)
-            n, steps = len(own), LEAD + size
-            h = np.zeros((2, n, HIDDEN), np.float32)
-            states = np.empty((2, size, n, HIDDEN), np.float32)
-            skip = 0 if (first > least).any() else LEAD  # no run-up where all texts begin; behind a text's end is padding
-            for t in range(steps):
-                at = both[:, :, t]
-                if t < skip and not real[:, :, t].any():
-                    continue
-                x = np.stack((projected[0][at[0]], projected[1][at[1]]))
-                g = h @ p["u"]
-                x[..., : 2 * HIDDEN] += g[..., : 2 * HIDDEN]
-                zr = _sigmoid(x[..., : 2 * HIDDEN])
-                new = zr[..., HIDDEN:] * g[..., 2 * HIDDEN :]
-                new += x[..., 2 * HIDDEN :]
-                np.tanh(new, out=new)
-                after = h - new
-                after *= zr[..., :HIDDEN]
-                after += new
-                h = after if real[:, :, t].all() else np.where(real[:, :, t, None], after, h)
-                if t >= LEAD:
-                    states[:, t - LEAD] = h
-            hidden = np.concatenate((states[0], states[1, ::-1]), axis=-1)
-            inside = real[0, :, LEAD:].T
-            where = ahead[:, LEAD:].T[inside]
-            hidden = hidden[inside]
-            weight[where] = np.tanh(hidden @ p["wa"] + p["ba"]) @ p["va"]
-            logit[where] = hidden @ p["wo"]
-        return np.exp(weight), logit
+    def logits(self, projected: np.ndarray, windows_: np.ndarray) -> np.ndarray:
+        """forward() for many windows: those of like length together, without steps over padding."""
+        size = (windows_ != projected.shape[1] - 1).sum(axis=1)
+        order, out = np.argsort(size, kind="stable")[::-1], np.empty(len(windows_), np.float32)
+        at = 0
+        while at < len(order):
+            own = order[at : at + _SCORED]
+            own = own[size[own] == size[own[0]]]
+            out[own] = self._of_length(projected, windows_[own, : size[own[0]]])
+            at += len(own)
+        return out
+
+    def _of_length(self, projected: np.ndarray, windows_: np.ndarray) -> np.ndarray:
+        p, (n, length) = self.p, windows_.shape
+        codes = np.ascontiguousarray(windows_.T)
+        hidden = np.empty((length, n, 2 * HIDDEN), np.float32)
+        h, x = np.zeros((2, n, HIDDEN), np.float32), np.empty((2, n, 3 * HIDDEN), np.float32)
+        for t in range(length):
+            np.take(projected[0], codes[t], axis=0, out=x[0], mode="clip")
+            np.take(projected[1], codes[length - 1 - t], axis=0, out=x[1], mode="clip")
+            g = h @ p["u"]
+            g[..., : 2 * HIDDEN] += x[..., : 2 * HIDDEN]
+            zr = _sigmoid(g[..., : 2 * HIDDEN])
+            new = zr[..., HIDDEN:] * g[..., 2 * HIDDEN :]
+            new += x[..., 2 * HIDDEN :]
+            np.tanh(new, out=new)
+            h -= new
+            h *= zr[..., :HIDDEN]
+            h += new
+            hidden[t, :, :HIDDEN], hidden[length - 1 - t, :, HIDDEN:] = h[0], h[1]
+        act = hidden @ p["wa"]
+        act += p["ba"]
+        weight = np.tanh(act, out=act) @ p["va"]
+        weight = np.exp(weight - weight.max(axis=0))
+        return ((hidden @ p["wo"]) * weight).sum(axis=0) / weight.sum(axis=0) + p["bo"][0]
 
     def gradient(self, projected: np.ndarray, inputs: np.ndarray, windows_: np.ndarray, error: np.ndarray, kept: tuple):
         """Gradients of the parameters but the embeddings, and of the input rows, for errors of the logits."""
@@ -329,32 +316,18 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     return model
 
 
-def worst_windows(weight: np.ndarray, logit: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The largest weighted mean of logit in a window of each text (one of the whole text if it is shorter), from every word on."""
-    sums = np.zeros((2, len(weight) + 1))
-    np.cumsum(weight, out=sums[0, 1:])
-    np.cumsum(weight * logit, out=sums[1, 1:])
-    width = np.minimum(ends - begins, WINDOW)
-    counts = ends - begins - width + 1
-    first = np.arange(int(counts.sum())) + np.repeat(begins - (np.cumsum(counts) - counts), counts)
-    last = first + np.repeat(width, counts)
-    means = (sums[1, last] - sums[1, first]) / (sums[0, last] - sums[0, first])
-    return np.maximum.reduceat(means, np.cumsum(counts) - counts)
-
-
 def scores(model: Model, texts) -> np.ndarray:
     """The score of each text; words are worked out once for each block of texts."""
 
     def block() -> np.ndarray:
         projected = model.projected(model.inputs(list(words)))
-        sizes = np.array([len(c) for c in codes])
-        ends = np.cumsum(sizes)
-        has = np.flatnonzero(sizes)
-        out = np.full(len(sizes), model.p["bo"][0], np.float64)
+        out = np.full(len(codes), model.p["bo"][0], np.float64)
+        parts = [windows(c, len(words), STRIDE) for c in codes]
+        counts = np.array([len(w) for w in parts])
+        has = np.flatnonzero(counts)
         if len(has):
-            begins, ends = (ends - sizes)[has], ends[has]
-            weight, logit = model.outputs(projected, np.concatenate(codes), begins, ends)
-            out[has] += worst_windows(weight, logit, begins, ends)
+            found = model.logits(projected, np.concatenate(parts))
+            out[has] = np.maximum.reduceat(found, (np.cumsum(counts) - counts)[has])
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
     found: list[np.ndarray] = []

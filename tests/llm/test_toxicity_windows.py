@@ -29,18 +29,12 @@ def _plain(model, text):
     if not words:
         return 1 / (1 + math.exp(-bias))
     xs = model.inputs(words)[:-1]
-    ahead, back = [], []
-    for a in range(0, len(words), toxicity.SEGMENT):
-        b = min(a + toxicity.SEGMENT, len(words))
-        low, high = max(0, a - toxicity.LEAD), min(len(words), a + min(toxicity.SEGMENT, b - a) + toxicity.LEAD)
-        ahead += _states(model, xs[low:b], 0)[a - low :]
-        back += _states(model, xs[a:high][::-1], 1)[::-1][: b - a]
-    hidden = np.array([f + g for f, g in zip(ahead, back, strict=True)])
-    weight = np.exp(np.tanh(hidden @ model.p["wa"] + model.p["ba"]) @ model.p["va"])
     best = -math.inf
-    for at in range(max(1, len(words) - toxicity.WINDOW + 1)):
-        w, own = weight[at : at + toxicity.WINDOW], hidden[at : at + toxicity.WINDOW]
-        best = max(best, float((w / w.sum()) @ own @ model.p["wo"]) + bias)
+    for at in range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE):
+        own = xs[at : at + toxicity.WINDOW]
+        hidden = np.array([f + g for f, g in zip(_states(model, own, 0), _states(model, own[::-1], 1)[::-1], strict=True)])
+        weight = np.exp(np.tanh(hidden @ model.p["wa"] + model.p["ba"]) @ model.p["va"])
+        best = max(best, float((weight / weight.sum()) @ hidden @ model.p["wo"]) + bias)
     return 1 / (1 + math.exp(-best))
 
 
@@ -51,18 +45,17 @@ def model():
     return toxicity.train(mild + [m[: len(m) // 2] + " vile rude idiot " + m[len(m) // 2 :] for m in mild], [0] * 60 + [1] * 60)
 
 
-@pytest.mark.parametrize("segment", [96, 7])
-def test_scores_are_those_of_a_plain_network(model, monkeypatch, segment):
-    monkeypatch.setattr(toxicity, "SEGMENT", segment)
+def test_scores_are_those_of_a_plain_network(model, monkeypatch):
     rng = np.random.default_rng(2)
     texts = [" ".join("".join(rng.choice(list("abcdefgh"), 4)) for _ in range(n)) + (" idiot" if n % 2 else "") for n in (1, 2, 5, 31, 32, 33, 95, 96, 97, 130, 300)]
     texts += [None, "", " 12 \n", "vile", "vile", "x " * 500]
     got = toxicity.scores(model, texts)
-    if segment == 96:
-        assert got == pytest.approx([_plain(model, t) for t in texts], abs=1e-4)
+    want = [_plain(model, t) for t in texts]
+    assert got == pytest.approx(want, abs=1e-4)
+    assert [g >= toxicity.THRESHOLD for g in got] == [w >= toxicity.THRESHOLD for w in want]
     assert got[texts.index("vile")] == got[texts.index("vile") + 1]
     monkeypatch.setattr(toxicity, "_BLOCK_WORDS", 50)  # blocks and batches change nothing
-    monkeypatch.setattr(toxicity, "_SEGMENTS", 3)
+    monkeypatch.setattr(toxicity, "_SCORED", 3)
     assert toxicity.scores(model, texts) == pytest.approx(got, abs=1e-5)
 
 
@@ -72,3 +65,14 @@ def test_passages_score_alike_at_all_offsets(model):
     texts = [" ".join(filler[:i] + ["vile", "rude", "idiot"] + filler[i:]) for i in range(0, 261, 3)]
     found = toxicity.scores(model, texts)
     assert found.min() > 0.7 and toxicity.scores(model, [" ".join(filler)])[0] < 0.3
+
+
+def test_training_and_scoring_read_windows_alike(model):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(300)] + ["idiot"]
+    words = [w.encode() for w in words]
+    codes = rng.integers(0, len(words), 500).astype(np.int32)
+    projected = model.projected(model.inputs(words))
+    for stride in (toxicity.TRAIN_STRIDE, toxicity.STRIDE, 1):
+        own = toxicity.windows(codes, len(words), stride)
+        assert model.logits(projected, own) == pytest.approx(model.forward(projected, own), abs=1e-4)
