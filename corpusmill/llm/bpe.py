@@ -1,9 +1,10 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
-Texts are split into pre-tokens block by block. A block sends its distinct words to the partitions of their hashes, where
-each distinct word of the corpus is encoded once, and its positions (the code of the word at each position) to the place
-where the ids come back. So a frequent word is one entry of each block, never one row of each occurrence. Words and
-positions leave a block in one exchange, which both further steps read, so every text is split once.
+Texts are split into pre-tokens block by block. Some blocks of a task together send their distinct words to the partitions
+of the words' hashes, where each distinct word of the corpus is encoded once, and their positions (the code of the word at
+each position) to the place where the ids come back. So a frequent word is one entry of such a group of blocks, never one
+row of each occurrence. Words and positions leave in one exchange, which both further steps read, so every text is split
+once.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ from corpusmill.llm.storage import frugal
 BLOCK, LONG = 4 << 20, 1 << 20
 #: Distinct words whose ids a task remembers; a word that is met again later is encoded again.
 KNOWN = 300_000
-#: Hash values of words at most: a block has a row of words for each, so with more of them for a larger input the rows
-#: would grow with its square. And word rows that an Arrow batch holds at most.
-BUCKETS, ROWS_AT_ONCE = 256, 64
+#: Blocks that share a list of words, which is sent once for them; UTF-8 bytes of the corpus for each bucket of words;
+#: buckets for each shuffle partition, so that they fill evenly, up to so many of that kind; word rows of an Arrow batch.
+GROUP, BUCKET_BYTES, EVEN, EVEN_MOST, ROWS_AT_ONCE = 4, 64 << 20, 6, 2048, 64
 #: Tokens of a vocabulary at most: the token-byte table is broadcast.
 VOCABULARY = 1 << 22
 #: A pattern whose matches have a blank at their start only, unless they are white space as a whole. A text can be cut in
@@ -151,21 +152,32 @@ def _planes(values: np.ndarray, n: int) -> list[bytes]:
     return [_press((values >> np.uint32(8 * p)).astype(np.uint8)) for p in range(n)]
 
 
-def _pretokens(pattern: str, buckets: int):
-    """Blocks of documents become rows of distinct words by bucket and one row of positions."""
+class _Group:
+    """Blocks with one list of words: each distinct word of all of them leaves once."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.words: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.blocks: list[tuple[list[int | None], list[int], np.ndarray]] = []
+        self.content = hashlib.blake2b(digest_size=8)
 
-    def packed(block: _Block) -> pa.RecordBatch:
+    def add(self, block: _Block) -> None:
+        names, stream, counts = block.words()
+        codes = np.fromiter(map(self.words.__getitem__, names), np.uint32, len(names))
+        stream = codes[stream] if len(names) else stream
+        self.content.update(repr(block.rows).encode())
+        self.content.update(counts.astype(np.int64).tobytes())
+        self.content.update(stream.tobytes())
+        self.blocks.append((block.rows, counts.tolist(), _planes(stream, 3 if len(self.words) < 1 << 24 else 4)))
+
+    def packed(self) -> pa.RecordBatch:
         from xxhash import xxh64_intdigest
 
-        words, stream, counts = block.words()
-        raw = [w.encode() for w in words]
-        content = hashlib.blake2b(repr(block.rows).encode(), digest_size=8)
-        content.update(counts.astype(np.int64).tobytes())
-        content.update(stream.tobytes())
-        content.update(np.array([len(w) for w in raw], np.int64).tobytes())
-        content.update(b"".join(raw))
-        key = int.from_bytes(content.digest(), "little") >> 1
-        bucket = np.fromiter((xxh64_intdigest(w) % buckets for w in raw), np.int64, len(raw))
+        raw = [w.encode() for w in self.words]
+        self.content.update(np.array([len(w) for w in raw], np.int64).tobytes())
+        self.content.update(b"".join(raw))
+        key = int.from_bytes(self.content.digest(), "little") >> 1
+        bucket = np.fromiter((xxh64_intdigest(w) % self.buckets for w in raw), np.int64, len(raw))
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         keys, bodies = [], []
@@ -173,24 +185,32 @@ def _pretokens(pattern: str, buckets: int):
             chosen = [raw[i] for i in own.tolist()]
             keys.append(int(bucket[own[0]]))
             bodies.append([_press(own.astype(np.uint32)), _press(np.array([len(w) for w in chosen], np.uint32)), _codec()[0].compress(b"".join(chosen))])
-        n = len(keys)
-        planes = _planes(stream, 3 if len(raw) < 1 << 24 else 4)
-        docs = pa.list_(pa.int64())
+        n, m, docs = len(keys), len(self.blocks), pa.list_(pa.int64())
+        rows, counts, planes = zip(*self.blocks, strict=True)
         return pa.RecordBatch.from_arrays([
-            pa.array([*keys, key], pa.int64()), pa.array([_WORDS] * n + [_POSITIONS], pa.int8()), pa.array([key] * (n + 1), pa.int64()), pa.array([len(raw)] * (n + 1), pa.int64()),
-            pa.array([*bodies, planes], pa.list_(pa.binary())), pa.array([None] * n + [block.rows], docs), pa.array([None] * n + [counts.tolist()], docs)],
+            pa.array(keys + [key] * m, pa.int64()), pa.array([_WORDS] * n + [_POSITIONS] * m, pa.int8()), pa.array([key] * (n + m), pa.int64()), pa.array([len(raw)] * (n + m), pa.int64()),
+            pa.array([*bodies, *planes], pa.list_(pa.binary())), pa.array([None] * n + list(rows), docs), pa.array([None] * n + list(counts), docs)],
             [f.split()[0] for f in _PACKED.split(", ")])
 
+
+def _pretokens(pattern: str, buckets: int):
+    """Blocks of documents become rows of distinct words by bucket, for a group of blocks at once, and a row of positions each."""
+
     def run(batches):
-        block = _Block(pattern)
+        block, group = _Block(pattern), _Group(buckets)
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 block.add(doc, text.as_py() or "")
                 if block.size >= BLOCK:
-                    yield packed(block)
+                    group.add(block)
                     block = _Block(pattern)
+                    if len(group.blocks) == GROUP:
+                        yield group.packed()
+                        group = _Group(buckets)
         if block.rows:
-            yield packed(block)
+            group.add(block)
+        if group.blocks:
+            yield group.packed()
 
     return run
 
@@ -234,7 +254,7 @@ def _join_planes(planes: list[bytes]) -> np.ndarray:
 
 
 def _reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One block: positions meet the ids of its words, and the ids of each document come out in order."""
+    """One group of blocks: positions meet the ids of its words, and the ids of each document come out in order."""
     if left.num_rows == 0:
         raise RuntimeError("words without the positions of their block: its texts changed between two runs of a task")
     words = left.column("n_words")[0].as_py()
@@ -269,8 +289,14 @@ def _of(kind: int) -> Column:
     return F.col("kind") == F.lit(kind) + F.least(F.spark_partition_id(), F.lit(0))
 
 
-def default_buckets(partitions: int) -> int:
-    return min(4 * partitions, BUCKETS)
+def default_buckets(docs: DataFrame) -> int:
+    """Buckets of words for docs (text): one for BUCKET_BYTES of them, or enough to fill the shuffle partitions evenly.
+
+    They grow with the texts, so a task's words don't; reading the lengths is one scan.
+    """
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(-(-size // BUCKET_BYTES), min(EVEN * partitions, EVEN_MOST))
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, buckets: int | None = None) -> DataFrame:
@@ -280,12 +306,11 @@ def encode(docs: DataFrame, ranks: str, pattern: str, buckets: int | None = None
     have no ids. Null and repeated doc_ids are kept, a result for each row. Other columns are not read. An empty table
     gives an empty result.
 
-    A block has one row of words for each of `buckets` hash values at most (by default 4 times
-    spark.sql.shuffle.partitions, and BUCKETS at most, so that rows grow as the input does); a task streams them, so no
-    bucket has to fit into memory. What is held at once is a block, or one longer text.
+    GROUP blocks have one row of words for each of `buckets` hash values at most (by default as default_buckets() says, so
+    their number follows the size of the texts); a task streams them, so no bucket has to fit into memory. What is held
+    at once is a block, or one longer text, and the words and packed positions of its group.
     """
-    spark = docs.sparkSession
-    buckets = buckets or default_buckets(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or default_buckets(docs)
     blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(_pretokens(pattern, buckets)), _PACKED).repartition("key")
     back = blocks.where(_of(_WORDS)).mapInArrow(frugal(_word_ids(ranks)), "block long, ids array<binary>")
     return blocks.where(_of(_POSITIONS)).groupBy("key").cogroup(back.groupBy("block")).applyInArrow(_reassemble, "doc_id long, n_tokens long, ids binary")

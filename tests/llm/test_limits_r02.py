@@ -7,19 +7,34 @@ import public_tokenizers
 from corpusmill.llm import bpe, quality_bands
 
 
-def test_word_rows_of_a_block_do_not_grow_with_partitions(spark, monkeypatch):
-    seen, real = [], bpe._pretokens
-    monkeypatch.setattr(bpe, "_pretokens", lambda pattern, buckets: seen.append(buckets) or real(pattern, buckets))
-    docs = spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string")
+def test_buckets_of_words_follow_the_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b é"), (2, None), (None, "x" * 100)], "doc_id long, text string")
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     try:
-        for n in (600, 3000):
-            spark.conf.set(key, str(n))
-            bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+        spark.conf.set(key, "3000")
+        assert bpe.default_buckets(docs) == bpe.EVEN_MOST  # no square of the partitions
+        spark.conf.set(key, "2")
+        assert bpe.default_buckets(docs) == 2 * bpe.EVEN
+        monkeypatch.setattr(bpe, "BUCKET_BYTES", 2)
+        assert bpe.default_buckets(docs) == 53 and bpe.default_buckets(docs.limit(0)) == 12
     finally:
         spark.conf.set(key, before)
-    assert seen[0] == seen[1] <= bpe.BUCKETS
+
+
+def test_blocks_of_a_group_send_their_words_once(spark, monkeypatch):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").toArrow()
+    monkeypatch.setattr(bpe, "BLOCK", 20_000)
+
+    def sent(group):
+        monkeypatch.setattr(bpe, "GROUP", group)
+        batches = list(bpe._pretokens(public_tokenizers.PATTERN, 50)(table.to_batches()))
+        rows = [r for b in batches for r in b.to_pylist()]
+        return sum(r["kind"] == 0 for r in rows), [r for r in rows if r["kind"] == 1], len(batches)
+
+    (alone, blocks, groups), (together, same, fewer) = sent(1), sent(1000)
+    assert len(blocks) == len(same) == groups > 10 and fewer == 1 and together <= 50 < alone <= 50 * groups
+    assert [(r["ids"], r["counts"]) for r in blocks] == [(r["ids"], r["counts"]) for r in same]
 
 
 def test_bands_are_fitted_to_every_labelled_text(spark):

@@ -195,6 +195,7 @@ def test_pretokens_of_every_character(monkeypatch):
 def test_words_are_encoded_alike_with_a_small_memory(spark, docs, monkeypatch):
     run = bpe._word_ids(RANKS)
     monkeypatch.setattr(bpe, "BLOCK", 20_000)
+    monkeypatch.setattr(bpe, "GROUP", 1)
     table = docs.select("doc_id", "text").toArrow()
     rows = [b for b in bpe._pretokens(public_tokenizers.PATTERN, 8)(table.to_batches())]
     words = [b.filter(pa.compute.equal(b.column("kind"), 0)) for b in rows]
