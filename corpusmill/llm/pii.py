@@ -12,20 +12,39 @@ IBAN_LENGTHS = {
     24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
 }
 _IBANS = "|".join(f"(?:{c.replace(' ', '|')})\\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+_COUNTRIES = "|".join(c.replace(" ", "|") for c in IBAN_LENGTHS.values())
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: Kinds in order of precedence, each with a pattern that matches a whole value.
 KINDS = {
     "email": "[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\\.[A-Za-z0-9-]{1,63}){1,8}",
-    "date": "\\d{4}-\\d{2}-\\d{2}|\\d{2}[/.]\\d{2}[/.]\\d{4}",
+    "ip6": f"(?=[0-9A-Fa-f:]*\\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?=(?:[0-9A-Fa-f]*:){{2,7}}[0-9A-Fa-f]*(?![0-9A-Fa-f:]))(?:{_HEX}(?::{_HEX}){{0,5}})?::(?:{_HEX}(?::{_HEX}){{0,5}})?)",
+    "date": "\\d{4}-\\d{2}-\\d{2}|\\d{1,2}[/.]\\d{1,2}[/.]\\d{4}",
     "ip": "\\d{1,3}\\.\\d{1,3}\\.\\d{1,3}\\.\\d{1,3}",
     "ssn": "\\d{3}-\\d{2}-\\d{4}",
-    # by the country's length, so that a word behind is no part of it; then of any length, for other countries
-    "iban": f"(?:{_IBANS})(?![A-Za-z0-9_@-])|" + "[A-Z]{2}\\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
-    "phone": "\\+\\d{8,15}|\\d{3}-\\d{3}-\\d{4}|\\+\\d{1,3} ?\\(\\d{2,4}\\) ?\\d{3}[ -]\\d{4}|\\(\\d{3}\\) ?\\d{3}-\\d{4}|\\+\\d{1,3}(?:[ -]\\d{2,4}){3,5}",
-    "card": "\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}|\\d{4}[ -]\\d{6}[ -]\\d{5}",
+    "phone": "\\+\\d{8,15}|(?:1[ .-])?\\d{3}[.-]\\d{3}[.-]\\d{4}|(?:1 )?[2-9]\\d{2} [2-9]\\d{2} \\d{4}|[2-9]\\d{2}[2-9]\\d{6}|\\(\\d{3}\\) ?\\d{3}[ .-]\\d{4}|\\+\\d{1,3} ?\\(\\d{1,4}\\) ?\\d{2,4}(?:[ .-]\\d{2,4}){1,3}|\\+\\d{1,3}(?:[ .-]\\d{1,8}){1,6}",
+    "card": "\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}(?:[ -]\\d{1,3})?|\\d{4}[ -]\\d{6}[ -]\\d{5}",
+    # by the country's length; of any length for countries without one
+    "iban": f"{_IBANS}|(?!{_COUNTRIES})[A-Z]{{2}}\\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?",
 }
-#: One pattern that finds candidates of all kinds; each starts outside of a word and ends at one's end, or before a time.
-_ENDS = "(?![\\w@-])(?!\\.\\d)"
-PATTERN = "(?<![\\w+@-])(?<!\\d\\.)(?:\\d{4}-\\d{2}-\\d{2}(?=T\\d{2}:\\d{2})|(?:" + "|".join(KINDS[k] for k in ("email", "date", "phone", "ip", "ssn", "iban", "card")) + ")" + _ENDS + ")"
+#: Country calling codes of one and two digits; the rest have three. Fixed values.
+_CALLING = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+#: Digits behind the calling code at most, where a number is written in groups, so that the next number is no part of it.
+NATIONAL = {
+    8: "45 47 53 65", 9: "27 31 32 33 34 36 40 41 48 51 56 61 66 93 94", 10: "1 7 20 30 44 46 52 57 58 60 63 64 81 82 84 90 91 92 95 98", 11: "39 49 54 55 86", 12: "62", 13: "43",
+}
+#: Where a value may begin and end. A date may be followed by a time.
+_BEGIN, _MAIL_BEGIN = "(?<![\\w+@])(?<![A-Za-z_]-)(?<!\\d\\.)", "(?<![\\w+@-])(?<!\\d\\.)"
+_TIME = "T\\d{2}(?![0-9A-Z])"
+_END = f"(?:(?<=\\d)(?={_TIME})|(?![\\w@])(?!-[A-Za-z])(?!\\.\\d)(?!:[0-9A-Fa-f]{{0,4}}:)(?![.%+-][A-Za-z0-9._%+-]{{0,63}}@))"
+_IP6 = f"(?<![\\w:.@+-]){KINDS['ip6']}(?![\\w:@])(?!-[A-Za-z])(?!\\.\\w)"
+#: What is looked at for values: mail addresses, addresses of the internet, and runs of digits, capitals and what may stand between
+#: the groups of a number.
+PATTERN = f"{_MAIL_BEGIN}{KINDS['email']}(?![\\w@-])(?!\\.\\d)|{_IP6}|{_BEGIN}(?:[+(]|(?=\\d|[A-Z]{{2}}\\d{{2}}))[0-9A-Z+(][0-9A-Z ()./+-]*[0-9A-Z]{_END}"
+#: Pieces of a run: letters and digits (up to a time), or one other character. A value has so many of them at most.
+_PIECE, PIECES = f"(?:(?!(?<=\\d){_TIME})[0-9A-Z])+|T\\d{{2}}|[^0-9A-Z]", 17
+_NOT_AFTER, _NOT_BEFORE = "(?:[\\w+@]|[A-Za-z_]-|\\d\\.)$", f"^(?:(?!{_TIME})\\w|-[A-Za-z]|\\.\\d)"
+#: Runs without this have no value: seven digits, a short date or an address, or the head of an IBAN.
+_LIKELY = "(?:\\d[ ()./+-]{0,2}){7}|\\d[/.]\\d{1,2}[/.]\\d|[A-Z]{2}\\d{2} ?[A-Z0-9]{4}"
 _FIRST_DAY, _DAYS = "1900-01-01", 73049  # through 2099-12-31; 17 * 4297, so a network over both factors permutes the days
 
 
@@ -89,6 +108,38 @@ def permuted_text(text: Column, key: str) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda s: F.concat(s.getField("l"), s.getField("r")))
 
 
+def permuted_hex(digits: Column, key: str) -> Column:
+    """A string of lower-case hexadecimal digits permuted among those of its length: a Feistel network over its two halves."""
+    alphabet = "0123456789abcdef"
+    half = F.floor(F.length(digits) / 2).cast("int")
+    start = F.struct(F.substring(digits, F.lit(1), half).alias("l"), F.substring(digits, half + 1, F.length(digits)).alias("r"))
+
+    def shift(own: Column, other: Column, i: Column) -> Column:
+        hash_ = F.sha2(F.concat_ws(":", F.lit(key), F.lit("hex"), i.cast("string"), F.length(own).cast("string"), other), 256)
+        place = lambda text, at: F.instr(F.lit(alphabet), F.substring(text, at, F.lit(1))) - 1
+        moved = lambda at: F.substring(F.lit(alphabet), F.pmod(place(own, at) + place(hash_, at), F.lit(16)) + 1, F.lit(1))
+        return F.when(F.length(own) == 0, own).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.length(own)), moved), ""))
+
+    def step(state: Column, i: Column) -> Column:
+        l, r = state.getField("l"), state.getField("r")
+        even = F.pmod(i, F.lit(2)) == 0
+        return F.struct(F.when(even, shift(l, r, i)).otherwise(l).alias("l"), F.when(even, r).otherwise(shift(r, l, i)).alias("r"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda s: F.concat(s.getField("l"), s.getField("r")))
+
+
+def _fill_hex(shape: Column, digits: Column) -> Column:
+    """The digits between the colons of shape replaced in order, in capitals if shape has some."""
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+
+    def step(state: Column, c: Column) -> Column:
+        colon = c == ":"
+        return F.struct(F.concat(state.getField("out"), F.when(colon, c).otherwise(F.substring(digits, state.getField("at"), F.lit(1)))).alias("out"), (state.getField("at") + (~colon).cast("int")).alias("at"))
+
+    out = F.aggregate(F.split(shape, "(?!^)"), start, step, lambda s: s.getField("out"))
+    return F.when(shape.rlike("[A-F]"), F.upper(out)).otherwise(out)
+
+
 def luhn_sum(digits: Column) -> Column:
     """Sum of the Luhn rule over a digit string; a multiple of 10 if the last digit checks."""
     back = F.transform(F.sequence(F.lit(0), F.length(digits) - 1), lambda i: F.struct(F.pmod(i, F.lit(2)).alias("odd"), F.substring(digits, F.length(digits) - i, F.lit(1)).cast("int").alias("d")))
@@ -113,9 +164,14 @@ def _fill(shape: Column, digits: Column) -> Column:
     return F.aggregate(F.split(shape, "(?!^)"), start, step, lambda s: s.getField("out"))
 
 
+def _padded(value: Column) -> Column:
+    """A date with two digits for days and months."""
+    return F.regexp_replace(value, "(?<!\\d)(\\d)(?=[/.])", "0$1")
+
+
 def _date(value: Column) -> Column:
     """The day of a date string, null if there is none such: ISO, day.month.year, and month/day/year or else day/month/year."""
-    return F.coalesce(*(F.try_to_timestamp(value, F.lit(f)) for f in ("yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy"))).cast("date")
+    return F.coalesce(*(F.try_to_timestamp(_padded(value), F.lit(f)) for f in ("yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy", "dd.MM.yyyy"))).cast("date")
 
 
 _LONG_MONTHS = (1, 3, 5, 7, 8, 10, 12)
@@ -157,6 +213,17 @@ def _ssn(digits: Column, key: str, tag: Column) -> Column:
     return F.transform(F.array(moved), text)[0]
 
 
+def _calling(value: Column) -> Column:
+    """The calling code of a number that begins with +, else an empty string."""
+    return F.regexp_extract(value, f"^\\+({_CALLING}|\\d{{1,3}})", 1)
+
+
+def _national(code: Column) -> Column:
+    """Digits behind a calling code at most, in grouped numbers."""
+    most = F.create_map(*(F.lit(x) for n, codes in NATIONAL.items() for c in codes.split() for x in (c, n)))
+    return F.coalesce(F.try_element_at(most, code), F.lit(12))
+
+
 def kind_of(value: Column) -> Column:
     """The kind of a candidate if it is valid, else null."""
     digits = F.regexp_replace(value, "\\D", "")
@@ -165,10 +232,11 @@ def kind_of(value: Column) -> Column:
     area = F.substring(digits, 1, 3)
     return (
         F.when(whole("email"), F.lit("email"))
+        .when(whole("ip6"), F.lit("ip6"))
         .when(whole("date"), F.when(F.datediff(_date(value), F.lit(_FIRST_DAY).cast("date")).between(0, _DAYS - 1), F.lit("date")))
         .when(whole("ip"), F.when(octets, F.lit("ip")))
         .when(whole("ssn"), F.when(~area.isin("000", "666") & (area < "900") & (F.substring(digits, 4, 2) != "00") & (F.substring(digits, 6, 4) != "0000"), F.lit("ssn")))
-        .when(whole("phone"), F.when(F.length(digits).between(8, 15), F.lit("phone")))
+        .when(whole("phone") & F.length(digits).between(8, 15) & (~value.rlike("^\\+.*\\D") | (F.length(digits) - F.length(_calling(value)) <= _national(_calling(value)))), F.lit("phone"))
         .when(whole("card"), F.when(luhn_sum(digits) % 10 == 0, F.lit("card")))
         .when(whole("iban"), F.when(_iban_rest(value) == 1, F.lit("iban")))
     )
@@ -182,17 +250,19 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
     day = permuted_number(F.datediff(_date(value), F.lit(_FIRST_DAY).cast("date")).cast("long"), F.lit(17).cast("long"), F.lit(_DAYS // 17).cast("long"), key, kind)
     date = F.date_add(F.lit(_FIRST_DAY).cast("date"), day.cast("int"))
     shaped = F.when(value.contains("-"), F.date_format(date, "yyyy-MM-dd")).when(value.contains("."), F.date_format(date, "dd.MM.yyyy"))
-    shaped = shaped.when(F.substring(value, 1, 2) > "12", _day_first(value, key, kind)).otherwise(F.date_format(date, "MM/dd/yyyy"))
+    shaped = shaped.when(F.substring(_padded(value), 1, 2) > "12", _day_first(_padded(value), key, kind)).otherwise(F.date_format(date, "MM/dd/yyyy"))
+    shaped = F.when(_padded(value) != value, F.regexp_replace(shaped, "(?<!\\d)0(\\d)(?=[/.])", "$1")).otherwise(shaped)
     parts = F.transform(F.split(value, "\\."), lambda x: x.cast("long"))
     address = permuted_number(F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a * 256 + x), F.lit(65536).cast("long"), F.lit(65536).cast("long"), key, kind)
     quad = F.concat_ws(".", *(F.pmod(F.floor(address / (1 << s)), F.lit(256)).cast("string") for s in (24, 16, 8, 0)))
     at = F.instr(value, "@")
-    country = F.regexp_extract(value, "^\\+(\\d{1,3})", 1)
+    country = _calling(value)
     local = F.substring(digits, F.length(country) + 1, F.length(digits))
     phone = _fill(value, F.concat(country, permuted_digits(local, key, kind)))
     iban = permuted_text(F.substring(F.replace(value, F.lit(" "), F.lit("")), F.lit(5), F.length(value)), key)
     return (
-        F.when(kind == "email", F.concat(permuted_text(F.substring(value, F.lit(1), at - 1), key), F.substring(value, at, F.length(value))))
+        F.when(kind == "email", F.concat(permuted_text(F.substring(value, F.lit(1), at - 1), key), F.lit("@"), permuted_text(F.regexp_extract(value, "@(.*)\\.", 1), key), F.regexp_extract(value, "(\\.[^.]*)$", 1)))
+        .when(kind == "ip6", _fill_hex(value, permuted_hex(F.lower(F.replace(value, F.lit(":"), F.lit(""))), key)))
         .when(kind == "date", shaped)
         .when(kind == "ip", quad)
         .when(kind == "card", _fill(value, F.concat(body, check)))
@@ -212,33 +282,94 @@ def _iban(value: Column, account: Column) -> Column:
     return F.when(value.contains(" "), grouped).otherwise(compact)
 
 
+def _let(value: Column, f) -> Column:
+    """f(value), with value worked out once."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _longest(pieces: Column, at: Column) -> Column:
+    """n (pieces) and kind of the longest valid value that begins at a piece, null if there is none."""
+    text = lambda start, n: F.array_join(F.slice(pieces, start, n), "")
+    before = text(F.greatest(at - 2, F.lit(1)), F.least(at - 1, F.lit(2)))
+    begins = F.get(pieces, at - 1).rlike("^(?:[+(]|\\d|[A-Z]{2}\\d{2})") & ~before.rlike(_NOT_AFTER)
+
+    def tried(n: Column) -> Column:
+        ends = F.get(pieces, at + n - 2).rlike("^[0-9A-Z]") & ~text(at + n, F.lit(2)).rlike(_NOT_BEFORE)
+        return F.struct(n.alias("n"), F.when(ends, kind_of(text(at, n))).alias("kind"))
+
+    lengths = F.sequence(F.least(F.lit(PIECES), F.size(pieces) - at + 1), F.lit(1), F.lit(-1))
+    return F.when(begins, F.get(F.filter(F.transform(lengths, tried), lambda x: x.kind.isNotNull()), 0))
+
+
+_PICKS = "array<struct<at:int,n:int,kind:string>>"
+
+
+def _picked(found: Column) -> Column:
+    """Of the values found at each piece those that are taken, from left to right, with no overlap."""
+    start = F.struct(F.lit(1).alias("next"), F.array().cast(_PICKS).alias("picks"))
+
+    def step(state: Column, i: Column) -> Column:
+        own = F.get(found, i - 1)
+        pick = F.struct(i.alias("at"), own.n.alias("n"), own.kind.alias("kind"))
+        taken = F.struct((i + own.n).alias("next"), F.array_append(state.picks, pick).cast(_PICKS).alias("picks"))
+        return F.when(own.isNotNull() & (i >= state.next), taken).otherwise(state)
+
+    return F.aggregate(F.sequence(F.lit(1), F.size(found)), start, step, lambda s: s.picks)
+
+
+def values_in(run: Column) -> Column:
+    """A match of PATTERN as its parts in order: (value, kind), of null kind what stays. Joined, they are the match.
+
+    A run that is no value as a whole is read from left to right; at each piece the longest valid value is taken, and
+    reading goes on behind it.
+    """
+    part = lambda value, kind: F.struct(value.alias("value"), kind.alias("kind"))
+    none = F.lit(None).cast("string")
+
+    def parts(pieces: Column) -> Column:
+        text = lambda start, n: F.array_join(F.slice(pieces, start, n), "")
+
+        def cut(picks: Column) -> Column:
+            end = lambda j: F.when(j < 0, 1).otherwise(F.get(picks, F.greatest(j, F.lit(0))).at + F.get(picks, F.greatest(j, F.lit(0))).n)
+            each = F.transform(picks, lambda x, j: F.array(part(text(end(j - 1), x.at - end(j - 1)), none), part(text(x.at, x.n), x.kind)))
+            last = end(F.size(picks) - 1)
+            return F.concat(F.flatten(each), F.array(part(text(last, F.size(pieces) - last + 1), none)))
+
+        found = F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda at: _longest(pieces, at))
+        return _let(found, lambda values: _let(_picked(values), cut))
+
+    kind = F.when(run.rlike(_LIKELY) | run.rlike("[@:]"), kind_of(run))
+    split = kind.isNull() & run.rlike(_LIKELY) & ~run.contains("@")
+    return F.when(split, _let(F.regexp_extract_all(run, F.lit(_PIECE), F.lit(0)), parts)).otherwise(F.array(part(run, kind)))
+
+
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """docs (doc_id, text and any more columns) with its text changed, and pii_kinds, pii_values: the finds in order.
 
-    Candidates of PATTERN that are valid of their kind (Luhn for cards, mod 97 for IBANs, calendar dates from 1900 to
-    2099, octets to 255, assigned social security numbers, telephone numbers of 8 to 15 digits, mail addresses) are
-    replaced by a keyed permutation of the values of that format: digits stay digits, cards and IBANs keep valid check
-    digits, dates stay dates. So equal values stay equal in all documents, and different ones different.
+    Values that are valid of their kind (Luhn for cards, mod 97 for IBANs, calendar dates from 1900 to 2099, octets to 255,
+    addresses of version 6 with a digit in them, assigned social security numbers, telephone numbers of 8 to 15 digits, mail
+    addresses) are replaced by a keyed permutation of the values of that format: digits stay digits, cards and IBANs keep
+    valid check digits, dates stay dates. So equal values stay equal in all documents, and different ones different.
     pii_values holds the pseudonyms, never the originals. One map over the table, without a shuffle.
 
-    key is secret: with it all pseudonyms can be turned back. Dates are ISO (a time may follow), dd.MM.yyyy, MM/dd/yyyy,
-    and dd/MM/yyyy where the day is over 12. Not found, and left in clear text: telephone numbers of bare digits
-    (5551234567), and days and months of one digit (1/2/2024).
+    key is secret: with it all pseudonyms can be turned back. Dates are ISO (a time may follow), d.M.yyyy, M/d/yyyy, and
+    d/M/yyyy where the day is over 12. Telephone numbers are international ones, and North American ones in the usual
+    groups or as ten digits that may be one. Of mail addresses the last part of the domain stays.
 
     Null and empty texts: as they are, no finds. Texts are read whole, whatever their length. Repeated rows and null
-    doc_ids: changed alike; the longest kind in the order of KINDS takes a place that several match. Other columns pass
-    through, but for pii_kinds and pii_values, which are replaced. An empty table gives an empty result.
+    doc_ids: changed alike. Where several values are possible, the leftmost is taken, of these the longest, and of equal
+    ones the first in the order of KINDS. Other columns pass through, but for pii_kinds and pii_values, which are
+    replaced. An empty table gives an empty result.
     """
     docs = docs.drop("pii_kinds", "pii_values")
     text = F.col("text")
     likely = text.rlike("\\d|@")
     found = F.when(likely, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    base = docs.select(F.struct("*").alias("row"), "text", found.alias("found"))
-    base = base.select("row", "text", F.transform("found", lambda v: F.struct(v.alias("value"), kind_of(v).alias("kind"))).alias("found"))
-    base = base.select("row", "text", F.transform("found", lambda f: F.struct(f.getField("kind").alias("kind"), pseudonym(f.getField("value"), f.getField("kind"), key).alias("value"))).alias("found"))
+    base = docs.select(F.struct("*").alias("row"), "text", F.transform(found, values_in).alias("found"))
+    base = base.select("row", "text", F.transform("found", lambda parts: F.transform(parts, lambda f: F.struct(f.kind.alias("kind"), pseudonym(f.value, f.kind, key).alias("value")))).alias("found"))
     gaps = F.split("text", PATTERN, -1)
-    joined = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col("found"), i).getField("value"), F.lit("")))), "")
+    joined = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.array_join(F.transform(F.get(F.col("found"), i), lambda f: f.value), ""), F.lit("")))), "")
     changed = F.when(F.size("found") > 0, joined).otherwise(F.col("text"))
-    real = F.filter("found", lambda f: f.getField("kind").isNotNull())
+    real = F.filter(F.flatten("found"), lambda f: f.kind.isNotNull())
     columns = [(changed if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns]
     return base.select(*columns, F.coalesce(F.transform(real, lambda f: f.getField("kind")), F.array().cast("array<string>")).alias("pii_kinds"), F.coalesce(F.transform(real, lambda f: f.getField("value")), F.array().cast("array<string>")).alias("pii_values"))
