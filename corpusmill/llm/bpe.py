@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm.storage import frugal
 
 #: Characters of text after which a block ends, and from which a text is split without a list of all its pre-tokens.
-BLOCK, LONG = 4 << 20, 1 << 20
+BLOCK, LONG = 1 << 20, 1 << 20
 #: Distinct words whose ids a task remembers; a word that is met again later is encoded again.
 KNOWN = 300_000
 #: Blocks that share a list of words, which is sent once for them; UTF-8 bytes of the corpus for each bucket of words;
