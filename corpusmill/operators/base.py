@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 DETAILS = "_rejection_details"
 DETAILS_TYPE = "struct<reason:string,operator:string,dedup_key:string,representative_id:string>"
 _ORDERS = ("id", "doc_id", "page_id")
+#: Keys of most rows whose first rows are broadcast, so that their many rows need not meet; equal rows listed by one row.
+HEAVY, CHUNK = 1000, 1_000_000
 
 
 def details(reason: str, operator: str, key: Column | None = None, representative: Column | None = None) -> Column:
@@ -30,6 +32,16 @@ def default_order(df: DataFrame) -> Column:
     return F.col(found) if found else F.monotonically_increasing_id()
 
 
+def row_hash(df: DataFrame, *salt: Column) -> Column:
+    """A hash of all columns of a row; maps, which have no hash of their own, by their text."""
+
+    def has_map(kind: T.DataType) -> bool:
+        return isinstance(kind, T.MapType) or any(has_map(k) for k in ([f.dataType for f in kind.fields] if isinstance(kind, T.StructType) else [kind.elementType] if isinstance(kind, T.ArrayType) else []))
+
+    columns = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if has_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.xxhash64(*salt, *columns)
+
+
 class Operator:
     """name: the class's own, as rejected rows and metrics carry it."""
 
@@ -117,20 +129,42 @@ class Deduplicator(Operator):
         return first.select(*(F.col(f"`{c}`") for c in df.columns))
 
     def annotate(self, df: DataFrame) -> DataFrame:
-        """One shuffle and sort: number and first id come from the same window. Rows rejected before take no part."""
+        """All rows; those behind the first of their key are marked. Rows rejected before take no part.
+
+        First rows and counts come from an aggregate that is combined before the shuffle. Rows find the first one of their
+        key by a join; the keys of most rows by a broadcast of at most HEAVY first rows, and their rows are spread by
+        their hash then, so no key is the work of one task. Rows that are equal in all columns are one row with a count
+        where one of them is first, and are listed again behind it.
+        """
         self.check(df)
         df = with_details(df)
-        columns = df.columns
         rep = self.representative_id_field if self.representative_id_field in df.columns else next((c for c in _ORDERS if c in df.columns), None)
-        live = self.keyed(df).withColumns({"_live": F.col(DETAILS).isNull(), "_order": self._order(df)})
-        # rejected rows get keys of their own, so they form no group
-        live = live.withColumn("_group", F.when(F.col("_live"), F.concat(F.lit("k"), F.col("_key"))).otherwise(F.concat(F.lit("r"), F.xxhash64(F.struct(*columns)).cast("string"))))
-        w = Window.partitionBy("_group").orderBy("_order", F.xxhash64(F.struct(*columns)))
-        who = F.first(F.coalesce(F.col(rep).cast("string"), F.lit(""))).over(w) if rep and self.track_representative else F.lit(None).cast("string")
-        ranked = live.select(*columns, "_live", "_key", F.row_number().over(w).alias("_number"), who.alias("_first"))
-        dropped = F.col("_live") & (F.col("_number") > 1)
-        mark = F.when(dropped, details("duplicate", self.name, F.col("_key"), F.col("_first"))).otherwise(F.col(DETAILS))
-        return ranked.withColumn(DETAILS, mark).select(*columns)
+        who = F.coalesce(F.col(rep).cast("string"), F.lit("")) if rep and self.track_representative else F.lit(None).cast("string")
+        order, hash_ = self._order(df), row_hash(df)
+        row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+        live = F.col(f"row.{DETAILS}").isNull()
+        # k and a key, so that other values can stand beside the keys below; rows of null key have one, too
+        group = F.when(F.col("_key").isNull(), "n").otherwise(F.concat(F.lit("k"), F.col("_key").cast("string")))
+        rows = self.keyed(df).select(row.alias("row"), F.col("_key").alias("key"), group.alias("group"), F.struct(order.isNull().alias("none"), order.alias("at"), hash_.alias("hash")).alias("rank"), who.alias("who"))
+        several = rows.where(live).groupBy("group").agg(F.min("rank").alias("first"), F.min_by("who", "rank").alias("by"), F.count("*").alias("n")).where("n > 1")
+        heavy = several.orderBy(F.desc("n"), "group").limit(HEAVY).select("group", F.col("first").alias("heavy_first"), F.col("by").alias("heavy_by"))
+        met = rows.join(F.broadcast(heavy), "group", "left")
+        done = F.col("heavy_first").isNotNull() | ~live
+        # rows that are done meet nothing and are dealt out by their hash
+        met = met.withColumn("group", F.when(done, F.concat(F.lit("r"), F.col("rank.hash").cast("string"))).otherwise(F.col("group")))
+        joined = met.join(several.select("group", "first", "by"), "group", "left")
+        joined = joined.select("row", "key", "rank", F.when(live, F.coalesce("heavy_first", "first")).alias("first"), F.coalesce("heavy_by", "by").alias("by"))
+        leads = F.coalesce(F.col("rank") == F.col("first"), F.lit(False))
+        mark = F.when(F.col("first").isNotNull(), details("duplicate", self.name, F.col("key"), F.col("by"))).otherwise(F.col(f"row.{DETAILS}"))
+        rest = joined.where(~leads).select("row", mark.alias("mark"))
+        alike = joined.where(leads).groupBy("key").agg(F.first("row").alias("row"), F.first("by").alias("by"), F.count("*").alias("n"))
+        flat = alike.select("key", "by", "n", *(F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)))
+        chunks = flat.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("n") - 1, F.lit(CHUNK)))))
+        each = F.sequence(F.col("chunk") * CHUNK, F.least((F.col("chunk") + 1) * CHUNK, F.col("n")) - 1)
+        listed = chunks.withColumn("copy", F.explode(each))
+        own = F.when(F.col("copy") > 0, details("duplicate", self.name, F.col("key"), F.col("by"))).otherwise(F.lit(None).cast(DETAILS_TYPE))
+        first = listed.select(*((own if c == DETAILS else F.col(f"c{i}")).alias(c) for i, c in enumerate(df.columns)))
+        return rest.select(*((F.col("mark") if c == DETAILS else F.col(f"row.`{c}`")).alias(c) for c in df.columns)).union(first)
 
 
 class Combined(Operator):

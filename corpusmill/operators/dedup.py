@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions import vector
 from corpusmill.functions.text import content_key
-from corpusmill.operators.base import _ORDERS, DETAILS, Deduplicator, details, with_details
+from corpusmill.operators.base import _ORDERS, DETAILS, Deduplicator, details, row_hash, with_details
 
 
 def _fallback(df: DataFrame, name: str, default: str) -> Column:
@@ -92,8 +92,7 @@ class SemanticDeduplicator(Deduplicator):
         columns = [F.col(f"`{c}`") for c in df.columns]
         order = self._order(df)
         # equal rows are told apart by a number, so ranks are distinct and the same in every run
-        content = df.select(F.struct(*columns).alias("_row"), self.key(df).alias("_key"), live.alias("_live"), order.isNull().alias("_none"), order.alias("_order"))
-        content = content.withColumns({"_h1": F.xxhash64("_row"), "_h2": F.xxhash64(F.lit(1), "_row")})
+        content = df.select(F.struct(*columns).alias("_row"), self.key(df).alias("_key"), live.alias("_live"), order.isNull().alias("_none"), order.alias("_order"), row_hash(df).alias("_h1"), row_hash(df, F.lit(1)).alias("_h2"))
         copy = F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy("_order"))
         rep = self.representative_id_field if self.representative_id_field in df.columns else next((c for c in _ORDERS if c in df.columns), None)
         who = F.coalesce(F.col(f"_row.`{rep}`").cast("string"), F.lit("")) if rep and self.track_representative else F.lit(None).cast("string")
