@@ -446,10 +446,21 @@ def emb_inertia(spark, sf_dir):
     return _rounded(found.agg(F.sum(F.col("distance") * F.col("distance")).alias("inertia")), 5)
 
 
-@query()
+def _lloyd_sql(steps: int) -> str:
+    """Lloyd's steps one by one; a cluster without rows keeps its centroid."""
+    far = "sqrt(list_sum(list_transform(list_zip(v, cv), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))"
+    out = [f"e AS MATERIALIZED (SELECT vec_id, {_E} AS v FROM embeddings)", f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cid, v AS cv FROM (SELECT * FROM e ORDER BY vec_id LIMIT {_K}))"]
+    near = lambda i: f"n{i} AS MATERIALIZED (SELECT vec_id, v, cid, dist FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cid) AS rn FROM (SELECT vec_id, v, cid, {far} AS dist FROM e, c{i})) WHERE rn = 1)"
+    for i in range(steps):
+        out += [near(i), f"m{i} AS (SELECT cid, list(mean ORDER BY i) AS cv FROM (SELECT cid, i, avg(v[i]) AS mean FROM (SELECT cid, v, unnest(generate_series(1, 64)) AS i FROM n{i}) GROUP BY cid, i) GROUP BY cid)"]
+        out.append(f"c{i + 1} AS MATERIALIZED (SELECT c{i}.cid, coalesce(m{i}.cv, c{i}.cv) AS cv FROM c{i} LEFT JOIN m{i} ON c{i}.cid = m{i}.cid)")
+    return f"WITH {', '.join([*out, near(steps)])} SELECT vec_id, CAST(cid AS INTEGER) AS cluster, round(dist, 6) AS distance FROM n{steps}"
+
+
+@query(_lloyd_sql(10))
 def kmeans_lloyd_fixed_init(spark, sf_dir):
     e = _table(spark, sf_dir, "embeddings")
-    model = kmeans.KMeansTrainer(_K, init=_starts(spark, sf_dir), max_iterations=10).train(e, "vec_id", "embedding")
+    model = kmeans.KMeansTrainer(_K, init=_starts(spark, sf_dir), max_iterations=10, tolerance=0).train(e, "vec_id", "embedding")
     return model.predict(e, "embedding").select("vec_id", "cluster", F.round("distance", 6).alias("distance"))
 
 
