@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,37 +59,84 @@ class ImagePhashDeduplicator(Deduplicator):
 class SemanticDeduplicator(Deduplicator):
     """Nearly the same embedding within one cluster: a row goes if an earlier one of its cluster has a cosine of threshold or more.
 
-    All pairs of a cluster are compared, in blocks of about `block` by `block` rows that are dealt over the tasks, so no
-    pair is missed and no cluster is one task's work; the work grows as the square of a cluster's rows. Rows without
-    cluster are a cluster of their own. Rows without embedding, or with one of norm 0, are like no other and stay.
-    `bits` is accepted and has no effect.
+    With exact, all pairs of a cluster are compared, in blocks of about `block` by `block` rows that are dealt over the
+    tasks, so no pair is missed and no cluster is one task's work; the work grows as the square of a cluster's rows.
+    Without, the sides of `bits` random planes through the origin put a row into a bucket in each of some tables, and a row
+    is compared with those of its bucket and of the buckets one bit away. There are as many tables as find a pair at the
+    threshold with a probability of `recall`; likelier ones are found more often, and what is found is checked exactly.
+    More bits make smaller buckets in more tables. Buckets of many rows are dealt in blocks, too.
+
+    Rows without cluster are a cluster of their own. Rows without embedding, or with one of norm 0, are like no other
+    and stay.
     """
 
-    def __init__(self, embedding_field: str = "embedding", cluster_field: str = "cluster", threshold: float = 0.95, bits: int = 8, order_by: str | None = None, representative_id_field: str = "id", block: int = 1000):
+    def __init__(self, embedding_field: str = "embedding", cluster_field: str = "cluster", threshold: float = 0.95, bits: int = 8, order_by: str | None = None, representative_id_field: str = "id", block: int = 1000, exact: bool = True, recall: float = 0.99, seed: int = 7):
         super().__init__(order_by, representative_id_field)
         self.embedding_field, self.cluster_field, self.threshold, self.bits, self.block = embedding_field, cluster_field, threshold, bits, block
+        self.exact, self.recall, self.seed = exact, recall, seed
+        if not exact and not (1 <= bits <= 48 and 0 < recall < 1 and -1 < threshold <= 1):
+            raise ValueError("1 to 48 bits, a recall between 0 and 1, and a threshold over -1")
         self.required_columns = (embedding_field, cluster_field)
 
     def key(self, df: DataFrame) -> Column:
         """The cluster: rows that are compared, not rows that are alike."""
         return F.coalesce(F.concat(F.lit("="), F.col(self.cluster_field).cast("string")), F.lit(""))
 
+    @property
+    def tables(self) -> int:
+        """Tables of planes: enough for recall, if a plane parts two vectors with a probability of their angle by pi."""
+        same = 1 - math.acos(max(-1.0, min(1.0, self.threshold))) / math.pi
+        met = same**self.bits + self.bits * same ** (self.bits - 1) * (1 - same)
+        return 1 if met >= self.recall else math.ceil(math.log(1 - self.recall) / math.log(1 - met))
+
+    def _signed(self, rows: DataFrame) -> DataFrame:
+        """rows with table and home: the bucket of the vector in each table."""
+        bits, tables, seed = self.bits, self.tables, self.seed
+
+        def run(batches):
+            planes = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                column = batch.column("e")
+                x = column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.float64)
+                if planes is None:
+                    planes = np.random.default_rng(seed).normal(size=(tables, bits, x.shape[1]))
+                place = np.arange(batch.num_rows)
+                for t in range(tables):
+                    home = ((x @ planes[t].T > 0) << np.arange(bits, dtype=np.int64)).sum(axis=1)
+                    own = batch.take(pa.array(place))
+                    yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.full(len(place), t, np.int32)), pa.array(home, pa.int64())], [*own.schema.names, "table", "home"])
+
+        return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("table", T.IntegerType()), T.StructField("home", T.LongType())]))
+
+    def _met(self, late: DataFrame, early: DataFrame, keys: list[str]) -> DataFrame:
+        """Rows of late and early of equal keys; of keys with many rows each block of the one meets each of the other."""
+        parts = lambda side, name: side.groupBy(*keys).agg(F.ceil(F.count("*") / self.block).cast("int").alias(name))
+        sizes = parts(late, "n").join(parts(early, "m"), keys)
+        own, every = lambda rank, n: F.pmod(F.xxhash64(rank), F.col(n)).cast("int"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        x = late.join(sizes, keys).select(*keys, own("rank", "n").alias("i"), every("m").alias("j"), F.col("rank").alias("late"), F.col("e").alias("e1"), F.col("square").alias("s1"))
+        y = early.join(sizes, keys).select(*keys, every("n").alias("i"), own("rank", "m").alias("j"), F.col("rank").alias("early"), F.col("e").alias("e2"), F.col("square").alias("s2"))
+        return x.join(y, [*keys, "i", "j"]).where(F.col("early") < F.col("late"))
+
     def _links(self, rows: DataFrame) -> DataFrame:
-        """(late, early, cosine) for the pairs over the threshold of rows (cluster, rank, e); ranks are distinct and order a cluster."""
+        """(late, early, cosine) for pairs over the threshold of rows (cluster, rank, e); ranks are distinct and order a
+        cluster. A pair that meets in several tables comes several times."""
         rows = rows.withColumn("square", vector.dot(F.col("e"), F.col("e"))).where((F.col("square") > 0) & ~F.isnan("square"))
-        sizes = rows.groupBy("cluster").agg(F.ceil(F.count("*") / self.block).cast("int").alias("n"))
-        dealt = rows.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("rank"), F.col("n")).cast("int"))
-        every = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-        late = dealt.select("cluster", F.col("own").alias("i"), every.alias("j"), F.col("rank").alias("late"), F.col("e").alias("e1"), F.col("square").alias("s1"))
-        early = dealt.select("cluster", every.alias("i"), F.col("own").alias("j"), F.col("rank").alias("early"), F.col("e").alias("e2"), F.col("square").alias("s2"))
-        met = late.join(early, ["cluster", "i", "j"]).where(F.col("early") < F.col("late"))
+        if self.exact:
+            met = self._met(rows, rows, ["cluster"])
+        else:
+            homes = self._signed(rows).withColumnRenamed("home", "bucket")
+            flips = F.array(F.col("bucket"), *(F.col("bucket").bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(self.bits)))
+            met = self._met(homes.withColumn("bucket", F.explode(flips)), homes, ["cluster", "table", "bucket"])
         cosine = vector.dot(F.col("e1"), F.col("e2")) / F.sqrt(F.col("s1") * F.col("s2"))
         return met.select("late", "early", cosine.alias("cosine")).where(F.col("cosine") >= self.threshold)
 
     def pairs(self, df: DataFrame, id_field: str = "vec_id") -> DataFrame:
-        """All pairs of a cluster whose cosine is threshold or more, each once: id, the smaller id as representative_id, cosine."""
+        """Pairs of a cluster whose cosine is threshold or more, each once: id, the smaller id as representative_id, cosine."""
         rows = df.select(self.key(df).alias("cluster"), F.col(id_field).alias("rank"), F.col(self.embedding_field).alias("e"))
-        return self._links(rows).select(F.col("late").alias("id"), F.col("early").alias("representative_id"), "cosine")
+        found = self._links(rows).select(F.col("late").alias("id"), F.col("early").alias("representative_id"), "cosine")
+        return found if self.exact else found.groupBy("id", "representative_id").agg(F.max("cosine").alias("cosine"))
 
     def _judged(self, df: DataFrame, live: Column) -> DataFrame:
         """df with _rank and, for live rows that go, _early: the rank of the first row that stands for it."""

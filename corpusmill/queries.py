@@ -528,6 +528,16 @@ def semantic_dedup_survivors(spark, sf_dir):
     return SemanticDeduplicator(threshold=_ALIKE, order_by="vec_id").transform(_clustered(spark, sf_dir)).select("vec_id")
 
 
+@query(f"WITH {_COSINES} SELECT count(*) AS pairs, 0 AS wrong, true AS enough FROM p WHERE cosine >= {_ALIKE}")
+def semantic_lsh_recall(spark, sf_dir):
+    """Pairs of like vectors by tables of planes, held against all pairs: none that is wrong, and nine of ten found."""
+    rows = _clustered(spark, sf_dir)
+    every = SemanticDeduplicator(threshold=_ALIKE).pairs(rows).select("id", "representative_id", F.lit(1).alias("true"))
+    found = SemanticDeduplicator(threshold=_ALIKE, exact=False, bits=4).pairs(rows).select("id", "representative_id", F.lit(1).alias("found"))
+    both = every.join(found, ["id", "representative_id"], "full")
+    return both.agg(F.count("true").alias("pairs"), F.count_if(F.col("true").isNull()).cast("int").alias("wrong"), (F.count_if(F.col("true").isNotNull() & F.col("found").isNotNull()) >= 0.9 * F.count("true")).alias("enough"))
+
+
 def _classified(spark, sf_dir) -> DataFrame:
     """labels with a probability that is a simple function of the length of the document."""
     p = F.least(F.lit(1.0), F.col("n_chars") / F.lit(4000.0))

@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from corpusmill.operators import SemanticDeduplicator
 from corpusmill.operators.base import DETAILS
 
@@ -53,3 +55,34 @@ def test_semantic_pairs_and_survivors(spark, block):
 def test_semantic_equal_rows(spark):
     df = spark.createDataFrame([(1, 0, [1.0, 0.2])] * 3 + [(2, 0, [-1.0, 0.2])], "id long, cluster int, embedding array<double>")
     assert sorted(r["id"] for r in SemanticDeduplicator(threshold=1.0).transform(df).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize(("bits", "block"), [(4, 1000), (8, 5), (12, 1000)])
+def test_planes_find_nine_of_ten_pairs(spark, bits, block):
+    rng = np.random.default_rng(bits)
+    bases = rng.normal(size=(60, 32))
+    rows = [(i, 0, (bases[i % 60] + rng.normal(size=32) * rng.uniform(0.05, 0.4)).tolist()) for i in range(420)] + [(900, 0, None), (901, 0, [0.0] * 32)]
+    want = _brute(rows, 0.9)
+    df = spark.createDataFrame(rows, "id long, cluster int, embedding array<double>").repartition(3)
+    op = SemanticDeduplicator(threshold=0.9, bits=bits, exact=False, block=block)
+    got = {(r["id"], r["representative_id"]): r["cosine"] for r in op.pairs(df, "id").collect()}
+    assert len(want) > 500 and got.keys() <= want.keys() and len(got) >= 0.97 * len(want)
+    assert all(got[k] == pytest.approx(want[k]) for k in got)
+    exact = {r["id"] for r in SemanticDeduplicator(threshold=0.9).transform(df).collect()}
+    kept = {r["id"] for r in op.transform(df).collect()}
+    assert exact <= kept and len(kept) <= len(exact) + 8 and {900, 901} <= kept
+    assert op.pairs(df.limit(0), "id").count() == 0
+
+
+def test_planes_compare_fewer_than_all_pairs(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, 0, rng.normal(size=32).tolist()) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, cluster int, embedding array<double>")
+    op = SemanticDeduplicator(threshold=0.95, bits=10, exact=False)
+    own = df.selectExpr("'c' AS cluster", "id AS rank", "embedding AS e", "1.0D AS square")
+    homes = op._signed(own).withColumnRenamed("home", "bucket")
+    met = op._met(homes.withColumn("bucket", F.explode(F.array("bucket", *(F.col("bucket").bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(10))))), homes, ["cluster", "table", "bucket"])
+    assert homes.count() == 1500 * op.tables and met.count() < 0.1 * 1500 * 1499 / 2
+    assert SemanticDeduplicator(threshold=0.95, bits=16, exact=False).tables > op.tables > 1
+    with pytest.raises(ValueError, match="bits"):
+        SemanticDeduplicator(bits=0, exact=False)
