@@ -712,6 +712,20 @@ def streaming_exact_dedup(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query(f"SELECT md5({_NORMAL}) AS dedup_key, count(*) AS members, 1 AS firsts, true AS named FROM documents GROUP BY 1")
+def streaming_representatives(spark, sf_dir):
+    """Documents as a stream of several batches: each key has one first row, and all its other rows name that one."""
+    stream_dedup.use_key_state(spark)
+    docs, path = _table(spark, sf_dir, "documents").select("doc_id", "text"), _scratch(spark)
+    docs.repartition(3, "doc_id").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    marked = stream_dedup.annotate(stream, id_field="doc_id").select("doc_id", "dedup_key", "representative_id")
+    stream_dedup.start(marked, f"{path}/state", lambda df, _: df.write.mode("append").parquet(f"{path}/out")).awaitTermination()
+    first = F.min(F.when(F.col("representative_id").isNull(), F.col("doc_id").cast("string")))
+    out = spark.read.parquet(f"{path}/out").groupBy("dedup_key").agg(F.count("*").alias("members"), F.count_if(F.col("representative_id").isNull()).cast("int").alias("firsts"), first.alias("own"), F.min("representative_id").alias("a"), F.max("representative_id").alias("b"))
+    return out.select("dedup_key", "members", "firsts", (F.coalesce("a", "own").eqNullSafe(F.col("own")) & F.coalesce("b", "own").eqNullSafe(F.col("own"))).alias("named"))
+
+
 def _is_file(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

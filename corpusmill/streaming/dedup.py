@@ -1,11 +1,15 @@
-"""Exact deduplication of a stream, and micro-batches to both sinks."""
+"""Exact deduplication of a stream, with or without the first row of each key, and micro-batches to sinks."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from datetime import timedelta
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from corpusmill.functions.text import content_key
 
@@ -19,6 +23,58 @@ def deduplicate(stream: DataFrame, text_field: str = "text", id_field: str = "id
     return keyed.dropDuplicates(["dedup_key"])
 
 
+_STORE, _IDLE = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.noDataMicroBatches.enabled"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class FirstArrival(StatefulProcessor):
+    """Keeps the id of the first row of each key, for ttl after it or for ever, and names it in all later rows."""
+
+    def __init__(self, id_field: str, columns: list[str], ttl: timedelta | None):
+        self.id_field, self.columns, self.ttl = id_field, columns, ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        ttl = None if self.ttl is None else max(1, int(self.ttl.total_seconds() * 1000))
+        self.first = handle.getValueState("first", T.StructType([T.StructField("id", T.StringType())]), ttl)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self.first.get()[0] if self.first.exists() else None
+        for part in rows:
+            part = part.sort_values(self.id_field, kind="stable")
+            who = [known] * len(part)
+            if known is None and len(part):
+                own = part[self.id_field].iloc[0]
+                known = "" if pd.isna(own) else str(own)
+                self.first.update((known,))
+                who = [None] + [known] * (len(part) - 1)
+            yield part.assign(representative_id=pd.Series(who, index=part.index, dtype=object))[self.columns]
+
+    def close(self) -> None:
+        pass
+
+
+def use_key_state(spark: SparkSession) -> None:
+    """Settings of the session for streams begun from now on: the store that keeps named values, on disk, and no batches
+    without data, which by the clock would go on for ever in a stream that is to end with what is there."""
+    spark.conf.set(_STORE, _ROCKS)
+    spark.conf.set(_IDLE, "false")
+
+
+def annotate(stream: DataFrame, text_field: str = "text", id_field: str = "id", ttl: timedelta | None = None) -> DataFrame:
+    """All rows of stream, with dedup_key and representative_id: the id of the first row of its key, null in that row itself.
+
+    First means the first batch, and in it the first part of a key's rows to be read and there the smallest id. Over
+    restarts from one checkpoint the id stays; with ttl it is forgotten so long after that row, by the clock of the
+    tasks. A null id is named as the empty string. Rows of a key are read in parts, so none has to fit into memory; call
+    use_key_state() before the stream starts.
+    """
+    own = F.col(id_field).cast("string")
+    keyed = stream.withColumn("dedup_key", content_key(F.col(text_field), own))
+    schema = T.StructType([*keyed.schema.fields, T.StructField("representative_id", T.StringType())])
+    processor = FirstArrival(id_field, schema.names, ttl)
+    return keyed.groupBy("dedup_key").transformWithStateInPandas(processor, schema, "Append", "None" if ttl is None else "ProcessingTime")
+
+
 def start(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], once: bool = True):
     """Runs sink on every micro-batch; once ends with what is there now."""
     writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
