@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +12,20 @@ from pyspark.sql import types as T
 from corpusmill.functions import text as text_functions
 from corpusmill.functions import url as url_functions
 from corpusmill.operators.base import DETAILS, Filter, details, with_details
-from corpusmill.sources.blocklist import read_blocklist
+from corpusmill.sources.blocklist import bloom, may_hold, read_blocklist, words_for
 
-#: Blocked domains up to which they are literals of the plan; a longer list is joined.
-LITERAL_DOMAINS = 2000
+#: Blocked domains up to which they are literals of the plan; a longer list is joined. Labels of hosts that are looked up in
+#: a list's Bloom filter.
+LITERAL_DOMAINS, LABELS = 2000, 6
 
 
 class UrlFilter(Filter):
     """Rejects URLs of blocked domains, with a word score of score_threshold or more, or of curated sources.
 
     Null and empty URLs are kept. Domains match with their subdomains unless check_subdomains is off.
+
+    Lists of over LITERAL_DOMAINS domains, from files above all, stay tables. A Bloom filter of them lets most rows pass
+    where they are; hosts that may be blocked are joined with the list exactly, and only their rows are shuffled.
     """
 
     def __init__(self, url_field: str = "url", blocklist_paths: Iterable[str] | None = None, blocklist_domains: Iterable[str] | None = None, word_weights: dict[str, float] | None = None, use_default_words: bool = True, score_threshold: float = 0.5, check_subdomains: bool = True, exclude_quality_sources: bool = False, quality_source_domains: Iterable[str] | None = None, use_default_quality_sources: bool = True, normalize_host: bool = False):
@@ -28,8 +33,12 @@ class UrlFilter(Filter):
         self.required_columns = (url_field,)
         self.weights = (dict(url_functions.WORD_WEIGHTS) if use_default_words else {}) | {k.lower(): float(v) for k, v in (word_weights or {}).items()}
         self.blocked = {d.lower().strip() for d in blocklist_domains or ()} - {""}
-        for path in [blocklist_paths] if isinstance(blocklist_paths, str) else blocklist_paths or ():
-            self.blocked |= read_blocklist(path)
+        lists = [read_blocklist(path) for path in ([blocklist_paths] if isinstance(blocklist_paths, str) else blocklist_paths or ())]
+        self.files: DataFrame | None = reduce(DataFrame.union, [x for x in lists if x is not None]) if any(x is not None for x in lists) else None
+        if self.files is not None:  # short files are literals, too
+            some = self.files.limit(LITERAL_DOMAINS + 1).collect()
+            if len(some) <= LITERAL_DOMAINS:
+                self.blocked, self.files = self.blocked | {r["suffix"] for r in some}, None
         sources = set(url_functions.QUALITY_SOURCES) if use_default_quality_sources else set()
         self.quality = (sources | {d.lower().strip() for d in quality_source_domains or ()}) if exclude_quality_sources else set()
 
@@ -47,31 +56,54 @@ class UrlFilter(Filter):
         host = url_functions.domain(F.col(self.url_field), self.normalize_host)
         return self._empty(df) | ~(url_functions.in_domains(host, self.blocked, self.check_subdomains) | self._rest(df))
 
-    def _blocked(self, df: DataFrame) -> DataFrame:
-        """The distinct hosts of df that are blocked: hosts are distinct before their suffixes are, so no URL is exploded."""
-        listed = df.sparkSession.createDataFrame([(d,) for d in sorted(self.blocked)], "suffix string")
-        hosts = df.select(url_functions.domain(F.col(self.url_field), self.normalize_host).alias("_host")).where(F.col("_host").isNotNull()).distinct()
-        parts = url_functions.suffixes(F.col("_host")) if self.check_subdomains else F.array("_host")
-        return hosts.select("_host", F.explode(parts).alias("suffix")).join(listed, "suffix", "left_semi").select("_host").distinct()
+    @property
+    def _short(self) -> bool:
+        return self.files is None and len(self.blocked) <= LITERAL_DOMAINS
+
+    def _listed(self, spark) -> DataFrame:
+        own = spark.createDataFrame([(d,) for d in sorted(self.blocked)], "suffix string")
+        return own if self.files is None else own.union(self.files)
+
+    def _parts(self, host: Column) -> Column:
+        return url_functions.suffixes(host) if self.check_subdomains else F.array(host)
+
+    def _split(self, df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Rows of df that the list has nothing of, rows that it may have something of, with _host, and the blocked ones of their hosts.
+
+        Hosts are distinct before their suffixes are, so no URL is exploded.
+        """
+        listed = self._listed(df.sparkSession)
+        words = words_for(len(self.blocked) + (0 if self.files is None else self.files.count()))
+        filter_ = bloom(listed, words)
+        rows = df.withColumn("_host", url_functions.domain(F.col(self.url_field), self.normalize_host))
+        host = F.col("_host")
+        if self.check_subdomains:  # hosts of more labels may always be listed
+            likely = reduce(Column.__or__, [may_hold(filter_, words, F.substring_index(host, ".", -i)) for i in range(1, LABELS + 1)], F.size(F.split(host, "\\.")) > LABELS)
+        else:
+            likely = may_hold(filter_, words, host)
+        likely = F.coalesce(likely, F.lit(False))
+        some = rows.where(likely)
+        hosts = some.select("_host").distinct()
+        blocked = hosts.select("_host", F.explode(self._parts(F.col("_host"))).alias("suffix")).join(listed, "suffix", "left_semi").select("_host").distinct()
+        return rows.where(~likely), some, blocked
 
     def transform(self, df: DataFrame) -> DataFrame:
-        if len(self.blocked) <= LITERAL_DOMAINS:
+        if self._short:
             return super().transform(df)
         self.check(df)
-        host = url_functions.domain(F.col(self.url_field), self.normalize_host)
-        kept = df.where(self._empty(df) | ~self._rest(df)).withColumn("_host", host)
-        return kept.join(self._blocked(df), "_host", "left_anti").select(df.columns)
+        free, some, blocked = self._split(df.where(self._empty(df) | ~self._rest(df)))
+        return free.select(df.columns).union(some.join(blocked, "_host", "left_anti").select(df.columns))
 
     def annotate(self, df: DataFrame) -> DataFrame:
-        if len(self.blocked) <= LITERAL_DOMAINS:
+        if self._short:
             return super().annotate(df)
         self.check(df)
         df = with_details(df)
-        host = url_functions.domain(F.col(self.url_field), self.normalize_host)
-        found = self._blocked(df).withColumn("_blocked", F.lit(True))
-        joined = df.withColumn("_host", host).join(found, "_host", "left")
+        free, some, blocked = self._split(df)
+        some = some.join(blocked.withColumn("_blocked", F.lit(True)), "_host", "left")
+        rows = free.withColumn("_blocked", F.lit(None).cast("boolean")).select(*df.columns, "_blocked").union(some.select(*df.columns, "_blocked"))
         drop = F.col(DETAILS).isNull() & ~self._empty(df) & (F.col("_blocked").isNotNull() | self._rest(df))
-        return joined.withColumn(DETAILS, F.when(drop, details("filtered", self.name)).otherwise(F.col(DETAILS))).select(df.columns)
+        return rows.withColumn(DETAILS, F.when(drop, details("filtered", self.name)).otherwise(F.col(DETAILS))).select(df.columns)
 
 
 class TextLengthFilter(Filter):
