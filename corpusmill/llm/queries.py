@@ -73,8 +73,9 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = secret_scan.fit(secret_scan.labelled_findings(spark))
-    return secret_scan.scan(documents(spark, sf_dir), model)
+    docs = documents(spark, sf_dir)
+    language = secret_scan.language_of(docs)
+    return secret_scan.scan(docs, secret_scan.fit(secret_scan.labelled_findings(spark, words=language.words), language))
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -24,10 +26,12 @@ CANDIDATE = (
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "auth", "bearer", "credential", "private", "access_key", "client_secret", "login", "pass")
 HARMLESS_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "digest", "uuid", "guid", "id", "version", "build", "revision", "example", "sample", "placeholder", "dummy", "test", "call", "phone", "card", "account", "page", "file", "isbn", "order")
 PATH_WORDS = ("test", "example", "sample", "fixture", "mock", "docs", "doc", "spec", "demo")
-#: Frequent parts of words, for the share of a candidate that reads like language.
-DICTIONARY = ("tion", "ing", "and", "the", "ent", "ion", "for", "ate", "ver", "ter", "con", "pro", "com", "ment", "able", "ness", "ist", "est", "our", "ell", "que", "ich", "sch", "ung", "keit", "heit", "ció", "mente", "eau", "elle", "data", "file", "name", "user", "test", "main", "index", "page", "home", "http", "www", "html", "example", "value", "string", "config", "default", "get", "set", "new", "old", "er", "in", "on", "an", "re", "en", "at", "st", "es", "or", "is", "le", "de", "la", "un")
-FEATURES = ("length", "transitions", "coverage", "digits", "letters", "mixed", "secret_near", "harmless_near", "secret_after", "harmless_after", "quoted", "assigned", "harmless_path", "prefixed")
-#: Words that make harmless values in generated findings; none is a part in DICTIONARY.
+#: Words of the corpus that a dictionary holds at most, the documents that each is in at least, and its letters.
+DICTIONARY_WORDS, LEAST_DOCS, WORD = 5000, 5, r"(?<!\p{L})[a-z]{4,20}(?!\p{L})"
+#: Parts of a candidate that may be words: camel case and capitals are told apart.
+_PIECE = "[A-Z]?[a-z]+|[A-Z]+"
+FEATURES = ("length", "likelihood", "changes", "coverage", "digits", "letters", "mixed", "secret_near", "harmless_near", "secret_after", "harmless_after", "quoted", "assigned", "harmless_path", "prefixed")
+#: Words that make harmless values in generated findings where there is no dictionary.
 PLAIN_WORDS = ("river", "bottle", "lamp", "quick", "brown", "jump", "yellow", "cloud", "harbour", "silk", "umbrella", "kayak", "window", "grape", "dwarf", "jigsaw", "bamboo", "puzzle", "lemon", "falcon")
 PLACEHOLDERS = ("changeme", "xxxxxxxx", "********", "undefined", "password", "your_key_here", "ENV_VALUE", "required", "optional")
 #: Rows of labelled findings that a model is fitted on at most.
@@ -54,17 +58,63 @@ def _near(text: Column, words: tuple[str, ...]) -> Column:
     return F.lower(text).rlike("(?:^|[^a-z0-9])(?:" + "|".join(words) + ")(?:[^a-z0-9]|$)").cast("double")
 
 
-def features(found: DataFrame) -> DataFrame:
+@dataclass
+class Language:
+    """What a corpus tells of its words: the most frequent ones, and the logarithm to base 2 of a letter's chance behind another."""
+
+    words: list[str] = field(default_factory=list)
+    bigrams: dict[str, float] = field(default_factory=dict)
+
+
+def language_of(docs: DataFrame) -> Language:
+    """The language of docs (text), from all of its texts.
+
+    Words count once a document, combined before the shuffle; the driver gets DICTIONARY_WORDS words and 676 pairs of
+    letters at most. Null texts and an empty table have no words; pairs that were not seen count as if half a time.
+    """
+    own = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("word"))
+    counts = own.groupBy("word").count()
+    both = counts.where(F.col("count") >= LEAST_DOCS)
+    pairs = both.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", i, F.lit(2)))).alias("pair"), "count")
+    pairs = {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.sum("count").alias("n")).collect()}
+    words = [r["word"] for r in both.orderBy(F.desc("count"), "word").limit(DICTIONARY_WORDS).collect()]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = {x: sum(pairs.get(x + y, 0) + 0.5 for y in letters) for x in letters}
+    return Language(words, {x + y: math.log2((pairs.get(x + y, 0) + 0.5) / rows[x]) for x in letters for y in letters} if pairs else {})
+
+
+def _likelihood(value: Column, language: Language) -> Column:
+    """Mean logarithm of the chances of the letters of a value behind the letter before; that of even chances without pairs."""
+    even = -math.log2(26)
+    if not language.bigrams:
+        return F.lit(even)
+    chances = F.create_map(*(F.lit(x) for pair, chance in sorted(language.bigrams.items()) for x in (pair, chance)))
+    lower = F.lower(value)
+    pairs = F.transform(F.sequence(F.lit(1), F.length(value) - 1), lambda i: F.try_element_at(chances, F.substring(lower, i, F.lit(2))))
+    known = F.filter(pairs, lambda p: p.isNotNull())
+    return F.transform(F.array(known), lambda k: F.when(F.size(k) > 0, F.aggregate(k, F.lit(0.0), lambda a, x: a + x) / F.size(k)).otherwise(F.lit(even)))[0]
+
+
+def _coverage(value: Column, language: Language) -> Column:
+    """Share of a value that is words of the dictionary."""
+    if not language.words:
+        return F.lit(0.0)
+    known = F.array(*(F.lit(w) for w in language.words))
+    parts = F.filter(F.transform(F.regexp_extract_all(value, F.lit(_PIECE), F.lit(0)), F.lower), lambda p: F.array_contains(known, p))
+    return F.length(F.array_join(parts, "")) / F.length(value)
+
+
+def features(found: DataFrame, language: Language) -> DataFrame:
     """found with one column for each of FEATURES, from candidate, before, after and path."""
     value = F.col("candidate")
     classes = F.translate(value, "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0" * 10 + "a" * 26 + "A" * 26)
     runs = F.length(F.regexp_replace(classes, "(.)\\1+", "$1"))
-    language = F.regexp_replace(F.lower(value), "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))), "")
     part = lambda pattern: F.length(F.regexp_replace(value, pattern, "")) / F.length(value)
     return found.withColumns({
         "length": F.length(value).cast("double"),
-        "transitions": (runs - 1) / (F.length(value) - 1),
-        "coverage": 1 - F.length(language) / F.length(value),
+        "likelihood": _likelihood(value, language),
+        "changes": (runs - 1) / (F.length(value) - 1),
+        "coverage": _coverage(value, language),
         "digits": part("[^0-9]"),
         "letters": part("[^A-Za-z]"),
         "mixed": (value.rlike("[a-z]") & value.rlike("[A-Z]")).cast("double"),
@@ -79,9 +129,12 @@ def features(found: DataFrame) -> DataFrame:
     })
 
 
-def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
+def labelled_findings(spark: SparkSession, rows: int = 4000, words: list[str] | None = None) -> DataFrame:
     """Findings with a label (1: a secret), made by rule from hashes: keys of several formats in code-like contexts, and
-    the harmless values that look like them (numbers, checksums, identifiers, long words, placeholders)."""
+    the harmless values that look like them (numbers, checksums, identifiers, long words, placeholders).
+
+    The long words are joined from 20 of words, spread over the list, or from PLAIN_WORDS."""
+    plain_words = tuple(words[i * len(words) // 20] for i in range(20)) if words and len(words) >= 20 else PLAIN_WORDS
     base = spark.range(rows).select("id", F.sha2(F.col("id").cast("string"), 256).alias("hex"), F.base64(F.unhex(F.sha2(F.concat(F.lit("b"), F.col("id").cast("string")), 256))).alias("b64"), F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("x"), F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1_000_003)).alias("y"))
     choose = lambda options, by: F.element_at(F.array(*(F.lit(o) if isinstance(o, str) else o for o in options)), (F.pmod(by, F.lit(len(options))) + 1).cast("int"))
     size = (F.pmod(F.col("y"), F.lit(3)) * 8 + 24).cast("int")
@@ -89,30 +142,48 @@ def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
     secret = choose([F.substring("hex", 1, 40), F.substring("hex", F.lit(1), size), F.substring(text, F.lit(1), size), F.concat(F.lit("sk_live_"), F.substring(text, 1, 24)), F.concat(F.lit("ghp_"), F.substring(text, 1, 36)), F.concat(F.lit("AKIA"), F.upper(F.substring("hex", 1, 16))), F.col("b64"), F.concat(F.substring(text, 3, 6), choose(["!", "#", "9", "x4"], F.col("y")), F.substring("hex", 5, 2)), F.concat(F.lit("ghp_"), F.substring(F.regexp_replace(text, "\\d", ""), 1, 30)), F.concat(F.lit("AKIA"), F.substring(F.upper(F.regexp_replace(text, "\\d", "")), 1, 16)), F.concat(F.lit("eyJ"), F.substring(text, 1, 20), F.lit("."), F.substring(text, 5, 24), F.lit("."), text)], F.col("x"))
     numbers = F.regexp_replace("hex", "[a-f]", "")
     join = choose(["-", "_", "/", ""], F.col("y"))
-    some = [choose(list(PLAIN_WORDS[a:b]), by) for a, b, by in ((0, 12, F.col("x")), (6, 20, F.col("y")), (0, 20, F.col("x") + F.col("y")), (3, 17, F.col("x") * 3 + 1))]
+    some = [choose(list(plain_words[a:b]), by) for a, b, by in ((0, 12, F.col("x")), (6, 20, F.col("y")), (0, 20, F.col("x") + F.col("y")), (3, 17, F.col("x") * 3 + 1))]
     words = F.concat(some[0], join, some[1], join, some[2], join, some[3], join, some[0], F.pmod("y", F.lit(100)).cast("string"))
     uuid = F.regexp_replace(F.substring("hex", 1, 32), "(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5")
     harmless = choose([F.rpad(F.substring(numbers, 1, 16), 16, "7"), F.substring("hex", 1, 40), words, uuid, words, F.rpad(F.substring(numbers, 1, 20), 18, "3"), F.substring("hex", 1, 32), F.concat(F.lit("1234567890"), choose(["abcdef", "1234567", "xxxxxxxx"], F.col("y"))), choose(list(PLACEHOLDERS), F.col("y"))], F.col("x"))
     secret_lead = F.concat(choose(["", "the ", "then let ", "export ", "in that. "], F.col("y")), choose(list(SECRET_WORDS), F.col("x") + F.col("y")), choose([" = \"", "=\"", ": \"", "=", " = '", ": "], F.col("x") * 7 + F.col("y")))
-    plain = F.concat(choose(list(PLAIN_WORDS), F.col("y")), F.lit(" "), choose(list(PLAIN_WORDS), F.col("x")), F.lit(" "))
+    plain = F.concat(choose(list(plain_words), F.col("y")), F.lit(" "), choose(list(plain_words), F.col("x")), F.lit(" "))
     harmless_lead = F.when(F.pmod("y", F.lit(2)) == 0, plain).otherwise(F.concat(choose(["", "the ", "see "], F.col("y")), choose(list(HARMLESS_WORDS), F.col("x") + F.col("y")), choose([" ", ": ", " = \"", "="], F.col("x") * 5 + F.col("y"))))
     secret_lead = F.when(F.pmod("x", F.lit(11)).isin(3, 4, 5, 8, 9, 10) & (F.pmod("y", F.lit(3)) > 0), plain).otherwise(secret_lead)
     label = F.pmod("id", F.lit(2)).cast("double")
     harmless_kind = F.when(F.pmod("x", F.lit(9)) == 8, secret_lead).when(F.pmod("x", F.lit(9)).isin(1, 6), F.concat(choose(list(HARMLESS_WORDS), F.col("y")), choose([" ", ": "], F.col("x")))).otherwise(harmless_lead)
     path = F.when((label == 0) & (F.pmod("y", F.lit(5)) == 0), choose(["tests/a", "docs/b", "example/c"], F.col("x"))).otherwise(choose(["src0", "src1", "app/main", "src17"], F.col("y")))
-    tail = F.concat(choose(["\" ", "\"; ", "' ", " ", ", "], F.col("x") + 2), choose(list(PLAIN_WORDS), F.col("y") + 3), F.lit(" "))
-    tail = F.when((label == 0) & (F.pmod("y", F.lit(6)) == 0), F.concat(tail, choose(list(HARMLESS_WORDS), F.col("x") + 1))).otherwise(F.concat(tail, choose(list(PLAIN_WORDS), F.col("x"))))
+    tail = F.concat(choose(["\" ", "\"; ", "' ", " ", ", "], F.col("x") + 2), choose(list(plain_words), F.col("y") + 3), F.lit(" "))
+    tail = F.when((label == 0) & (F.pmod("y", F.lit(6)) == 0), F.concat(tail, choose(list(HARMLESS_WORDS), F.col("x") + 1))).otherwise(F.concat(tail, choose(list(plain_words), F.col("x"))))
     return base.select(F.when(label == 1, secret).otherwise(harmless).alias("candidate"), F.when(label == 1, secret_lead).otherwise(harmless_kind).alias("before"), tail.alias("after"), path.alias("path"), label.alias("label"))
 
 
-def fit(labelled: DataFrame, trees: int = 20, depth: int = 8) -> RandomForestClassificationModel:
-    """A random forest over FEATURES from at most LABELLED_ROWS findings (candidate, before, after, path, label)."""
-    rows = features(labelled.limit(LABELLED_ROWS)).select("label", *FEATURES)
+@dataclass
+class Scanner:
+    """A forest and the language that its features are read by; without a forest all scores are share."""
+
+    language: Language
+    forest: RandomForestClassificationModel | None
+    share: float = 0.0
+
+
+def fit(labelled: DataFrame, language: Language, trees: int = 20, depth: int = 8) -> Scanner:
+    """A random forest over FEATURES from at most LABELLED_ROWS findings (candidate, before, after, path, label), chosen by hash.
+
+    Null labels are left out. From findings of one label alone all scores are that label, from an empty table 0: there is
+    nothing to tell apart.
+    """
+    key = ["candidate", "before", "after", "path", "label"]
+    some = labelled.where("label IS NOT NULL").orderBy(F.xxhash64(*key), *key).limit(LABELLED_ROWS)
+    kinds = {float(r["label"]) for r in some.select("label").distinct().collect()}
+    if len(kinds) < 2:
+        return Scanner(language, None, max(kinds, default=0.0))
+    rows = features(some, language).select("label", *FEATURES)
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="sqrt").fit(data)
+    return Scanner(language, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="sqrt").fit(data))
 
 
-def scan(docs: DataFrame, model: RandomForestClassificationModel, path: str | None = "source") -> DataFrame:
+def scan(docs: DataFrame, scanner: Scanner, path: str | None = "source") -> DataFrame:
     """A row per candidate of docs (doc_id, text, path): doc_id, place, kind, fingerprint, n_chars, score, is_secret.
 
     fingerprint is the SHA-256 of the candidate, so results hold no secrets. score is the forest's share of trees for
@@ -122,9 +193,12 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, path: str | No
     kept, as empty path. Repeated rows: a result for each; equal findings get equal scores, and of alternatives at one
     place the first in CANDIDATE counts. Other columns are not read. An empty table gives an empty result.
     """
-    found = features(findings(docs, path))
-    scored = model.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(found))
-    score = F.round(vector_to_array("probability")[1], 6)
+    found = features(findings(docs, path), scanner.language)
+    if scanner.forest is None:
+        scored, score = found, F.lit(scanner.share)
+    else:
+        scored = scanner.forest.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(found))
+        score = F.round(vector_to_array("probability")[1], 6)
     value = F.col("candidate")
     kinds = (("aws", "^AKIA"), ("github", "^gh[pousr]_"), ("stripe", "^[sr]k_"), ("number", "^\\d+$"), ("uuid", "^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}"), ("hex", "^[0-9a-fA-F]+$"))
     kind = reduce(lambda rest, k: F.when(value.rlike(k[1]), k[0]).otherwise(rest), reversed(kinds), F.lit("text"))

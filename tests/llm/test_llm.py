@@ -215,7 +215,7 @@ def test_texts_are_split_once(spark, docs):
 # ---- secrets -------------------------------------------------------------------------------------------------------
 def test_secret_forest_on_held_out_findings(spark, docs, edges, empty):
     labelled = secret_scan.labelled_findings(spark, 3000)
-    model = secret_scan.fit(labelled.where(F.crc32(F.col("candidate").cast("binary")) % 3 != 1))
+    model = secret_scan.fit(labelled.where(F.crc32(F.col("candidate").cast("binary")) % 3 != 1), secret_scan.language_of(docs))
     held = labelled.where(F.crc32(F.col("candidate").cast("binary")) % 3 == 1)
     text = F.concat(F.lit("some words "), "before", "candidate", "after")
     found = secret_scan.scan(held.select(F.monotonically_increasing_id().alias("doc_id"), text.alias("text"), F.col("path").alias("source"), "label"), model)
