@@ -19,7 +19,7 @@ _STAGE = {"name": NEEDED, "operators": [_OPERATOR], "worker": {"num_replicas": N
 #: Keys and defaults of a configuration as files have them: a mapping with keys is a section, a list of one section repeats
 #: it, and an empty mapping takes any keys.
 SCHEMA: dict[str, Any] = {
-    "data_loader": {"type": NEEDED, "params": {}},
+    "data_loader": {"type": NEEDED, "params": {}, "checkpoint_path": None, "checkpoint_files": 100},
     "stages": [_STAGE],
     "data_writer": {"type": None, "params": {}},
     "executor": {

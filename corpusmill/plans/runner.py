@@ -18,7 +18,8 @@ from corpusmill.metrics.store import MetricsStore
 from corpusmill.operators.base import DETAILS, Operator, passed, rejected, with_details
 from corpusmill.plans.config import Section
 from corpusmill.plans.registry import LOADERS, OPERATORS, WRITERS
-from corpusmill.sources.loaders import limited
+from corpusmill.sources.loaders import DatasetLoader, limited
+from corpusmill.sources.resume import load_once
 
 #: Says after which stage a row was rejected; only on the way, never in an output.
 _STAGE = "_rejected_at_stage"
@@ -62,6 +63,15 @@ class Pipeline:
                 df = df.withColumn(_STAGE, F.coalesce(F.col(_STAGE), F.when(F.col(DETAILS).isNotNull(), F.lit(number))))
         return df, seen
 
+    def _loaded(self, spark: SparkSession, loader) -> DataFrame:
+        """The loader's rows; with a checkpoint path, dataset files are loaded there in batches, and a killed run goes on."""
+        path = self.config.data_loader.checkpoint_path
+        if not path:
+            return loader.load(spark)
+        if not isinstance(loader, DatasetLoader):
+            raise ValueError("data_loader.checkpoint_path needs a DatasetLoader")
+        return load_once(spark, loader, path, self.config.data_loader.checkpoint_files)
+
     def _stored(self, spark: SparkSession, df: DataFrame) -> DataFrame:
         """df written once, for all that read it, to the folder the cluster shares; without one it is kept in memory or on disk."""
         shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -79,7 +89,7 @@ class Pipeline:
         config, settings = self.config, self.config.executor
         run_id, began = new_run_id(), datetime.now(UTC)
         loader = LOADERS.create(config.data_loader.type, config.data_loader.params)
-        source = limited(loader.load(spark), settings.max_samples)
+        source = limited(self._loaded(spark, loader), settings.max_samples)
         times = self.profile(source) if settings.metrics.enabled and settings.metrics.profile else []
         start = time.monotonic()
         df, seen = self.annotated(source, settings.metrics.enabled, any(s.output_path for s in config.stages))

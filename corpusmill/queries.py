@@ -700,6 +700,29 @@ def warc_roundtrip(spark, sf_dir):
     return back.groupBy("url", "record_type", "mime", F.md5("body").alias("html_md5"), F.octet_length("body").cast("long").alias("n_bytes")).agg(F.count("*").alias("pages"))
 
 
+@query("SELECT doc_id, lang, n_chars, 1 AS loads FROM documents")
+def resumed_load(spark, sf_dir):
+    """Files of documents, loaded in batches by a first run that stops in one, and by a second one."""
+    from corpusmill.sources.loaders import DatasetLoader
+    from corpusmill.sources.resume import load_once
+
+    path = _scratch(spark)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    docs.repartition(4, "doc_id").write.parquet(f"{path}/in")
+    loader, calls = DatasetLoader(path=f"{path}/in", schema=docs.schema), []
+
+    def stops(df: DataFrame) -> DataFrame:
+        calls.append(df)
+        return df.withColumn("lang", F.raise_error(F.lit("stopped"))) if len(calls) == 2 else df
+
+    try:
+        load_once(spark, loader, f"{path}/state", 1, stops)
+    except Exception as stop:
+        if "stopped" not in str(stop):
+            raise
+    return load_once(spark, loader, f"{path}/state", 1).groupBy("doc_id", "lang", "n_chars").agg(F.count("*").cast("int").alias("loads"))
+
+
 @query(f"SELECT DISTINCT md5({_NORMAL}) AS dedup_key FROM documents")
 def streaming_exact_dedup(spark, sf_dir):
     schema = _table(spark, sf_dir, "documents").schema
