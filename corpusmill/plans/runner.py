@@ -18,8 +18,10 @@ from corpusmill.metrics.store import MetricsStore
 from corpusmill.operators.base import DETAILS, Operator, passed, rejected, with_details
 from corpusmill.plans.config import Section
 from corpusmill.plans.registry import LOADERS, OPERATORS, WRITERS
+from corpusmill.sources.commit import RunCommit
 from corpusmill.sources.loaders import DatasetLoader, limited
 from corpusmill.sources.resume import load_once
+from corpusmill.sources.writers import ParquetDataWriter
 
 #: Says after which stage a row was rejected; only on the way, never in an output.
 _STAGE = "_rejected_at_stage"
@@ -81,13 +83,15 @@ class Pipeline:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    def run(self, spark: SparkSession, write: bool = True) -> PipelineResult:
+    def run(self, spark: SparkSession, write: bool = True, run_id: str | None = None) -> PipelineResult:
         """Load, annotate once, and write the rows that passed each stage with an output_path, the end result, and rejected rows.
 
-        Rejected rows go to <output_path>_rejected/<table_name>_rejected, in a folder for each operator.
+        Rejected rows go to <output_path>_rejected/<table_name>_rejected, in a folder for each operator. The Parquet tables of
+        a run appear together once all are written; a run repeated under its run_id finishes what it began and adds
+        nothing twice. Tables of other writers are theirs to commit, and come first.
         """
         config, settings = self.config, self.config.executor
-        run_id, began = new_run_id(), datetime.now(UTC)
+        run_id, began = run_id or new_run_id(), datetime.now(UTC)
         loader = LOADERS.create(config.data_loader.type, config.data_loader.params)
         source = limited(self._loaded(spark, loader), settings.max_samples)
         times = self.profile(source) if settings.metrics.enabled and settings.metrics.profile else []
@@ -96,15 +100,17 @@ class Pipeline:
         df = self._stored(spark, df)
         plain = df.drop(_STAGE)
         out, bad = passed(plain), rejected(plain) if settings.rejected_samples.enabled else None
-        if write:
-            for i, stage in enumerate(config.stages):
-                if stage.output_path:
-                    WRITERS.create("ParquetDataWriter", {"output_path": stage.output_path, "table_name": stage.name}).write(df.where(F.coalesce(F.col(_STAGE), F.lit(len(config.stages))) > i).drop(_STAGE, DETAILS))
-        if write and config.data_writer.type:
-            WRITERS.create(config.data_writer.type, config.data_writer.params).write(out)
-            if bad is not None:
-                self._write_rejected(bad)
-        else:
+        if write and (tables := self._tables(df, out, bad)):
+            run = RunCommit(spark, self._folder(), run_id)
+            if run.begin():
+                writers = [(WRITERS.create(kind, params), rows) for kind, params, rows in tables]
+                for writer, rows in sorted(writers, key=lambda w: isinstance(w[0], ParquetDataWriter)):
+                    if isinstance(writer, ParquetDataWriter):
+                        writer.write(rows, run.aside(writer.path))
+                    else:
+                        writer.write(rows)
+                run.commit()
+        if not write or not config.data_writer.type:
             df.count()
         took = time.monotonic() - start
         result = PipelineResult(run_id, out, bad)
@@ -115,14 +121,28 @@ class Pipeline:
                 self._metrics(spark, result, began, took, times)
         return result
 
-    def _write_rejected(self, bad: DataFrame) -> None:
-        params, settings = self.config.data_writer.params, self.config.executor.rejected_samples
-        base = params.get("output_path") or params.get("table_path", "./output")
-        path = settings.output_path or f"{base.rstrip('/')}_rejected"
-        table = f"{params.get('table_name', 'default')}_rejected"
-        kind = settings.writer_type or "ParquetDataWriter"
-        more = {"partition_by": "operator", "partition_key_path": f"{DETAILS}.operator"} if WRITERS.get(kind) is WRITERS.get("ParquetDataWriter") else {}
-        WRITERS.create(kind, {"output_path": path, "table_name": table, **more}).write(bad)
+    def _folder(self) -> str:
+        params = self.config.data_writer.params
+        return params.get("output_path") or params.get("table_path") or next((s.output_path for s in self.config.stages if s.output_path), "./output")
+
+    def _tables(self, df: DataFrame, out: DataFrame, bad: DataFrame | None) -> list[tuple[str, dict, DataFrame]]:
+        """Writer, its parameters and rows of the tables of a run."""
+        config, settings = self.config, self.config.executor.rejected_samples
+        found = []
+        for i, stage in enumerate(config.stages):
+            if stage.output_path:
+                rows = df.where(F.coalesce(F.col(_STAGE), F.lit(len(config.stages))) > i).drop(_STAGE, DETAILS)
+                found.append(("ParquetDataWriter", {"output_path": stage.output_path, "table_name": stage.name}, rows))
+        if not config.data_writer.type:
+            return found
+        params = config.data_writer.params
+        found.append((config.data_writer.type, params, out))
+        if bad is not None:
+            base = params.get("output_path") or params.get("table_path", "./output")
+            kind = settings.writer_type or "ParquetDataWriter"
+            more = {"partition_by": "operator", "partition_key_path": f"{DETAILS}.operator"} if WRITERS.get(kind) is WRITERS.get("ParquetDataWriter") else {}
+            found.append((kind, {"output_path": settings.output_path or f"{base.rstrip('/')}_rejected", "table_name": f"{params.get('table_name', 'default')}_rejected", **more}, bad))
+        return found
 
     def profile(self, df: DataFrame) -> list[dict]:
         """Measured seconds and counts of each operator, run one after the other on what the one before kept.

@@ -26,11 +26,12 @@ class ParquetDataWriter(DataWriter):
     def path(self) -> str:
         return f"{self.output_path.rstrip('/')}/{self.table_name}"
 
-    def write(self, df: DataFrame) -> None:
+    def write(self, df: DataFrame, path: str | None = None) -> None:
+        """Rows to the table, or to another path in the form of the table."""
         if self.partition_by:
             df = df.withColumn(self.partition_by, partition_key(df, self.partition_key_path))
         out = df.write.mode(self.mode).option("compression", "snappy").option("parquet.block.size", str(128 << 20))
-        (out.partitionBy(self.partition_by) if self.partition_by else out).parquet(self.path)
+        (out.partitionBy(self.partition_by) if self.partition_by else out).parquet(path or self.path)
 
 
 class IcebergDataWriter(DataWriter):
