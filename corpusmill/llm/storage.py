@@ -28,23 +28,52 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Paths that materialize() has written since swept() began, innermost last.
+_open: list[list[str]] = []
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and return the written table, so that lineage ends there.
 
-    Unlike a local checkpoint the copy outlives any executor.
+    Unlike a local checkpoint the copy outlives any executor. It stays until someone deletes it, as discard() and swept() do.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
+    if _open:
+        _open[-1].append(path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what materialize() wrote for df, once nothing reads it any more."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df.written_to)
+
+
+@contextmanager
+def swept(spark: SparkSession):
+    """In it, results must be written or read to the end; then the intermediate tables of the operators called in it go.
+
+    It gives a set: of what materialize() wrote, the paths (written_to) put there stay.
+    """
+    keep: set[str] = set()
+    _open.append([])
+    try:
+        yield keep
+    finally:
+        made = _open.pop()
+        for path in made:
+            if path not in keep:
+                _delete(spark, path)
+            elif _open:
+                _open[-1].append(path)
 
 
 @contextmanager
