@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import bpe, decontaminate, line_dedup, minhash
 from corpusmill.llm import toxicity as tox
-from corpusmill.llm.storage import documents, materialize
+from corpusmill.llm.storage import discard, documents, materialize, swept
 
 #: A trained network, merges and full-set similarity are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -92,8 +92,17 @@ STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup_stage), ("near_dedup
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read by the next stage."""
+    """All stages over documents; each result is written to the shared folder and read by the next stage.
+
+    When a stage's result is written, its intermediate tables and the result before it go; the last written one stays, as what
+    is returned reads it.
+    """
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before = docs
+        with swept(spark) as keep:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+            keep.add(docs.written_to)
+        if hasattr(before, "written_to"):
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
