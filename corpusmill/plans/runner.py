@@ -10,6 +10,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.metrics import latency
 from corpusmill.metrics.collector import new_run_id
 from corpusmill.metrics.model import OPERATORS as OPERATOR_SCHEMA
 from corpusmill.metrics.model import RUNS as RUN_SCHEMA
@@ -25,6 +26,8 @@ from corpusmill.sources.writers import ParquetDataWriter
 
 #: Says after which stage a row was rejected; only on the way, never in an output.
 _STAGE = "_rejected_at_stage"
+#: Of a worker, in the order of the metric table.
+_LATENCIES = ("total_time", "avg_latency", "min_latency", "max_latency", "p50_latency", "p95_latency", "p99_latency")
 
 
 @dataclass
@@ -145,42 +148,51 @@ class Pipeline:
         return found
 
     def profile(self, df: DataFrame) -> list[dict]:
-        """Measured seconds and counts of each operator, run one after the other on what the one before kept.
+        """Measured seconds, counts and latencies of each operator, run one after the other on what the one before kept.
 
         It runs every operator by itself, so it costs more than the fused plan; metrics have its figures if the setting
-        metrics.profile is on, and no times of single operators otherwise.
+        metrics.profile is on, and no times of single operators otherwise. workers: the records that each worker got
+        and kept, and the latencies of those it kept.
         """
-        out = []
-        df = df.persist()
-        before = df.count()
-        for stage, operators in self.stages:
-            for op in operators:
-                start = time.monotonic()
-                after = op.transform(df).persist()
-                n = after.count()
-                took = time.monotonic() - start
-                df.unpersist()
-                out.append({"stage_name": stage, "operator_name": op.name, "input_records": before, "output_records": n, "total_time": took, "throughput": before / took if took else 0.0})
-                df, before = after, n
-        df.unpersist()
+        out, spark = [], df.sparkSession
+        with latency.small_batches(spark):
+            df = df.persist()
+            given = {r["worker"]: r["records"] for r in latency.measured(df).groupBy("worker").agg(F.sum("records").alias("records")).collect()}
+            for stage, operators in self.stages:
+                for op in operators:
+                    start = time.monotonic()
+                    after = op.transform(df).persist()
+                    found = {r["worker"]: r.asDict() for r in latency.by_worker(latency.measured(after)).drop("sketch").collect()}
+                    took = time.monotonic() - start
+                    df.unpersist()
+                    before, n = sum(given.values()), sum(r["records"] for r in found.values())
+                    workers = [{"worker": w, "input_records": given.get(w, 0), "output_records": found.get(w, {}).get("records", 0), **{k: found.get(w, {}).get(k) for k in _LATENCIES}} for w in sorted(given.keys() | found.keys())]
+                    out.append({"stage_name": stage, "operator_name": op.name, "input_records": before, "output_records": n, "total_time": took, "throughput": before / took if took else 0.0, "workers": workers})
+                    df, given = after, {w: r["records"] for w, r in found.items()}
+            df.unpersist()
         return out
 
     def _metrics(self, spark: SparkSession, result: PipelineResult, began: datetime, took: float, times: list[dict]) -> None:
-        """Rows of the three tables. Times and throughputs of single operators are those of profile(), else null: a fused
-        plan has none. Latencies of single records are always null, as nothing measures them."""
+        """Rows of the three tables. Times, throughputs and latencies of single operators are those of profile(), with a row
+        for each worker, else null and of one worker, spark: a fused plan has none."""
         store = MetricsStore(spark, self.config.executor.metrics.output_path)
         share = lambda a, b: 100.0 * b / a if a else 0.0
         rows, stamp = [], began.replace(tzinfo=None)
         measured = [t["total_time"] for t in times] or [None] * len(result.counts)
-        for c, t in zip(result.counts, measured, strict=True):
+        for c in () if times else result.counts:
             n = c["input_records"]
-            rows.append((result.run_id, c["stage_name"], c["operator_name"], "spark", stamp, n, c["output_records"], share(n, c["output_records"]), t, t / n if t and n else None, *[None] * 5, n / t if t else None, 0, "{}"))
+            rows.append((result.run_id, c["stage_name"], c["operator_name"], "spark", stamp, n, c["output_records"], share(n, c["output_records"]), *[None] * 8, 0, "{}"))
+        for t in times:
+            for w in t["workers"]:
+                n, took_here = w["input_records"], w["total_time"]
+                rows.append((result.run_id, t["stage_name"], t["operator_name"], w["worker"], stamp, n, w["output_records"], share(n, w["output_records"]), *(w[k] for k in _LATENCIES), n / took_here if took_here else None, 0, "{}"))
         stages = []
         for name in dict.fromkeys(c["stage_name"] for c in result.counts):
             own = [(c, t) for c, t in zip(result.counts, measured, strict=True) if c["stage_name"] == name]
             a, b = own[0][0]["input_records"], own[-1][0]["output_records"]
             seconds = sum(t for _, t in own) if times else took if len(self.stages) == 1 else None
-            stages.append((result.run_id, name, stamp, 1, a, b, share(a, b), seconds, *[a / seconds if seconds else None] * 3, 0))
+            workers = len({w["worker"] for t in times if t["stage_name"] == name for w in t["workers"]}) or 1
+            stages.append((result.run_id, name, stamp, workers, a, b, share(a, b), seconds, *[a / seconds if seconds else None] * 3, 0))
         a, b = result.totals
         run = (result.run_id, stamp, datetime.now(UTC).replace(tzinfo=None), took, len(stages), a, b, share(a, b), a / took if took else 0.0, 0, "{}")
         store.write("operators", spark.createDataFrame(rows, OPERATOR_SCHEMA), result.run_id)
