@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.storage import materialize
+
 #: How keys of well-known services begin; these need no digit, and no neighbour that says so.
 PREFIXES = "AKIA|ASIA|AIza|gh[pousr]_|[sr]k_(?:live|test)_|xox[abpr]-"
 _ASSIGNED = "(?<=[=:'\"\\x20])(?<=(?i:password|passwd|pwd|pass|secret|token|api_?key|auth)\\x20{0,2}[=:]\\x20{0,2}['\"]?)"
@@ -22,6 +24,8 @@ CANDIDATE = (
     _ASSIGNED + "[^\\s'\"`<>(){}\\[\\],;]{6,}+|(?<![A-Za-z0-9_+/.@-])(?:eyJ[A-Za-z0-9_-]++\\.[A-Za-z0-9_-]++\\.[A-Za-z0-9_-]++"
     "|(?:" + PREFIXES + ")[A-Za-z0-9_+/-]{12,}+|(?=[A-Za-z_+/-]*+\\d)[A-Za-z0-9_+/-]{16,}+={0,2})(?![A-Za-z0-9_+/@-])"
 )
+#: What a text with a candidate has: 16 key characters in a row, the start of a web token, or an assignment to such a name.
+_RUN, _NAME = "[A-Za-z0-9_+/-]{16}", "(?i)(?:password|passwd|pwd|pass|secret|token|api_?key|auth)\\x20{0,2}[=:]"
 #: Words that neighbour secrets, and words that neighbour or contain examples, hashes and other harmless values.
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "auth", "bearer", "credential", "private", "access_key", "client_secret", "login", "pass")
 HARMLESS_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "digest", "uuid", "guid", "id", "version", "build", "revision", "example", "sample", "placeholder", "dummy", "test", "call", "phone", "card", "account", "page", "file", "isbn", "order")
@@ -43,10 +47,12 @@ def findings(docs: DataFrame, path: str | None = "source") -> DataFrame:
     """A row per candidate of docs (doc_id, text): doc_id, path, place, before, candidate, after.
 
     place counts the candidates of a text from 0; before and after: up to three words on each side, with what stands
-    between, to the candidate beside it.
+    between, to the candidate beside it. Cheap searches come first, so that few texts are read for CANDIDATE.
     """
+    text = F.col("text")
+    likely = text.rlike(_RUN) | text.contains("eyJ") | ((text.contains("=") | text.contains(":")) & text.rlike(_NAME))
     where = F.col(path).cast("string") if path else F.lit(None).cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(where, F.lit("")).alias("path"), "text").where(F.col("text").rlike(CANDIDATE))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(where, F.lit("")).alias("path"), "text").where(likely & text.rlike(CANDIDATE))
     # what lies between two finds is at hand by splitting at them, so each context is cut from its own piece
     rows = rows.select("doc_id", "path", F.split("text", CANDIDATE, -1).alias("gaps"), F.posexplode(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).alias("place", "candidate"))
     before = F.regexp_extract(F.substring(F.element_at("gaps", F.col("place") + 1), -80, 80), "((?:\\S+\\s+){0,2}\\S*\\s*)$", 1)
@@ -73,8 +79,7 @@ def language_of(docs: DataFrame) -> Language:
     letters at most. Null texts and an empty table have no words; pairs that were not seen count as if half a time.
     """
     own = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("word"))
-    counts = own.groupBy("word").count()
-    both = counts.where(F.col("count") >= LEAST_DOCS)
+    both = materialize(own.groupBy("word").count().where(F.col("count") >= LEAST_DOCS), "words")
     pairs = both.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", i, F.lit(2)))).alias("pair"), "count")
     pairs = {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.sum("count").alias("n")).collect()}
     words = [r["word"] for r in both.orderBy(F.desc("count"), "word").limit(DICTIONARY_WORDS).collect()]

@@ -70,6 +70,15 @@ def test_language_is_counted(spark, language):
     assert none.words == [] and none.bigrams == {}
 
 
+def test_cheap_searches_lose_no_candidate(spark):
+    rng = random.Random(3)
+    bits = ["eyJa.b.c", "Password=abcdef", "apikey:  'a1b2c3'", "auth = zzzzzz", "x" * 15, "x" * 15 + "1", "AKIA" + "B" * 12, "ghp_" + "q" * 12, "=", ":", "pass", " ", "\n", "no", "ab-cd_ef/gh+ij9kl", "sk_live_" + "a" * 12, "tokens: abcdef", "xoxb-" + "1" * 12]
+    texts = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(1, 6)))) for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"] for r in ss.findings(docs, None).select("doc_id").distinct().collect()}
+    assert got == {i for i, t in texts if regex.search(ss.CANDIDATE, t, regex.A)} and len(got) > 500
+
+
 def test_fits_that_have_nothing_to_tell_apart(spark, language):
     found = ss.labelled_findings(spark, 100)
     docs = spark.createDataFrame([(1, 'token = "abcdEFGHijklMNOPqrst12"', None), (2, None, "x")], "doc_id long, text string, source string")
