@@ -414,10 +414,9 @@ def emb_l2_norm(spark, sf_dir):
     return _rounded(_table(spark, sf_dir, "embeddings").select("vec_id", vector.norm(F.col("embedding")).alias("norm")))
 
 
-@query(f"WITH e AS (SELECT vec_id, {_E} AS v FROM embeddings) SELECT vec_id, round(v[1] / sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) AS first, round(v[64] / sqrt(list_sum(list_transform(v, lambda x: x * x))), 6) AS last FROM e")
+@query(f"WITH e AS (SELECT vec_id, {_E} AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM e) SELECT vec_id, CAST(i - 1 AS INTEGER) AS dim, round(v[i] / norm, 6) AS value FROM (SELECT *, unnest(generate_series(1, 64)) AS i FROM n)")
 def emb_normalize(spark, sf_dir):
-    v = vector.normalize(F.col("embedding"))
-    return _rounded(_table(spark, sf_dir, "embeddings").select("vec_id", F.element_at(v, 1).alias("first"), F.element_at(v, 64).alias("last")))
+    return _rounded(_table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(vector.normalize(F.col("embedding"))).alias("dim", "value")))
 
 
 def _starts(spark, sf_dir) -> np.ndarray:
@@ -713,7 +712,9 @@ def resumed_load(spark, sf_dir):
 
     def stops(df: DataFrame) -> DataFrame:
         calls.append(df)
-        return df.withColumn("lang", F.raise_error(F.lit("stopped"))) if len(calls) == 2 else df
+        if len(calls) == 2:
+            raise RuntimeError("stopped")
+        return df
 
     try:
         load_once(spark, loader, f"{path}/state", 1, stops)
