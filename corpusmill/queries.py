@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from corpusmill.functions import records, text, url, vector
 from corpusmill.image import codec
 from corpusmill.metrics import rollups
-from corpusmill.metrics.report import samples
+from corpusmill.metrics.report import duplicate_groups, preview, samples
 from corpusmill.ml import evaluation, kmeans
 from corpusmill.ml.linear import collapse
 from corpusmill.operators import Combined, ImagePhashDeduplicator, ImageQualityFilter, SemanticDeduplicator, TextExactDeduplicator, TextLengthFilter, UrlFilter
@@ -282,9 +282,19 @@ def samples_per_operator(spark, sf_dir):
     return samples(rejected.select("doc_id", DETAILS), 20).groupBy("operator").agg(F.count("*").alias("samples"))
 
 
-@query(f"SELECT d.doc_id, '{{\"doc_id\":' || d.doc_id || ',\"lang\":\"' || d.lang || '\"}}' AS record FROM documents d JOIN {_REJECTED} r ON d.doc_id = r.doc_id")
+@query(f"SELECT d.doc_id, '{{\"doc_id\":' || d.doc_id || ',\"lang\":\"' || d.lang || '\",\"long\":\"' || repeat(d.lang, 250) || '...\",\"hash\":\"<binary: 16 bytes>\"}}' AS record FROM documents d JOIN {_REJECTED} r ON d.doc_id = r.doc_id WHERE length(d.lang) = 2")
 def rejected_json_preview(spark, sf_dir):
-    return _rejected(spark, sf_dir).where(F.col(DETAILS).isNotNull()).select("doc_id", F.to_json(F.struct("doc_id", "lang")).alias("record"))
+    rows = _rejected(spark, sf_dir).where(F.col(DETAILS).isNotNull() & (F.length("lang") == 2))
+    rows = rows.select("doc_id", "lang", F.repeat("lang", F.lit(300)).alias("long"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("hash"), DETAILS)
+    return rows.select("doc_id", preview(rows).alias("record"))
+
+
+@query(f"""WITH r AS (SELECT * FROM {_REJECTED} WHERE length(dedup_key) > 0), s AS (SELECT operator, dedup_key, count(*) AS duplicates, min(representative_id) AS representative_id FROM r GROUP BY 1, 2),
+t AS (SELECT operator, CAST(sum(duplicates) AS BIGINT) AS total_duplicates, count(*) AS total_groups FROM s GROUP BY 1), n AS (SELECT *, row_number() OVER (PARTITION BY operator ORDER BY duplicates DESC, dedup_key) AS place FROM s)
+SELECT operator, dedup_key, duplicates, representative_id, total_duplicates, total_groups, CAST(least(duplicates, 5) AS INTEGER) AS shown FROM n JOIN t USING (operator) WHERE place <= 10""")
+def duplicate_groups_report(spark, sf_dir):
+    found = duplicate_groups(_rejected(spark, sf_dir).where(F.col(DETAILS).isNotNull()).select("doc_id", "lang", DETAILS))
+    return found.select("operator", "dedup_key", "duplicates", "representative_id", "total_duplicates", "total_groups", F.size("samples").alias("shown"))
 
 
 @query(r"SELECT event_id, regexp_replace(coalesce(nullif(json_extract_string(props, '$.ref'), ''), 'unknown'), '[^\p{L}\p{N}_-]', '_', 'g') AS key FROM events")
