@@ -12,7 +12,7 @@ from corpusmill.functions import records, text, url, vector
 from corpusmill.image import codec
 from corpusmill.metrics import rollups
 from corpusmill.metrics.report import duplicate_groups, preview, samples
-from corpusmill.ml import evaluation, kmeans
+from corpusmill.ml import evaluation, head, kmeans
 from corpusmill.ml.linear import collapse
 from corpusmill.operators import Combined, ImagePhashDeduplicator, ImageQualityFilter, SemanticDeduplicator, TextExactDeduplicator, TextLengthFilter, UrlFilter
 from corpusmill.operators.base import DETAILS
@@ -557,6 +557,20 @@ _CLASSIFIED = "c AS (SELECT l.doc_id, quality AS label, toxic, least(CAST(1 AS D
 _CELLS = "count(*) FILTER (WHERE label = 1 AND predicted = 1) AS tp, count(*) FILTER (WHERE label = 0 AND predicted = 1) AS fp, count(*) FILTER (WHERE label = 1 AND predicted = 0) AS fn, count(*) FILTER (WHERE label = 0 AND predicted = 0) AS tn"
 
 
+_Z = "list_sum(list_transform(v, lambda x, i: x * (((i * 7) % 11) - 5) / 10)) + CAST(0.05 AS DOUBLE)"
+
+
+@query(f"""WITH e AS (SELECT {_E} AS v, CASE WHEN label < 5 THEN 1 ELSE -1 END AS s FROM embeddings), z AS (SELECT v, s, 1 / (1 + exp(-s * ({_Z}))) AS q FROM e),
+g AS (SELECT v, CAST(0.25 AS DOUBLE) * s * (2 * pow(1 - q, 2) * q * ln(q) - pow(1 - q, 3)) AS d FROM z)
+SELECT CAST(i - 1 AS INTEGER) AS dim, round(sum(d * v[i]), 6) AS gradient FROM (SELECT v, d, unnest(generate_series(1, 64)) AS i FROM g) GROUP BY i""")
+def head_gradient(spark, sf_dir):
+    """The focal loss's gradient at given weights, summed over all embeddings."""
+    weights = np.array([[((i * 7) % 11 - 5) / 10 for i in range(1, 65)]])
+    rows = _table(spark, sf_dir, "embeddings").select("embedding", (F.col("label") < 5).cast("int").alias("label"))
+    total, _, _ = head.summed_gradient(rows, [(weights, np.array([0.05]))], "label", "embedding")
+    return _rounded(spark.createDataFrame([(i, float(g)) for i, g in enumerate(total[:64])], "dim int, gradient double"))
+
+
 @query(f"WITH {_CLASSIFIED} SELECT toxic, {_CELLS} FROM c GROUP BY toxic")
 def clf_confusion(spark, sf_dir):
     return evaluation.confusion(_classified(spark, sf_dir), "label", "predicted", "toxic")
