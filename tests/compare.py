@@ -4,14 +4,18 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 
 
 def _plain(value):
-    if value is None or value != value:
+    if value is None or value is pd.NA or value is pd.NaT:
         return None
     if hasattr(value, "tolist"):
         value = value.tolist()
-    return round(value, 6) if isinstance(value, float) else value
+    if not isinstance(value, float):
+        return value
+    # a column of whole numbers with nulls is one of floats in one of the two
+    return None if value != value else int(value) if value.is_integer() else round(value, 6)
 
 
 def rows(pdf):
