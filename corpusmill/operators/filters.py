@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from corpusmill.functions import text as text_functions
 from corpusmill.functions import url as url_functions
 from corpusmill.operators.base import DETAILS, Filter, details, with_details
-from corpusmill.sources.blocklist import bloom, may_hold, read_blocklist, words_for
+from corpusmill.sources.blocklist import FEW, bloom, may_hold, read_blocklist, words_for
 
 #: Blocked domains up to which they are literals of the plan; a longer list is joined. Labels of hosts that are looked up in
 #: a list's Bloom filter.
@@ -77,7 +77,9 @@ class UrlFilter(Filter):
         filter_ = bloom(listed, words)
         rows = df.withColumn("_host", url_functions.domain(F.col(self.url_field), self.normalize_host))
         host = F.col("_host")
-        if self.check_subdomains:  # hosts of more labels may always be listed
+        if words <= FEW:
+            likely = F.exists(self._parts(host), lambda s: may_hold(filter_, words, s))
+        elif self.check_subdomains:  # a subquery can't stand in a lambda; hosts of more labels may always be listed
             likely = reduce(Column.__or__, [may_hold(filter_, words, F.substring_index(host, ".", -i)) for i in range(1, LABELS + 1)], F.size(F.split(host, "\\.")) > LABELS)
         else:
             likely = may_hold(filter_, words, host)

@@ -2,10 +2,12 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import UrlFilter, filters
 from corpusmill.operators.base import DETAILS
+from corpusmill.sources import blocklist
 from corpusmill.sources.blocklist import bloom, may_hold, words_for
 
 
@@ -14,8 +16,11 @@ def _urls(spark):
     return spark.createDataFrame([(i, f"https://{h}/page") for i, h in enumerate(hosts)] + [(1000, None), (1001, ""), (1002, "https://blocked-8.example/porn"), (1003, "https://ok.example/porn")], "id long, url string")
 
 
-def test_files_of_many_domains(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("few", [4096, 0])
+def test_files_of_many_domains(spark, tmp_path, monkeypatch, few):
     monkeypatch.setattr(filters, "LITERAL_DOMAINS", 50)
+    monkeypatch.setattr(filters, "FEW", few)  # 0: a subquery instead of a literal
+    monkeypatch.setattr(blocklist, "FEW", few)
     (tmp_path / "list.txt").write_text("# list\n\n" + "\n".join(f" Blocked-{i}.example" for i in range(100)) + "\n" + "blocked-8.example\n")
     gone = {300, 301, 303, 304, 1002, 1003}
     op = UrlFilter(blocklist_paths=str(tmp_path / "list.txt"), blocklist_domains=["other.test"])
