@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.functions import records, text, url, vector
 from corpusmill.image import codec
@@ -602,25 +601,32 @@ def overall_quality(spark, sf_dir):
 
 
 # ---- images --------------------------------------------------------------------------------------------------------
-@F.pandas_udf(T.BinaryType())
-def _drawn(ids: pd.Series, embeddings: pd.Series) -> pd.Series:
-    """A PNG for each embedding: noise of its values, of several sizes and grains; some ids repeat the image before them."""
-    out = []
-    for i, e in zip(ids, embeddings, strict=True):
-        i = int(i)
-        seed = i - 1 if i % 10 == 1 else i
-        rng = np.random.default_rng(seed)
-        side = 64 + 32 * (seed % 9)
-        base = rng.random((4, 4, 3)) * 200 if seed % 10 == 0 else np.abs(np.asarray(e, np.float64)[:48].reshape(4, 4, 3)) * 400
-        big = np.kron(base, np.ones((side // 4, side // 4, 1)))
-        noise = rng.integers(0, 1 + 8 * (seed % 7), big.shape)
-        out.append(b"not an image" if i % 50 == 7 else codec.encode_png((big + noise).clip(0, 255).astype(np.uint8)))
-    return pd.Series(out)
+def _drawn(i: int, e) -> bytes:
+    """A PNG for an embedding: noise of its values, of several sizes and grains; some ids repeat the image before them."""
+    seed = i - 1 if i % 10 == 1 else i
+    rng = np.random.default_rng(seed)
+    side = 64 + 32 * (seed % 9)
+    base = rng.random((4, 4, 3)) * 200 if seed % 10 == 0 else np.abs(np.asarray(e, np.float64)[:48].reshape(4, 4, 3)) * 400
+    big = np.kron(base, np.ones((side // 4, side // 4, 1)))
+    noise = rng.integers(0, 1 + 8 * (seed % 7), big.shape)
+    return b"not an image" if i % 50 == 7 else codec.encode_png((big + noise).clip(0, 255).astype(np.uint8))
+
+
+#: Images of a batch that leaves a task's Python; a batch of embeddings is some thousand times smaller than its images.
+_DRAWN = 16
+
+
+def _drawings(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, _DRAWN):
+            ids, embeddings = batch.slice(at, _DRAWN).columns
+            data = pa.array(map(_drawn, ids.to_pylist(), embeddings.to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([ids, pa.StructArray.from_arrays([data], ["bytes"])], ["id", "image"])
 
 
 def _images(spark, sf_dir) -> DataFrame:
-    e = _table(spark, sf_dir, "embeddings")
-    return e.select(F.col("vec_id").alias("id"), F.struct(_drawn("vec_id", "embedding").alias("bytes")).alias("image"))
+    e = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return e.mapInArrow(_drawings, "id long, image struct<bytes: binary>")
 
 
 @query("SELECT vec_id AS id, CAST(CASE WHEN vec_id % 50 = 7 THEN 0 ELSE 64 + 32 * ((CASE WHEN vec_id % 10 = 1 THEN vec_id - 1 ELSE vec_id END) % 9) END AS INTEGER) AS image_width, CAST(CASE WHEN vec_id % 50 = 7 THEN 0 ELSE 64 + 32 * ((CASE WHEN vec_id % 10 = 1 THEN vec_id - 1 ELSE vec_id END) % 9) END AS INTEGER) AS image_height, CASE WHEN vec_id % 50 = 7 THEN 'ERROR' ELSE 'PNG' END AS image_format FROM embeddings")
