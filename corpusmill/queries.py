@@ -771,8 +771,10 @@ def streaming_representatives(spark, sf_dir):
     """Documents as a stream of several batches: each key has one first row, and all its other rows name that one."""
     stream_dedup.use_key_state(spark)
     docs, path = _table(spark, sf_dir, "documents").select("doc_id", "text"), _scratch(spark)
-    docs.repartition(3, "doc_id").write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    # a split of the input gives a file to each of three days, so files and tasks follow the input; a batch takes about a third of the files
+    docs.withColumn("day", F.pmod(F.xxhash64("doc_id"), F.lit(3))).write.partitionBy("day").parquet(f"{path}/in")
+    files = len(spark.read.parquet(f"{path}/in").inputFiles())
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", max(1, -(-files // 3))).parquet(f"{path}/in")
     marked = stream_dedup.annotate(stream, id_field="doc_id").select("doc_id", "dedup_key", "representative_id")
     stream_dedup.start(marked, f"{path}/state", lambda df, _: df.write.mode("append").parquet(f"{path}/out")).awaitTermination()
     first = F.min(F.when(F.col("representative_id").isNull(), F.col("doc_id").cast("string")))
