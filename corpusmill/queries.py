@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import records, text, url, vector
-from corpusmill.image import codec
+from corpusmill.image.drawn import backend
+from corpusmill.image.drawn import drawings as _drawings
 from corpusmill.metrics import rollups
 from corpusmill.metrics.report import duplicate_groups, preview, samples
 from corpusmill.ml import evaluation, head, kmeans
@@ -601,29 +601,6 @@ def overall_quality(spark, sf_dir):
 
 
 # ---- images --------------------------------------------------------------------------------------------------------
-def _drawn(i: int, e) -> bytes:
-    """A PNG for an embedding: noise of its values, of several sizes and grains; some ids repeat the image before them."""
-    seed = i - 1 if i % 10 == 1 else i
-    rng = np.random.default_rng(seed)
-    side = 64 + 32 * (seed % 9)
-    base = rng.random((4, 4, 3)) * 200 if seed % 10 == 0 else np.abs(np.asarray(e, np.float64)[:48].reshape(4, 4, 3)) * 400
-    big = np.kron(base, np.ones((side // 4, side // 4, 1)))
-    noise = rng.integers(0, 1 + 8 * (seed % 7), big.shape)
-    return b"not an image" if i % 50 == 7 else codec.encode_png((big + noise).clip(0, 255).astype(np.uint8))
-
-
-#: Images of a batch that leaves a task's Python; a batch of embeddings is some thousand times smaller than its images.
-_DRAWN = 16
-
-
-def _drawings(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, _DRAWN):
-            ids, embeddings = batch.slice(at, _DRAWN).columns
-            data = pa.array(map(_drawn, ids.to_pylist(), embeddings.to_pylist()), pa.binary())
-            yield pa.RecordBatch.from_arrays([ids, pa.StructArray.from_arrays([data], ["bytes"])], ["id", "image"])
-
-
 def _images(spark, sf_dir) -> DataFrame:
     e = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return e.mapInArrow(_drawings, "id long, image struct<bytes: binary>")
@@ -658,24 +635,14 @@ def image_visual_degradations(spark, sf_dir):
     return ImageVisualDegradationsRefiner(model).transform(_images(spark, sf_dir)).drop("image")
 
 
-def _backend():
-    """A stand-in for an image model: colour histograms."""
-
-    def run(images):
-        found = [codec.decode(d) for d in images]
-        return [None if f is None else np.histogram(f[0], 64, (0, 256))[0] for f in found]
-
-    return run
-
-
 @query()
 def image_clip_embedding(spark, sf_dir):
-    return ImageClipEmbeddingRefiner("ViT-B-32", backend=_backend, dim=64).transform(_images(spark, sf_dir)).drop("image")
+    return ImageClipEmbeddingRefiner("ViT-B-32", backend=backend, dim=64).transform(_images(spark, sf_dir)).drop("image")
 
 
 @query()
 def image_siglip_embedding(spark, sf_dir):
-    return ImageSigLIPEmbeddingRefiner(backend=_backend, dim=64, normalize=False).transform(_images(spark, sf_dir)).drop("image")
+    return ImageSigLIPEmbeddingRefiner(backend=backend, dim=64, normalize=False).transform(_images(spark, sf_dir)).drop("image")
 
 
 _BINS = "list_transform(embedding, lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 20) AS INTEGER))"
