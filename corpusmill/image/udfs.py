@@ -41,7 +41,8 @@ def _technical(data: pa.Array) -> pa.Array:
 
 
 metadata = F.arrow_udf(_metadata, METADATA)
-technical = F.arrow_udf(_technical, TECHNICAL)
+#: Called non-deterministic, so that a filter over its results is not pushed below it and decodes the images again.
+technical = F.arrow_udf(_technical, TECHNICAL).asNondeterministic()
 
 
 def phash(hash_size: int = 16, kind: str = "dct"):
