@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,14 +67,12 @@ class ImageVisualDegradationsRefiner(_Image):
         make, kind = self.model, T.StructType([T.StructField(c, T.FloatType()) for c in names])
         cache: list = []
 
-        @F.pandas_udf(kind)
-        def run(data: pd.Series) -> pd.DataFrame:
+        def run(data: pa.Array) -> pa.Array:
             if not cache:
                 cache.append(make())
-            rows = [(cache[0](d) if d else None) or (None,) * len(names) for d in data]
-            return pd.DataFrame(rows, columns=names).astype("float32")
+            return udfs.floats(names, [(cache[0](d) if d else None) or (None,) * len(names) for d in udfs.each(data)])
 
-        return self._spread(df, run, kind)
+        return self._spread(df, F.arrow_udf(run, kind), kind)
 
 
 class _Embedding(_Image):
