@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,23 +97,24 @@ class _Embedding(_Image):
         make, dim, size, unit = self.backend, self.dim, self.batch, self.normalize
         cache: list = []
 
-        @F.pandas_udf(T.ArrayType(T.FloatType(), False))
-        def run(data: pd.Series) -> pd.Series:
+        def run(data: pa.Array) -> pa.Array:
             if not cache:
                 cache.append(make())
             out = np.zeros((len(data), dim), np.float32)
-            real = [i for i, d in enumerate(data) if d]
+            real = [i for i, n in enumerate(pc.binary_length(data).to_pylist()) if n]
             for at in range(0, len(real), size):
                 some = real[at : at + size]
-                for i, v in zip(some, cache[0]([data.iloc[i] for i in some]), strict=True):
+                for i, v in zip(some, cache[0]([data[i].as_py() for i in some]), strict=True):
                     if v is not None:
                         out[i] = v
             if unit:
                 length = np.linalg.norm(out, axis=1, keepdims=True)
                 out = np.divide(out, length, out=out, where=length > 0)
-            return pd.Series(list(out))
+            ends = pa.array(np.arange(len(data) + 1, dtype=np.int32) * np.int32(dim))
+            return pa.ListArray.from_arrays(ends, pa.array(out.ravel()), type=pa.list_(pa.field("element", pa.float32(), False)))
 
-        return df.withColumn(self.feature_field_name or self.default_name(), run(_bytes(df, self.image_field)))
+        function = F.arrow_udf(run, T.ArrayType(T.FloatType(), False))
+        return df.withColumn(self.feature_field_name or self.default_name(), function(_bytes(df, self.image_field)))
 
 
 class ImageClipEmbeddingRefiner(_Embedding):
