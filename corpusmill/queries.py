@@ -743,8 +743,8 @@ def streaming_representatives(spark, sf_dir):
     files = len(spark.read.parquet(f"{path}/in").inputFiles())
     stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", max(1, -(-files // 3))).parquet(f"{path}/in")
     marked = stream_dedup.annotate(stream, id_field="doc_id").select("doc_id", "dedup_key", "representative_id")
-    stream_dedup.start(marked, f"{path}/state", lambda df, _: df.write.mode("append").parquet(f"{path}/out")).awaitTermination()
-    first = F.min(F.when(F.col("representative_id").isNull(), F.col("doc_id").cast("string")))
+    stream_dedup.start(marked, f"{path}/state", lambda df, n: df.write.mode("overwrite").parquet(f"{path}/out/batch={n}")).awaitTermination()  # a batch that runs again replaces its rows
+    first = F.min(F.when(F.col("representative_id").isNull(), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     out = spark.read.parquet(f"{path}/out").groupBy("dedup_key").agg(F.count("*").alias("members"), F.count_if(F.col("representative_id").isNull()).cast("int").alias("firsts"), first.alias("own"), F.min("representative_id").alias("a"), F.max("representative_id").alias("b"))
     return out.select("dedup_key", "members", "firsts", (F.coalesce("a", "own").eqNullSafe(F.col("own")) & F.coalesce("b", "own").eqNullSafe(F.col("own"))).alias("named"))
 

@@ -27,11 +27,17 @@ _STORE, _IDLE = "spark.sql.streaming.stateStore.providerClass", "spark.sql.strea
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_OWN = "dedup_own_id"
+
+
 class FirstArrival(StatefulProcessor):
-    """Keeps the id of the first row of each key, for ttl after it or for ever, and names it in all later rows."""
+    """Keeps the id of the first row of each key, for ttl after it or for ever, and names it in all later rows.
+
+    The name is Spark's text of the id, in _OWN: pandas makes floats of whole numbers beside a null. Where whole, ids are such texts too.
+    """
 
-    def __init__(self, id_field: str, columns: list[str], ttl: timedelta | None):
-        self.id_field, self.columns, self.ttl = id_field, columns, ttl
+    def __init__(self, id_field: str, columns: list[str], ttl: timedelta | None, whole: bool = False):
+        self.id_field, self.columns, self.ttl, self.whole = id_field, columns, ttl, whole
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         ttl = None if self.ttl is None else max(1, int(self.ttl.total_seconds() * 1000))
@@ -40,13 +46,13 @@ class FirstArrival(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         known = self.first.get()[0] if self.first.exists() else None
         for part in rows:
-            part = part.sort_values(self.id_field, kind="stable")
             who = [known] * len(part)
             if known is None and len(part):
-                own = part[self.id_field].iloc[0]
-                known = "" if pd.isna(own) else str(own)
+                ids = part[self.id_field].tolist()
+                at = min((k for k, own in enumerate(ids) if not pd.isna(own)), key=lambda k: int(ids[k]) if self.whole else ids[k], default=0)
+                known = part[_OWN].iloc[at]
                 self.first.update((known,))
-                who = [None] + [known] * (len(part) - 1)
+                who = [None if k == at else known for k in range(len(part))]
             yield part.assign(representative_id=pd.Series(who, index=part.index, dtype=object))[self.columns]
 
     def close(self) -> None:
@@ -70,9 +76,14 @@ def annotate(stream: DataFrame, text_field: str = "text", id_field: str = "id",
     """
     own = F.col(id_field).cast("string")
     keyed = stream.withColumn("dedup_key", content_key(F.col(text_field), own))
-    schema = T.StructType([*keyed.schema.fields, T.StructField("representative_id", T.StringType())])
-    processor = FirstArrival(id_field, schema.names, ttl)
-    return keyed.groupBy("dedup_key").transformWithStateInPandas(processor, schema, "Append", "None" if ttl is None else "ProcessingTime")
+    # whole numbers pass pandas as texts, as it has only floats for those beside a null
+    longs = {f.name for f in keyed.schema if isinstance(f.dataType, T.LongType)}
+    fields = [T.StructField(f.name, T.StringType()) if f.name in longs else f for f in keyed.schema]
+    schema = T.StructType([*fields, T.StructField("representative_id", T.StringType())])
+    passed = keyed.withColumns({c: F.col(c).cast("string") for c in longs} | {_OWN: F.coalesce(own, F.lit(""))})
+    processor = FirstArrival(id_field, schema.names, ttl, id_field in longs)
+    marked = passed.groupBy("dedup_key").transformWithStateInPandas(processor, schema, "Append", "None" if ttl is None else "ProcessingTime")
+    return marked.select(*(F.col(c).cast("long").alias(c) if c in longs else F.col(c) for c in schema.names))
 
 
 def start(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], once: bool = True):
